@@ -1,0 +1 @@
+"""The pipeline is a daily batch; there are no streaming operators to offer."""
