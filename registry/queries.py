@@ -255,14 +255,12 @@ def dq_combined_log(spark, d):
         ("dirty", "audit.raw_transactions", suites.TRANSACTIONS_CRITICAL, suites.TRANSACTIONS_WARNINGS),
         ("users", "audit.raw_users", suites.USERS_CRITICAL, suites.USERS_WARNINGS),
     ]
-    lines = []
-    for table, name, critical, warning in sides:
-        df = fixture(spark, d, table)
-        lines.append(
-            quality.audit_log(
-                quality.run_suite(df, critical), quality.run_suite(df, warning), name, critical.name
-            )
+    lines = [
+        quality.audit_log(
+            quality.run_audit(fixture(spark, d, table), critical, warning), name, critical.name
         )
+        for table, name, critical, warning in sides
+    ]
     return reduce(DataFrame.unionByName, lines).withColumn(
         "failures", F.array_join("failures", "; ")
     )

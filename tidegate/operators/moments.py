@@ -18,7 +18,11 @@ WIDE = "decimal(38,0)"
 
 
 def amount_profile(df: DataFrame, key: str, amount: str) -> DataFrame:
-    """Per key: min, max, sample standard deviation and median of `amount`, NULLs left out."""
+    """Per key: min, max, sample standard deviation and median of `amount`, NULLs left out.
+
+    The key must not be NULL; wrap a nullable one in a struct, whose equality and
+    hash partitioning hold for NULL fields too.
+    """
     values = (
         df.where(F.col(amount).isNotNull())
         .groupBy(key, (F.col(amount) * 100).cast("long").alias("cents"))
@@ -56,7 +60,7 @@ def amount_profile(df: DataFrame, key: str, amount: str) -> DataFrame:
         "before", "total", "s1", "s2", "low", "high",
     )
     near = values.join(
-        middle, values[key].eqNullSafe(F.col("_key")) & (F.col("block") == F.col("_block"))
+        middle, (values[key] == F.col("_key")) & (F.col("block") == F.col("_block"))
     )
     rank = F.col("before") + F.sum("n").over(
         Window.partitionBy("_key", "_block")

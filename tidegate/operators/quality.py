@@ -212,15 +212,20 @@ def null_profile(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.agg(*counts, F.count(F.lit(1)).alias("total"))
 
 
-def audit_log(critical: DataFrame, warning: DataFrame, table: str, critical_suite: str) -> DataFrame:
+def run_audit(df: DataFrame, critical: Suite, warning: Suite) -> DataFrame:
+    """Both suites in one pass, each line marked with its `tier`."""
+    both = Suite("both", [*critical.expectations, *warning.expectations])
+    is_critical = F.col("expectation_no") <= len(critical.expectations)
+    tier = F.when(is_critical, F.lit("critical")).otherwise(F.lit("warning"))
+    return run_suite(df, both).withColumn("tier", tier)
+
+
+def audit_log(lines: DataFrame, table: str, critical_suite: str) -> DataFrame:
     """The log line of a two-tier audit.
 
     A failed critical suite blocks and is logged alone; otherwise one line sums
     up both suites, with the warnings as messages.
     """
-    lines = critical.withColumn("tier", F.lit("critical")).unionByName(
-        warning.withColumn("tier", F.lit("warning"))
-    )
     tiers = summarise(lines, "tier")
     is_critical = F.col("tier") == "critical"
     row = tiers.agg(

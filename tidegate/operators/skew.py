@@ -56,15 +56,15 @@ def salted_left_join(
 ) -> DataFrame:
     """Left join on `key`, `right` unique by `key`.
 
-    Rows of hot keys and of NULL keys are spread by a hash of `spread`; the few
-    hot lines of `right` are repeated once per slice.
+    Without hot keys this is the plain join. Otherwise rows of hot keys are spread
+    by a hash of `spread`, and the few hot lines of `right` repeated per slice.
     """
+    if not hot:
+        return left.join(right, key, "left")
     n = _slices(left)
     slice_of = F.pmod(F.xxhash64(spread), F.lit(n)).cast("int")
     hot_row = is_hot(key, hot)
-    left = left.withColumn(
-        "_slice", F.when(F.col(key).isNull() | hot_row, slice_of).otherwise(F.lit(0))
-    )
+    left = left.withColumn("_slice", F.when(hot_row, slice_of).otherwise(F.lit(0)))
     copies = F.when(hot_row, F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
     right = right.where(F.col(key).isNotNull()).withColumn("_slice", F.explode(copies))
     return left.join(right, [key, "_slice"], "left").drop("_slice")
@@ -83,20 +83,18 @@ def attach(
     left: DataFrame,
     table: DataFrame,
     key: str,
-    rows: str,
+    hot: list,
     spread: Column,
     max_rows: int | None = None,
-    min_hot: int | None = None,
 ) -> DataFrame:
     """Left-join a staged table that is unique by `key`.
 
     Broadcast when its measured size allows; otherwise a shuffle join with the
-    hot keys, known from the column `rows` of the table, spread over all tasks.
+    hot keys of `left` spread over all tasks.
     """
     if fits_broadcast(table, key, max_rows):
-        return left.join(F.broadcast(table.drop(rows)), key, "left")
-    hot = hot_keys(table, key, rows, min_hot)
-    return salted_left_join(left, table.drop(rows), key, hot, spread)
+        return left.join(F.broadcast(table), key, "left")
+    return salted_left_join(left, table, key, hot, spread)
 
 
 def latest_per_key(df: DataFrame, key: list[str], newest: list[str]) -> DataFrame:

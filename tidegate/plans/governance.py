@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import labels as L
 from ..functions.scalars import moment
+from ..operators.skew import latest_per_key
 from ..schemas import LINEAGE, PII_CATALOG, SCHEMA_HISTORY
 
 THRESHOLD_MINUTES = 120
@@ -152,18 +153,19 @@ def schema_drift(previous: DataFrame, current: DataFrame) -> DataFrame:
     A table without a previous snapshot has no drift. Nullability is not compared.
     """
     key = [*TABLE_KEY, "column_name"]
-    known = previous.select(*TABLE_KEY).distinct()
-    now = current.join(known, TABLE_KEY, "left_semi")
     old_type, new_type = F.col("old_type"), F.col("new_type")
     both = previous.select(*key, F.col("type").alias("old_type")).join(
-        now.select(*key, F.col("type").alias("new_type")), key, "full_outer"
+        current.select(*key, F.col("type").alias("new_type")), key, "full_outer"
     )
     change = (
         F.when(old_type.isNull(), F.lit("new_column"))
         .when(new_type.isNull(), F.lit("removed_column"))
         .when(old_type != new_type, F.lit("type_change"))
     )
-    return both.withColumn("change", change).where(F.col("change").isNotNull())
+    changes = both.withColumn("change", change).where(F.col("change").isNotNull())
+    known = previous.select(*TABLE_KEY).distinct()
+    added = changes.where("change = 'new_column'").join(known, TABLE_KEY, "left_semi")
+    return changes.where("change <> 'new_column'").unionByName(added)
 
 
 # --- lineage ---------------------------------------------------------------
@@ -293,7 +295,7 @@ def pii_seed(spark: SparkSession) -> DataFrame:
 
 def pii_upsert(catalog: DataFrame, incoming: DataFrame) -> DataFrame:
     """The catalogue with those lines of `incoming` whose column it does not list yet."""
-    new = incoming.dropDuplicates(PII_KEY).join(catalog.select(*PII_KEY), PII_KEY, "left_anti")
+    new = latest_per_key(incoming, PII_KEY, []).join(catalog.select(*PII_KEY), PII_KEY, "left_anti")
     return catalog.unionByName(new.select(catalog.columns))
 
 

@@ -14,7 +14,7 @@ from ..functions import labels as L
 from ..functions import scalars as S
 from ..operators.moments import amount_profile
 from ..operators.ranking import with_group_sequence, with_tile
-from ..operators.skew import attach, hot_keys_of, salted_left_join
+from ..operators.skew import attach, hot_keys, hot_keys_of, salted_left_join
 from ..runtime import stage
 
 def completed() -> Column:
@@ -46,26 +46,26 @@ def _money(total: str) -> Column:
 
 
 def user_base(cells: DataFrame, stg: DataFrame) -> DataFrame:
-    """Metrics per user without the quartiles; users without completed rows are left out."""
+    """Metrics per user without the quartiles; all zero for users without completed rows.
+
+    Both halves are grouped by the user wrapped in a struct, which also matches a
+    NULL user, so they are joined where they lie.
+    """
     done = F.col("n") > 0
-    counts = (
-        cells.groupBy("user_id")
-        .agg(
-            F.sum("cell_rows").alias("key_rows"),
-            F.sum("n").alias("total_transactions"),
-            F.count_distinct(F.when(done, F.col("transaction_day"))).alias("active_days"),
-            F.count_distinct(F.when(done, F.col("product_category"))).alias("unique_categories"),
-            _money("total").alias("total_amount"),
-            F.sum("n_amount").alias("n_amount"),
-            F.min("first_at").alias("first_transaction_date"),
-            F.max("last_at").alias("last_transaction_date"),
-        )
-        .where(F.col("total_transactions") > 0)
+    user = F.struct("user_id").alias("user")
+    counts = cells.groupBy(user).agg(
+        F.sum("cell_rows").alias("key_rows"),
+        F.sum("n").alias("total_transactions"),
+        F.count_distinct(F.when(done, F.col("transaction_day"))).alias("active_days"),
+        F.count_distinct(F.when(done, F.col("product_category"))).alias("unique_categories"),
+        _money("total").alias("total_amount"),
+        F.sum("n_amount").alias("n_amount"),
+        F.min("first_at").alias("first_transaction_date"),
+        F.max("last_at").alias("last_transaction_date"),
     )
-    profile = amount_profile(stg.where(completed()), "user_id", "amount").withColumnRenamed("user_id", "_user")
-    joined = counts.join(profile, F.col("user_id").eqNullSafe(F.col("_user")), "left")
-    return joined.select(
-        "user_id", "key_rows", "total_transactions", "active_days", "unique_categories",
+    profile = amount_profile(stg.where(completed()).select(user, "amount"), "user", "amount")
+    return counts.join(profile, "user", "left").select(
+        "user.user_id", "key_rows", "total_transactions", "active_days", "unique_categories",
         "total_amount", "n_amount",
         S.average(F.col("total_amount"), F.col("n_amount")).alias("avg_transaction_amount"),
         F.col("min_amount").alias("min_transaction_amount"),
@@ -77,7 +77,8 @@ def user_base(cells: DataFrame, stg: DataFrame) -> DataFrame:
 
 
 def user_metrics(stg: DataFrame) -> DataFrame:
-    return user_base(activity_cells(stg), stg).drop("key_rows", "n_amount")
+    base = user_base(activity_cells(stg), stg).where("total_transactions > 0")
+    return base.drop("key_rows", "n_amount")
 
 
 def with_user_quartiles(
@@ -107,7 +108,6 @@ def category_base(cells: DataFrame) -> DataFrame:
                 "category_unique_users"
             ),
         )
-        .where(F.col("category_total_transactions") > 0)
         .withColumn(
             "category_avg_amount",
             S.average(F.col("category_total_amount"), F.col("category_n_amount")),
@@ -116,26 +116,28 @@ def category_base(cells: DataFrame) -> DataFrame:
 
 
 def category_metrics(stg: DataFrame) -> DataFrame:
-    return category_base(activity_cells(stg)).drop("key_rows", "category_n_amount")
+    base = category_base(activity_cells(stg)).where("category_total_transactions > 0")
+    return base.drop("key_rows", "category_n_amount")
 
 
 def daily_base(cells: DataFrame) -> DataFrame:
-    """Metrics per day. The moving average covers the last seven days that have rows.
+    """Metrics per day. The moving average covers the last seven days that have completed rows.
 
-    Its window is not partitioned: there is one line per calendar day by then.
+    Its window takes one line per calendar day, those without completed rows
+    apart, so it is small.
     """
-    days = (
-        cells.groupBy("transaction_day")
-        .agg(
-            F.sum("cell_rows").alias("key_rows"),
-            F.sum("n").alias("daily_transaction_count"),
-            _money("total").alias("daily_total_amount"),
-            F.sum("n_amount").alias("daily_n_amount"),
-            F.count_distinct(F.when(F.col("n") > 0, F.col("user_id"))).alias("daily_unique_users"),
-        )
-        .where(F.col("daily_transaction_count") > 0)
+    days = cells.groupBy("transaction_day").agg(
+        F.sum("cell_rows").alias("key_rows"),
+        F.sum("n").alias("daily_transaction_count"),
+        _money("total").alias("daily_total_amount"),
+        F.sum("n_amount").alias("daily_n_amount"),
+        F.count_distinct(F.when(F.col("n") > 0, F.col("user_id"))).alias("daily_unique_users"),
+    )
+    week = (
+        Window.partitionBy(F.col("daily_transaction_count") > 0)
+        .orderBy(F.col("transaction_day").asc_nulls_last())
+        .rowsBetween(-6, 0)
     )
-    week = Window.orderBy(F.col("transaction_day").asc_nulls_last()).rowsBetween(-6, 0)
     total = F.col("daily_total_amount")
     return days.withColumns(
         {
@@ -148,41 +150,55 @@ def daily_base(cells: DataFrame) -> DataFrame:
 
 
 def daily_metrics(stg: DataFrame) -> DataFrame:
-    return daily_base(activity_cells(stg)).drop("key_rows", "daily_n_amount")
+    base = daily_base(activity_cells(stg)).where("daily_transaction_count > 0")
+    return base.drop("key_rows", "daily_n_amount")
 
 
 @dataclass
 class TransactionMetrics:
-    """Staged tables, each unique by its key."""
+    """Staged tables, each unique by its key, and the keys that are hot in the transactions."""
 
     users: DataFrame
     categories: DataFrame
     days: DataFrame
+    hot: dict[str, list]
+
 
+def transaction_metrics(
+    stg: DataFrame, one_task_rows: int | None = None, min_hot: int | None = None
+) -> TransactionMetrics:
+    """All metrics of the transactions, computed once.
 
-def transaction_metrics(stg: DataFrame, one_task_rows: int | None = None) -> TransactionMetrics:
+    The staged tables also list keys without completed rows, since those may be
+    the hot ones of the join; only then they are left out.
+    """
     cells = stage(activity_cells(stg), "activity-cells")
-    with ThreadPoolExecutor(3) as pool:
-        users = pool.submit(lambda: stage(user_base(cells, stg), "user-base"))
-        categories = pool.submit(lambda: stage(category_base(cells), "category-metrics"))
-        days = pool.submit(lambda: stage(daily_base(cells), "daily-metrics"))
-        return TransactionMetrics(
-            with_user_quartiles(users.result(), one_task_rows=one_task_rows),
-            categories.result(),
-            days.result(),
-        )
+    jobs = {
+        "user_id": lambda: stage(user_base(cells, stg), "user-base"),
+        "product_category": lambda: stage(category_base(cells), "category-base"),
+        "transaction_day": lambda: stage(daily_base(cells), "daily-base"),
+    }
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = {key: pool.submit(job) for key, job in jobs.items()}
+        staged = {key: job.result() for key, job in running.items()}
+    users = staged["user_id"].where("total_transactions > 0")
+    return TransactionMetrics(
+        with_user_quartiles(users, one_task_rows=one_task_rows),
+        staged["product_category"].where("category_total_transactions > 0"),
+        staged["transaction_day"].where("daily_transaction_count > 0"),
+        {key: hot_keys(table, key, "key_rows", min_hot) for key, table in staged.items()},
+    )
 
 
 def int_transactions(
     stg: DataFrame,
     metrics: TransactionMetrics | None = None,
     max_broadcast: int | None = None,
-    min_hot: int | None = None,
 ) -> DataFrame:
     """Every staged transaction with the metrics of its user, category and day."""
     m = metrics or transaction_metrics(stg)
     users = m.users.select(
-        "user_id", "key_rows",
+        "user_id",
         F.col("total_transactions").alias("user_total_transactions"),
         F.col("active_days").alias("user_active_days"),
         F.col("unique_categories").alias("user_unique_categories"),
@@ -193,8 +209,8 @@ def int_transactions(
         F.col("stddev_transaction_amount").alias("user_stddev_transaction_amount"),
         "user_value_quartile", "user_frequency_quartile",
     )
-    categories = m.categories.withColumnRenamed("category_n_amount", "_category_n")
-    days = m.days.withColumnRenamed("daily_n_amount", "_day_n")
+    categories = m.categories.drop("key_rows").withColumnRenamed("category_n_amount", "_category_n")
+    days = m.days.drop("key_rows").withColumnRenamed("daily_n_amount", "_day_n")
     spread = F.col("transaction_id")
     out = stg
     for table, key in (
@@ -202,7 +218,7 @@ def int_transactions(
         (categories, "product_category"),
         (days, "transaction_day"),
     ):
-        out = attach(out, table, key, "key_rows", spread, max_broadcast, min_hot)
+        out = attach(out, table, key, m.hot[key], spread, max_broadcast)
 
     amount = F.col("amount")
     # compared as amount * n > total, exact where a rounded mean is not

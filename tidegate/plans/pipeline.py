@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.masking import DEFAULT_RULES, session_salt
 from ..operators import modeltests, quality
-from ..runtime import drop_staged
+from ..runtime import drop_staged, stage
 from ..schemas import RecordField
 from ..sources import pages, tables
 from . import governance, intermediate, marts, publish, staging, suites
@@ -35,8 +35,11 @@ class AuditBlocked(RuntimeError):
 def land(
     spark: SparkSession, source: str, target: str, fields: list[RecordField], as_of: datetime
 ) -> dict[str, int]:
-    """Replace the raw table with the accepted records of the landed pages."""
-    landed = pages.read_pages(spark, source, fields)
+    """Replace the raw table with the accepted records of the landed pages.
+
+    The pages are staged as read, so that their JSON is parsed once.
+    """
+    landed = stage(pages.read_pages(spark, source, fields), "pages")
     rows = pages.checked(pages.records(landed), fields)
     good = pages.accepted(rows, fields)
     tables.replace(pages.with_ingest_columns(good, as_of, source), target)
@@ -69,12 +72,8 @@ def audit(
     found = {k: v for k, v in nulls.items() if k != "total" and v}
     if found:
         raise AuditBlocked(f"{table}: {found}")
-    line = quality.audit_log(
-        quality.run_suite(raw, critical),
-        quality.run_suite(raw, warning),
-        f"audit.{table}",
-        critical.name,
-    )
+    lines = quality.run_audit(raw, critical, warning)
+    line = quality.audit_log(lines, f"audit.{table}", critical.name)
     result = line.first().asDict()
     columns = [f.name for f in schemas.VALIDATION_LOG.fields]
     row = {**result, "validation_timestamp": as_of}
@@ -119,15 +118,22 @@ def build_models(
 TABLE_MODELS = ("fct_transactions", "dim_users", "fct_users")
 
 
-def write_models(models: dict[str, DataFrame], root: str) -> None:
-    """Materialise the table models; the facts are clustered by time for later pruning."""
+def write_models(models: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
+    """Materialise the table models and return the models with those read back.
+
+    The facts are clustered by time for later pruning.
+    """
+    written = {}
     for name in TABLE_MODELS:
         df = models[name]
         if "transaction_date" in df.columns:
             df = df.repartitionByRange("transaction_date", "transaction_id").sortWithinPartitions(
                 "transaction_date"
             )
-        tables.replace(df, tables.folder(root, "analytics", name))
+        path = tables.folder(root, "analytics", name)
+        tables.replace(df, path)
+        written[name] = df.sparkSession.read.schema(df.schema).parquet(path)
+    return {**models, **written}
 
 
 def metric_rows(spark: SparkSession, metrics: dict[str, dict], as_of: datetime) -> DataFrame:
@@ -187,8 +193,7 @@ def run_pipeline(spark: SparkSession, cfg: Config, as_of: datetime, run_id: str)
                 tables.read_table(spark, at("prod", e.table), e.schema)
                 for e in (publish.TRANSACTIONS, publish.USERS)
             )
-            models = build_models(transactions, users, as_of, salt)
-            write_models(models, cfg.root)
+            models = write_models(build_models(transactions, users, as_of, salt), cfg.root)
             if cfg.run_model_tests:
                 result["model_tests"] = _model_test_failures(models, transactions, users)
         result["status"] = "blocked" if blocked else "completed"
