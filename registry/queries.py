@@ -28,8 +28,7 @@ PAGE_SIZE = 100
 
 
 def _fresh_folder(spark: SparkSession, label: str) -> str:
-    app = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/staged/{app}/{label}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/inputs/{label}-{uuid.uuid4().hex}"
 
 
 def _users(spark, d):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass
 from datetime import datetime
 from decimal import Decimal
@@ -179,7 +180,7 @@ def transaction_metrics(
         "transaction_day": lambda: stage(daily_base(cells), "daily-base"),
     }
     with ThreadPoolExecutor(len(jobs)) as pool:
-        running = {key: pool.submit(job) for key, job in jobs.items()}
+        running = {key: pool.submit(copy_context().run, job) for key, job in jobs.items()}
         staged = {key: job.result() for key, job in running.items()}
     users = staged["user_id"].where("total_transactions > 0")
     return TransactionMetrics(

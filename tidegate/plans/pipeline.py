@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.masking import DEFAULT_RULES, session_salt
 from ..operators import modeltests, quality
-from ..runtime import drop_staged, stage
+from ..runtime import stage, staged_run
 from ..schemas import RecordField
 from ..sources import pages, tables
 from . import governance, intermediate, marts, publish, staging, suites
@@ -149,65 +149,66 @@ def metric_rows(spark: SparkSession, metrics: dict[str, dict], as_of: datetime)
 
 def run_pipeline(spark: SparkSession, cfg: Config, as_of: datetime, run_id: str) -> dict:
     """One daily run. Models are built only if both audits passed; lineage is always recorded."""
-    salt = cfg.salt or session_salt(spark)
-    at = lambda zone, table: tables.folder(cfg.root, zone, table)
-    result: dict = {"run_id": run_id, "metrics": {}}
-    sides = [
-        (
-            publish.TRANSACTIONS, cfg.transaction_pages, schemas.TRANSACTION_FIELDS,
-            schemas.RAW_TRANSACTIONS, "transactions",
-        ),
-        (publish.USERS, cfg.user_pages, schemas.USER_FIELDS, schemas.RAW_USERS, "users"),
-    ]
+    result: dict = {"run_id": run_id, "metrics": {}, "blocked": {}}
     try:
-        for entity, source, fields, _, side in sides:
-            result["metrics"][f"land_{side}"] = land(
-                spark, source, at("audit", entity.table), fields, as_of
-            )
-        raw = {
-            entity.table: tables.read_table(spark, at("audit", entity.table), schema)
-            for entity, _, _, schema, _ in sides
-        }
-        checks = governance.freshness_check({f"audit.{t}": df for t, df in raw.items()}, as_of)
-        tables.append(checks, at("audit", "data_freshness_monitor"))
-
-        blocked = {}
-        for entity, _, _, _, side in sides:
-            try:
-                outcome = audit(
-                    raw[entity.table], entity.table,
-                    suites.suite(f"{side}_critical_suite"), suites.suite(f"{side}_warnings_suite"),
-                    at("audit", "gx_validation_logs"), as_of,
-                )
-            except AuditBlocked as e:
-                blocked[entity.table] = str(e)
-                continue
-            result["metrics"][f"audit_{side}"] = outcome
-            result["metrics"][f"publish_{side}"] = publish.publish(
-                spark, entity, raw[entity.table], at("prod", entity.table), outcome, as_of,
-                salt, cfg.rules, cfg.strict_masks,
-            )
-        result["blocked"] = blocked
-        if not blocked:
-            transactions, users = (
-                tables.read_table(spark, at("prod", e.table), e.schema)
-                for e in (publish.TRANSACTIONS, publish.USERS)
-            )
-            models = write_models(build_models(transactions, users, as_of, salt), cfg.root)
-            if cfg.run_model_tests:
-                result["model_tests"] = _model_test_failures(models, transactions, users)
-        result["status"] = "blocked" if blocked else "completed"
+        with staged_run(spark):
+            _run_phases(spark, cfg, as_of, result)
+        result["status"] = "blocked" if result["blocked"] else "completed"
     finally:
         run = spark.range(1).select(F.lit(run_id).alias("dag_execution_id"))
-        tables.append(governance.record_lineage(run, as_of), at("audit", "data_lineage"))
+        lineage = governance.record_lineage(run, as_of)
+        tables.append(lineage, tables.folder(cfg.root, "audit", "data_lineage"))
         if result["metrics"]:
             tables.append(
-                metric_rows(spark, result["metrics"], as_of), at("audit", "pipeline_metrics")
+                metric_rows(spark, result["metrics"], as_of),
+                tables.folder(cfg.root, "audit", "pipeline_metrics"),
             )
-        drop_staged(spark)
     return result
 
 
+def _run_phases(spark: SparkSession, cfg: Config, as_of: datetime, result: dict) -> None:
+    salt = cfg.salt or session_salt(spark)
+    metrics = result["metrics"]
+    at = lambda zone, table: tables.folder(cfg.root, zone, table)
+    transactions, users = publish.TRANSACTIONS, publish.USERS
+    metrics["land_transactions"] = land(
+        spark, cfg.transaction_pages, at("audit", transactions.table),
+        schemas.TRANSACTION_FIELDS, as_of,
+    )
+    metrics["land_users"] = land(
+        spark, cfg.user_pages, at("audit", users.table), schemas.USER_FIELDS, as_of
+    )
+    raw = {
+        transactions: tables.read_table(spark, at("audit", transactions.table), schemas.RAW_TRANSACTIONS),
+        users: tables.read_table(spark, at("audit", users.table), schemas.RAW_USERS),
+    }
+    checks = governance.freshness_check({f"audit.{e.table}": df for e, df in raw.items()}, as_of)
+    tables.append(checks, at("audit", "data_freshness_monitor"))
+
+    for entity, df in raw.items():
+        side = entity.table.removeprefix("raw_")
+        try:
+            outcome = audit(
+                df, entity.table,
+                suites.suite(f"{side}_critical_suite"), suites.suite(f"{side}_warnings_suite"),
+                at("audit", "gx_validation_logs"), as_of,
+            )
+        except AuditBlocked as e:
+            result["blocked"][entity.table] = str(e)
+            continue
+        metrics[f"audit_{side}"] = outcome
+        metrics[f"publish_{side}"] = publish.publish(
+            spark, entity, df, at("prod", entity.table), outcome, as_of, salt,
+            cfg.rules, cfg.strict_masks,
+        )
+    if result["blocked"]:
+        return
+    published = [tables.read_table(spark, at("prod", e.table), e.schema) for e in raw]
+    models = write_models(build_models(*published, as_of, salt), cfg.root)
+    if cfg.run_model_tests:
+        result["model_tests"] = _model_test_failures(models, *published)
+
+
 def _model_test_failures(models: dict, transactions: DataFrame, users: DataFrame) -> list[dict]:
     """Declared tests that fail. Ids are masked by now, so uniqueness is asked of the hashed key."""
     tested = {

@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,6 +49,9 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_run: ContextVar[str] = ContextVar("staged_run", default="kept")
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write `df` once to the shared folder and read it back.
 
@@ -53,15 +59,27 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     non-deterministic columns, and leaves the planner with measured file sizes.
     """
     spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{shared_folder(spark)}/staged/{app}/{label}-{uuid.uuid4().hex}"
+    path = f"{_run_folder(spark, _run.get())}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_staged(spark: SparkSession) -> None:
-    """Delete what this application staged. Call it once all readers are done."""
-    jvm = spark.sparkContext._jvm
-    folder = f"{shared_folder(spark)}/staged/{spark.sparkContext.applicationId}"
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def _run_folder(spark: SparkSession, run: str) -> str:
+    return f"{shared_folder(spark)}/staged/{spark.sparkContext.applicationId}/{run}"
+
+
+@contextmanager
+def staged_run(spark: SparkSession) -> Iterator[str]:
+    """Delete at the end what is staged inside; every reader must be done by then.
+
+    Work handed to threads takes part if it runs in a copy of this context.
+    """
+    folder = _run_folder(spark, uuid.uuid4().hex)
+    token = _run.set(folder.rsplit("/", 1)[1])
+    try:
+        yield folder
+    finally:
+        _run.reset(token)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        path.getFileSystem(conf).delete(path, True)
