@@ -13,6 +13,7 @@ from tidegate import schemas
 from tidegate.functions import masking as M
 from tidegate.functions.scalars import moment
 from tidegate.operators import modeltests, quality
+from tidegate.operators.skew import known_keys, measure
 from tidegate.plans import (
     governance, intermediate, marts, publish, shredding, staging, suites, views,
 )
@@ -164,23 +165,21 @@ def publish_tx_dedup(spark, d):
 
 
 def publish_tx_new(spark, d):
-    from tidegate.operators.skew import known_keys
-
     batch = publish.one_per_key(publish.TRANSACTIONS, fixture(spark, d, "batch"), AS_OF, SALT)
-    batch = stage(batch, "batch")
-    known = known_keys(batch, _published_before(spark, d), "transaction_key")
-    new = publish.not_published(batch, known, "transaction_key")
+    batch = measure(stage(batch, "batch"), "transaction_key")
+    known = known_keys(batch, _published_before(spark, d))
+    new = publish.not_published(batch.table, known, batch.key)
     return new.select("transaction_id", "transaction_key", "amount", "ingested_at")
 
 
 def _publish_run(spark, d, entity, raw, earlier=None):
     """Publish an earlier part and then everything; return the last metrics and the table."""
-    folder = _fresh_folder(spark, "prod")
+    target = tables.FolderTable(_fresh_folder(spark, "prod"))
     args = dict(audit={"audit_passed": True}, salt=SALT, rules=M.DEFAULT_RULES)
     if earlier is not None:
-        publish.publish(spark, entity, earlier, folder, as_of=FRESH_AS_OF, **args)
-    metrics = publish.publish(spark, entity, raw, folder, as_of=AS_OF, **args)
-    return metrics, tables.read_table(spark, folder, entity.schema)
+        publish.publish(spark, entity, earlier, target, as_of=FRESH_AS_OF, **args)
+    metrics = publish.publish(spark, entity, raw, target, as_of=AS_OF, **args)
+    return metrics, target.read(spark, entity.schema)
 
 
 def _publish_transactions(spark, d):
@@ -325,11 +324,13 @@ def _user_totals(spark, d):
 
 
 def user_value_quartile(spark, d):
-    return intermediate.with_user_quartiles(_user_totals(spark, d), frequency=False)
+    totals = _user_totals(spark, d)
+    return intermediate.with_user_quartiles(totals, totals.count(), frequency=False)
 
 
 def user_frequency_quartile(spark, d):
-    return intermediate.with_user_quartiles(_user_totals(spark, d), value=False)
+    totals = _user_totals(spark, d)
+    return intermediate.with_user_quartiles(totals, totals.count(), value=False)
 
 
 def daily_moving_avg(spark, d):

@@ -14,9 +14,12 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     shared = str(tmp_path_factory.mktemp("shared"))
-    session = local_session(
-        8, "tidegate-tests", **{"spark.checkpoint.dir": shared, "spark.sql.shuffle.partitions": "6"}
-    )
+    conf = {
+        "spark.checkpoint.dir": shared,
+        "spark.sql.shuffle.partitions": "4",
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+    }
+    session = local_session(8, "tidegate-tests", **conf)
     yield session
     session.stop()
 

@@ -97,11 +97,6 @@ def test_dashboards_on_few_rows(spark):
     assert (prof["total_rows"], prof["null_rate"], prof["uniqueness_rate"]) == (4, 0.25, 0.5)
 
 
-def test_pii_tag(spark):
-    df = G.tag_pii(spark.createDataFrame([], "user_id int"))
-    assert df.schema["user_id"].metadata["pii_sensitivity"] == "high"
-
-
 # --- encryption ------------------------------------------------------------
 
 

@@ -58,6 +58,7 @@ def test_staging_types_and_flags(spark):
         make(spark, [row(1, amount="-0.01", day=7), row(2, amount=None, day=None, score=None)]), AS_OF
     )
     assert len(df.columns) == 20
+    assert df.schema["user_id"].metadata["pii_sensitivity"] == "high"
     a, b = df.orderBy("transaction_id").collect()
     assert (a["product_category"], a["currency"], a["status"]) == ("books", "USD", "COMPLETED")
     assert (a["transaction_day_of_week"], a["is_weekend"], a["is_anomaly"]) == (0, True, True)
@@ -112,7 +113,7 @@ def test_enriched_rows_are_the_same_by_broadcast_and_by_shuffle(spark, mixed):
     assert len(plain.columns) == 41
     assert plain.count() == 900
     metrics = I.transaction_metrics(stg, one_task_rows=-1, min_hot=100)
-    assert set(metrics.hot["user_id"]) == {0, None}
+    assert set(metrics.users.hot) == {0, None}
     spread = I.int_transactions(stg, metrics, max_broadcast=-1)
     assert rows_of(spread) == rows_of(plain)
 

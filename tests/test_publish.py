@@ -22,7 +22,7 @@ def tx(tid, user=1, amount="5", status="COMPLETED", hour=1):
 def run(spark, rows, path, audit={"audit_passed": True}, **kw):
     raw = spark.createDataFrame(rows, SCHEMA)
     return P.publish(
-        spark, P.TRANSACTIONS, raw, str(path), audit, AS_OF, "salt", DEFAULT_RULES, **kw
+        spark, P.TRANSACTIONS, raw, tables.FolderTable(str(path)), audit, AS_OF, "salt", DEFAULT_RULES, **kw
     )
 
 
@@ -89,3 +89,31 @@ def test_users_need_an_email_unless_told_otherwise(spark):
     assert [r["user_id"] for r in P.clean_users(df).collect()] == [1]
     without = P.clean_users(df, ("user_id", "first_name", "last_name", "country"))
     assert sorted(r["user_id"] for r in without.collect()) == [1, 2]
+
+
+def test_bucketed_table_is_not_shuffled_for_the_lookup(spark, monkeypatch, plan_of):
+    from tidegate.operators import skew
+    from tidegate.runtime import stage
+
+    spark.sql("DROP TABLE IF EXISTS published_tx")
+    target = tables.BucketedTable("published_tx", "transaction_key", 4)
+    raw = spark.createDataFrame([tx("a1"), tx("b1")], SCHEMA)
+    args = ({"audit_passed": True}, AS_OF, "salt", DEFAULT_RULES)
+    assert P.publish(spark, P.TRANSACTIONS, raw, target, *args)["records_published"] == 2
+    more = spark.createDataFrame([tx("a1"), tx("c1")], SCHEMA)
+    assert P.publish(spark, P.TRANSACTIONS, more, target, *args)["duplicate_records"] == 1
+    assert target.read(spark, P.TRANSACTIONS.schema).count() == 3
+
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        batch = stage(P.one_per_key(P.TRANSACTIONS, more, AS_OF, "salt"), "b")
+        published = target.read(spark, P.TRANSACTIONS.schema)
+        known = skew.known_keys(skew.measure(batch, "transaction_key"), published)
+        plan = plan_of(known)
+        tree = plan.split("\n\n")[0]
+        assert known.count() == 2
+        assert tree.count("Exchange") == 1 and "Bucketed: true" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE published_tx")

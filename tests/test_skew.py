@@ -29,7 +29,7 @@ def rows_of(df):
 
 def test_hot_keys_are_found_and_few(spark):
     _, df = skewed(spark)
-    assert set(skew.hot_keys_of(df, "k", min_rows=500)) == {0, None}
+    assert set(skew.hot_keys_of(df, "k", min_hot=500)) == {0, None}
     assert skew.hot_keys_of(df, "k") == []
 
 
@@ -63,7 +63,7 @@ def test_attach_broadcasts_only_a_checked_size(spark, plan_of, max_rows, joined_
     right = stage(spark.createDataFrame([(k, f"n{k}") for k in range(50)], "k int, name string"), "r")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        out = skew.attach(df, right, "k", [0], F.col("id"), max_rows)
+        out = skew.attach(df, skew.measure(right, "k"), F.col("id"), max_rows)
         assert joined_by in plan_of(out)
         assert rows_of(out.select("id", "k", "name")) == rows_of(
             df.join(right, "k", "left").select("id", "k", "name")
@@ -74,9 +74,9 @@ def test_attach_broadcasts_only_a_checked_size(spark, plan_of, max_rows, joined_
 
 def test_text_keys_count_against_the_broadcast_bound(spark, monkeypatch):
     table = spark.createDataFrame([("x" * 100,), ("y" * 100,)], "k string")
-    assert skew.fits_broadcast(table, "k")
+    assert skew.measure(table, "k").fits_broadcast()
     monkeypatch.setattr(skew, "BROADCAST_KEY_BYTES", 150)
-    assert not skew.fits_broadcast(table, "k")
+    assert not skew.measure(table, "k").fits_broadcast()
 
 
 def test_latest_per_key(spark):
@@ -95,10 +95,11 @@ def test_copies_combine_before_the_shuffle(spark, plan_of):
 
 def test_known_keys_both_ways(spark, monkeypatch):
     batch = stage(spark.createDataFrame([("a",), ("b",), ("c",)], "k string"), "b")
+    batch = skew.measure(batch, "k")
     published = spark.createDataFrame([("b",), ("c",), ("z",)], "k string")
-    assert {r[0] for r in skew.known_keys(batch, published, "k").collect()} == {"b", "c"}
+    assert {r[0] for r in skew.known_keys(batch, published).collect()} == {"b", "c"}
     monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
-    assert {r[0] for r in skew.known_keys(batch, published, "k").collect()} == {"b", "c"}
+    assert {r[0] for r in skew.known_keys(batch, published).collect()} == {"b", "c"}
 
 
 # --- ranking ---------------------------------------------------------------

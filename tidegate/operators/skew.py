@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import stage
+
 # A key with fewer rows than this is no burden for a single task.
 HOT_MIN_ROWS = 1_000_000
 # A hot key holds more than 1/HOT_SHARE of all rows, so there are fewer than HOT_SHARE of them.
@@ -14,22 +18,47 @@ BROADCAST_ROWS = 100_000
 BROADCAST_KEY_BYTES = 16 * 1024 * 1024
 
 
-def hot_keys(
-    counts: DataFrame,
-    key: str,
-    rows: str,
-    min_rows: int | None = None,
-) -> list:
-    """Keys of `counts` (one line per key) that hold an outsize share of `rows`, maybe NULL.
+@dataclass(frozen=True)
+class Lookup:
+    """A staged table, unique by `key`, with its measured size.
 
-    The list is bounded by HOT_SHARE whatever the data, so collecting it is safe.
+    `hot` are the keys, perhaps NULL, that hold an outsize share of the rows the
+    table was made from. HOT_SHARE bounds their number whatever the data.
     """
-    min_rows = HOT_MIN_ROWS if min_rows is None else min_rows
-    total, top = counts.agg(F.sum(rows), F.max(rows)).first()
-    floor = max(min_rows, (total or 0) // HOT_SHARE)
-    if not top or top <= floor:
-        return []
-    return [r[0] for r in counts.where(F.col(rows) > floor).select(key).collect()]
+
+    table: DataFrame
+    key: str
+    n_rows: int
+    key_bytes: int
+    hot: list
+
+    def fits_broadcast(self, max_rows: int | None = None) -> bool:
+        max_rows = BROADCAST_ROWS if max_rows is None else max_rows
+        return self.n_rows <= max_rows and self.key_bytes <= BROADCAST_KEY_BYTES
+
+
+def measure(
+    table: DataFrame, key: str, rows: str | None = None, min_hot: int | None = None
+) -> Lookup:
+    """Size of a staged table and, by the row counts in column `rows`, its hot keys."""
+    per_key = F.col(rows) if rows else F.lit(1)
+    n, key_bytes, total, top = table.agg(
+        F.count(F.lit(1)),
+        F.sum(F.octet_length(F.col(key).cast("string"))),
+        F.sum(per_key),
+        F.max(per_key),
+    ).first()
+    floor = max(HOT_MIN_ROWS if min_hot is None else min_hot, (total or 0) // HOT_SHARE)
+    hot = []
+    if rows and (top or 0) > floor:
+        hot = [r[0] for r in table.where(per_key > floor).select(key).collect()]
+    return Lookup(table, key, n, key_bytes or 0, hot)
+
+
+def hot_keys_of(df: DataFrame, key: str, min_hot: int | None = None) -> list:
+    """Hot keys counted from the rows themselves; counts are combined before the shuffle."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("key_rows"))
+    return measure(stage(counts, "key-counts"), key, "key_rows", min_hot).hot
 
 
 def is_hot(key: str, hot: list) -> Column:
@@ -39,16 +68,9 @@ def is_hot(key: str, hot: list) -> Column:
     return test | F.col(key).isNull() if None in hot else test
 
 
-def hot_keys_of(df: DataFrame, key: str, min_rows: int | None = None) -> list:
-    """`hot_keys` counted from the rows themselves; counts are combined before the shuffle."""
-    from ..runtime import stage
-
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("key_rows"))
-    return hot_keys(stage(counts, "key-counts"), key, "key_rows", min_rows)
-
-
 def _slices(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Several slices per task, so that their hashes fall evenly on the tasks."""
+    return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def salted_left_join(
@@ -70,31 +92,17 @@ def salted_left_join(
     return left.join(right, [key, "_slice"], "left").drop("_slice")
 
 
-def fits_broadcast(table: DataFrame, key: str, max_rows: int | None = None) -> bool:
-    """Whether a staged table of one key and fixed-width columns is small enough to broadcast."""
-    max_rows = BROADCAST_ROWS if max_rows is None else max_rows
-    n, key_bytes = table.agg(
-        F.count(F.lit(1)), F.sum(F.octet_length(F.col(key).cast("string")))
-    ).first()
-    return n <= max_rows and (key_bytes or 0) <= BROADCAST_KEY_BYTES
-
-
 def attach(
-    left: DataFrame,
-    table: DataFrame,
-    key: str,
-    hot: list,
-    spread: Column,
-    max_rows: int | None = None,
+    left: DataFrame, lookup: Lookup, spread: Column, max_rows: int | None = None
 ) -> DataFrame:
-    """Left-join a staged table that is unique by `key`.
+    """Left-join a lookup table.
 
     Broadcast when its measured size allows; otherwise a shuffle join with the
     hot keys of `left` spread over all tasks.
     """
-    if fits_broadcast(table, key, max_rows):
-        return left.join(F.broadcast(table), key, "left")
-    return salted_left_join(left, table, key, hot, spread)
+    if lookup.fits_broadcast(max_rows):
+        return left.join(F.broadcast(lookup.table), lookup.key, "left")
+    return salted_left_join(left, lookup.table, lookup.key, lookup.hot, spread)
 
 
 def latest_per_key(df: DataFrame, key: list[str], newest: list[str]) -> DataFrame:
@@ -111,14 +119,14 @@ def latest_per_key(df: DataFrame, key: list[str], newest: list[str]) -> DataFram
     )
 
 
-def known_keys(batch: DataFrame, published: DataFrame, key: str) -> DataFrame:
-    """Keys of the staged `batch` (unique by key) that `published` already holds.
+def known_keys(batch: Lookup, published: DataFrame) -> DataFrame:
+    """Keys of the staged `batch` that `published` already holds.
 
     The published keys grow for ever. A batch of checked, small size is broadcast
     against them, which leaves a scan without a shuffle; a larger one is joined
     by shuffle, where both sides are unique by key and hence even.
     """
-    wanted = batch.select(key)
-    if fits_broadcast(wanted, key):
+    wanted = batch.table.select(batch.key)
+    if batch.fits_broadcast():
         wanted = F.broadcast(wanted)
-    return published.select(key).join(wanted, key, "left_semi").distinct()
+    return published.select(batch.key).join(wanted, batch.key, "left_semi").distinct()

@@ -279,15 +279,6 @@ PII_SEED = [
     ("staging", "stg_raw_users", "ip_address", *_ADDRESS, _AUDIT_12),
 ]
 PII_KEY = ["schema_name", "table_name", "column_name"]
-# What the declared models say about a user's id.
-USER_ID_METADATA = {
-    "pii": True,
-    "pii_category": "direct_identifier",
-    "pii_sensitivity": "high",
-    "access_restrictions": "production_only",
-    "retention_days": 365,
-}
-
 
 def pii_seed(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(PII_SEED, PII_CATALOG)
@@ -304,8 +295,3 @@ def pii_view(catalog: DataFrame) -> DataFrame:
         F.concat_ws(".", "schema_name", "table_name").alias("full_table"),
         *[c for c in catalog.columns if c not in ("schema_name", "table_name")],
     ).orderBy(F.col("pii_sensitivity").desc(), "full_table", "column_name")
-
-
-def tag_pii(df: DataFrame, column: str = "user_id", metadata: dict | None = None) -> DataFrame:
-    """Attach the PII description to a column's metadata."""
-    return df.withMetadata(column, metadata or USER_ID_METADATA)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from contextvars import copy_context
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 from decimal import Decimal
 
@@ -15,7 +15,7 @@ from ..functions import labels as L
 from ..functions import scalars as S
 from ..operators.moments import amount_profile
 from ..operators.ranking import with_group_sequence, with_tile
-from ..operators.skew import attach, hot_keys, hot_keys_of, salted_left_join
+from ..operators.skew import Lookup, attach, hot_keys_of, measure, salted_left_join
 from ..runtime import stage
 
 def completed() -> Column:
@@ -83,10 +83,16 @@ def user_metrics(stg: DataFrame) -> DataFrame:
 
 
 def with_user_quartiles(
-    base: DataFrame, value: bool = True, frequency: bool = True, one_task_rows: int | None = None
+    base: DataFrame,
+    n_rows: int,
+    value: bool = True,
+    frequency: bool = True,
+    one_task_rows: int | None = None,
 ) -> DataFrame:
-    """Add the quartiles by total and by number of transactions to a staged user table."""
-    n_rows = base.count()
+    """Add the quartiles by total and by number of transactions.
+
+    `base` is a staged user table of at most `n_rows` rows.
+    """
     out = base
     if value:
         order = [F.col("total_amount").desc_nulls_first(), F.col("user_id").asc_nulls_last()]
@@ -155,14 +161,13 @@ def daily_metrics(stg: DataFrame) -> DataFrame:
     return base.drop("key_rows", "daily_n_amount")
 
 
-@dataclass
+@dataclass(frozen=True)
 class TransactionMetrics:
-    """Staged tables, each unique by its key, and the keys that are hot in the transactions."""
+    """Staged metrics, and which keys are hot in the transactions."""
 
-    users: DataFrame
-    categories: DataFrame
-    days: DataFrame
-    hot: dict[str, list]
+    users: Lookup
+    categories: Lookup
+    days: Lookup
 
 
 def transaction_metrics(
@@ -174,21 +179,21 @@ def transaction_metrics(
     the hot ones of the join; only then they are left out.
     """
     cells = stage(activity_cells(stg), "activity-cells")
-    jobs = {
-        "user_id": lambda: stage(user_base(cells, stg), "user-base"),
-        "product_category": lambda: stage(category_base(cells), "category-base"),
-        "transaction_day": lambda: stage(daily_base(cells), "daily-base"),
-    }
+
+    def staged(df: DataFrame, key: str, n: str) -> Lookup:
+        found = measure(stage(df, f"{key}-metrics"), key, "key_rows", min_hot)
+        return replace(found, table=found.table.where(F.col(n) > 0).drop("key_rows"))
+
+    jobs = [
+        lambda: staged(user_base(cells, stg), "user_id", "total_transactions"),
+        lambda: staged(category_base(cells), "product_category", "category_total_transactions"),
+        lambda: staged(daily_base(cells), "transaction_day", "daily_transaction_count"),
+    ]
     with ThreadPoolExecutor(len(jobs)) as pool:
-        running = {key: pool.submit(copy_context().run, job) for key, job in jobs.items()}
-        staged = {key: job.result() for key, job in running.items()}
-    users = staged["user_id"].where("total_transactions > 0")
-    return TransactionMetrics(
-        with_user_quartiles(users, one_task_rows=one_task_rows),
-        staged["product_category"].where("category_total_transactions > 0"),
-        staged["transaction_day"].where("daily_transaction_count > 0"),
-        {key: hot_keys(table, key, "key_rows", min_hot) for key, table in staged.items()},
-    )
+        running = [pool.submit(copy_context().run, job) for job in jobs]
+        users, categories, days = [job.result() for job in running]
+    table = with_user_quartiles(users.table, users.n_rows, one_task_rows=one_task_rows)
+    return TransactionMetrics(replace(users, table=table), categories, days)
 
 
 def int_transactions(
@@ -198,7 +203,7 @@ def int_transactions(
 ) -> DataFrame:
     """Every staged transaction with the metrics of its user, category and day."""
     m = metrics or transaction_metrics(stg)
-    users = m.users.select(
+    users = m.users.table.select(
         "user_id",
         F.col("total_transactions").alias("user_total_transactions"),
         F.col("active_days").alias("user_active_days"),
@@ -210,16 +215,12 @@ def int_transactions(
         F.col("stddev_transaction_amount").alias("user_stddev_transaction_amount"),
         "user_value_quartile", "user_frequency_quartile",
     )
-    categories = m.categories.drop("key_rows").withColumnRenamed("category_n_amount", "_category_n")
-    days = m.days.drop("key_rows").withColumnRenamed("daily_n_amount", "_day_n")
+    categories = m.categories.table.withColumnRenamed("category_n_amount", "_category_n")
+    days = m.days.table.withColumnRenamed("daily_n_amount", "_day_n")
     spread = F.col("transaction_id")
     out = stg
-    for table, key in (
-        (users, "user_id"),
-        (categories, "product_category"),
-        (days, "transaction_day"),
-    ):
-        out = attach(out, table, key, m.hot[key], spread, max_broadcast)
+    for lookup, table in ((m.users, users), (m.categories, categories), (m.days, days)):
+        out = attach(out, replace(lookup, table=table), spread, max_broadcast)
 
     amount = F.col("amount")
     # compared as amount * n > total, exact where a rounded mean is not

@@ -26,6 +26,15 @@ class Config:
     rules: dict = field(default_factory=lambda: DEFAULT_RULES)
     strict_masks: bool = True
     run_model_tests: bool = True
+    # keep the published tables bucketed in this database instead of in folders
+    database: str | None = None
+    buckets: int = 256
+
+    def published(self, entity: publish.Entity) -> tables.FolderTable | tables.BucketedTable:
+        if self.database:
+            name = f"{self.database}.prod_{entity.table}"
+            return tables.BucketedTable(name, entity.published_key, self.buckets)
+        return tables.FolderTable(tables.folder(self.root, "prod", entity.table))
 
 
 class AuditBlocked(RuntimeError):
@@ -198,12 +207,12 @@ def _run_phases(spark: SparkSession, cfg: Config, as_of: datetime, result: dict)
             continue
         metrics[f"audit_{side}"] = outcome
         metrics[f"publish_{side}"] = publish.publish(
-            spark, entity, df, at("prod", entity.table), outcome, as_of, salt,
+            spark, entity, df, cfg.published(entity), outcome, as_of, salt,
             cfg.rules, cfg.strict_masks,
         )
     if result["blocked"]:
         return
-    published = [tables.read_table(spark, at("prod", e.table), e.schema) for e in raw]
+    published = [cfg.published(entity).read(spark, entity.schema) for entity in raw]
     models = write_models(build_models(*published, as_of, salt), cfg.root)
     if cfg.run_model_tests:
         result["model_tests"] = _model_test_failures(models, *published)

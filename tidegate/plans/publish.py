@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.masking import apply_rules, pseudonym_sha
 from ..functions.scalars import moment
-from ..operators.skew import known_keys, latest_per_key
+from ..operators.skew import known_keys, latest_per_key, measure
 from ..runtime import stage
 from ..schemas import PUBLISHED_TRANSACTIONS, PUBLISHED_USERS
 from ..sources import tables
@@ -87,14 +87,14 @@ def publish(
     spark: SparkSession,
     entity: Entity,
     raw: DataFrame,
-    path: str,
+    target: tables.FolderTable | tables.BucketedTable,
     audit: dict | bool | None,
     as_of: datetime,
     salt: str,
     rules: dict,
     strict: bool = True,
 ) -> dict:
-    """Append the rows of `raw` that are new to the published table at `path`.
+    """Append the rows of `raw` that are new to the published table `target`.
 
     Keys are compared unmasked, and masks are put on last. A rerun publishes
     nothing twice.
@@ -103,15 +103,17 @@ def publish(
     if reason:
         return {"records_published": 0, "reason": reason}
     total = raw.count()
+    key = entity.published_key
     rows = stage(one_per_key(entity, raw, as_of, salt), f"{entity.table}-batch")
-    published = tables.read_table(spark, path, entity.schema)
-    known = stage(known_keys(rows, published, entity.published_key), f"{entity.table}-known")
-    distinct, duplicates = rows.count(), known.count()
-    fresh = distinct - duplicates
+    batch = measure(rows, key)
+    published = target.read(spark, entity.schema)
+    known = stage(known_keys(batch, published), f"{entity.table}-known")
+    duplicates = known.count()
+    fresh = batch.n_rows - duplicates
     if fresh:
-        new = apply_rules(not_published(rows, known, entity.published_key), rules, strict)
+        new = apply_rules(not_published(rows, known, key), rules, strict)
         columns = [f.name for f in entity.schema.fields if f.name in new.columns]
-        tables.append(new.select(*columns), path)
+        target.append(new.select(*columns))
     return {
         "records_published": fresh,
         "records_filtered": total - fresh,

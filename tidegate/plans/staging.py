@@ -11,6 +11,14 @@ from ..functions import labels as L
 from ..functions import masking as M
 from ..functions import scalars as S
 
+# What the declared models say about a user's id.
+USER_ID_METADATA = {
+    "pii": True,
+    "pii_category": "direct_identifier",
+    "pii_sensitivity": "high",
+    "access_restrictions": "production_only",
+    "retention_days": 365,
+}
 TRANSACTION_SOURCE = [
     "transaction_id", "user_id", "product_category", "amount", "currency",
     "transaction_date", "status", "processed_at", "data_quality_score",
@@ -26,12 +34,12 @@ def stg_transactions(source: DataFrame, as_of: datetime) -> DataFrame:
     score = F.round(F.col("data_quality_score").cast("decimal(3,2)"), 2).cast("decimal(3,2)")
     return source.select(
         F.left(F.col("transaction_id").cast("string"), F.lit(50)).alias("transaction_id"),
-        F.col("user_id").cast("int").alias("user_id"),
+        F.col("user_id").cast("int").alias("user_id", metadata=USER_ID_METADATA),
         F.lower("product_category").alias("product_category"),
         F.left("currency", F.lit(3)).alias("currency"),
         amount.alias("amount"),
         when.alias("transaction_date"),
-        F.date_trunc("day", when).cast("timestamp_ntz").alias("transaction_day"),
+        F.to_date(when).cast("timestamp_ntz").alias("transaction_day"),
         F.year(when).alias("transaction_year"),
         F.month(when).alias("transaction_month"),
         F.dayofmonth(when).alias("transaction_day_of_month"),

@@ -50,7 +50,7 @@ def prod_transactions(published: DataFrame) -> DataFrame:
         "transaction_id",
         concat_text(F.lit("U"), _md5(F.col("user_id"), 8)).alias("user_short_id"),
         "product_category", "amount", "currency",
-        F.date_trunc("day", "transaction_date").cast("timestamp_ntz").alias("transaction_day"),
+        F.to_date("transaction_date").cast("timestamp_ntz").alias("transaction_day"),
         "status",
     )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -29,6 +30,42 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+@dataclass(frozen=True)
+class FolderTable:
+    """A published table kept as a folder of Parquet files."""
+
+    path: str
+
+    def read(self, spark: SparkSession, schema: StructType) -> DataFrame:
+        return read_table(spark, self.path, schema)
+
+    def append(self, df: DataFrame) -> None:
+        append(df, self.path)
+
+
+@dataclass(frozen=True)
+class BucketedTable:
+    """A published table of the session's catalogue, bucketed by its key.
+
+    Looking up keys then shuffles the new batch only, never the rows published
+    in all the time before. Each append adds one file per bucket.
+    """
+
+    name: str
+    key: str
+    buckets: int
+
+    def read(self, spark: SparkSession, schema: StructType) -> DataFrame:
+        if spark.catalog.tableExists(self.name):
+            return spark.table(self.name)
+        return spark.createDataFrame([], schema)
+
+    def append(self, df: DataFrame) -> None:
+        rows = df.repartition(self.buckets, self.key)
+        writer = rows.write.mode("append").format("parquet")
+        writer.bucketBy(self.buckets, self.key).saveAsTable(self.name)
+
+
 def replace(df: DataFrame, path: str) -> None:
     """Truncate and reload: a rerun of the same input leaves the same table."""
     df.write.mode("overwrite").parquet(path)
