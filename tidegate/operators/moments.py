@@ -30,6 +30,8 @@ def amount_profile(df: DataFrame, key: str, amount: str) -> DataFrame:
         .withColumn("block", F.shiftright("cents", BLOCK_BITS))
         # the join below implies this filter; stated here, both readers share one exchange
         .where(F.col("block").isNotNull())
+        # blocks are summed, and the middle ones read, where this puts them
+        .repartition(key, "block")
     )
     cents, n = F.col("cents").cast("decimal(12,0)"), F.col("n").cast("decimal(13,0)")
     blocks = values.groupBy(key, "block").agg(

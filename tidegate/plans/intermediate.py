@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from contextvars import copy_context
 from dataclasses import dataclass, replace
@@ -22,17 +23,20 @@ def completed() -> Column:
     return F.col("status") == "COMPLETED"
 
 
-def activity_cells(stg: DataFrame) -> DataFrame:
-    """Completed transactions counted per (user, day, category).
+def _money(total: str) -> Column:
+    return F.sum(total).cast("decimal(20,2)")
+
+
+def _cells(stg: DataFrame, by: str) -> DataFrame:
+    """Completed transactions counted per (user, `by`).
 
-    The metrics per user, per category and per day all follow from these cells,
-    so the transactions are shuffled for them once. `cell_rows` counts every
-    status, to know hot keys of the whole table.
+    What is counted distinct later is one line here, so that all metrics are sums
+    over cells. `cell_rows` counts every status, to know the hot keys of all rows.
     """
     done = completed()
     amount = F.when(done, F.col("amount"))
     moment = F.when(done, F.col("transaction_date"))
-    return stg.groupBy("user_id", "transaction_day", "product_category").agg(
+    return stg.groupBy("user_id", by).agg(
         F.count(F.lit(1)).alias("cell_rows"),
         F.count_if(done).alias("n"),
         F.count(amount).alias("n_amount"),
@@ -42,44 +46,56 @@ def activity_cells(stg: DataFrame) -> DataFrame:
     )
 
 
-def _money(total: str) -> Column:
-    return F.sum(total).cast("decimal(20,2)")
+def day_cells(stg: DataFrame) -> DataFrame:
+    return _cells(stg, "transaction_day")
+
 
+def category_cells(stg: DataFrame) -> DataFrame:
+    return _cells(stg, "product_category").drop("first_at", "last_at")
 
-def user_base(cells: DataFrame, stg: DataFrame) -> DataFrame:
+
+def _active(column: str) -> Column:
+    """Number of cells of a group with completed rows, those without a value of `column` apart."""
+    return F.count_if((F.col("n") > 0) & F.col(column).isNotNull())
+
+
+def user_base(days: DataFrame, categories: DataFrame, stg: DataFrame) -> DataFrame:
     """Metrics per user without the quartiles; all zero for users without completed rows.
 
-    Both halves are grouped by the user wrapped in a struct, which also matches a
-    NULL user, so they are joined where they lie.
+    All three parts are grouped by the user wrapped in a struct, which also
+    matches a NULL user, so they are joined where they lie.
     """
-    done = F.col("n") > 0
     user = F.struct("user_id").alias("user")
-    counts = cells.groupBy(user).agg(
+    counts = days.groupBy(user).agg(
         F.sum("cell_rows").alias("key_rows"),
         F.sum("n").alias("total_transactions"),
-        F.count_distinct(F.when(done, F.col("transaction_day"))).alias("active_days"),
-        F.count_distinct(F.when(done, F.col("product_category"))).alias("unique_categories"),
+        _active("transaction_day").alias("active_days"),
         _money("total").alias("total_amount"),
         F.sum("n_amount").alias("n_amount"),
         F.min("first_at").alias("first_transaction_date"),
         F.max("last_at").alias("last_transaction_date"),
     )
+    kinds = categories.groupBy(user).agg(_active("product_category").alias("unique_categories"))
     profile = amount_profile(stg.where(completed()).select(user, "amount"), "user", "amount")
-    return counts.join(profile, "user", "left").select(
-        "user.user_id", "key_rows", "total_transactions", "active_days", "unique_categories",
-        "total_amount", "n_amount",
-        S.average(F.col("total_amount"), F.col("n_amount")).alias("avg_transaction_amount"),
-        F.col("min_amount").alias("min_transaction_amount"),
-        F.col("max_amount").alias("max_transaction_amount"),
-        F.col("median_amount").alias("median_transaction_amount"),
-        F.col("stddev_amount").alias("stddev_transaction_amount"),
-        "first_transaction_date", "last_transaction_date",
+    return (
+        counts.join(kinds, "user", "left")
+        .join(profile, "user", "left")
+        .select(
+            "user.user_id", "key_rows", "total_transactions", "active_days", "unique_categories",
+            "total_amount", "n_amount",
+            S.average(F.col("total_amount"), F.col("n_amount")).alias("avg_transaction_amount"),
+            F.col("min_amount").alias("min_transaction_amount"),
+            F.col("max_amount").alias("max_transaction_amount"),
+            F.col("median_amount").alias("median_transaction_amount"),
+            F.col("stddev_amount").alias("stddev_transaction_amount"),
+            "first_transaction_date", "last_transaction_date",
+        )
     )
 
 
 def user_metrics(stg: DataFrame) -> DataFrame:
-    base = user_base(activity_cells(stg), stg).where("total_transactions > 0")
-    return base.drop("key_rows", "n_amount")
+    base = user_base(day_cells(stg), category_cells(stg), stg)
+    return base.where("total_transactions > 0").drop("key_rows", "n_amount")
 
 
 def with_user_quartiles(
@@ -103,27 +119,20 @@ def with_user_quartiles(
     return out
 
 
-def category_base(cells: DataFrame) -> DataFrame:
-    return (
-        cells.groupBy("product_category")
-        .agg(
-            F.sum("cell_rows").alias("key_rows"),
-            F.sum("n").alias("category_total_transactions"),
-            _money("total").alias("category_total_amount"),
-            F.sum("n_amount").alias("category_n_amount"),
-            F.count_distinct(F.when(F.col("n") > 0, F.col("user_id"))).alias(
-                "category_unique_users"
-            ),
-        )
-        .withColumn(
-            "category_avg_amount",
-            S.average(F.col("category_total_amount"), F.col("category_n_amount")),
-        )
+def category_base(categories: DataFrame) -> DataFrame:
+    base = categories.groupBy("product_category").agg(
+        F.sum("cell_rows").alias("key_rows"),
+        F.sum("n").alias("category_total_transactions"),
+        _money("total").alias("category_total_amount"),
+        F.sum("n_amount").alias("category_n_amount"),
+        _active("user_id").alias("category_unique_users"),
     )
+    mean = S.average(F.col("category_total_amount"), F.col("category_n_amount"))
+    return base.withColumn("category_avg_amount", mean)
 
 
 def category_metrics(stg: DataFrame) -> DataFrame:
-    base = category_base(activity_cells(stg)).where("category_total_transactions > 0")
+    base = category_base(category_cells(stg)).where("category_total_transactions > 0")
     return base.drop("key_rows", "category_n_amount")
 
 
@@ -138,7 +147,7 @@ def daily_base(cells: DataFrame) -> DataFrame:
         F.sum("n").alias("daily_transaction_count"),
         _money("total").alias("daily_total_amount"),
         F.sum("n_amount").alias("daily_n_amount"),
-        F.count_distinct(F.when(F.col("n") > 0, F.col("user_id"))).alias("daily_unique_users"),
+        _active("user_id").alias("daily_unique_users"),
     )
     week = (
         Window.partitionBy(F.col("daily_transaction_count") > 0)
@@ -157,10 +166,17 @@ def daily_base(cells: DataFrame) -> DataFrame:
 
 
 def daily_metrics(stg: DataFrame) -> DataFrame:
-    base = daily_base(activity_cells(stg)).where("daily_transaction_count > 0")
+    base = daily_base(day_cells(stg)).where("daily_transaction_count > 0")
     return base.drop("key_rows", "daily_n_amount")
 
 
+def _together(*jobs: Callable) -> list:
+    """Results of independent Spark jobs, submitted at the same time."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = [pool.submit(copy_context().run, job) for job in jobs]
+        return [job.result() for job in running]
+
+
 @dataclass(frozen=True)
 class TransactionMetrics:
     """Staged metrics, and which keys are hot in the transactions."""
@@ -178,20 +194,22 @@ def transaction_metrics(
     The staged tables also list keys without completed rows, since those may be
     the hot ones of the join; only then they are left out.
     """
-    cells = stage(activity_cells(stg), "activity-cells")
 
     def staged(df: DataFrame, key: str, n: str) -> Lookup:
         found = measure(stage(df, f"{key}-metrics"), key, "key_rows", min_hot)
         return replace(found, table=found.table.where(F.col(n) > 0).drop("key_rows"))
 
-    jobs = [
-        lambda: staged(user_base(cells, stg), "user_id", "total_transactions"),
-        lambda: staged(category_base(cells), "product_category", "category_total_transactions"),
-        lambda: staged(daily_base(cells), "transaction_day", "daily_transaction_count"),
-    ]
-    with ThreadPoolExecutor(len(jobs)) as pool:
-        running = [pool.submit(copy_context().run, job) for job in jobs]
-        users, categories, days = [job.result() for job in running]
+    by_day, by_category = _together(
+        lambda: stage(day_cells(stg), "day-cells"),
+        lambda: stage(category_cells(stg), "category-cells"),
+    )
+    users, categories, days = _together(
+        lambda: staged(user_base(by_day, by_category, stg), "user_id", "total_transactions"),
+        lambda: staged(
+            category_base(by_category), "product_category", "category_total_transactions"
+        ),
+        lambda: staged(daily_base(by_day), "transaction_day", "daily_transaction_count"),
+    )
     table = with_user_quartiles(users.table, users.n_rows, one_task_rows=one_task_rows)
     return TransactionMetrics(replace(users, table=table), categories, days)
 
