@@ -222,6 +222,9 @@ SELECT *, CASE
     WHEN status NOT IN ('COMPLETED', 'PENDING', 'FAILED') THEN 'status not allowed' END
   AS reject_reason
 FROM wire""",
+    "placed_wire": """
+SELECT w.*, p.page, p.opens_with NOT IN ('ERROR', 'SIGNUP') AS readable
+FROM checked_wire w JOIN numbered_pages p ON w.event_id // 100 + 1 = p.page""",
     "batch_best": f"""
 SELECT *, {_sha("transaction_id")} AS transaction_key FROM (
   SELECT *, row_number() OVER (PARTITION BY transaction_id
@@ -430,19 +433,20 @@ TEXTS: dict[str, str] = {
 SELECT transaction_id, CAST(user_id AS INT) AS user_id, product_category,
   CAST(amount AS DECIMAL(10,2)) AS amount, currency,
   CAST(transaction_date AS TIMESTAMP) AS transaction_date, status
-FROM checked_wire WHERE reject_reason IS NULL""",
+FROM checked_wire WHERE reject_reason IS NULL
+QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY event_id) = 1""",
     "page_gap_report": """
 SELECT page FROM numbered_pages WHERE opens_with IN ('ERROR', 'SIGNUP')""",
     "reject_split": """
 SELECT transaction_id, user_id, product_category, amount, currency, transaction_date, status,
   reject_reason FROM checked_wire WHERE reject_reason IS NOT NULL""",
     "extraction_metrics": """
-SELECT count(*) FILTER (WHERE readable AND reject_reason IS NULL) AS records_inserted,
-  count(*) FILTER (WHERE readable AND reject_reason IS NOT NULL)
+SELECT inserted AS records_inserted, records - inserted
     + (SELECT count(*) FROM numbered_pages WHERE opens_with IN ('ERROR', 'SIGNUP')) AS errors,
-  max(page) AS pages_processed
-FROM (SELECT w.reject_reason, p.page, p.opens_with NOT IN ('ERROR', 'SIGNUP') AS readable
-      FROM checked_wire w JOIN numbered_pages p ON w.event_id // 100 + 1 = p.page)""",
+  pages_processed
+FROM (SELECT count(DISTINCT transaction_id) FILTER (WHERE readable AND reject_reason IS NULL)
+    AS inserted, count(*) FILTER (WHERE readable) AS records, max(page) AS pages_processed
+  FROM placed_wire)""",
     "publish_tx_clean": """
 SELECT * FROM dirty WHERE status = 'COMPLETED' AND amount > 0 AND user_id IS NOT NULL""",
     "publish_users_clean": """

@@ -90,7 +90,7 @@ def _landed_pages(spark, d, lose_pages: bool = False) -> DataFrame:
     lines = (
         wire.groupBy(page.alias("page"))
         .agg(
-            F.collect_list(F.struct(*_WIRE_FIELDS)).alias("data"),
+            F.sort_array(F.collect_list(F.struct("event_id", *_WIRE_FIELDS))).alias("data"),
             F.min_by("product_category", "event_id").alias("opens_with"),
         )
         .select(
@@ -117,8 +117,12 @@ def _checked_records(spark, d, lose_pages: bool = False):
     return landed, pages.checked(pages.records(landed), schemas.TRANSACTION_FIELDS)
 
 
+def _accepted(rows: DataFrame) -> DataFrame:
+    return pages.accepted(rows, schemas.TRANSACTION_FIELDS, "transaction_id")
+
+
 def land_pages(spark, d):
-    return pages.accepted(_checked_records(spark, d)[1], schemas.TRANSACTION_FIELDS)
+    return _accepted(_checked_records(spark, d)[1])
 
 
 def page_gap_report(spark, d):
@@ -131,7 +135,8 @@ def reject_split(spark, d):
 
 
 def extraction_metrics(spark, d):
-    numbers = pages.extraction_metrics(*_checked_records(spark, d, lose_pages=True))
+    landed, rows = _checked_records(spark, d, lose_pages=True)
+    numbers = pages.extraction_metrics(landed, rows, _accepted(rows).count())
     return spark.createDataFrame(
         [tuple(numbers.values())], ", ".join(f"{k} bigint" for k in numbers)
     )

@@ -65,12 +65,12 @@ def test_gaps_rejects_and_metrics(spark, tmp_path):
         "amount unreadable", "currency too long", "status not allowed", "transaction_id missing",
         "user_id unreadable",
     ]
-    good = pages.accepted(rows, schemas.TRANSACTION_FIELDS)
+    good = pages.accepted(rows, schemas.TRANSACTION_FIELDS, "transaction_id")
     assert sorted(r["transaction_id"] for r in good.collect()) == [uuid(5), uuid(8), uuid(9)]
     assert [f.dataType for f in good.schema.fields] == [
         f.dataType for f in schemas.RAW_TRANSACTIONS.fields[:7]
     ]
-    assert pages.extraction_metrics(landed, rows) == {
+    assert pages.extraction_metrics(landed, rows, good.count()) == {
         "records_inserted": 3, "errors": 5 + 3, "pages_processed": 7,
     }
 
@@ -79,7 +79,15 @@ def test_email_is_optional(spark, tmp_path):
     record = user(1)
     del record["email"]
     _, rows = checked(spark, write_pages(tmp_path / "u", [record]), schemas.USER_FIELDS)
-    assert pages.accepted(rows, schemas.USER_FIELDS).first()["email"] is None
+    assert pages.accepted(rows, schemas.USER_FIELDS, "user_id").first()["email"] is None
+
+
+def test_of_repeated_keys_the_first_record_is_taken(spark, tmp_path):
+    items = [tx(2, amount="bad"), tx(1, amount=5), tx(1, amount=1), tx(2, amount=7), tx(1, amount=9)]
+    landed, rows = checked(spark, write_pages(tmp_path / "p", items, size=2))
+    good = pages.accepted(rows, schemas.TRANSACTION_FIELDS, "transaction_id")
+    assert {r["transaction_id"]: float(r["amount"]) for r in good.collect()} == {uuid(1): 5, uuid(2): 7}
+    assert pages.extraction_metrics(landed, rows, 2)["errors"] == 3
 
 
 @pytest.fixture
@@ -131,12 +139,12 @@ def test_masks_reach_prod_and_raw_values_do_not(spark, cfg):
 def test_a_failed_audit_stops_its_table_and_the_models(spark, tmp_path):
     cfg = Config(
         root=str(tmp_path / "lake"),
-        transaction_pages=write_pages(tmp_path / "tx", [tx(1), tx(1), tx(2)]),
+        transaction_pages=write_pages(tmp_path / "tx", [tx(1, currency="XXX"), tx(2, currency="XXX"), tx(3)]),
         user_pages=write_pages(tmp_path / "users", [user(i) for i in range(1, 6)]),
     )
     result = run_pipeline(spark, cfg, AS_OF, "run-1")
     assert result["status"] == "blocked"
-    assert "transaction_id is unique: 2 registros" in result["blocked"]["raw_transactions"]
+    assert "currency is known: 2 registros" in result["blocked"]["raw_transactions"]
     assert "publish_transactions" not in result["metrics"]
     assert result["metrics"]["publish_users"]["records_published"] == 5
     assert not tables.exists(spark, tables.folder(cfg.root, "analytics", "dim_users"))

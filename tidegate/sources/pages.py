@@ -28,8 +28,10 @@ def read_pages(spark: SparkSession, path: str, fields: list[RecordField]) -> Dat
 
 
 def records(pages: DataFrame) -> DataFrame:
-    """The records of all readable pages."""
-    return pages.where(F.col(CORRUPT).isNull()).select("page", F.inline("data"))
+    """The records of all readable pages with their place."""
+    readable = pages.where(F.col(CORRUPT).isNull())
+    placed = readable.select("page", F.posexplode("data").alias("position", "record"))
+    return placed.select("page", "position", "record.*")
 
 
 def _typed(f: RecordField) -> Column:
@@ -59,10 +61,18 @@ def checked(rows: DataFrame, fields: list[RecordField]) -> DataFrame:
     return rows.withColumn("reject_reason", F.coalesce(*[_problem(f) for f in fields]))
 
 
-def accepted(rows: DataFrame, fields: list[RecordField]) -> DataFrame:
-    """The typed records without a problem."""
+def accepted(rows: DataFrame, fields: list[RecordField], key: str) -> DataFrame:
+    """The typed records without a problem; of those with the same key the first to arrive.
+
+    A grouped minimum, so that repeats combine before the shuffle.
+    """
     good = rows.where(F.col("reject_reason").isNull())
-    return good.select(*[_typed(f).alias(f.name) for f in fields])
+    others = [f.name for f in fields if f.name != key]
+    typed = good.select("page", "position", *[_typed(f).alias(f.name) for f in fields])
+    first = typed.groupBy(key).agg(F.min(F.struct("page", "position", *others)).alias("first"))
+    return first.select(
+        *[F.col(key) if f.name == key else F.col(f"first.{f.name}") for f in fields]
+    )
 
 
 def rejected(rows: DataFrame) -> DataFrame:
@@ -93,14 +103,10 @@ def missing_pages(pages: DataFrame) -> DataFrame:
     return expected.join(seen, "page", "left_anti")
 
 
-def extraction_metrics(pages: DataFrame, rows: DataFrame) -> dict[str, int]:
-    """Records taken, errors (rejected records and lost pages) and pages processed."""
-    good, bad = rows.agg(
-        F.count_if(F.col("reject_reason").isNull()), F.count_if(F.col("reject_reason").isNotNull())
-    ).first()
-    lost = missing_pages(pages).count()
+def extraction_metrics(pages: DataFrame, rows: DataFrame, inserted: int) -> dict[str, int]:
+    """Records taken, errors (records not taken, and lost pages) and pages processed."""
     return {
-        "records_inserted": good,
-        "errors": bad + lost,
+        "records_inserted": inserted,
+        "errors": rows.count() - inserted + missing_pages(pages).count(),
         "pages_processed": last_page(pages),
     }
