@@ -90,22 +90,33 @@ def test_of_repeated_keys_the_first_record_is_taken(spark, tmp_path):
     assert pages.extraction_metrics(landed, rows, 2)["errors"] == 3
 
 
-@pytest.fixture
-def cfg(tmp_path):
-    return Config(
-        root=str(tmp_path / "lake"),
-        transaction_pages=write_pages(tmp_path / "tx", [tx(i) for i in range(250)]),
-        user_pages=write_pages(tmp_path / "users", [user(i) for i in range(1, 6)]),
-        salt="s",
-    )
-
-
 def read(spark, cfg, zone, table):
     return spark.read.parquet(tables.folder(cfg.root, zone, table))
 
 
-def test_two_daily_runs(spark, cfg):
-    first = run_pipeline(spark, cfg, AS_OF, "run-1")
+def staged_folders(spark):
+    folder = f"{shared_folder(spark)}/staged/{spark.sparkContext.applicationId}"
+    return set(os.listdir(folder.removeprefix("file:")))
+
+
+@pytest.fixture(scope="module")
+def daily(spark, tmp_path_factory):
+    """Two runs over the same pages; `kept` was staged before them."""
+    tmp = tmp_path_factory.mktemp("daily")
+    cfg = Config(
+        root=str(tmp / "lake"),
+        transaction_pages=write_pages(tmp / "tx", [tx(i) for i in range(250)]),
+        user_pages=write_pages(tmp / "users", [user(i) for i in range(1, 6)]),
+        salt="s",
+    )
+    kept = stage(spark.range(3).toDF("n"), "kept")
+    before = staged_folders(spark)
+    runs = [run_pipeline(spark, cfg, AS_OF, f"run-{n}") for n in (1, 2)]
+    return cfg, runs, kept, before
+
+
+def test_first_run_publishes_and_builds_models(spark, daily):
+    cfg, (first, _), _, _ = daily
     assert first["status"] == "completed" and first["blocked"] == {}
     assert first["model_tests"] == []
     m = first["metrics"]
@@ -114,28 +125,35 @@ def test_two_daily_runs(spark, cfg):
     # the shipped warning suite holds one misspelt type
     assert m["audit_transactions"]["warnings"] == ["expect_column_values_to_be_match_regex (error)"]
     assert m["audit_users"]["success_rate"] == 100.0
-    assert read(spark, cfg, "analytics", "fct_transactions").count() == 250
-    people = {r["user_id"]: r for r in read(spark, cfg, "analytics", "dim_users").collect()}
-    assert len(people) == 5 and people[1]["customer_segment"] == "VIP_Customer"
 
-    second = run_pipeline(spark, cfg, AS_OF, "run-2")
+
+def test_second_run_adds_nothing_to_the_tables_and_a_line_to_the_logs(spark, daily):
+    cfg, (_, second), _, _ = daily
     assert second["metrics"]["publish_transactions"]["records_published"] == 0
     assert second["metrics"]["publish_transactions"]["duplicate_records"] == 250
     assert read(spark, cfg, "analytics", "fct_transactions").count() == 250
+    people = {r["user_id"]: r for r in read(spark, cfg, "analytics", "dim_users").collect()}
+    assert len(people) == 5 and people[1]["customer_segment"] == "VIP_Customer"
     assert read(spark, cfg, "audit", "gx_validation_logs").count() == 4
     assert read(spark, cfg, "audit", "data_freshness_monitor").count() == 4
     assert read(spark, cfg, "audit", "data_lineage").count() == 2 * 24
     assert read(spark, cfg, "audit", "pipeline_metrics").count() > 20
 
 
-def test_masks_reach_prod_and_raw_values_do_not(spark, cfg):
-    run_pipeline(spark, cfg, AS_OF, "run-1")
+def test_masks_reach_prod_and_raw_values_do_not(spark, daily):
+    cfg, _, _, _ = daily
     prod = read(spark, cfg, "prod", "raw_users").collect()
     assert all(r["email"].startswith("***") and r["ip_address"].startswith("***") for r in prod)
     ids = {r["transaction_id"] for r in read(spark, cfg, "prod", "raw_transactions").collect()}
     assert all(i.startswith("*" * 32) for i in ids)
 
 
+def test_a_run_removes_its_staged_tables_and_no_others(spark, daily):
+    _, _, kept, before = daily
+    assert before <= staged_folders(spark) and kept.count() == 3
+    assert all(name == "kept" for name in staged_folders(spark))
+
+
 def test_a_failed_audit_stops_its_table_and_the_models(spark, tmp_path):
     cfg = Config(
         root=str(tmp_path / "lake"),
@@ -162,15 +180,6 @@ def test_an_empty_extract_is_blocked(spark, tmp_path):
     assert "Sin datos" in result["blocked"]["raw_users"]
 
 
-def test_a_run_removes_its_staged_tables_and_no_others(spark, cfg):
-    kept = stage(spark.range(3).toDF("n"), "kept")
-    folder = f"{shared_folder(spark)}/staged/{spark.sparkContext.applicationId}"
-    before = set(os.listdir(folder.removeprefix("file:")))
-    run_pipeline(spark, cfg, AS_OF, "run-1")
-    assert set(os.listdir(folder.removeprefix("file:"))) == before
-    assert kept.count() == 3
-
-
 def test_shared_folder_is_the_configured_one(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
