@@ -18,8 +18,12 @@ def test_every_query_has_a_counterpart():
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_same_rows(spark, con, name):
-    assert differences(QUERIES[name](spark, SF_SMALL), con, ORACLE[name]) == []
+def test_same_rows(spark, con, plan_of, name):
+    df = QUERIES[name](spark, SF_SMALL)
+    plan = plan_of(df)
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+    assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+    assert differences(df, con, ORACLE[name]) == []
 
 
 def test_entry(spark):

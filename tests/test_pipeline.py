@@ -170,14 +170,20 @@ def test_a_failed_audit_stops_its_table_and_the_models(spark, tmp_path):
     assert read(spark, cfg, "audit", "data_lineage").count() == 24
 
 
-def test_an_empty_extract_is_blocked(spark, tmp_path):
+def test_an_empty_extract_is_blocked_and_tables_may_be_bucketed(spark, tmp_path):
     cfg = Config(
         root=str(tmp_path / "lake"),
         transaction_pages=write_pages(tmp_path / "tx", [tx(1)]),
         user_pages=write_pages(tmp_path / "users", [user(1, ip_address=None)]),
+        database="default",
+        buckets=2,
     )
-    result = run_pipeline(spark, cfg, AS_OF, "run-1")
-    assert "Sin datos" in result["blocked"]["raw_users"]
+    try:
+        result = run_pipeline(spark, cfg, AS_OF, "run-1")
+        assert "Sin datos" in result["blocked"]["raw_users"]
+        assert spark.table("default.prod_raw_transactions").count() == 1
+    finally:
+        spark.sql("DROP TABLE IF EXISTS default.prod_raw_transactions")
 
 
 def test_shared_folder_is_the_configured_one(spark):

@@ -76,6 +76,15 @@ def test_the_latest_copy_wins(spark, tmp_path):
     assert (r["amount"], r["data_quality_score"], r["processed_at"]) == (D("9.00"), D("1.00"), AS_OF)
 
 
+def test_cleaning_reaches_the_scan(spark, tmp_path, plan_of):
+    path = str(tmp_path / "raw")
+    spark.createDataFrame([tx("a1")], SCHEMA).write.parquet(path)
+    plan = plan_of(P.clean_transactions(spark.read.parquet(path)).select("transaction_id"))
+    pushed = next(line for line in plan.splitlines() if "PushedFilters" in line)
+    assert "EqualTo(status,COMPLETED)" in pushed and "GreaterThan(amount,0.00)" in pushed
+    assert "IsNotNull(user_id)" in pushed and "currency" not in plan
+
+
 def test_empty_batch(spark, tmp_path):
     got = run(spark, [], tmp_path / "p")
     assert got["records_published"] == 0 and got["approval_rate"] == 0.0
