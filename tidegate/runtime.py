@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
@@ -49,6 +50,26 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let executors import this package wherever they run; once per context.
+
+    Functions that run in Python workers are pickled by name. The archive goes
+    through Spark's own file distribution, so it may lie in the driver's folder.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_tidegate_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="tidegate-"), "tidegate.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(package):
+            for name in (n for n in sorted(names) if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    sc.addPyFile(archive)
+    sc._tidegate_shipped = True
+
+
 _run: ContextVar[str] = ContextVar("staged_run", default="kept")
 
 
