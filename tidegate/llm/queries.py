@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import ship_package
-from . import linededup, packing, quality, simhash
+from . import ann, binpack, bpe, embdedup, hostrank, linededup, packing, quality, simhash, warc
+from .shared import staged
 
 
 def _vocabulary(name: str) -> str:
@@ -32,11 +33,32 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.round_trip(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return packing.pack(docs, _vocabulary("byte_bpe_50k.json"), _pattern())
 
 
+def op4_binpack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    packed = staged(
+        binpack.matrices(docs, _vocabulary("byte_bpe_50k.json"), _pattern()), "id-matrices"
+    )
+    return packed.select(
+        "sequence",
+        "n_tokens",
+        "doc_ids",
+        "starts",
+        "cu_seqlens",
+        "position_resets",
+        F.sha2("ids", 256).alias("ids_sha256"),
+    )
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = linededup.dedup_lines(_table(spark, sf_dir, "documents"))
     return clean.select(
@@ -48,13 +70,72 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_host_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hostrank.judge(_table(spark, sf_dir, "pages"))
+
+
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embdedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return bpe.encoded(docs, _vocabulary("byte_bpe_50k.tiktoken"), _pattern())
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     return quality.classify(docs, labels).select("doc_id", "held_out", "score", "predicted")
 
 
+def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(_table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op3_packing, op5_line_dedup, op9_quality)
+    f.__name__: f
+    for f in (
+        op1_simhash,
+        op2_warc,
+        op3_packing,
+        op4_binpack,
+        op5_line_dedup,
+        op6_host_rank,
+        op7_embedding_dedup,
+        op8_bpe,
+        op9_quality,
+        op10_ann,
+    )
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+        d AS (SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, sha256(body) AS payload_digest FROM p),
+        f AS (SELECT payload_digest, min(page_id) AS first FROM d WHERE payload_bytes >= 100 GROUP BY 1)
+        SELECT d.page_id, payload_bytes, payload_digest,
+            CASE WHEN first <> d.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN first <> d.page_id THEN first END AS refers_to
+        FROM d LEFT JOIN f USING (payload_digest)
+    """,
+    "op7_embedding_dedup": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+        ), s AS (
+            SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0
+                AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                AND len(list_filter(e, lambda x: x <> 0)) > 0
+        ), links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM s a JOIN s b
+                ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+        ), reach AS (
+            SELECT vec_id AS a, vec_id AS b FROM v
+            UNION
+            SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+        ), c AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY 1),
+        n AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY 1)
+        SELECT v.vec_id, coalesce(n, 0) AS n_links, component_id, v.vec_id = component_id AS kept
+        FROM v JOIN c ON v.vec_id = c.vec_id LEFT JOIN n ON v.vec_id = n.vec_id
+    """,
+}
