@@ -117,7 +117,8 @@ def repeated_lines(
     spread = lines.groupBy("h", "w").agg(
         F.min("key").alias("first"), F.max("key").alias("last"), F.count(F.lit(1)).alias("n")
     )
-    shared = spread.where("first != last").select("h", "w", "first", "n")
+    # Staged, so that the join deals lines only for itself and a hot line can be split.
+    shared = staged(spread.where("first != last").select("h", "w", "first", "n"), "repeated-lines")
     held = staged(lines.join(shared, ["h", "w"]), "shared-lines")
     # Rare lines pair every two of their few holders; any others pair each holder with the first.
     few = held.where(F.col("n") <= rare)

@@ -28,6 +28,15 @@ from .tokens import encoder
 CLASSES = 256
 
 
+def units(max_len: int) -> tuple[int, int]:
+    """Ids per class step, and how many steps a sequence holds.
+
+    A piece that needs more steps than there are fills a sequence on its own.
+    """
+    unit = -(-max_len // CLASSES)
+    return unit, max_len // unit
+
+
 def pieces(
     docs: DataFrame,
     tokenizer: str,
@@ -44,7 +53,7 @@ def pieces(
     `ids` (binary) on request. Every document ends with `end_id`; null and empty
     texts are that id alone.
     """
-    unit = -(-max_len // CLASSES)
+    unit, room = units(max_len)
     end = np.array([end_id], "<u4").tobytes()
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "cls", "part", "place"]
     kinds = [pa.int64()] * 5 + [pa.int32(), pa.int32(), pa.int64()]
@@ -59,7 +68,7 @@ def pieces(
                 total = len(ids) // 4
                 for start in range(0, total, max_len):
                     own = ids[4 * start : 4 * (start + max_len)]
-                    cls = -(-len(own) // (4 * unit))
+                    cls = min(room, -(-len(own) // (4 * unit)))
                     rows.append((doc, start, len(own) // 4, zlib.crc32(own), total, cls, part, ranked[cls], own))
                     ranked[cls] += 1
             columns = list(zip(*rows, strict=True)) if rows else [()] * 9
@@ -229,7 +238,9 @@ class Places:
         return self.base[k] + (at - self.key[k]) // self.each[k]
 
 
-def pack(docs: DataFrame, tokenizer: str, pattern: str, **how) -> DataFrame:
+def pack(
+    docs: DataFrame, tokenizer: str, pattern: str, max_len: int = 2048, **how
+) -> DataFrame:
     """Every document's ids packed into sequences of at most `max_len`.
 
     One row per piece: `doc_id, start, length, ids_crc32, doc_tokens, sequence_id,
@@ -237,12 +248,12 @@ def pack(docs: DataFrame, tokenizer: str, pattern: str, **how) -> DataFrame:
     empty texts are one id, rows that repeat an id (or have none) are documents of
     their own, an empty table gives no sequences, and other columns are not read.
     """
-    cut = staged(pieces(docs, tokenizer, pattern, **how), "pieces")
+    cut = staged(pieces(docs, tokenizer, pattern, max_len=max_len, **how), "pieces")
     cells = staged(cut.groupBy("part", "cls").agg(F.count(F.lit(1)).alias("n")), "piece-counts")
     need = np.zeros(CLASSES + 1, np.int64)
     for c, n in cells.groupBy("cls").agg(F.sum("n")).collect():
         need[c] = n
-    places = Places.of(cutting_patterns(need))
+    places = Places.of(cutting_patterns(need, units(max_len)[1]))
 
     @F.pandas_udf("long")
     def sequence(cls: pd.Series, rank: pd.Series) -> pd.Series:
