@@ -1,0 +1,7 @@
+import pytest
+from tidegate.runtime import ship_package
+
+
+@pytest.fixture(autouse=True)
+def shipped(spark):
+    ship_package(spark)
