@@ -216,9 +216,8 @@ def search(
             rough[ids == q_id] = np.inf
             last = min(k, len(rough)) - 1
             limit = np.partition(rough, last)[last]
-            if not np.isfinite(limit):
-                limit = np.finfo(float).max
-            near = np.flatnonzero(rough <= limit + 1e-9 * (abs(limit) + (q * q).sum()))
+            reach = rough <= limit + 1e-9 * (abs(limit) + (q * q).sum())
+            near = np.flatnonzero(reach & (ids != q_id))
             score = np.sqrt(((x[near] - q) ** 2).sum(axis=1))
             best = np.lexsort((ids[near], score))[:k]
             out.append(pd.DataFrame({"query_id": q_id, "vec_id": ids[near][best], "score": score[best]}))

@@ -77,25 +77,36 @@ def common_blocks(
 ) -> list[int]:
     """Places in the later document `b` of aligned blocks with `min_words` words or more.
 
-    A block is a run of lines aligned one after the other in both documents.
+    A block is a run of lines aligned one after the other in both documents. What
+    one alignment leaves over is aligned again, so passages that come in another
+    order in the later document are found as well.
     """
     in_a, in_b = np.isin(a_line, b_line), np.isin(b_line, a_line)
     if b_words[in_b].sum() < min_words:
         return []
-    a_pos, a_line = a_pos[in_a].tolist(), a_line[in_a].tolist()
-    b_pos, b_line, words = b_pos[in_b].tolist(), b_line[in_b].tolist(), b_words[in_b].tolist()
+    pairs: list[tuple[int, int]] = []
+    a_left = list(zip(a_pos[in_a].tolist(), a_line[in_a].tolist(), strict=True))
+    b_left = list(zip(b_pos[in_b].tolist(), b_line[in_b].tolist(), strict=True))
+    while a_left and b_left:
+        found = patience([h for _, h in a_left], [h for _, h in b_left])
+        if not found:
+            break
+        pairs += [(a_left[x][0], b_left[y][0]) for x, y in found]
+        used_a, used_b = {x for x, _ in found}, {y for _, y in found}
+        a_left = [p for x, p in enumerate(a_left) if x not in used_a]
+        b_left = [p for y, p in enumerate(b_left) if y not in used_b]
+    words = dict(zip(b_pos.tolist(), b_words.tolist(), strict=True))
     gone: list[int] = []
     block: list[int] = []
-    held, last = 0, None
-    for x, y in patience(a_line, b_line):
-        if last is None or (a_pos[x], b_pos[y]) != (last[0] + 1, last[1] + 1):
-            if held >= min_words:
+    last = None
+    for x, y in [*sorted(pairs, key=lambda p: p[1]), (None, None)]:
+        if last is not None and (x, y) != (last[0] + 1, last[1] + 1):
+            if sum(words[k] for k in block) >= min_words:
                 gone += block
-            block, held = [], 0
-        block.append(b_pos[y])
-        held += words[y]
-        last = (a_pos[x], b_pos[y])
-    return gone + block if held >= min_words else gone
+            block = []
+        block.append(y)
+        last = (x, y)
+    return gone
 
 
 def repeated_lines(
