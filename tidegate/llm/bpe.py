@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words and token pairs a worker remembers before it starts anew. Bounds memory only.
-REMEMBERED = 300_000
+#: Words, matches and token pairs a worker remembers before it starts anew. Bounds memory only.
+REMEMBERED = 700_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -26,6 +27,9 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(t): int(r) for t, r in (line.split() for line in f if line.strip())}
 
 
+_NEVER = 1 << 62
+
+
 class Codec:
     """Encoder and decoder over a rank file; `pattern` cuts texts into matches."""
 
@@ -41,16 +45,16 @@ class Codec:
         self.alone: dict[bytes, bool] = {}
         self.fits: dict[tuple[int, int], bool] = {}
         self.words: dict[str, bytes] = {}
+        self.matches: dict[str, list[int]] = {}
+        self.left: dict[int, list[tuple[bytes, int]]] = {}
+        self.right: dict[int, list[tuple[bytes, int]]] = {}
 
     def merges(self, data: bytes) -> list[int]:
         """Encoding by its definition: merge the pair of lowest rank, leftmost first."""
         parts = [data[i : i + 1] for i in range(len(data))]
         while len(parts) > 1:
-            rank, k = min(
-                (self.ranks.get(a + b, 1 << 62), k)
-                for k, (a, b) in enumerate(zip(parts, parts[1:], strict=False))
-            )
-            if rank == 1 << 62:
+            rank, k = self._lowest(parts)
+            if rank == _NEVER:
                 break
             parts[k : k + 2] = [parts[k] + parts[k + 1]]
         return [self.ranks[p] for p in parts]
@@ -62,13 +66,56 @@ class Codec:
             known = self.alone[token] = self.merges(token) == [rank]
         return known
 
+    def _spine(self, rank: int, side: int) -> list[tuple[bytes, int]]:
+        """What lies at one end of a token while it is merged: (bytes, rank that replaces them).
+
+        The end of its first byte (side 0) or last one (side -1), up to the token.
+        A merge ranks above its parts, so the ranks rise and tell the order of events.
+        """
+        memo = self.right if side else self.left
+        if rank not in memo:
+            whole = self.table[rank]
+            parts = [whole[i : i + 1] for i in range(len(whole))]
+            steps: list[tuple[bytes, int]] = []
+            while len(parts) > 1:
+                best, k = self._lowest(parts)
+                touched = k == (len(parts) - 2 if side else 0)
+                if touched:
+                    steps.append((parts[side], best))
+                parts[k : k + 2] = [parts[k] + parts[k + 1]]
+            memo[rank] = [*steps, (whole, _NEVER)]
+        return memo[rank]
+
+    def _lowest(self, parts: list[bytes]) -> tuple[int, int]:
+        pairs = zip(parts, parts[1:], strict=False)
+        return min((self.ranks.get(a + b, _NEVER), k) for k, (a, b) in enumerate(pairs))
+
     def _fit(self, left: int, right: int) -> bool:
-        """Whether the bytes of two tokens encode to just these two."""
+        """Whether the bytes of two tokens encode to just these two.
+
+        They do unless, at some moment of both being merged, the two parts that
+        meet at the border may merge before either is replaced. Of equal ranks the
+        leftmost pair comes first.
+        """
         known = self.fits.get((left, right))
         if known is None:
             if len(self.fits) > REMEMBERED:
                 self.fits.clear()
-            known = self.merges(self.table[left] + self.table[right]) == [left, right]
+            a, b = self._spine(left, -1), self._spine(right, 0)
+            i = j = 0
+            known = True
+            while True:
+                (x, goes), (y, comes) = a[i], b[j]
+                across = self.ranks.get(x + y, _NEVER)
+                if across < goes and across <= comes and across != _NEVER:
+                    known = False
+                    break
+                if goes == comes == _NEVER:
+                    break
+                if goes <= comes:
+                    i += 1
+                else:
+                    j += 1
             self.fits[left, right] = known
         return known
 
@@ -78,14 +125,19 @@ class Codec:
         A token may end a prefix if it may stand alone or fits the last token of
         the prefix before it. Exactly one does, so the search stops there.
         """
-        ranks = self.ranks
+        ranks, fits, longest = self.ranks, self.fits, self.longest
         for end in range(len(last) + 1, len(data) + 1):
-            for start in range(max(0, end - self.longest), end):
-                token = data[start:end]
-                rank = ranks.get(token)
+            for start in range(max(0, end - longest), end):
+                rank = ranks.get(data[start:end])
                 if rank is None:
                     continue
-                if self._alone(token, rank) if start == 0 else self._fit(last[start - 1], rank):
+                if start:
+                    fit = fits.get((last[start - 1], rank))
+                    if fit is None:
+                        fit = self._fit(last[start - 1], rank)
+                else:
+                    fit = self._alone(data[:end], rank)
+                if fit:
                     last.append(rank)
                     break
             else:
@@ -117,10 +169,19 @@ class Codec:
         return new, self.extend(new, last[:start])
 
     def _ids(self, text: str) -> bytes:
+        """Ids of a text, match by match. Letters alone, one space before them, are one match."""
         ids: list[int] = []
-        for part in self.find(text):
-            ids += self.match(part.encode())
-        return np.array(ids, "<u4").tobytes()
+        known = self.matches
+        if len(known) > REMEMBERED:
+            known.clear()
+        for part in [text] if text[1:].isalpha() and text[0] == " " else self.find(text):
+            own = known.get(part)
+            if own is None:
+                own = self.match(part.encode())
+                if len(part) < 64:
+                    known[part] = own
+            ids += own
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers.
