@@ -31,9 +31,11 @@ def _words(text: str) -> str:
 
 
 def _deviation(total: str, n: str) -> str:
-    mean = f"(CAST({total} AS DOUBLE) / NULLIF({n}, 0))"
-    pct = f"CAST((CAST(t.amount AS DOUBLE) - {mean}) / {mean} * 100 AS DECIMAL(28,6))"
-    return f"CASE WHEN {total} > 0 THEN CAST(ROUND({pct}, 2) AS DECIMAL(28,2)) END"
+    cents = "CAST(round(t.amount * 100) AS HUGEINT)"
+    whole = f"CAST(round({total} * 100) AS HUGEINT)"
+    over = f"(({cents} * {n} - {whole}) * 10000)"
+    nearest = f"(CASE WHEN {over} < 0 THEN -1 ELSE 1 END * ((2 * abs({over}) + {whole}) // (2 * {whole})))"
+    return f"CASE WHEN {total} > 0 THEN CAST(CAST({nearest} AS DECIMAL(30,0)) * 0.01 AS DECIMAL(28,2)) END"
 
 
 def _tail(column: str, visible: int) -> str:

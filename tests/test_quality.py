@@ -166,3 +166,34 @@ def test_model_tests(spark):
 
 def test_declared_tests_are_complete():
     assert len(T.DECLARED) == 33
+
+
+def test_unusable_expectations_are_errors_and_an_empty_suite_has_no_lines(spark):
+    from tidegate.operators import quality as Q
+
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "s string, n int")
+    bad = [
+        Q.Expectation(Q.IN_SET, {"column": "s"}),
+        Q.Expectation(Q.REGEX, {"column": "s", "regex": "("}),
+        Q.Expectation(Q.REGEX, {"column": "s"}),
+        Q.Expectation(Q.BETWEEN, {"column": "s", "min_value": 1}),
+        Q.Expectation(Q.BETWEEN, {"column": "n", "min_value": "x"}),
+        Q.Expectation(Q.LENGTH, {"column": "n", "min_value": 1}),
+        Q.Expectation(Q.NOT_NULL, {"column": "absent"}),
+    ]
+    good = Q.Expectation(Q.BETWEEN, {"column": "n", "min_value": 1, "max_value": 2})
+    got = Q.run_suite(df, Q.Suite("s", [*bad, good])).orderBy("expectation_no").collect()
+    assert [r.status for r in got] == [Q.ERROR] * len(bad) + [Q.PASSED]
+    none = Q.run_suite(df, Q.Suite("none", []))
+    assert none.columns == Q.RESULT_COLUMNS and none.count() == 0
+
+
+def test_percent_is_rounded_once(spark):
+    from pyspark.sql import functions as F
+    from tidegate.functions.scalars import percent_above
+
+    rows = [("10100499.96", "10000000.00", 1), ("9899500.04", "10000000.00", 1), ("5.00", "0.00", 3), ("1.00", "9.00", 3)]
+    df = spark.createDataFrame(rows, "a string, t string, n int").select(
+        percent_above(F.col("a").cast("decimal(10,2)"), F.col("t").cast("decimal(20,2)"), F.col("n")).alias("p")
+    )
+    assert [None if r.p is None else str(r.p) for r in df.collect()] == ["1.00", "-1.00", None, "-66.67"]

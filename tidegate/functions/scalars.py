@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -45,10 +46,18 @@ def average(total: Column, n: Column) -> Column:
 
 
 def percent_above(value: Column, base_total: Column, base_n: Column) -> Column:
-    """How far `value` lies above the mean total/n, in percent; NULL unless the mean is positive."""
-    mean = base_total.cast("double") / F.nullif(base_n, F.lit(0))
-    pct = ((value.cast("double") - mean) / mean * F.lit(100)).cast(AVERAGE_TYPE)
-    return F.when(base_total > 0, F.round(pct, 2).cast("decimal(28,2)"))
+    """How far `value` lies above the mean total/n, in percent; NULL unless the mean is positive.
+
+    Computed in whole cents and rounded once, half away from zero, so a mean that no
+    binary fraction holds cannot tip the last digit.
+    """
+    cents = F.round(value.cast("decimal(26,2)") * F.lit(100)).cast("decimal(18,0)")
+    total = F.round(base_total.cast("decimal(26,2)") * F.lit(100)).cast("decimal(28,0)")
+    above = (cents * base_n.cast("decimal(15,0)") - total).cast("decimal(33,0)")
+    doubled = (F.abs(above) * F.lit(20_000)).cast("decimal(38,0)") + total
+    steps = F.call_function("div", doubled.cast("decimal(38,0)"), (total * F.lit(2)).cast("decimal(38,0)"))
+    pct = (F.signum(above).cast("int") * steps).cast("decimal(20,0)") * F.lit(Decimal("0.01"))
+    return F.when(base_total > 0, pct.cast("decimal(28,2)"))
 
 
 def moment(as_of: datetime) -> Column:

@@ -10,10 +10,13 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from decimal import Decimal
 from functools import reduce
 
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PASSED, FAILED, ERROR = "passed", "failed", "error"
 NO_DATA = "Sin datos"  # fixed value: the message for an empty table
@@ -100,8 +103,34 @@ RESULT_COLUMNS = [
 ]
 
 
-def _compiles(exp: Expectation, columns: list[str]) -> bool:
-    return exp.kind in SUPPORTED and (exp.kind == ROW_COUNT or exp.column in columns)
+def _compiles(exp: Expectation, df: DataFrame) -> bool:
+    """Whether an expectation can be evaluated on `df`; one that cannot is reported as an error."""
+    if exp.kind not in SUPPORTED:
+        return False
+    bounds = [exp.kwargs.get(k) for k in ("min_value", "max_value")]
+    numeric = all(b is None or (isinstance(b, int | float | Decimal)) for b in bounds)
+    if exp.kind == ROW_COUNT:
+        return numeric
+    if exp.column not in df.columns:
+        return False
+    kind = df.schema[exp.column].dataType
+    if exp.kind == IN_SET:
+        return isinstance(exp.kwargs.get("value_set"), list | tuple | set)
+    if exp.kind == REGEX:
+        return isinstance(exp.kwargs.get("regex"), str) and _is_pattern(df, exp.kwargs["regex"])
+    if exp.kind == LENGTH:
+        return numeric and isinstance(kind, T.StringType | T.BinaryType)
+    if exp.kind == BETWEEN:
+        return numeric and isinstance(kind, T.NumericType)
+    return True
+
+
+def _is_pattern(df: DataFrame, regex: str) -> bool:
+    try:
+        df.sparkSession.sparkContext._jvm.java.util.regex.Pattern.compile(regex)
+    except IllegalArgumentException:
+        return False
+    return True
 
 
 def _line(no: int, exp: Expectation, total: Column, seen: Column, bad: Column, ok: Column) -> Column:
@@ -128,13 +157,17 @@ def _exploded(aggregate: DataFrame, lines: list[Column]) -> DataFrame:
     return aggregate.select(F.inline(F.array(*lines)))
 
 
+#: Gives the result of a suite without expectations its columns.
+_NOTHING = Expectation(ROW_COUNT, {})
+
+
 def run_suite(df: DataFrame, suite: Suite) -> DataFrame:
     """One line per expectation, in the order of the suite by `expectation_no`."""
     aggregates = {"total": F.count(F.lit(1))}
     lines, frames = [], []
     total = F.col("total")
     for no, exp in enumerate(suite.expectations, start=1):
-        if not _compiles(exp, df.columns):
+        if not _compiles(exp, df):
             none = F.lit(None)
             status = F.lit(ERROR)
             line = _line(no, exp, total, none, none, F.lit(False))
@@ -160,6 +193,9 @@ def run_suite(df: DataFrame, suite: Suite) -> DataFrame:
     if lines:
         row = df.agg(*[c.alias(name) for name, c in aggregates.items()])
         frames.insert(0, _exploded(row, lines))
+    if not frames:
+        nothing = df.select(F.array(_line(0, _NOTHING, *[F.lit(0)] * 3, F.lit(True))).alias("lines"))
+        return nothing.where("false").select(F.inline("lines"))
     return reduce(DataFrame.unionByName, frames)
 
 

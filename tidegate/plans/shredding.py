@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import moment
 from ..operators.skew import salted_left_join
-from ..runtime import stage
+from ..runtime import ship_package, stage
 from ..schemas import ENCRYPTION_KEYS
 
 KEY_BYTES = 16
@@ -23,11 +23,14 @@ LEGAL_REFERENCE = "LDPD Art. 12 / GDPR Art. 17"
 
 def _draw_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for users in batches:
-        yield users.assign(encryption_key=[secrets.token_bytes(KEY_BYTES) for _ in range(len(users))])
+        drawn = secrets.token_bytes(KEY_BYTES * len(users))
+        keys = [drawn[k : k + KEY_BYTES] for k in range(0, len(drawn), KEY_BYTES)]
+        yield users.assign(encryption_key=keys)
 
 
 def generate_keys(user_ids: DataFrame, as_of: datetime) -> DataFrame:
     """An active key per user. Staged at once, since a second evaluation draws other keys."""
+    ship_package(user_ids.sparkSession)
     ids = user_ids.select(F.col("user_id").cast("int")).where("user_id IS NOT NULL").distinct()
     drawn = ids.mapInPandas(_draw_keys, "user_id int, encryption_key binary")
     keys = drawn.select(
