@@ -4,11 +4,10 @@ from __future__ import annotations
 
 import json
 import os
-
-import numpy as np
+import struct
 
 #: Words whose ids a worker remembers, before it starts anew. Bounds memory, not results.
-REMEMBERED = 300_000
+REMEMBERED = 700_000
 
 
 def _alphabet() -> dict[str, int]:
@@ -70,7 +69,7 @@ class Encoder:
             ids = self.slow.encode(text, add_special_tokens=False).ids
         else:
             ids = self.fast.encode_ordinary(text)
-        return np.array(ids, "<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         if self.fast is None or any(s in text for s in self.special):
