@@ -119,11 +119,12 @@ SELECT event_type AS table_name, ts AS actual_arrival_time FROM {events}""",
     "logs": """
 SELECT event_type AS table_name, CAST(value AS DECIMAL(10,2)) AS success_rate,
   event_id AS log_id, ts AS validation_timestamp FROM {events}""",
-    # deletion requests: one per urgent open order of a customer
+    # deletion requests: one per order of a customer
     "requests": """
 SELECT CAST(o_orderkey AS STRING) AS request_id, CAST(o_custkey AS INT) AS user_id,
   concat('order of ', CAST(CAST(o_orderdate AS DATE) AS STRING)) AS reason
-FROM {orders} WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'""",
+FROM {orders}""",
+    # users without a key are needed, so customers in debt have none
     "key_owners": """
 SELECT CAST(c_custkey AS INT) AS user_id FROM {customer} WHERE c_acctbal >= 0""",
     "runs": """

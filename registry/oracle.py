@@ -18,8 +18,14 @@ AS_OF = "TIMESTAMP '2024-02-01 00:00:00'"
 FRESH_AS_OF = "TIMESTAMP '2024-01-31 03:00:00'"
 
 
-def _avg(total: str, n: str) -> str:
-    return f"CAST(CAST({total} AS DOUBLE) / NULLIF({n}, 0) AS DECIMAL(28,6))"
+def _avg(total: str, n: str, places: int = 6) -> str:
+    """Mean in whole numbers, rounded once, half away from zero."""
+    count = f"NULLIF({n}, 0)"
+    whole = f"(CAST(round({total} * 100) AS HUGEINT) * {10 ** (places - 2)})"
+    sign = f"CASE WHEN {whole} < 0 THEN -1 ELSE 1 END"
+    nearest = f"({sign} * ((2 * abs({whole}) + {count}) // (2 * {count})))"
+    unit = f"0.{'1'.rjust(places, '0')}"
+    return f"CAST(CAST({nearest} AS DECIMAL(30,0)) * {unit} AS DECIMAL(28,{places}))"
 
 
 def _words(text: str) -> str:
@@ -154,7 +160,7 @@ FROM raw_users""",
     "activity": f"""
 SELECT user_id, count(*) AS total_transactions, count(DISTINCT transaction_day) AS active_days,
   CAST(sum(amount) AS DECIMAL(20,2)) AS total_transaction_value,
-  {_avg("sum(amount)", "count(amount)")} AS avg_transaction_amount,
+  {_avg("sum(amount)", "count(amount)")} AS avg_transaction_amount, count(amount) AS amount_count,
   max(transaction_date) AS last_transaction_date,
   CASE WHEN count(*) >= 50 THEN 'high_activity' WHEN count(*) >= 10 THEN 'medium_activity'
        ELSE 'low_activity' END AS user_activity_segment
@@ -170,7 +176,8 @@ FROM (
     registration_month, coalesce(total_transactions, 0) AS total_transactions,
     coalesce(active_days, 0) AS active_days,
     CAST(coalesce(total_transaction_value, 0) AS DECIMAL(15,2)) AS total_lifetime_value,
-    CAST(coalesce(avg_transaction_amount, 0) AS DECIMAL(10,2)) AS avg_transaction_amount,
+    CAST(coalesce({_avg("total_transaction_value", "amount_count", 2)}, 0) AS DECIMAL(10,2))
+      AS avg_transaction_amount,
     last_transaction_date, coalesce(user_activity_segment, 'no_activity') AS user_activity_segment,
     data_quality_score, data_quality_tier, completeness_flag, processed_at, dbt_transformed_at,
     {AS_OF} AS dbt_enriched_at,
@@ -521,7 +528,7 @@ SELECT user_id, total_transactions, active_days, unique_categories, total_amount
   first_transaction_date, last_transaction_date FROM user_sums""",
     "category_metrics": "SELECT * EXCLUDE (n_amount) FROM category_sums",
     "daily_metrics": "SELECT * EXCLUDE (n_amount) FROM day_sums",
-    "user_activity": "SELECT * FROM activity",
+    "user_activity": "SELECT * EXCLUDE (amount_count) FROM activity",
     "status_counts": """
 SELECT user_id, count(*) FILTER (WHERE status = 'COMPLETED') AS completed_transactions,
   count(*) FILTER (WHERE status = 'FAILED') AS failed_transactions,

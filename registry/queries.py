@@ -50,7 +50,7 @@ def _stg_users(spark, d):
 
 
 def _int_users(spark, d):
-    activity = intermediate.user_activity(_stg(spark, d))
+    activity = intermediate.activity_base(intermediate.day_cells(_stg(spark, d)))
     return intermediate.int_users(_stg_users(spark, d), activity, AS_OF)
 
 
@@ -316,7 +316,7 @@ def user_metrics(spark, d):
 
 
 def _user_totals(spark, d):
-    totals = (
+    return (
         _stg(spark, d)
         .where(intermediate.completed())
         .groupBy("user_id")
@@ -325,17 +325,14 @@ def _user_totals(spark, d):
             F.count(F.lit(1)).alias("total_transactions"),
         )
     )
-    return stage(totals, "user-totals")
 
 
 def user_value_quartile(spark, d):
-    totals = _user_totals(spark, d)
-    return intermediate.with_user_quartiles(totals, totals.count(), frequency=False)
+    return intermediate.with_user_quartiles(_user_totals(spark, d), frequency=False)
 
 
 def user_frequency_quartile(spark, d):
-    totals = _user_totals(spark, d)
-    return intermediate.with_user_quartiles(totals, totals.count(), value=False)
+    return intermediate.with_user_quartiles(_user_totals(spark, d), value=False)
 
 
 def daily_moving_avg(spark, d):
@@ -377,7 +374,8 @@ _SECRET = ["email", "ip_address"]
 
 
 def _keys(spark, d):
-    return shredding.generate_keys(fixture(spark, d, "key_owners"), AS_OF)
+    table = tables.SnapshotTable(_fresh_folder(spark, "keys"))
+    return table, shredding.generate_keys(fixture(spark, d, "key_owners"), AS_OF, table)
 
 
 def _people(spark, d):
@@ -386,7 +384,7 @@ def _people(spark, d):
 
 def encrypt_users(spark, d):
     """Sealed and opened again; users without a key come back as rejects."""
-    keys = _keys(spark, d)
+    _, keys = _keys(spark, d)
     sealed, rejected = shredding.encrypt(_people(spark, d), keys, _SECRET)
     sealed = sealed.withColumn("sealed_differs", F.length("ip_address") > 28)
     opened = shredding.decrypt(sealed, keys, _SECRET).withColumn(
@@ -395,14 +393,13 @@ def encrypt_users(spark, d):
     return opened.unionByName(rejected.withColumn("sealed_differs", F.lit(False)))
 
 
-def _shredded(spark, d):
-    keys = _keys(spark, d)
+def _shredded(spark, d, table):
     requests = shredding.register_requests(fixture(spark, d, "requests"), AS_OF)
-    return keys, *shredding.shred(keys, requests, AS_OF)
+    return shredding.shred(table, requests, AS_OF)
 
 
 def shred_requests(spark, d):
-    _, after, _ = _shredded(spark, d)
+    after, _ = _shredded(spark, d, _keys(spark, d)[0])
     return after.select(
         "user_id", "is_active", F.col("encryption_key").isNull().alias("key_destroyed"),
         "key_version", "created_at", "revoked_at", "revoke_reason",
@@ -410,17 +407,18 @@ def shred_requests(spark, d):
 
 
 def deletion_requests(spark, d):
-    return _shredded(spark, d)[2]
+    return _shredded(spark, d, _keys(spark, d)[0])[1]
 
 
 def decrypt_after_shred(spark, d):
-    keys, after, _ = _shredded(spark, d)
-    sealed, _ = shredding.encrypt(_people(spark, d), keys, _SECRET)
+    table, keys = _keys(spark, d)
+    sealed = stage(shredding.encrypt(_people(spark, d), keys, _SECRET)[0], "sealed")
+    after, _ = _shredded(spark, d, table)
     return shredding.decrypt(sealed, after, _SECRET)
 
 
 def deletion_status(spark, d):
-    _, after, done = _shredded(spark, d)
+    after, done = _shredded(spark, d, _keys(spark, d)[0])
     return shredding.deletion_status(_people(spark, d), after, done)
 
 

@@ -1,10 +1,14 @@
+import pathlib
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidegate.plans import governance as G
 from tidegate.plans import shredding as S
+from tidegate.runtime import stage
+from tidegate.sources.tables import SnapshotTable
 
 AS_OF = datetime(2024, 2, 1)
 
@@ -108,9 +112,14 @@ def people(spark):
 
 
 @pytest.fixture
-def keys(spark):
+def table(tmp_path):
+    return SnapshotTable(str(tmp_path / "keys"))
+
+
+@pytest.fixture
+def keys(spark, table):
     owners = spark.createDataFrame([(1,), (2,), (4,), (1,), (None,)], "user_id int")
-    return S.generate_keys(owners, AS_OF)
+    return S.generate_keys(owners, AS_OF, table)
 
 
 def test_keys_are_stored_and_distinct(keys):
@@ -132,21 +141,56 @@ def test_read_back_and_rejects(people, keys):
 
 def test_hot_users_are_sealed_alike(spark, keys):
     data = spark.range(200).select(F.lit(1).alias("user_id"), "id", F.col("id").cast("string").alias("email"))
-    sealed, rejected = S.encrypt(data, keys, ["email"], hot=[1], spread="id")
-    opened = S.decrypt(sealed, keys, ["email"], hot=[1], spread="id")
+    sealed, rejected = S.encrypt(data, keys, ["email"], spread="id")
+    opened = S.decrypt(sealed, keys, ["email"], spread="id")
     assert rejected.count() == 0
     assert opened.where("email = CAST(id AS STRING)").count() == 200
 
 
-def test_shredded_users_cannot_be_read(spark, people, keys):
-    sealed, _ = S.encrypt(people, keys, ["email"])
+def test_newest_of_several_active_keys(spark, people, keys):
+    newer = keys.where("user_id = 1").withColumn("key_version", F.lit(2))
+    both = keys.unionByName(newer.withColumn("encryption_key", F.lit(b"0123456789abcdef")))
+    sealed, _ = S.encrypt(people, both, ["email"])
+    assert sealed.count() == 3
+    opened = S.decrypt(sealed.where("user_id = 1"), keys, ["email"]).first()
+    assert opened["email"] is None  # sealed with version 2
+    nothing = S.register_requests(
+        spark.createDataFrame([], "request_id string, user_id int, reason string"), AS_OF
+    )
+    assert S.deletion_status(people, both, nothing).count() == 5
+
+
+def test_no_file_holds_a_shredded_key(spark, people, keys, table, tmp_path):
+    drawn = {r["user_id"]: bytes(r["encryption_key"]) for r in keys.collect()}
+    asked = spark.createDataFrame([("r1", 1, "left")], "request_id string, user_id int, reason string")
+    S.shred(table, S.register_requests(asked, AS_OF), AS_OF)
+    shared = pathlib.Path(spark.conf.get("spark.checkpoint.dir"))
+    files = [f for root in (tmp_path, shared) for f in root.rglob("*") if f.is_file()]
+    assert any(drawn[2] in f.read_bytes() for f in files)
+    assert not any(drawn[1] in f.read_bytes() for f in files)
+
+
+def test_snapshots_survive_an_interrupted_write(spark, tmp_path):
+    table = SnapshotTable(str(tmp_path / "t"))
+    schema = StructType.fromDDL("id long")
+    assert table.read(spark, schema).count() == 0
+    table.replace(spark.range(3))
+    (tmp_path / "t" / "snapshot-2").mkdir()  # no _SUCCESS: the writer was lost
+    assert table.read(spark, schema).count() == 3
+    table.replace(spark.range(5))
+    assert table.read(spark, schema).count() == 5
+    assert [f.name for f in (tmp_path / "t").iterdir()] == ["snapshot-3"]
+
+
+def test_shredded_users_cannot_be_read(spark, people, keys, table):
+    sealed = stage(S.encrypt(people, keys, ["email"])[0], "sealed")
     asked = spark.createDataFrame(
         [("r1", 1, "left"), ("r2", 1, "asked again"), ("r3", 3, "no key")],
         "request_id string, user_id int, reason string",
     )
     requests = S.register_requests(asked, AS_OF)
     assert {r["status"] for r in requests.collect()} == {"processing"}
-    after, done = S.shred(keys, requests, AS_OF)
+    after, done = S.shred(table, requests, AS_OF)
     r = {x["user_id"]: x for x in after.collect()}
     assert len(r) == 3
     assert (r[1]["is_active"], r[1]["encryption_key"], r[1]["revoked_at"]) == (False, None, AS_OF)
@@ -154,11 +198,11 @@ def test_shredded_users_cannot_be_read(spark, people, keys):
     assert {x["status"] for x in done.collect()} == {"completed"} and done.count() == 3
     opened = {x["user_id"]: x["email"] for x in S.decrypt(sealed, after, ["email"]).collect()}
     assert opened == {1: None, 2: "b@x", 4: None}
-    again, _ = S.shred(after, requests, AS_OF + timedelta(days=1))
-    assert {x["user_id"]: x["revoked_at"] for x in again.collect()}[1] == AS_OF
-
     status = {x["user_id"]: x for x in S.deletion_status(people, after, done).collect()}
     assert (status[1]["found"], status[1]["key_active"], status[1]["deletion_status"]) == (True, False, "completed")
     assert status[1]["notes"] == "asked again"
     assert (status[2]["found"], status[2]["deletion_status"]) == (True, None)
     assert (status[3]["found"], status[3]["deletion_status"], status[3]["notes"]) == (False, None, None)
+
+    again, _ = S.shred(table, requests, AS_OF + timedelta(days=1))
+    assert {x["user_id"]: x["revoked_at"] for x in again.collect()}[1] == AS_OF

@@ -116,6 +116,10 @@ def test_concat_and_average(spark):
     mean = S.average(F.col("t"), F.col("n"))
     got = results(spark, "t decimal(20,2), n bigint", [(D("10"), 4), (None, 0)], mean)
     assert got == [D("2.500000"), None]
+    # the exact mean 1.00499999... must not become 1.005 on its way to two decimals
+    cases = [(D("1004999.99"), 10**6), (D("-0.05"), 10), (D("0.05"), 10), (D("0.04"), 10)]
+    got = results(spark, "t decimal(20,2), n bigint", cases, S.average(F.col("t"), F.col("n"), 2))
+    assert got == [D("1.00"), D("-0.01"), D("0.01"), D("0.00")]
 
 
 def test_day_of_week_starts_on_sunday(spark):

@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidegate.plans import intermediate as I
@@ -112,15 +113,15 @@ def test_enriched_rows_are_the_same_by_broadcast_and_by_shuffle(spark, mixed):
     plain = I.int_transactions(stg)
     assert len(plain.columns) == 41
     assert plain.count() == 900
-    metrics = I.transaction_metrics(stg, one_task_rows=-1, min_hot=100)
-    assert set(metrics.users.hot) == {0, None}
+    metrics = I.transaction_metrics(stg)
+    assert metrics.users.heavy.count() >= 2
     spread = I.int_transactions(stg, metrics, max_broadcast=-1)
     assert rows_of(spread) == rows_of(plain)
 
 
 def test_hot_rows_are_salted_and_the_rest_is_joined_by_key(spark, mixed, plan_of):
     stg = staging.stg_transactions(mixed, AS_OF)
-    metrics = I.transaction_metrics(stg, min_hot=100)
+    metrics = I.transaction_metrics(stg)
     plan = plan_of(I.int_transactions(stg, metrics, max_broadcast=-1))
     assert "_slice" in plan and "Cartesian" not in plan and "NestedLoop" not in plan
 
@@ -148,9 +149,12 @@ def test_no_deviation_from_a_mean_that_is_not_positive(spark):
 
 def test_sequence_and_country(spark, mixed):
     users = spark.createDataFrame([(0, "EC"), (3, "PE")], "user_id int, country string")
-    plain = I.transaction_sequence(mixed, users, hot=[])
-    spread = I.transaction_sequence(mixed, users, hot=[0, None])
-    assert rows_of(plain) == rows_of(spread)
+    spread = I.transaction_sequence(mixed, users)
+    by_arrival = Window.partitionBy("user_id").orderBy("ingested_at", "transaction_id")
+    plain = mixed.withColumn("txn_seq", F.row_number().over(by_arrival)).join(
+        users.withColumnRenamed("country", "user_country"), "user_id", "left"
+    )
+    assert rows_of(plain.select(spread.columns)) == rows_of(spread)
     top = {r["user_id"]: r["m"] for r in spread.groupBy("user_id").agg(F.max("txn_seq").alias("m")).collect()}
     assert top[0] == 300 and top[None] == 300
 
@@ -175,7 +179,7 @@ def people(spark):
     rows = spark.createDataFrame(rows, USERS)
     sales = [row(i, user=1, amount="100") for i in range(50)] + [row(90 + i, user=3) for i in range(4)]
     stg = staging.stg_transactions(make(spark, sales), AS_OF)
-    return I.int_users(staging.stg_users(rows, AS_OF), I.user_activity(stg), AS_OF)
+    return I.int_users(staging.stg_users(rows, AS_OF), I.activity_base(I.day_cells(stg)), AS_OF)
 
 
 def test_users_get_defaults_without_activity(people):

@@ -200,7 +200,9 @@ def test_partitioned_warehouse_read_asks_for_ranges():
 
     args, kw = tables.read_jdbc(Session(), "url", "t", {"user": "u"}, "id", (0, 100), 8)
     assert args == ("url", "t", "id", 0, 100, 8) and kw == {"properties": {"user": "u"}}
-    assert tables.read_jdbc(Session(), "url", "t", {})[0] == ("url", "t")
+    assert tables.read_jdbc(Session(), "url", "t", {}, one_task=True)[0] == ("url", "t")
+    with pytest.raises(ValueError):
+        tables.read_jdbc(Session(), "url", "t", {})
 
 
 def test_masking_rules_load_from_json(tmp_path):

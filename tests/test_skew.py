@@ -27,34 +27,47 @@ def rows_of(df):
     return sorted(map(repr, df.collect()))
 
 
-def test_hot_keys_are_found_and_few(spark):
-    _, df = skewed(spark)
-    assert set(skew.hot_keys_of(df, "k", min_hot=500)) == {0, None}
-    assert skew.hot_keys_of(df, "k") == []
+def test_heavy_keys_are_few_and_their_slices_bounded(spark):
+    rows, df = skewed(spark)
+    heavy = {r["_hash"]: r["_slices"] for r in skew.heavy_keys(df, "k").collect()}
+    hashes = df.select("k", F.xxhash64("k").alias("h")).distinct().collect()
+    named = {r["k"]: heavy[r["h"]] for r in hashes if r["h"] in heavy}
+    share = len(rows) // 16  # four partitions
+    for k in (0, None):
+        assert named[k] == -(-sum(1 for r in rows if r[1] == k) // share)
+    assert len(named) < 16 and sum(named.values()) < 32
+
+
+def test_no_heavy_key_without_rows(spark):
+    empty = spark.createDataFrame([], "id int, k int, v int")
+    assert skew.heavy_keys(empty, "k").count() == 0
+    right = spark.createDataFrame([(1, "a")], "k int, name string")
+    heavy = skew.heavy_keys(empty, "k")
+    assert skew.salted_left_join(empty, right, "k", heavy, F.col("id")).count() == 0
 
 
 def test_salted_join_equals_plain_join(spark):
     _, df = skewed(spark)
     right = spark.createDataFrame([(k, f"n{k}") for k in range(50)], "k int, name string")
     plain = df.join(right, "k", "left")
-    salted = skew.salted_left_join(df, right, "k", [0, None], F.col("id"))
+    salted = skew.salted_left_join(df, right, "k", skew.heavy_keys(df, "k"), F.col("id"))
     assert rows_of(salted.select(plain.columns)) == rows_of(plain)
 
 
 def test_salted_join_spreads_the_hot_key(spark):
     rows, df = skewed(spark)
     right = spark.createDataFrame([(k, "x") for k in range(50)], "k int, name string")
+    heavy = skew.heavy_keys(df, "k")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = skew.salted_left_join(df, right, "k", [0, None], F.col("id"))
-        per_task = joined.where("k = 0").groupBy(F.spark_partition_id().alias("p")).count().collect()
+        joined = skew.salted_left_join(df, right, "k", heavy, F.col("id"))
+        per_task = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    hot = sum(1 for r in rows if r[1] == 0)
-    assert sum(r["count"] for r in per_task) == hot
-    assert max(r["count"] for r in per_task) < 0.8 * hot
+    assert sum(r["count"] for r in per_task) == len(rows)
+    assert max(r["count"] for r in per_task) < 0.5 * len(rows)
 
 
 @pytest.mark.parametrize("max_rows, joined_by", [(None, "BroadcastHashJoin"), (0, "SortMergeJoin")])
@@ -106,32 +119,49 @@ def test_known_keys_both_ways(spark, monkeypatch):
 
 
 @pytest.mark.parametrize("n", [0, 1, 3, 4, 5, 10, 1001])
-def test_distributed_tiles_equal_ntile(spark, n):
-    df = stage(spark.range(n).select("id", (F.col("id") % 7).alias("v")), "t")
+def test_distributed_tiles_equal_ntile(spark, n, plan_of):
+    df = spark.range(n).select("id", (F.col("id") % 7).alias("v"))
     order = [F.col("v").desc(), F.col("id").asc()]
-    plain = ranking.with_tile(df, order, 4, "t", n)
-    spread = ranking.with_tile(df, order, 4, "t", n, one_task_rows=-1)
+    plain = df.withColumn("t", F.ntile(4).over(Window.orderBy(*order)))
+    spread = ranking.with_tile(df, order, 4, "t")
+    assert "SinglePartition" not in plan_of(spread)
     assert rows_of(spread.select("id", "t")) == rows_of(plain.select("id", "t"))
     sizes = [r["count"] for r in spread.groupBy("t").count().collect()]
     assert not sizes or len(sizes) < 4 or max(sizes) - min(sizes) <= 1
 
 
 def test_tiles_put_nulls_first_when_descending(spark):
-    df = stage(spark.createDataFrame([(1, None), (2, 5), (3, 9), (4, 1)], "id int, v int"), "t")
+    df = spark.createDataFrame([(1, None), (2, 5), (3, 9), (4, 1)], "id int, v int")
     order = [F.col("v").desc_nulls_first(), F.col("id").asc()]
-    spread = ranking.with_tile(df, order, 4, "t", 4, one_task_rows=-1)
+    spread = ranking.with_tile(df, order, 4, "t")
     assert {r["id"]: r["t"] for r in spread.collect()} == {1: 1, 3: 2, 2: 3, 4: 4}
 
 
-@pytest.mark.parametrize("hot", [[], [0], [0, None], [None], [0, 5]])
-def test_group_sequence_with_hot_groups(spark, hot):
+@pytest.mark.parametrize("keys", ["k", "CAST(k AS STRING)", "1", "CAST(NULL AS INT)", "id"])
+def test_group_sequence_of_groups_of_any_size(spark, keys):
     _, df = skewed(spark)
+    df = df.withColumn("k", F.expr(keys))
     order = [F.col("v").asc(), F.col("id").asc()]
     plain = df.withColumn("s", F.row_number().over(Window.partitionBy("k").orderBy(*order)))
-    got = ranking.with_group_sequence(df, "k", order, "s", hot)
+    got = ranking.with_group_sequence(df, "k", order, "s")
     assert rows_of(got.select("id", "k", "v", "s")) == rows_of(plain.select("id", "k", "v", "s"))
 
 
+def test_group_sequence_of_no_rows(spark):
+    empty = spark.createDataFrame([], "id int, k int, v int")
+    assert ranking.with_group_sequence(empty, "k", [F.col("id").asc()], "s").count() == 0
+
+
+def test_group_sequence_cuts_a_group_over_tasks(spark, monkeypatch):
+    """A key with a third of the rows: no piece exceeds one range."""
+    rows, df = skewed(spark, n=6000)
+    staged = []
+    monkeypatch.setattr(ranking, "stage", lambda d, label: staged.append(stage(d, label)) or staged[-1])
+    ranking.with_group_sequence(df, "k", [F.col("id").asc()], "s").count()
+    sizes = [r["count"] for r in staged[0].groupBy("_part", "k").count().collect()]
+    assert max(sizes) < 0.3 * len(rows)
+
+
 # --- moments ---------------------------------------------------------------
 
 

@@ -19,20 +19,18 @@ def concat_text(*parts: Column) -> Column:
 def capitalise_words(text: Column) -> Column:
     """INITCAP with a new word after any character that is no letter or digit.
 
-    Spark's `initcap` knows spaces only; it serves the plain values, and only
-    values with other separators take the slower word-by-word way.
+    Spark's `initcap` knows spaces only.
     """
     pieces = F.regexp_extract_all(
         F.lower(text), F.lit(r"([\p{L}\p{N}]+|[^\p{L}\p{N}]+)"), F.lit(1)
     )
-    rebuilt = F.array_join(
+    return F.array_join(
         F.transform(
             pieces,
             lambda w: F.concat(F.upper(F.substring(w, 1, 1)), w.substr(F.lit(2), F.length(w))),
         ),
         "",
     )
-    return F.when(text.rlike(r"[^\p{L}\p{N} ]"), rebuilt).otherwise(F.initcap(text))
 
 
 def day_of_week(moment: Column) -> Column:
@@ -40,9 +38,21 @@ def day_of_week(moment: Column) -> Column:
     return (F.dayofweek(moment) - F.lit(1)).cast("int")
 
 
-def average(total: Column, n: Column) -> Column:
-    """total / n, NULL for n = 0, with a fixed number of decimals."""
-    return (total.cast("double") / F.nullif(n, F.lit(0))).cast(AVERAGE_TYPE)
+def _rounded_ratio(top: Column, bottom: Column) -> Column:
+    """top / bottom of whole numbers, bottom positive, as a whole number; half away from zero."""
+    doubled = (F.abs(top) * F.lit(2)).cast("decimal(38,0)") + bottom
+    whole = F.call_function(
+        "div", doubled.cast("decimal(38,0)"), (bottom * F.lit(2)).cast("decimal(38,0)")
+    )
+    return F.signum(top).cast("int") * whole
+
+
+def average(total: Column, n: Column, places: int = 6) -> Column:
+    """total / n of an amount in cents, NULL for n = 0, rounded once to `places` decimals."""
+    count = F.nullif(n, F.lit(0)).cast("decimal(18,0)")
+    steps = (total.cast("decimal(30,2)") * F.lit(10**places)).cast("decimal(38,0)")
+    nearest = _rounded_ratio(steps, count).cast("decimal(28,0)")
+    return (nearest * F.lit(Decimal(1).scaleb(-places))).cast(AVERAGE_TYPE)
 
 
 def percent_above(value: Column, base_total: Column, base_n: Column) -> Column:
@@ -54,9 +64,8 @@ def percent_above(value: Column, base_total: Column, base_n: Column) -> Column:
     cents = F.round(value.cast("decimal(26,2)") * F.lit(100)).cast("decimal(18,0)")
     total = F.round(base_total.cast("decimal(26,2)") * F.lit(100)).cast("decimal(28,0)")
     above = (cents * base_n.cast("decimal(15,0)") - total).cast("decimal(33,0)")
-    doubled = (F.abs(above) * F.lit(20_000)).cast("decimal(38,0)") + total
-    steps = F.call_function("div", doubled.cast("decimal(38,0)"), (total * F.lit(2)).cast("decimal(38,0)"))
-    pct = (F.signum(above).cast("int") * steps).cast("decimal(20,0)") * F.lit(Decimal("0.01"))
+    steps = _rounded_ratio((above * F.lit(10_000)).cast("decimal(38,0)"), total)
+    pct = steps.cast("decimal(20,0)") * F.lit(Decimal("0.01"))
     return F.when(base_total > 0, pct.cast("decimal(28,2)"))
 
 

@@ -1,8 +1,9 @@
 """Row numbers and tiles over a whole table or over groups of any size.
 
 An unpartitioned window, or a window over a hot group, runs in one task. Here the
-rows are range-partitioned, sorted, and numbered within their partition; the
-number of rows in earlier partitions is added as a literal.
+rows are range-partitioned, sorted, and numbered within their partition; what earlier
+partitions hold is added from a table of one line per partition. Small and large
+tables take the same way.
 """
 
 from __future__ import annotations
@@ -13,14 +14,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..runtime import stage
-from .skew import hot_keys_of, is_hot
 
-# A staged table up to this many rows may be numbered by one plain window.
-ONE_TASK_ROWS = 1_000_000
 
-
-def _parts(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _in_ranges(df: DataFrame, order: list[Column]) -> DataFrame:
+    """The rows in range partitions of `order`, with their partition and their place in it."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (
+        df.repartitionByRange(parts, *order)
+        .sortWithinPartitions(*order)
+        .withColumn("_part", F.spark_partition_id())
+        # low 33 bits: place of the row within its partition
+        .withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    )
 
 
 def with_position(df: DataFrame, order: list[Column], alias: str) -> tuple[DataFrame, int]:
@@ -30,21 +35,15 @@ def with_position(df: DataFrame, order: list[Column], alias: str) -> tuple[DataF
     sampled range bounds are drawn once. Only one count per partition comes to
     the driver.
     """
-    ordered = (
-        df.repartitionByRange(_parts(df), *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_part", F.spark_partition_id())
-        # low 33 bits: place of the row within its partition
-        .withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    ordered = stage(_in_ranges(df, order), "ordered")
+    sizes = sorted((r[0], r[1]) for r in ordered.groupBy("_part").count().collect())
+    before = [0, *accumulate(n for _, n in sizes)]
+    offsets = df.sparkSession.createDataFrame(
+        [(part, start) for (part, _), start in zip(sizes, before)], "_part int, _before long"
     )
-    ordered = stage(ordered, "ordered")
-    sizes = {r[0]: r[1] for r in ordered.groupBy("_part").count().collect()}
-    n_parts = max(sizes, default=-1) + 1
-    counts = [sizes.get(p, 0) for p in range(n_parts)]
-    before = [0, *accumulate(counts)]
-    offsets = F.array(*[F.lit(b).cast("long") for b in before])
-    position = F.get(offsets, F.col("_part")) + F.col("_place") + F.lit(1)
-    return ordered.withColumn(alias, position).drop("_part", "_place"), before[-1]
+    position = F.col("_before") + F.col("_place") + F.lit(1)
+    placed = ordered.join(F.broadcast(offsets), "_part").withColumn(alias, position)
+    return placed.select(*df.columns, alias), before[-1]
 
 
 def tile_of(position: Column, n_rows: int, tiles: int) -> Column:
@@ -56,44 +55,38 @@ def tile_of(position: Column, n_rows: int, tiles: int) -> Column:
     return F.when(position <= edge, in_large).otherwise(in_small).cast("int")
 
 
-def with_tile(
-    staged: DataFrame,
-    order: list[Column],
-    tiles: int,
-    alias: str,
-    n_rows: int,
-    one_task_rows: int | None = None,
-) -> DataFrame:
-    """Add NTILE(tiles) over `order`, which must be total, to a table of `n_rows` rows."""
-    limit = ONE_TASK_ROWS if one_task_rows is None else one_task_rows
-    if n_rows <= limit:
-        return staged.withColumn(alias, F.ntile(tiles).over(Window.orderBy(*order)))
-    placed, n = with_position(staged, order, "_position")
+def with_tile(df: DataFrame, order: list[Column], tiles: int, alias: str) -> DataFrame:
+    """Add NTILE(tiles) over `order`, which must be total."""
+    placed, n = with_position(df, order, "_position")
     return placed.withColumn(alias, tile_of(F.col("_position"), n, tiles)).drop("_position")
 
 
-def with_group_sequence(
-    df: DataFrame, key: str, order: list[Column], alias: str, hot: list | None = None
-) -> DataFrame:
+def with_group_sequence(df: DataFrame, key: str, order: list[Column], alias: str) -> DataFrame:
     """Add ROW_NUMBER() OVER (PARTITION BY key ORDER BY order); `order` must be total.
 
-    Groups of normal size use the window. Hot groups are put into one global
-    order of (key, order) instead; a row's number is its position minus that of
-    its group's first row. There are few hot groups, see `hot_keys`.
+    The rows lie in ranges of (key, order), so a group of any size is cut into pieces of
+    at most one range. Rows are numbered within their piece; only the first key of a range
+    can continue the range before, so one line per range says by how much.
     """
-    window = Window.partitionBy(key).orderBy(*order)
-    hot = hot_keys_of(df, key) if hot is None else hot
-    if not hot:
-        return df.withColumn(alias, F.row_number().over(window))
-    hot_row = is_hot(key, hot)
-    normal = df.where(~hot_row).withColumn(alias, F.row_number().over(window))
-    placed, _ = with_position(df.where(hot_row), [F.col(key).asc_nulls_first(), *order], "_position")
-    # one line per hot key; rows of a NULL key come first and start at 1
-    starts = placed.where(F.col(key).isNotNull()).groupBy(key).agg(F.min("_position")).collect()
-    first = F.lit(1)
-    if starts:
-        known = F.create_map(*[F.lit(x) for pair in starts for x in pair])
-        first = F.when(F.col(key).isNull(), F.lit(1)).otherwise(F.element_at(known, F.col(key)))
-    number = (F.col("_position") - first + F.lit(1)).cast("int")
-    numbered = placed.withColumn(alias, number).drop("_position")
-    return normal.unionByName(numbered)
+    piece = Window.partitionBy("_part", key).orderBy("_place")
+    ranges = _in_ranges(df, [F.col(key).asc_nulls_first(), *order])
+    numbered = stage(ranges.withColumn("_piece", F.row_number().over(piece)), "pieces")
+    edges = numbered.groupBy("_part").agg(
+        F.min_by(F.struct(key), "_place").alias("first"),
+        F.max_by(F.struct(F.col(key), F.col("_piece")), "_place").alias("last"),
+    )
+    carried, open_key, so_far = [], None, 0
+    for part, first, last in sorted(edges.collect(), key=lambda r: r[0]):
+        carry = so_far if open_key is not None and first[0] == open_key[0] else 0
+        if carry:
+            carried.append((part, first[0], carry))
+        so_far = last[1] + (carry if last[0] == first[0] else 0)
+        open_key = (last[0],)
+    key_type = df.schema[key].dataType.simpleString()
+    carries = df.sparkSession.createDataFrame(
+        carried, f"_range int, _open {key_type}, _carry long"
+    )
+    continues = (F.col("_part") == F.col("_range")) & F.col(key).eqNullSafe(F.col("_open"))
+    joined = numbered.join(F.broadcast(carries), continues, "left")
+    number = (F.col("_piece") + F.coalesce("_carry", F.lit(0))).cast("int")
+    return joined.withColumn(alias, number).select(*df.columns, alias)

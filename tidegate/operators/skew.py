@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from ..runtime import stage
 
-# A key with fewer rows than this is no burden for a single task.
-HOT_MIN_ROWS = 1_000_000
-# A hot key holds more than 1/HOT_SHARE of all rows, so there are fewer than HOT_SHARE of them.
-HOT_SHARE = 1_000
 # What a broadcast side may hold at most: rows of fixed-width columns, and bytes of text keys.
 BROADCAST_ROWS = 100_000
 BROADCAST_KEY_BYTES = 16 * 1024 * 1024
@@ -22,74 +18,79 @@ BROADCAST_KEY_BYTES = 16 * 1024 * 1024
 class Lookup:
     """A staged table, unique by `key`, with its measured size.
 
-    `hot` are the keys, perhaps NULL, that hold an outsize share of the rows the
-    table was made from. HOT_SHARE bounds their number whatever the data.
+    `heavy` says, as `heavy_keys` does, into how many slices the rows of a key are cut
+    that the table was made from; None if nothing is known of them.
     """
 
     table: DataFrame
     key: str
     n_rows: int
     key_bytes: int
-    hot: list
+    heavy: DataFrame | None
 
     def fits_broadcast(self, max_rows: int | None = None) -> bool:
         max_rows = BROADCAST_ROWS if max_rows is None else max_rows
         return self.n_rows <= max_rows and self.key_bytes <= BROADCAST_KEY_BYTES
 
 
-def measure(
-    table: DataFrame, key: str, rows: str | None = None, min_hot: int | None = None
-) -> Lookup:
-    """Size of a staged table and, by the row counts in column `rows`, its hot keys."""
-    per_key = F.col(rows) if rows else F.lit(1)
-    n, key_bytes, total, top = table.agg(
+def measure(table: DataFrame, key: str, rows: str | None = None) -> Lookup:
+    """Size of a staged table and, by the row counts in column `rows`, its heavy keys."""
+    n, key_bytes, total = table.agg(
         F.count(F.lit(1)),
         F.sum(F.octet_length(F.col(key).cast("string"))),
-        F.sum(per_key),
-        F.max(per_key),
+        F.sum(rows) if rows else F.lit(0),
     ).first()
-    floor = max(HOT_MIN_ROWS if min_hot is None else min_hot, (total or 0) // HOT_SHARE)
-    hot = []
-    if rows and (top or 0) > floor:
-        hot = [r[0] for r in table.where(per_key > floor).select(key).collect()]
-    return Lookup(table, key, n, key_bytes or 0, hot)
+    heavy = _sliced(table, key, rows, total or 0) if rows else None
+    return Lookup(table, key, n, key_bytes or 0, heavy)
 
 
-def hot_keys_of(df: DataFrame, key: str, min_hot: int | None = None) -> list:
-    """Hot keys counted from the rows themselves; counts are combined before the shuffle."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("key_rows"))
-    return measure(stage(counts, "key-counts"), key, "key_rows", min_hot).hot
+def _sliced(counts: DataFrame, key: str, rows: str, total: int) -> DataFrame:
+    """Slices per hashed key, for keys above a quarter of a task's even share of `total` rows.
 
+    There are fewer than four such keys per task, whatever the data, and a line is 12 bytes;
+    all slices together are fewer than eight per task.
+    """
+    tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = max(1, total // (4 * tasks))
+    hashed = F.xxhash64(F.col(key)).alias("_hash")
+    return (
+        counts.where(F.col(rows) > share)
+        .groupBy(hashed)
+        .agg(F.ceil(F.sum(rows) / F.lit(share)).cast("int").alias("_slices"))
+    )
 
-def is_hot(key: str, hot: list) -> Column:
-    """Whether a row's key is among `hot`; never NULL."""
-    known = [k for k in hot if k is not None]
-    test = F.coalesce(F.col(key).isin(known), F.lit(False)) if known else F.lit(False)
-    return test | F.col(key).isNull() if None in hot else test
+
+def heavy_keys(df: DataFrame, key: str) -> DataFrame:
+    """Slices of heavy keys, counted from the rows themselves and combined before the shuffle."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("key_rows"))
+    return measure(stage(counts, "key-counts"), key, "key_rows").heavy
 
 
-def _slices(df: DataFrame) -> int:
-    """Several slices per task, so that their hashes fall evenly on the tasks."""
-    return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _with_slices(df: DataFrame, key: str, heavy: DataFrame) -> DataFrame:
+    """Add `_slices`, the number of slices of the row's key."""
+    hashed = df.withColumn("_hash", F.xxhash64(F.col(key)))
+    joined = hashed.join(F.broadcast(heavy), "_hash", "left").drop("_hash")
+    return joined.withColumn("_slices", F.coalesce("_slices", F.lit(1)))
 
 
 def salted_left_join(
-    left: DataFrame, right: DataFrame, key: str, hot: list, spread: Column
+    left: DataFrame, right: DataFrame, key: str, heavy: DataFrame | None, spread: Column
 ) -> DataFrame:
     """Left join on `key`, `right` unique by `key`.
 
-    Without hot keys this is the plain join. Otherwise rows of hot keys are spread
-    by a hash of `spread`, and the few hot lines of `right` repeated per slice.
+    Rows of heavy keys, NULL among them, are dealt by a hash of `spread` over as many
+    slices as their number asks for, and the key's line of `right` is repeated per slice.
+    Without counts this is the plain join.
     """
-    if not hot:
+    if heavy is None:
         return left.join(right, key, "left")
-    n = _slices(left)
-    slice_of = F.pmod(F.xxhash64(spread), F.lit(n)).cast("int")
-    hot_row = is_hot(key, hot)
-    left = left.withColumn("_slice", F.when(hot_row, slice_of).otherwise(F.lit(0)))
-    copies = F.when(hot_row, F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
-    right = right.where(F.col(key).isNotNull()).withColumn("_slice", F.explode(copies))
-    return left.join(right, [key, "_slice"], "left").drop("_slice")
+    columns = [*left.columns, *(c for c in right.columns if c != key)]
+    slice_of = F.pmod(F.xxhash64(spread), F.col("_slices")).cast("int")
+    left = _with_slices(left, key, heavy).withColumn("_slice", slice_of)
+    right = _with_slices(right.where(F.col(key).isNotNull()), key, heavy)
+    copies = F.explode(F.sequence(F.lit(0), F.col("_slices") - 1))
+    right = right.withColumn("_slice", copies).drop("_slices")
+    return left.join(right, [key, "_slice"], "left").select(columns)
 
 
 def attach(
@@ -98,11 +99,11 @@ def attach(
     """Left-join a lookup table.
 
     Broadcast when its measured size allows; otherwise a shuffle join with the
-    hot keys of `left` spread over all tasks.
+    heavy keys of `left` spread over all tasks.
     """
     if lookup.fits_broadcast(max_rows):
         return left.join(F.broadcast(lookup.table), lookup.key, "left")
-    return salted_left_join(left, lookup.table, lookup.key, lookup.hot, spread)
+    return salted_left_join(left, lookup.table, lookup.key, lookup.heavy, spread)
 
 
 def latest_per_key(df: DataFrame, key: list[str], newest: list[str]) -> DataFrame:

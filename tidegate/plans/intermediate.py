@@ -9,14 +9,15 @@ from dataclasses import dataclass, replace
 from datetime import datetime
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
 from ..functions import scalars as S
 from ..operators.moments import amount_profile
 from ..operators.ranking import with_group_sequence, with_tile
-from ..operators.skew import Lookup, attach, hot_keys_of, measure, salted_left_join
+from ..operators.skew import Lookup, attach, heavy_keys, measure, salted_left_join
 from ..runtime import stage
 
 def completed() -> Column:
@@ -98,24 +99,15 @@ def user_metrics(stg: DataFrame) -> DataFrame:
     return base.where("total_transactions > 0").drop("key_rows", "n_amount")
 
 
-def with_user_quartiles(
-    base: DataFrame,
-    n_rows: int,
-    value: bool = True,
-    frequency: bool = True,
-    one_task_rows: int | None = None,
-) -> DataFrame:
-    """Add the quartiles by total and by number of transactions.
-
-    `base` is a staged user table of at most `n_rows` rows.
-    """
+def with_user_quartiles(base: DataFrame, value: bool = True, frequency: bool = True) -> DataFrame:
+    """Add the quartiles by total and by number of transactions to a user table."""
     out = base
     if value:
         order = [F.col("total_amount").desc_nulls_first(), F.col("user_id").asc_nulls_last()]
-        out = with_tile(out, order, 4, "user_value_quartile", n_rows, one_task_rows)
+        out = with_tile(out, order, 4, "user_value_quartile")
     if frequency:
         order = [F.col("total_transactions").desc(), F.col("user_id").asc_nulls_last()]
-        out = with_tile(out, order, 4, "user_frequency_quartile", n_rows, one_task_rows)
+        out = with_tile(out, order, 4, "user_frequency_quartile")
     return out
 
 
@@ -170,48 +162,52 @@ def daily_metrics(stg: DataFrame) -> DataFrame:
     return base.drop("key_rows", "daily_n_amount")
 
 
-def _together(*jobs: Callable) -> list:
+def _together(spark: SparkSession, *jobs: Callable) -> list:
     """Results of independent Spark jobs, submitted at the same time."""
     with ThreadPoolExecutor(len(jobs)) as pool:
-        running = [pool.submit(copy_context().run, job) for job in jobs]
+        # threads take over the caller's context and, by Spark's wrapper, its job properties
+        running = [
+            pool.submit(copy_context().run, inheritable_thread_target(spark)(job)) for job in jobs
+        ]
         return [job.result() for job in running]
 
 
 @dataclass(frozen=True)
 class TransactionMetrics:
-    """Staged metrics, and which keys are hot in the transactions."""
+    """Staged metrics, and which keys are heavy in the transactions."""
 
     users: Lookup
     categories: Lookup
     days: Lookup
 
 
-def transaction_metrics(
-    stg: DataFrame, one_task_rows: int | None = None, min_hot: int | None = None
-) -> TransactionMetrics:
-    """All metrics of the transactions, computed once.
+def transaction_metrics(stg: DataFrame, by_day: DataFrame | None = None) -> TransactionMetrics:
+    """All metrics of the transactions, computed once; `by_day` are their staged day cells, if at hand.
 
     The staged tables also list keys without completed rows, since those may be
-    the hot ones of the join; only then they are left out.
+    the heavy ones of the join; only then they are left out.
     """
 
     def staged(df: DataFrame, key: str, n: str) -> Lookup:
-        found = measure(stage(df, f"{key}-metrics"), key, "key_rows", min_hot)
+        found = measure(stage(df, f"{key}-metrics"), key, "key_rows")
         return replace(found, table=found.table.where(F.col(n) > 0).drop("key_rows"))
 
     by_day, by_category = _together(
-        lambda: stage(day_cells(stg), "day-cells"),
+        stg.sparkSession,
+        lambda: by_day or stage(day_cells(stg), "day-cells"),
         lambda: stage(category_cells(stg), "category-cells"),
     )
     users, categories, days = _together(
+        stg.sparkSession,
         lambda: staged(user_base(by_day, by_category, stg), "user_id", "total_transactions"),
         lambda: staged(
             category_base(by_category), "product_category", "category_total_transactions"
         ),
         lambda: staged(daily_base(by_day), "transaction_day", "daily_transaction_count"),
     )
-    table = with_user_quartiles(users.table, users.n_rows, one_task_rows=one_task_rows)
-    return TransactionMetrics(replace(users, table=table), categories, days)
+    return TransactionMetrics(
+        replace(users, table=with_user_quartiles(users.table)), categories, days
+    )
 
 
 def int_transactions(
@@ -268,32 +264,34 @@ def int_transactions(
     )
 
 
+def activity_base(days: DataFrame) -> DataFrame:
+    """Completed transactions per user from the day cells, with the number of known amounts."""
+    found = days.where("n > 0").groupBy("user_id").agg(
+        F.sum("n").alias("total_transactions"),
+        _active("transaction_day").alias("active_days"),
+        _money("total").alias("total_transaction_value"),
+        F.sum("n_amount").alias("amount_count"),
+        F.max("last_at").alias("last_transaction_date"),
+    )
+    return found.select(
+        "user_id", "total_transactions", "active_days", "total_transaction_value", "amount_count",
+        S.average(F.col("total_transaction_value"), F.col("amount_count")).alias(
+            "avg_transaction_amount"
+        ),
+        "last_transaction_date",
+        L.activity_segment(F.col("total_transactions")).alias("user_activity_segment"),
+    )
+
+
 def user_activity(stg: DataFrame) -> DataFrame:
     """Completed transactions per user with the activity segment."""
-    return (
-        stg.where(completed())
-        .groupBy("user_id")
-        .agg(
-            F.count(F.lit(1)).alias("total_transactions"),
-            F.count_distinct("transaction_day").alias("active_days"),
-            _money("amount").alias("total_transaction_value"),
-            F.count("amount").alias("_n"),
-            F.max("transaction_date").alias("last_transaction_date"),
-        )
-        .select(
-            "user_id", "total_transactions", "active_days", "total_transaction_value",
-            S.average(F.col("total_transaction_value"), F.col("_n")).alias(
-                "avg_transaction_amount"
-            ),
-            "last_transaction_date",
-            L.activity_segment(F.col("total_transactions")).alias("user_activity_segment"),
-        )
-    )
+    return activity_base(day_cells(stg)).drop("amount_count")
 
 
 def int_users(users: DataFrame, activity: DataFrame, as_of: datetime) -> DataFrame:
-    """Staged users with their activity. Both sides have one row per user."""
+    """Staged users with their `activity_base`. Both sides have one row per user."""
     a = F.col("user_activity_segment")
+    mean = S.average(F.col("total_transaction_value"), F.col("amount_count"), 2)
     days = F.datediff(F.lit(as_of.date()), F.col("registration_date"))
     enriched = users.join(activity, "user_id", "left").select(
         "user_id", "first_name", "last_name", "full_name", "email", "ip_address",
@@ -304,9 +302,7 @@ def int_users(users: DataFrame, activity: DataFrame, as_of: datetime) -> DataFra
         F.coalesce("total_transaction_value", F.lit(0)).cast("decimal(15,2)").alias(
             "total_lifetime_value"
         ),
-        F.coalesce("avg_transaction_amount", F.lit(0)).cast("decimal(10,2)").alias(
-            "avg_transaction_amount"
-        ),
+        F.coalesce(mean, F.lit(0)).cast("decimal(10,2)").alias("avg_transaction_amount"),
         "last_transaction_date",
         F.coalesce(a, F.lit("no_activity")).alias("user_activity_segment"),
         "data_quality_score", "data_quality_tier", "completeness_flag",
@@ -343,15 +339,13 @@ def spending_base(stg: DataFrame) -> DataFrame:
     )
 
 
-def transaction_sequence(
-    transactions: DataFrame, users: DataFrame, hot: list | None = None
-) -> DataFrame:
+def transaction_sequence(transactions: DataFrame, users: DataFrame) -> DataFrame:
     """Transactions with the user's country and their running number by arrival."""
-    hot = hot_keys_of(transactions, "user_id") if hot is None else hot
     order = [F.col("ingested_at").asc_nulls_last(), F.col("transaction_id").asc_nulls_last()]
     rows = transactions.select("transaction_id", "user_id", "amount", "currency", "ingested_at")
-    numbered = with_group_sequence(rows, "user_id", order, "txn_seq", hot)
+    numbered = with_group_sequence(rows, "user_id", order, "txn_seq")
     countries = users.select("user_id", F.col("country").alias("user_country"))
+    heavy = heavy_keys(transactions, "user_id")
     return salted_left_join(
-        numbered, countries, "user_id", hot, F.col("transaction_id")
+        numbered, countries, "user_id", heavy, F.col("transaction_id")
     ).select("transaction_id", "user_id", "amount", "currency", "user_country", "txn_seq")

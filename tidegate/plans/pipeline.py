@@ -102,18 +102,16 @@ def audit(
 
 
 def build_models(
-    transactions: DataFrame, users: DataFrame, as_of: datetime, salt: str, staged: bool = False
+    transactions: DataFrame, users: DataFrame, as_of: datetime, salt: str
 ) -> dict[str, DataFrame]:
-    """All models over the two published tables, by name.
-
-    With `staged` the enriched rows are computed once for all their readers.
-    """
+    """All models over the two published tables, by name; enriched rows are staged for their readers."""
     stg_tx = staging.stg_transactions(transactions, as_of)
     stg_users = staging.stg_users(users, as_of)
-    enriched = intermediate.int_transactions(stg_tx)
-    int_users = intermediate.int_users(stg_users, intermediate.user_activity(stg_tx), as_of)
-    if staged:
-        enriched, int_users = stage(enriched, "enriched"), stage(int_users, "int-users")
+    by_day = stage(intermediate.day_cells(stg_tx), "day-cells")
+    metrics = intermediate.transaction_metrics(stg_tx, by_day)
+    enriched = stage(intermediate.int_transactions(stg_tx, metrics), "enriched")
+    activity = intermediate.activity_base(by_day)
+    int_users = stage(intermediate.int_users(stg_users, activity, as_of), "int-users")
     facts, fct_users = marts.fct_transactions(enriched), marts.fct_users(int_users)
     return {
         "stg_raw_transactions": stg_tx,
@@ -218,7 +216,7 @@ def _run_phases(spark: SparkSession, cfg: Config, as_of: datetime, result: dict)
     if result["blocked"]:
         return
     published = [cfg.published(entity).read(spark, entity.schema) for entity in raw]
-    models = build_models(*published, as_of, salt, staged=cfg.run_model_tests)
+    models = build_models(*published, as_of, salt)
     models = write_models(models, cfg.root)
     if cfg.run_model_tests:
         result["model_tests"] = _model_test_failures(models, *published)

@@ -1,4 +1,9 @@
-"""Encryption with one key per user, and erasure by destroying the key."""
+"""Encryption with one key per user, and erasure by destroying the key.
+
+Keys lie in a table of their own, of which only the newest snapshot exists; they are never
+staged. Spark's shuffle files hold key bytes until the session ends: switch
+`spark.io.encryption.enabled` on where that matters.
+"""
 
 from __future__ import annotations
 
@@ -11,9 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import moment
-from ..operators.skew import salted_left_join
-from ..runtime import ship_package, stage
+from ..operators.skew import heavy_keys, salted_left_join
+from ..runtime import ship_package
 from ..schemas import ENCRYPTION_KEYS
+from ..sources.tables import SnapshotTable
 
 KEY_BYTES = 16
 # Who processes requests, and on what legal ground.
@@ -28,8 +34,8 @@ def _draw_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield users.assign(encryption_key=keys)
 
 
-def generate_keys(user_ids: DataFrame, as_of: datetime) -> DataFrame:
-    """An active key per user. Staged at once, since a second evaluation draws other keys."""
+def generate_keys(user_ids: DataFrame, as_of: datetime, table: SnapshotTable) -> DataFrame:
+    """An active key per user, written to `table` at once: a second evaluation draws other keys."""
     ship_package(user_ids.sparkSession)
     ids = user_ids.select(F.col("user_id").cast("int")).where("user_id IS NOT NULL").distinct()
     drawn = ids.mapInPandas(_draw_keys, "user_id int, encryption_key binary")
@@ -42,29 +48,26 @@ def generate_keys(user_ids: DataFrame, as_of: datetime) -> DataFrame:
         F.lit(None).cast("string").alias("revoke_reason"),
         F.lit(True).alias("is_active"),
     )
-    return stage(keys.select([f.name for f in ENCRYPTION_KEYS.fields]), "user-keys")
+    table.replace(keys.select([f.name for f in ENCRYPTION_KEYS.fields]))
+    return table.read(user_ids.sparkSession, ENCRYPTION_KEYS)
 
 
-def _with_key(data: DataFrame, keys: DataFrame, hot: list, spread: str) -> DataFrame:
-    active = keys.where("is_active AND encryption_key IS NOT NULL").select(
-        "user_id", F.col("encryption_key").alias("_key")
-    )
-    return salted_left_join(data, active, "user_id", hot, F.col(spread))
+def _with_key(data: DataFrame, keys: DataFrame, spread: str) -> DataFrame:
+    """Add each user's newest active key."""
+    active = keys.where("is_active AND encryption_key IS NOT NULL")
+    newest = active.groupBy("user_id").agg(F.max_by("encryption_key", "key_version").alias("_key"))
+    return salted_left_join(data, newest, "user_id", heavy_keys(data, "user_id"), F.col(spread))
 
 
 def encrypt(
-    data: DataFrame,
-    keys: DataFrame,
-    columns: list[str],
-    hot: list | tuple = (),
-    spread: str = "user_id",
+    data: DataFrame, keys: DataFrame, columns: list[str], spread: str = "user_id"
 ) -> tuple[DataFrame, DataFrame]:
-    """Encrypt `columns` with each user's active key; rows without one are returned apart.
+    """Encrypt `columns` with each user's newest active key; rows without one are returned apart.
 
-    `data` may hold many rows of a user; name hot users in `hot` and a column
-    that differs between their rows in `spread`.
+    `data` may hold many rows of a user; name in `spread` a column that differs between them,
+    by which the rows of a user who holds many are dealt over the tasks.
     """
-    joined = _with_key(data, keys, list(hot), spread)
+    joined = _with_key(data, keys, spread)
     sealed = joined.where("_key IS NOT NULL").withColumns(
         {c: F.aes_encrypt(F.col(c).cast("string"), F.col("_key"), F.lit("GCM")) for c in columns}
     )
@@ -73,18 +76,14 @@ def encrypt(
 
 
 def decrypt(
-    sealed: DataFrame,
-    keys: DataFrame,
-    columns: list[str],
-    hot: list | tuple = (),
-    spread: str = "user_id",
+    sealed: DataFrame, keys: DataFrame, columns: list[str], spread: str = "user_id"
 ) -> DataFrame:
     """Read `columns` back; NULL where the user's key is gone or wrong."""
     opened = {
         c: F.try_aes_decrypt(F.col(c), F.col("_key"), F.lit("GCM")).cast("string")
         for c in columns
     }
-    return _with_key(sealed, keys, list(hot), spread).withColumns(opened).drop("_key")
+    return _with_key(sealed, keys, spread).withColumns(opened).drop("_key")
 
 
 def register_requests(users: DataFrame, as_of: datetime) -> DataFrame:
@@ -102,13 +101,18 @@ def register_requests(users: DataFrame, as_of: datetime) -> DataFrame:
     )
 
 
-def shred(keys: DataFrame, requests: DataFrame, as_of: datetime) -> tuple[DataFrame, DataFrame]:
-    """New snapshots of the keys and of the requests after carrying out the requests.
+def shred(
+    table: SnapshotTable, requests: DataFrame, as_of: datetime
+) -> tuple[DataFrame, DataFrame]:
+    """Carry out the requests on the key table; returns the keys and the requests after it.
 
-    An active key of a requesting user is revoked and its bytes are removed, so
-    nothing encrypted with it can be read again. Many requests of one user
-    combine to one line before they meet the keys.
+    An active key of a requesting user is revoked and its bytes are removed: the snapshot
+    that held them is deleted, so nothing encrypted with it can be read again, and frames
+    over the keys before cannot be read either. Many requests of one user combine to one
+    line before they meet the keys.
     """
+    spark = requests.sparkSession
+    keys = table.read(spark, ENCRYPTION_KEYS)
     wanted = requests.groupBy("user_id").agg(F.max("notes").alias("_reason"), F.lit(True).alias("_hit"))
     joined = keys.join(wanted, "user_id", "left")
     revoke = F.coalesce(F.col("_hit"), F.lit(False)) & F.col("is_active")
@@ -121,6 +125,7 @@ def shred(keys: DataFrame, requests: DataFrame, as_of: datetime) -> tuple[DataFr
             "is_active": F.col("is_active") & ~revoke,
         }
     ).select(keys.columns)
+    table.replace(after)
     done = requests.withColumns(
         {
             "status": F.lit("completed"),
@@ -128,20 +133,21 @@ def shred(keys: DataFrame, requests: DataFrame, as_of: datetime) -> tuple[DataFr
             "processed_by": F.lit(PROCESSOR),
         }
     )
-    return after, done
+    return table.read(spark, ENCRYPTION_KEYS), done
 
 
 def deletion_status(ids: DataFrame, keys: DataFrame, requests: DataFrame) -> DataFrame:
-    """State of key and last completed request for each id; `found` tells whether it has a key."""
+    """State of the newest key and last completed request for each id; `found`: it has a key."""
     completed = (
         requests.where(F.col("status") == "completed")
         .groupBy("user_id")
         .agg(F.max(F.struct("completed_at", "request_id", "notes")).alias("_last"))
     )
-    known = keys.select(
+    newest = F.max(F.struct("key_version", "is_active", "revoked_at")).alias("_newest")
+    known = keys.groupBy("user_id").agg(newest).select(
         "user_id",
-        F.col("is_active").alias("key_active"),
-        F.col("revoked_at").alias("key_revoked"),
+        F.col("_newest.is_active").alias("key_active"),
+        F.col("_newest.revoked_at").alias("key_revoked"),
         F.lit(True).alias("_found"),
     )
     found = F.coalesce(F.col("_found"), F.lit(False))

@@ -13,10 +13,15 @@ def folder(root: str, zone: str, table: str) -> str:
     return f"{root.rstrip('/')}/{zone}/{table}"
 
 
+def _located(spark: SparkSession, path: str) -> tuple:
+    """The path and its file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    p, fs = _located(spark, path)
+    return fs.exists(p)
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -66,6 +71,54 @@ class BucketedTable:
         writer.bucketBy(self.buckets, self.key).saveAsTable(self.name)
 
 
+@dataclass(frozen=True)
+class SnapshotTable:
+    """A table of which only the newest snapshot may exist: an older one is deleted, not kept.
+
+    Each write goes to a numbered folder below `path`; when it is complete, all others are
+    deleted. A reader sees the highest complete number, so a failed write changes nothing,
+    and frames over an earlier snapshot cannot be read after `replace`. Deletion bypasses
+    the trash; an object store must keep no versions of this folder.
+    """
+
+    path: str
+
+    def _folders(self, spark: SparkSession) -> tuple[list[int], list[int]]:
+        """Numbers of all snapshot folders and of the complete ones."""
+        root, fs = _located(spark, self.path)
+        if not fs.exists(root):
+            return [], []
+        names = [f.getPath().getName() for f in fs.listStatus(root)]
+        numbers = sorted(int(n.removeprefix("snapshot-")) for n in names if n.startswith("snapshot-"))
+        complete = [n for n in numbers if exists(spark, f"{self._folder(n)}/_SUCCESS")]
+        return numbers, complete
+
+    def _folder(self, number: int) -> str:
+        return f"{self.path.rstrip('/')}/snapshot-{number}"
+
+    def read(self, spark: SparkSession, schema: StructType) -> DataFrame:
+        _, complete = self._folders(spark)
+        if not complete:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(self._folder(complete[-1]))
+
+    def replace(self, df: DataFrame) -> None:
+        spark = df.sparkSession
+        numbers, _ = self._folders(spark)
+        number = numbers[-1] + 1 if numbers else 1
+        df.write.parquet(self._folder(number))
+        self.remove_older(spark)
+
+    def remove_older(self, spark: SparkSession) -> None:
+        """Delete all but the newest complete snapshot, also what an interrupted run left."""
+        numbers, complete = self._folders(spark)
+        for n in numbers:
+            if n != complete[-1]:
+                old, fs = _located(spark, self._folder(n))
+                if not fs.delete(old, True):
+                    raise OSError(f"could not delete {old}")
+
+
 def replace(df: DataFrame, path: str) -> None:
     """Truncate and reload: a rerun of the same input leaves the same table."""
     df.write.mode("overwrite").parquet(path)
@@ -79,10 +132,22 @@ def read_jdbc(
     column: str | None = None,
     bounds: tuple[int, int] | None = None,
     partitions: int = 64,
+    one_task: bool = False,
 ) -> DataFrame:
-    """A warehouse table; with a numeric `column` and its `bounds` read in parallel ranges."""
+    """A warehouse table, read in parallel ranges of a numeric `column`.
+
+    Without `bounds` the warehouse is asked for the least and the greatest value. Reading
+    it all in one task must be asked for.
+    """
     if column is None:
+        if not one_task:
+            raise ValueError("name a numeric column to read by, or set one_task")
         return spark.read.jdbc(url, table, properties=properties)
+    if bounds is None:
+        ends = f"(SELECT min({column}) AS low, max({column}) AS high FROM {table}) ends"
+        bounds = spark.read.jdbc(url, ends, properties=properties).first()
+        if bounds[0] is None:
+            bounds = (0, 0)
     low, high = bounds
     return spark.read.jdbc(url, table, column, low, high, partitions, properties=properties)
 
