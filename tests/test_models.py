@@ -150,7 +150,9 @@ def test_no_deviation_from_a_mean_that_is_not_positive(spark):
 def test_sequence_and_country(spark, mixed):
     users = spark.createDataFrame([(0, "EC"), (3, "PE")], "user_id int, country string")
     spread = I.transaction_sequence(mixed, users)
-    by_arrival = Window.partitionBy("user_id").orderBy("ingested_at", "transaction_id")
+    by_arrival = Window.partitionBy("user_id").orderBy(
+        F.col("ingested_at").asc_nulls_last(), F.col("transaction_id").asc_nulls_last()
+    )
     plain = mixed.withColumn("txn_seq", F.row_number().over(by_arrival)).join(
         users.withColumnRenamed("country", "user_country"), "user_id", "left"
     )
