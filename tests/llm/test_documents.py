@@ -241,6 +241,41 @@ def test_a_line_of_many_documents_goes_from_all_but_the_first(spark):
     assert all((line in r.text) == (r.doc_id == 0) for r in out)
 
 
+def test_a_passage_of_common_short_lines_is_found_past_their_first_holders(spark):
+    lines = [f"w{k}a w{k}b w{k}c w{k}d w{k}e w{k}f w{k}g w{k}h w{k}i w{k}j" for k in range(5)]
+    rows = [(10 * i + k, f"own {i} {k}\n{x}\nend {i} {k}") for i in range(12) for k, x in enumerate(lines)]
+    rows += [(200 + i, f"start {i}\n" + "\n".join(lines) + f"\nstop {i}") for i in range(30)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r.lines_removed for r in linededup.dedup_lines(frame).collect()}
+    assert all(out[200 + i] == [1, 2, 3, 4, 5] for i in range(1, 30))
+    assert all(not gone for d, gone in out.items() if d <= 200)
+
+
+def test_a_passage_that_its_document_repeats_is_found():
+    p = list(range(5))
+    a, b = [90, *p, 91], [80, *p, 81, *p, 82]
+    held = linededup.patience(a, b)
+    assert [x for x, _ in held] == [1, 2, 3, 4, 5] and [b[y] for _, y in held] == p
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_two_documents_share_a_run_if_and_only_if_they_share_a_long_block(seed):
+    draw = np.random.default_rng(seed)
+    size = {h: int(draw.integers(1, 9)) for h in range(12)}
+    shared = 0
+    for _ in range(200):
+        docs = [draw.integers(0, 12, 14) for _ in range(2)]
+        docs = [(np.sort(draw.choice(18, 14, replace=False)), d) for d in docs]
+        runs = [linededup.passages(p, d, np.array([size[h] for h in d]), 12) for p, d in docs]
+        blocks = []
+        for p, d in docs:
+            own = ((i, j) for i in range(14) for j in range(i, 14) if p[j] - p[i] == j - i)
+            blocks.append({tuple(d[i : j + 1]) for i, j in own if sum(size[h] for h in d[i : j + 1]) >= 12})
+        assert bool(set(runs[0]) & set(runs[1])) == bool(blocks[0] & blocks[1])
+        shared += bool(blocks[0] & blocks[1])
+    assert 0 < shared < 200
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_patience_rises_and_matches(seed):
     draw = random.Random(seed)

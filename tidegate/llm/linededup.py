@@ -1,7 +1,7 @@
 """Line dedup by pairwise alignment.
 
-Documents that share lines are paired through the lines' hashes, each pair is
-aligned with patience diff, and common blocks are deleted from the later document.
+Documents that share rare lines, or a whole passage, are paired through hashes, each
+pair is aligned with patience diff, and common blocks are deleted from the later document.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +24,8 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
 
     Equal ends are aligned first. Between them the lines that occur once on either
     side are anchors, of which the longest rising run stays; the gaps between
-    anchors are aligned the same way.
+    anchors are aligned the same way. Where no line occurs once on either side, the
+    first occurrences of a line are taken for one another, the second ones, and so on.
     """
     found, gaps = [], [(0, len(a), 0, len(b))]
     while gaps:
@@ -39,7 +41,7 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
         in_a, in_b = Counter(a[i:i_end]), Counter(b[j:j_end])
         place = {b[y]: y for y in range(j, j_end) if in_b[b[y]] == 1}
         once = [(x, place[a[x]]) for x in range(i, i_end) if in_a[a[x]] == 1 and a[x] in place]
-        anchors = _rising(once)
+        anchors = _rising(once or _by_occurrence(a, i, i_end, b, j, j_end))
         if not anchors:
             continue
         found += anchors
@@ -52,6 +54,21 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(found)
 
 
+def _by_occurrence(a: list, i: int, i_end: int, b: list, j: int, j_end: int) -> list[tuple[int, int]]:
+    """Places of equal lines that are as often repeated before on either side."""
+    places: dict = {}
+    for y in range(j, j_end):
+        places.setdefault(b[y], []).append(y)
+    seen: Counter = Counter()
+    out = []
+    for x in range(i, i_end):
+        k = seen[a[x]]
+        if k < len(places.get(a[x], ())):
+            out.append((x, places[a[x]][k]))
+        seen[a[x]] += 1
+    return out
+
+
 def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Longest subsequence that rises in the second place, too."""
     tops: list[int] = []
@@ -109,6 +126,26 @@ def common_blocks(
     return gone
 
 
+def passages(pos: np.ndarray, line: np.ndarray, words: np.ndarray, min_words: int) -> list[int]:
+    """Hashes of the shortest runs with `min_words` words that start or end at each line.
+
+    `line` and `words` stand at the rising places `pos`; a run has no place left out.
+    Of two documents with a common block of that many words, both have each of its
+    lines in such a run within the block.
+    """
+    n = len(pos)
+    both = np.column_stack([line, words]).astype("<i8")
+    sums = np.concatenate(([0], np.cumsum(words, dtype=np.int64)))
+    run = np.cumsum(np.diff(pos, prepend=pos[:1]) > 1)
+    here = range(n)
+    stop = (np.searchsorted(sums, sums[:-1] + min_words) - 1).tolist()
+    start = (np.searchsorted(sums, sums[1:] - min_words, side="right") - 1).tolist()
+    spans = {*zip(here, stop, strict=True), *zip(start, here, strict=True)}
+    whole = ((x, y) for x, y in spans if x >= 0 and y < n and run[x] == run[y])
+    found = {xxhash.xxh64_intdigest(both[x : y + 1].tobytes()) for x, y in whole}
+    return np.array(sorted(found), np.uint64).view(np.int64).tolist()
+
+
 def repeated_lines(
     docs: DataFrame, text: str, doc_id: str, min_words: int, rare: int
 ) -> DataFrame:
@@ -129,18 +166,29 @@ def repeated_lines(
         F.min("key").alias("first"), F.max("key").alias("last"), F.count(F.lit(1)).alias("n")
     )
     # Staged, so that the join deals lines only for itself and a hot line can be split.
-    shared = staged(spread.where("first != last").select("h", "w", "first", "n"), "repeated-lines")
+    shared = staged(spread.where("first != last").select("h", "w", "n"), "repeated-lines")
     held = staged(lines.join(shared, ["h", "w"]), "shared-lines")
-    # Rare lines pair every two of their few holders; any others pair each holder with the first.
-    few = held.where(F.col("n") <= rare)
-    holders = few.groupBy("h", "w").agg(F.collect_set("key").alias("keys"))
-    close = holders.select(F.explode("keys").alias("b"), "keys").select("b", F.explode("keys").alias("a"))
-    far = held.where(F.col("n") > rare).select(F.col("key").alias("b"), F.col("first").alias("a"))
-    pairs = close.where("a < b").unionByName(far.where("a < b")).distinct()
     shape = held.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("pos", "h", "w"))).alias("s"))
     shape = staged(
         shape.select("key", *(F.col(f"s.{c}").alias(c) for c in ("pos", "h", "w"))), "shapes"
     )
+
+    # Rare lines pair every two of their few holders.
+    few = held.where(F.col("n") <= rare)
+    holders = few.groupBy("h", "w").agg(F.collect_set("key").alias("keys"))
+    close = holders.select(F.explode("keys").alias("b"), "keys").select("b", F.explode("keys").alias("a"))
+
+    # A passage pairs each holder with the first one, however many hold it or its lines.
+    @F.pandas_udf("array<long>")
+    def runs(pos: pd.Series, line: pd.Series, words: pd.Series) -> pd.Series:
+        rows = zip(pos, line, words, strict=True)
+        return pd.Series([passages(*row, min_words) for row in rows], dtype=object)
+
+    held_runs = staged(shape.select("key", F.explode(runs("pos", "h", "w")).alias("run")), "passages")
+    spread = held_runs.groupBy("run").agg(F.min("key").alias("a"), F.max("key").alias("last"))
+    again = staged(spread.where("a != last").select("run", "a"), "repeated-passages")
+    far = held_runs.join(again, "run").select(F.col("key").alias("b"), "a")
+    pairs = close.where("a < b").unionByName(far.where("a < b")).distinct()
     sides = pairs
     for side in ("a", "b"):
         own = shape.select(F.col("key").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in ("pos", "h", "w")))
