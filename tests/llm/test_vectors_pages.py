@@ -188,3 +188,13 @@ def test_pipeline_runs_and_keeps_its_columns(spark):
         assert out.dtypes == docs.dtypes
     out = corpus_pipeline.run(spark, SF)
     assert out.where("length > 2048 OR offset < 0").count() == 0 and out.count() > 0
+
+
+def test_a_query_gets_all_its_neighbours_though_its_parts_are_small(spark):
+    draw = np.random.default_rng(2)
+    centres = draw.standard_normal((60, 8)) * 50
+    rows = [(i, (centres[i % 60] + draw.standard_normal(8) * 0.01).tolist()) for i in range(300)]
+    frame = spark.createDataFrame([*rows, (0, rows[0][1])], "vec_id long, embedding array<double>")
+    got = ann.search(frame, "vec_id % 100 = 0", k=60, part_rows=16).groupBy("query_id").count().collect()
+    assert {r["query_id"]: r["count"] for r in got} == {0: 60, 100: 60, 200: 60}
+    assert ann.search(frame, "vec_id = 0", k=500, part_rows=16).count() == 299

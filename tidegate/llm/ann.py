@@ -176,15 +176,22 @@ def search(
         for batch in batches:
             yield batch.assign(part=router.logits(matrix(batch.v)).argmax(axis=1))
 
+    index = staged(rows.mapInPandas(assign, "vec_id long, v array<double>, part int"), "index")
+    held = np.zeros(router.second.shape[1], np.int64)
+    for part, n in index.groupBy("part").count().collect():
+        held[part] = n
+
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch.assign(parts=list(router.ranked(matrix(batch.v))[:, : router.probes]))
+            order = router.ranked(matrix(batch.v))
+            # Small parts: go on until there are k rows beside the query's own.
+            lacking = np.cumsum(held[order], axis=1) < (k + batch.copies.to_numpy())[:, None]
+            asked = np.maximum(router.probes, lacking.sum(axis=1) + 1)
+            yield batch[["query_id", "v"]].assign(parts=[o[:n] for o, n in zip(order, asked, strict=True)])
 
-    index = staged(rows.mapInPandas(assign, "vec_id long, v array<double>, part int"), "index")
-    asked = rows.where(query).groupBy("vec_id").agg(F.min("v").alias("v"))
-    asked = asked.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
+    asked = rows.where(query).groupBy("vec_id").agg(F.min("v").alias("v"), F.count(F.lit(1)).alias("copies"))
     routed = staged(
-        asked.withColumnRenamed("q", "v")
+        asked.withColumnRenamed("vec_id", "query_id")
         .mapInPandas(route, "query_id long, v array<double>, parts array<int>")
         .select("query_id", F.col("v").alias("q"), F.explode("parts").alias("part")),
         "routed",
