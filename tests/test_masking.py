@@ -1,3 +1,4 @@
+import pytest
 import random
 import string
 
@@ -76,7 +77,8 @@ def test_pseudonyms(spark):
 
 
 def test_salt_comes_from_the_session(spark):
-    assert M.session_salt(spark) == M.DEFAULT_SALT
+    with pytest.raises(ValueError):
+        M.session_salt(spark)
     spark.conf.set(M.SALT_SETTING, "own")
     try:
         assert M.session_salt(spark) == "own"

@@ -7,7 +7,7 @@ from datetime import datetime
 import pytest
 
 from tidegate import schemas
-from tidegate.plans.pipeline import Config, run_pipeline
+from tidegate.plans.pipeline import Config, register_views, run_pipeline, watch_schemas
 from tidegate.runtime import shared_folder, stage
 from tidegate.sources import pages, tables
 
@@ -65,6 +65,9 @@ def test_gaps_rejects_and_metrics(spark, tmp_path):
         "amount unreadable", "currency too long", "status not allowed", "transaction_id missing",
         "user_id unreadable",
     ]
+    lost = pages.rejects(landed, rows).where("page_text IS NOT NULL").collect()
+    assert [(r["page_text"], r["reject_reason"]) for r in lost] == [('{"page": 6, "meta": {"tot', "page unreadable")]
+    assert pages.rejects(landed, rows).count() == 6
     good = pages.accepted(rows, schemas.TRANSACTION_FIELDS, "transaction_id")
     assert sorted(r["transaction_id"] for r in good.collect()) == [uuid(5), uuid(8), uuid(9)]
     assert [f.dataType for f in good.schema.fields] == [
@@ -148,6 +151,51 @@ def test_masks_reach_prod_and_raw_values_do_not(spark, daily):
     assert all(i.startswith("*" * 32) for i in ids)
 
 
+def test_each_run_logs_a_schema_check_per_table(spark, daily):
+    cfg, runs, _, _ = daily
+    assert all(r["schema_drift"] == [] for r in runs)
+    checks = read(spark, cfg, "audit", "schema_checks")
+    assert checks.count() == 2 * 4 and checks.where("drift_detected").count() == 0
+    later = datetime(2024, 2, 3)
+    changed = {
+        ("prod", "raw_users"): read(spark, cfg, "prod", "raw_users").drop("country").withColumnRenamed("email", "mail"),
+        ("prod", "new"): spark.range(1),
+    }
+    root = str(cfg.root) + "-drift"
+    same = {k: read(spark, cfg, *k) for k in [("prod", "raw_users")]}
+    assert not watch_schemas(spark, root, same, AS_OF).where("drift_detected").count()
+    lines = {r["table_name"]: r for r in watch_schemas(spark, root, changed, later).collect()}
+    assert json.loads(lines["raw_users"]["changes_json"]) == {
+        "new_columns": ["mail"], "removed_columns": ["country", "email"], "type_changes": [],
+    }
+    assert lines["raw_users"]["drift_detected"] and not lines["new"]["drift_detected"]
+    assert json.loads(lines["new"]["schema_json"]) == {"id": {"type": "bigint", "nullable": False}}
+    assert not watch_schemas(spark, root, changed, datetime(2024, 2, 4)).where("drift_detected").count()
+
+
+def test_another_session_reads_every_view(spark, daily):
+    cfg, _, _, _ = daily
+    other = spark.newSession()
+    names = register_views(other, cfg, AS_OF)
+    counts = {n: other.table(n).count() for n in names}
+    people = {n for n in names if n.endswith("_users") or n == "int_users_enriched"}
+    assert len(names) == 19 and {counts.pop(n) for n in people} == {5}
+    assert counts.pop("quality_dashboard") == 1 and counts.pop("freshness_dashboard") == 2
+    assert set(counts.values()) == {250}
+    masked = {r["user_id"]: r["email_masked"] for r in other.table("stg_masked_users").collect()}
+    assert masked[1] == "u1***@mail.org"
+
+
+def test_a_failed_replace_leaves_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.replace(spark.range(3), path)
+    with pytest.raises(Exception):
+        tables.replace(spark.range(4).selectExpr("raise_error('no') AS id"), path)
+    assert spark.read.parquet(path).count() == 3 and os.listdir(tmp_path) == ["t"]
+    tables.replace(spark.range(5), path)
+    assert spark.read.parquet(path).count() == 5 and os.listdir(tmp_path) == ["t"]
+
+
 def test_a_run_removes_its_staged_tables_and_no_others(spark, daily):
     _, _, kept, before = daily
     assert before <= staged_folders(spark) and kept.count() == 3
@@ -159,6 +207,7 @@ def test_a_failed_audit_stops_its_table_and_the_models(spark, tmp_path):
         root=str(tmp_path / "lake"),
         transaction_pages=write_pages(tmp_path / "tx", [tx(1, currency="XXX"), tx(2, currency="XXX"), tx(3)]),
         user_pages=write_pages(tmp_path / "users", [user(i) for i in range(1, 6)]),
+        salt="s",
     )
     result = run_pipeline(spark, cfg, AS_OF, "run-1")
     assert result["status"] == "blocked"
@@ -175,6 +224,7 @@ def test_an_empty_extract_is_blocked_and_tables_may_be_bucketed(spark, tmp_path)
         root=str(tmp_path / "lake"),
         transaction_pages=write_pages(tmp_path / "tx", [tx(1)]),
         user_pages=write_pages(tmp_path / "users", [user(1, ip_address=None)]),
+        salt="s",
         database="default",
         buckets=2,
     )

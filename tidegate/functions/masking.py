@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 log = logging.getLogger(__name__)
 
 SALT_SETTING = "spark.tidegate.pii.salt"
-# Fixed value: the salt in use until a deployment sets its own.
+# Fixed value: the salt of MD5 pseudonyms where none is given.
 DEFAULT_SALT = "DEFAULT_SALT_CHANGE_ME"
 
 # Rule types and the columns they mask by default.
@@ -105,7 +105,11 @@ def mask_ip(ip: Column) -> Column:
 
 
 def session_salt(spark: SparkSession) -> str:
-    return spark.conf.get(SALT_SETTING, None) or DEFAULT_SALT
+    """The session's salt. There is no default: a known salt hides nothing."""
+    salt = spark.conf.get(SALT_SETTING, None)
+    if not salt:
+        raise ValueError(f"set a salt: Config.salt or {SALT_SETTING}")
+    return salt
 
 
 def pseudonym_sha(value: Column, salt: str) -> Column:
@@ -113,7 +117,7 @@ def pseudonym_sha(value: Column, salt: str) -> Column:
     return F.sha2(F.concat(value.cast("string"), F.lit(salt)), 256)
 
 
-def pseudonym_md5(value: Column, salt: str) -> Column:
+def pseudonym_md5(value: Column, salt: str = DEFAULT_SALT) -> Column:
     """`U_` and half the MD5 of salt and value; NULL stays NULL."""
     digest = F.md5(F.concat(F.lit(salt), value.cast("string")))
     return F.concat(F.lit("U_"), F.left(digest, F.lit(16)))

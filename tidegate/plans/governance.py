@@ -168,23 +168,54 @@ def schema_drift(previous: DataFrame, current: DataFrame) -> DataFrame:
     return changes.where("change <> 'new_column'").unionByName(added)
 
 
+def schema_check(history: DataFrame, current: DataFrame, as_of: datetime) -> DataFrame:
+    """One line per table of `current`: its columns, whether they drifted, and how.
+
+    Both frames hold lines of the schema history; tables are compared with their latest
+    snapshot. The first check of a table finds no drift.
+    """
+    tables = current.select(*TABLE_KEY).distinct()
+    previous = latest_snapshot(history).join(tables, TABLE_KEY, "left_semi")
+    column = F.col("column_name")
+    named = lambda change: F.sort_array(
+        F.collect_list(F.when(F.col("change") == change, column))
+    )
+    retyped = F.struct(column.alias("column"), F.col("old_type").alias("old"), F.col("new_type").alias("new"))
+    changes = F.struct(
+        named("new_column").alias("new_columns"),
+        named("removed_column").alias("removed_columns"),
+        F.sort_array(F.collect_list(F.when(F.col("change") == "type_change", retyped))).alias("type_changes"),
+    )
+    drift = schema_drift(previous, current).groupBy(*TABLE_KEY).agg(F.to_json(changes).alias("changes"))
+    entries = F.sort_array(F.collect_list(F.struct("column_name", F.struct("type", "nullable"))))
+    columns = current.groupBy(*TABLE_KEY).agg(F.to_json(F.map_from_entries(entries)).alias("schema_json"))
+    none = '{"new_columns":[],"removed_columns":[],"type_changes":[]}'
+    return columns.join(drift, TABLE_KEY, "left").select(
+        *TABLE_KEY,
+        "schema_json",
+        F.col("changes").isNotNull().alias("drift_detected"),
+        F.coalesce("changes", F.lit(none)).alias("changes_json"),
+        moment(as_of).alias("check_timestamp"),
+    )
+
+
 # --- lineage ---------------------------------------------------------------
 
-# Name, kind, schema and table of each node of the pipeline.
+# Name, kind, schema and table of each node of the pipeline, and what it is.
 NODES = [
-    ("API Transacciones", "source", None, None),
-    ("audit.raw_transactions", "table", "audit", "raw_transactions"),
-    ("prod.raw_transactions", "table", "prod", "raw_transactions"),
-    ("stg_raw_transactions", "model", "staging", "stg_raw_transactions"),
-    ("int_transactions_enriched", "model", "intermediate", "int_transactions_enriched"),
-    ("fct_transactions", "model", "analytics", "fct_transactions"),
-    ("dim_users", "model", "analytics", "dim_users"),
-    ("API Usuarios", "source", None, None),
-    ("audit.raw_users", "table", "audit", "raw_users"),
-    ("prod.raw_users", "table", "prod", "raw_users"),
-    ("stg_raw_users", "model", "staging", "stg_raw_users"),
-    ("int_users_enriched", "model", "intermediate", "int_users_enriched"),
-    ("fct_users", "model", "analytics", "fct_users"),
+    ("API Transacciones", "source", None, None, "transactions as delivered"),
+    ("audit.raw_transactions", "table", "audit", "raw_transactions", "accepted records of the pages"),
+    ("prod.raw_transactions", "table", "prod", "raw_transactions", "audited, cleaned and masked"),
+    ("stg_raw_transactions", "model", "staging", "stg_raw_transactions", "staged transactions"),
+    ("int_transactions_enriched", "model", "intermediate", "int_transactions_enriched", "transactions with metrics"),
+    ("fct_transactions", "model", "analytics", "fct_transactions", "transaction facts"),
+    ("dim_users", "model", "analytics", "dim_users", "user dimension"),
+    ("API Usuarios", "source", None, None, "users as delivered"),
+    ("audit.raw_users", "table", "audit", "raw_users", "accepted records of the pages"),
+    ("prod.raw_users", "table", "prod", "raw_users", "audited, cleaned and masked"),
+    ("stg_raw_users", "model", "staging", "stg_raw_users", "staged users"),
+    ("int_users_enriched", "model", "intermediate", "int_users_enriched", "users with activity"),
+    ("fct_users", "model", "analytics", "fct_users", "user facts"),
 ]
 # From, to, and what happens in between.
 EDGES = [
@@ -204,7 +235,7 @@ EDGES = [
 
 def node_id(name: str) -> str:
     """Nodes with a table are known as schema.table, the others by name."""
-    schema, table = next((s, t) for n, _, s, t in NODES if n == name)
+    schema, table = next((s, t) for n, _, s, t, _ in NODES if n == name)
     return f"{schema}.{table}" if schema and table else name
 
 
@@ -213,9 +244,9 @@ def lineage_rows() -> list[dict]:
     nodes = [
         dict(
             lineage_type="node", node_id=node_id(name), node_name=name, node_type=kind,
-            schema_name=schema, table_name=table,
+            schema_name=schema, table_name=table, description=text,
         )
-        for name, kind, schema, table in NODES
+        for name, kind, schema, table, text in NODES
     ]
     edges = [
         dict(lineage_type="edge", source_id=node_id(a), target_id=node_id(b), transformation=t)
@@ -261,23 +292,17 @@ def lineage_view(log: DataFrame) -> DataFrame:
 # --- PII catalogue ---------------------------------------------------------
 
 # Protected columns and how they are protected.
-_USER_ID = ("direct_identifier", "high", "hash_salting", "production_only", 365)
-_EMAIL = ("contact_information", "high", "hash_sha256", "restricted", 180)
-_ADDRESS = ("device_identifier", "medium", "hash_sha256", "restricted", 90)
-_CONSENT_8 = "Consentimiento del usuario - LDPD Art. 8"
-_CONSENT_12 = "LDPD Art. 12 - Consentimiento"
-_AUDIT_12 = "LDPD Art. 12 - Auditoría de seguridad"
 PII_SEED = [
-    ("audit", "raw_transactions", "user_id", *_USER_ID, _CONSENT_8),
-    ("prod", "raw_transactions", "user_id", *_USER_ID, _CONSENT_8),
-    ("staging", "stg_raw_transactions", "user_id", *_USER_ID, _CONSENT_8),
-    ("audit", "raw_users", "email", *_EMAIL, _CONSENT_12),
-    ("audit", "raw_users", "ip_address", *_ADDRESS, _AUDIT_12),
-    ("prod", "raw_users", "email", *_EMAIL, _CONSENT_12),
-    ("prod", "raw_users", "ip_address", *_ADDRESS, _AUDIT_12),
-    ("staging", "stg_raw_users", "email", *_EMAIL, _CONSENT_12),
-    ("staging", "stg_raw_users", "ip_address", *_ADDRESS, _AUDIT_12),
-]
+    ("audit", "raw_transactions", "user_id", "direct_identifier", "high", "hash_salting", "production_only", 365, "Consentimiento del usuario - LDPD Art. 8"),
+    ("prod", "raw_transactions", "user_id", "direct_identifier", "high", "hash_salting", "production_only", 365, "Consentimiento del usuario - LDPD Art. 8"),
+    ("staging", "stg_raw_transactions", "user_id", "direct_identifier", "high", "hash_salting", "production_only", 365, "Consentimiento del usuario - LDPD Art. 8"),
+    ("audit", "raw_users", "email", "contact_information", "high", "hash_sha256", "restricted", 180, "LDPD Art. 12 - Consentimiento"),
+    ("audit", "raw_users", "ip_address", "device_identifier", "medium", "hash_sha256", "restricted", 90, "LDPD Art. 12 - Auditoría de seguridad"),
+    ("prod", "raw_users", "email", "contact_information", "high", "hash_sha256", "restricted", 180, "LDPD Art. 12 - Consentimiento"),
+    ("prod", "raw_users", "ip_address", "device_identifier", "medium", "hash_sha256", "restricted", 90, "LDPD Art. 12 - Auditoría de seguridad"),
+    ("staging", "stg_raw_users", "email", "contact_information", "high", "hash_sha256", "restricted", 180, "LDPD Art. 12 - Consentimiento"),
+    ("staging", "stg_raw_users", "ip_address", "device_identifier", "medium", "hash_sha256", "restricted", 90, "LDPD Art. 12 - Auditoría de seguridad"),
+]
 PII_KEY = ["schema_name", "table_name", "column_name"]
 
 def pii_seed(spark: SparkSession) -> DataFrame:

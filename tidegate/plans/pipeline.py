@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ from ..operators import modeltests, quality
 from ..runtime import stage, staged_run
 from ..schemas import RecordField
 from ..sources import pages, tables
-from . import governance, intermediate, marts, publish, staging, suites
+from . import governance, intermediate, marts, publish, staging, suites, views
 
 
 @dataclass(frozen=True)
@@ -52,7 +54,7 @@ def land(
     rows = pages.checked(pages.records(landed), fields)
     good = pages.with_ingest_columns(pages.accepted(rows, fields, key), as_of, source)
     tables.replace(good, target)
-    tables.replace(pages.rejected(rows), f"{target}_rejected")
+    tables.replace(pages.rejects(landed, rows), f"{target}_rejected")
     inserted = spark.read.schema(good.schema).parquet(target).count()
     return pages.extraction_metrics(landed, rows, inserted)
 
@@ -102,16 +104,23 @@ def audit(
 
 
 def build_models(
-    transactions: DataFrame, users: DataFrame, as_of: datetime, salt: str
+    transactions: DataFrame,
+    users: DataFrame,
+    as_of: datetime,
+    salt: str,
+    keep: Callable[[DataFrame, str], DataFrame] = stage,
 ) -> dict[str, DataFrame]:
-    """All models over the two published tables, by name; enriched rows are staged for their readers."""
+    """All models over the two published tables, by name.
+
+    `keep` writes the two enriched models for their readers and gives them back.
+    """
     stg_tx = staging.stg_transactions(transactions, as_of)
     stg_users = staging.stg_users(users, as_of)
     by_day = stage(intermediate.day_cells(stg_tx), "day-cells")
     metrics = intermediate.transaction_metrics(stg_tx, by_day)
-    enriched = stage(intermediate.int_transactions(stg_tx, metrics), "enriched")
+    enriched = keep(intermediate.int_transactions(stg_tx, metrics), "int_transactions_enriched")
     activity = intermediate.activity_base(by_day)
-    int_users = stage(intermediate.int_users(stg_users, activity, as_of), "int-users")
+    int_users = keep(intermediate.int_users(stg_users, activity, as_of), "int_users_enriched")
     facts, fct_users = marts.fct_transactions(enriched), marts.fct_users(int_users)
     return {
         "stg_raw_transactions": stg_tx,
@@ -127,6 +136,27 @@ def build_models(
     }
 
 
+def watch_schemas(
+    spark: SparkSession, root: str, stored: dict[tuple[str, str], DataFrame], as_of: datetime
+) -> DataFrame:
+    """Compare tables with their last snapshot, log a line for each, and add the new snapshots.
+
+    `stored` has the frames by schema and table name; only their columns matter.
+    """
+    history_path = tables.folder(root, "audit", "schema_history")
+    history = tables.read_table(spark, history_path, schemas.SCHEMA_HISTORY)
+    snapshots = [
+        governance.schema_snapshot(spark, schema, table, df, as_of)
+        for (schema, table), df in stored.items()
+    ]
+    current = reduce(DataFrame.unionByName, snapshots)
+    checks = stage(governance.schema_check(history, current, as_of), "schema-checks")
+    tables.append(checks, tables.folder(root, "audit", "schema_checks"))
+    tables.append(current, history_path)
+    return checks
+
+
+INTERMEDIATE_MODELS = ("int_transactions_enriched", "int_users_enriched")
 TABLE_MODELS = ("fct_transactions", "dim_users", "fct_users")
 
 
@@ -142,12 +172,66 @@ def write_models(models: dict[str, DataFrame], root: str) -> dict[str, DataFrame
             df = df.repartitionByRange("transaction_date", "transaction_id").sortWithinPartitions(
                 "transaction_date"
             )
-        path = tables.folder(root, "analytics", name)
-        tables.replace(df, path)
-        written[name] = df.sparkSession.read.schema(df.schema).parquet(path)
+        written[name] = _stored(df, tables.folder(root, "analytics", name))
     return {**models, **written}
 
 
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    tables.replace(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored_views(spark: SparkSession, cfg: Config, as_of: datetime) -> dict[str, DataFrame]:
+    """What readers see of the last run, by name: models, role views and dashboards.
+
+    Frames over the stored tables, in any session and at any time; none of the views is a copy
+    of its rows. Models are left out as long as no run has built them.
+    """
+    salt = cfg.salt or session_salt(spark)
+    at = lambda zone, table: tables.folder(cfg.root, zone, table)
+    raw_tx = tables.read_table(spark, at("audit", publish.TRANSACTIONS.table), schemas.RAW_TRANSACTIONS)
+    raw_users = tables.read_table(spark, at("audit", publish.USERS.table), schemas.RAW_USERS)
+    transactions, users = (
+        cfg.published(e).read(spark, e.schema) for e in (publish.TRANSACTIONS, publish.USERS)
+    )
+    stg_tx = staging.stg_transactions(transactions, as_of)
+    # masks are put on raw values: those of masked ones would show other characters
+    unmasked = staging.stg_users(publish.score(raw_users, as_of), as_of)
+    found = {
+        "stg_raw_transactions": stg_tx,
+        "stg_raw_users": staging.stg_users(users, as_of),
+        "stg_masked_transactions": staging.stg_masked_transactions(stg_tx),
+        "stg_masked_users": staging.stg_masked_users(unmasked, cfg.strict_masks),
+        "v_dev_transactions": views.dev_transactions(raw_tx),
+        "v_dev_users": views.dev_users(raw_users),
+        "v_prod_transactions": views.prod_transactions(transactions),
+        "v_prod_users": views.prod_users(users),
+        "v_analytics_tx": views.analyst_transactions(transactions, salt),
+        "v_analytics_users": views.analyst_users(users, salt),
+        "quality_dashboard": governance.quality_dashboard(raw_tx),
+    }
+    names = [("intermediate", n) for n in INTERMEDIATE_MODELS] + [("analytics", n) for n in TABLE_MODELS]
+    for zone, name in names:
+        if tables.exists(spark, at(zone, name)):
+            found[name] = spark.read.parquet(at(zone, name))
+    if "fct_transactions" in found:
+        found["analytics_transactions"] = marts.analytics_transactions(found["fct_transactions"], salt)
+    if "fct_users" in found:
+        found["analytics_users"] = marts.analytics_users(found["fct_users"], salt)
+    monitor = at("audit", "data_freshness_monitor")
+    if tables.exists(spark, monitor):
+        found["freshness_dashboard"] = governance.freshness_dashboard(spark.read.parquet(monitor), as_of)
+    return found
+
+
+def register_views(spark: SparkSession, cfg: Config, as_of: datetime) -> list[str]:
+    """Make `stored_views` available to the session's SQL; returns their names."""
+    found = stored_views(spark, cfg, as_of)
+    for name, df in found.items():
+        df.createOrReplaceTempView(name)
+    return sorted(found)
+
+
 def metric_rows(spark: SparkSession, metrics: dict[str, dict], as_of: datetime) -> DataFrame:
     """Numbers of the run's tasks as lines of the metrics table."""
     rows = [
@@ -213,10 +297,20 @@ def _run_phases(spark: SparkSession, cfg: Config, as_of: datetime, result: dict)
             spark, entity, df, cfg.published(entity), outcome, as_of, salt,
             cfg.rules, cfg.strict_masks,
         )
+    stored = {("audit", e.table): spark.read.parquet(at("audit", e.table)) for e in raw}
+    for entity in raw:
+        prod = cfg.published(entity).as_stored(spark)
+        if prod is not None:
+            stored["prod", entity.table] = prod
+    checks = watch_schemas(spark, cfg.root, stored, as_of)
+    drifted = checks.where("drift_detected").select("schema_name", "table_name").collect()
+    result["schema_drift"] = sorted(".".join(r) for r in drifted)
     if result["blocked"]:
         return
     published = [cfg.published(entity).read(spark, entity.schema) for entity in raw]
-    models = build_models(*published, as_of, salt)
+    models = build_models(
+        *published, as_of, salt, lambda df, name: _stored(df, at("intermediate", name))
+    )
     models = write_models(models, cfg.root)
     if cfg.run_model_tests:
         result["model_tests"] = _model_test_failures(models, *published)

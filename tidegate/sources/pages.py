@@ -79,6 +79,19 @@ def rejected(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("reject_reason").isNotNull())
 
 
+def unreadable(pages: DataFrame) -> DataFrame:
+    """The text of pages that are no readable JSON."""
+    text = F.col(CORRUPT)
+    return pages.where(text.isNotNull()).select(
+        text.alias("page_text"), F.lit("page unreadable").alias("reject_reason")
+    )
+
+
+def rejects(pages: DataFrame, rows: DataFrame) -> DataFrame:
+    """All that is not taken: records with a problem, and the text of unreadable pages."""
+    return rejected(rows).unionByName(unreadable(pages), allowMissingColumns=True)
+
+
 def with_ingest_columns(rows: DataFrame, as_of: datetime, source: str) -> DataFrame:
     return rows.withColumns(
         {

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +48,10 @@ class FolderTable:
     def append(self, df: DataFrame) -> None:
         append(df, self.path)
 
+    def as_stored(self, spark: SparkSession) -> DataFrame | None:
+        """The table with the columns its files have; None before its first write."""
+        return spark.read.parquet(self.path) if exists(spark, self.path) else None
+
 
 @dataclass(frozen=True)
 class BucketedTable:
@@ -70,6 +75,9 @@ class BucketedTable:
         writer = rows.write.mode("append").format("parquet")
         writer.bucketBy(self.buckets, self.key).saveAsTable(self.name)
 
+    def as_stored(self, spark: SparkSession) -> DataFrame | None:
+        return spark.table(self.name) if spark.catalog.tableExists(self.name) else None
+
 
 @dataclass(frozen=True)
 class SnapshotTable:
@@ -120,8 +128,24 @@ class SnapshotTable:
 
 
 def replace(df: DataFrame, path: str) -> None:
-    """Truncate and reload: a rerun of the same input leaves the same table."""
-    df.write.mode("overwrite").parquet(path)
+    """Truncate and reload: a rerun of the same input leaves the same table.
+
+    The rows are written beside the table and take its place when they are complete, so a
+    failed write leaves the old table. `path` may not be read by `df` after that.
+    """
+    spark = df.sparkSession
+    fresh, fs = _located(spark, f"{path.rstrip('/')}.new-{uuid.uuid4().hex}")
+    try:
+        df.write.parquet(fresh.toString())
+    except Exception:
+        fs.delete(fresh, True)
+        raise
+    old, _ = _located(spark, path)
+    if fs.exists(old) and not fs.delete(old, True):
+        raise OSError(f"could not delete {old}")
+    if not fs.rename(fresh, old):
+        raise OSError(f"could not rename {fresh} to {old}")
+    spark.catalog.refreshByPath(path)
 
 
 def read_jdbc(
