@@ -114,6 +114,21 @@ FROM {lineitem} WHERE l_linestatus = 'F' GROUP BY 1, 2, 3""",
 SELECT 'lake' AS schema_name, concat('order_', CAST(l_orderkey AS STRING)) AS table_name,
   concat('line_', CAST(l_linenumber AS STRING)) AS column_name, min(l_returnflag) AS type
 FROM {lineitem} WHERE l_linestatus = 'O' GROUP BY 1, 2, 3""",
+    # snapshots of each supplier's table, and its columns now: some tables are new, one column
+    # is called otherwise
+    "schema_checks": """
+SELECT 'lake' AS schema_name, concat('supplier_', CAST(l_suppkey AS STRING)) AS table_name,
+  concat('line_', CAST(l_linenumber AS STRING)) AS column_name, max(l_returnflag) AS type,
+  max(l_linestatus) = 'O' AS nullable, l_shipdate AS check_timestamp
+FROM {lineitem} GROUP BY l_suppkey, l_linenumber, l_shipdate""",
+    "schema_columns": """
+SELECT 'lake' AS schema_name,
+  concat(CASE WHEN l_suppkey % 10 = 0 THEN 'new_' ELSE '' END, 'supplier_',
+         CAST(l_suppkey AS STRING)) AS table_name,
+  CASE WHEN l_linenumber = 1 THEN 'first' ELSE concat('line_', CAST(l_linenumber AS STRING)) END
+    AS column_name,
+  min(l_returnflag) AS type, min(l_linestatus) = 'O' AS nullable
+FROM {lineitem} GROUP BY l_suppkey, l_linenumber""",
     "monitor": """
 SELECT event_type AS table_name, ts AS actual_arrival_time FROM {events}""",
     "logs": """

@@ -8,11 +8,7 @@ from __future__ import annotations
 
 import re
 
-from tidegate.operators import modeltests, quality
-from tidegate.plans import governance, suites
-
 from .fixtures import FIXTURES, SALT, fixture_sql
-from .queries import SINGLE_CHECKS, SUITE_RUNS
 
 AS_OF = "TIMESTAMP '2024-02-01 00:00:00'"
 FRESH_AS_OF = "TIMESTAMP '2024-01-31 03:00:00'"
@@ -260,24 +256,79 @@ WHERE pii_sensitivity = 'low' OR retention_days > 200
 UNION ALL
 SELECT * FROM catalog_lines WHERE NOT (pii_sensitivity = 'low' OR retention_days > 200)
 UNION ALL
-SELECT * FROM (VALUES %s) seed(schema_name, table_name, column_name, pii_category,
-  pii_sensitivity, protection_method, access_restriction, retention_days, legal_basis)"""
-    % ",\n  ".join(str(row) for row in governance.PII_SEED),
+SELECT * FROM (VALUES
+  ('audit', 'raw_transactions', 'user_id', 'direct_identifier', 'high', 'hash_salting', 'production_only', 365, 'Consentimiento del usuario - LDPD Art. 8'),
+  ('prod', 'raw_transactions', 'user_id', 'direct_identifier', 'high', 'hash_salting', 'production_only', 365, 'Consentimiento del usuario - LDPD Art. 8'),
+  ('staging', 'stg_raw_transactions', 'user_id', 'direct_identifier', 'high', 'hash_salting', 'production_only', 365, 'Consentimiento del usuario - LDPD Art. 8'),
+  ('audit', 'raw_users', 'email', 'contact_information', 'high', 'hash_sha256', 'restricted', 180, 'LDPD Art. 12 - Consentimiento'),
+  ('audit', 'raw_users', 'ip_address', 'device_identifier', 'medium', 'hash_sha256', 'restricted', 90, 'LDPD Art. 12 - Auditoría de seguridad'),
+  ('prod', 'raw_users', 'email', 'contact_information', 'high', 'hash_sha256', 'restricted', 180, 'LDPD Art. 12 - Consentimiento'),
+  ('prod', 'raw_users', 'ip_address', 'device_identifier', 'medium', 'hash_sha256', 'restricted', 90, 'LDPD Art. 12 - Auditoría de seguridad'),
+  ('staging', 'stg_raw_users', 'email', 'contact_information', 'high', 'hash_sha256', 'restricted', 180, 'LDPD Art. 12 - Consentimiento'),
+  ('staging', 'stg_raw_users', 'ip_address', 'device_identifier', 'medium', 'hash_sha256', 'restricted', 90, 'LDPD Art. 12 - Auditoría de seguridad')
+) seed(schema_name, table_name, column_name, pii_category,
+  pii_sensitivity, protection_method, access_restriction, retention_days, legal_basis)""",
+    "lineage_nodes": """
+SELECT *, CASE WHEN schema_name IS NULL THEN node_name ELSE schema_name || '.' || table_name END
+  AS node_id
+FROM (VALUES
+  ('API Transacciones', 'source', NULL, NULL, 'transactions as delivered'),
+  ('audit.raw_transactions', 'table', 'audit', 'raw_transactions', 'accepted records of the pages'),
+  ('prod.raw_transactions', 'table', 'prod', 'raw_transactions', 'audited, cleaned and masked'),
+  ('stg_raw_transactions', 'model', 'staging', 'stg_raw_transactions', 'staged transactions'),
+  ('int_transactions_enriched', 'model', 'intermediate', 'int_transactions_enriched', 'transactions with metrics'),
+  ('fct_transactions', 'model', 'analytics', 'fct_transactions', 'transaction facts'),
+  ('dim_users', 'model', 'analytics', 'dim_users', 'user dimension'),
+  ('API Usuarios', 'source', NULL, NULL, 'users as delivered'),
+  ('audit.raw_users', 'table', 'audit', 'raw_users', 'accepted records of the pages'),
+  ('prod.raw_users', 'table', 'prod', 'raw_users', 'audited, cleaned and masked'),
+  ('stg_raw_users', 'model', 'staging', 'stg_raw_users', 'staged users'),
+  ('int_users_enriched', 'model', 'intermediate', 'int_users_enriched', 'users with activity'),
+  ('fct_users', 'model', 'analytics', 'fct_users', 'user facts')
+) n(node_name, node_type, schema_name, table_name, description)""",
+    "lineage_edges": """
+SELECT s.node_id AS source_id, t.node_id AS target_id, transformation
+FROM (VALUES
+  ('API Transacciones', 'audit.raw_transactions', 'land pages'),
+  ('audit.raw_transactions', 'prod.raw_transactions', 'publish completed, positive amounts'),
+  ('prod.raw_transactions', 'stg_raw_transactions', 'normalise types'),
+  ('stg_raw_transactions', 'int_transactions_enriched', 'add metrics'),
+  ('int_transactions_enriched', 'fct_transactions', 'keep score of 0.7 and more'),
+  ('int_users_enriched', 'dim_users', 'segment users'),
+  ('API Usuarios', 'audit.raw_users', 'land pages'),
+  ('audit.raw_users', 'prod.raw_users', 'publish with masked e-mail and address'),
+  ('prod.raw_users', 'stg_raw_users', 'normalise types'),
+  ('stg_raw_users', 'int_users_enriched', 'add activity'),
+  ('int_users_enriched', 'fct_users', 'keep trusted and acceptable')
+) e(source, target, transformation)
+  JOIN lineage_nodes s ON e.source = s.node_name JOIN lineage_nodes t ON e.target = t.node_name""",
     "lineage": """
-SELECT r.dag_execution_id, g.* FROM runs r, (VALUES %s) g(lineage_type, node_id, node_name,
-  node_type, schema_name, table_name, source_id, target_id, transformation)"""
-    % ",\n  ".join(
-        "("
-        + ", ".join(
-            "CAST(NULL AS VARCHAR)" if row.get(c) is None else f"'{row[c]}'"
-            for c in (
-                "lineage_type", "node_id", "node_name", "node_type", "schema_name", "table_name",
-                "source_id", "target_id", "transformation",
-            )
-        )
-        + ")"
-        for row in governance.lineage_rows()
-    ),
+SELECT r.dag_execution_id, 'node' AS lineage_type, node_id, node_name, node_type, schema_name,
+  table_name, description, NULL AS source_id, NULL AS target_id, NULL AS transformation
+FROM runs r CROSS JOIN lineage_nodes g
+UNION ALL
+SELECT r.dag_execution_id, 'edge', NULL, NULL, NULL, NULL, NULL, NULL, source_id, target_id,
+  transformation
+FROM runs r CROSS JOIN lineage_edges g""",
+    "schema_last": """
+SELECT * FROM schema_checks JOIN (SELECT table_name, max(check_timestamp) AS check_timestamp
+  FROM schema_checks GROUP BY table_name) USING (table_name, check_timestamp)""",
+    "schema_changes": """
+SELECT coalesce(b.table_name, n.table_name) AS table_name,
+  coalesce(b.column_name, n.column_name) AS column_name, b.type AS was, n.type AS is_now
+FROM (SELECT * FROM schema_last WHERE table_name IN (SELECT table_name FROM schema_columns)) b
+  FULL JOIN (SELECT * FROM schema_columns WHERE table_name IN (SELECT table_name FROM schema_last)) n
+  ON b.table_name = n.table_name AND b.column_name = n.column_name
+WHERE b.type IS DISTINCT FROM n.type""",
+    "schema_lists": """
+SELECT table_name,
+  string_agg('"' || column_name || '"', ',' ORDER BY column_name) FILTER (WHERE was IS NULL)
+    AS added,
+  string_agg('"' || column_name || '"', ',' ORDER BY column_name) FILTER (WHERE is_now IS NULL)
+    AS removed,
+  string_agg('{"column":"' || column_name || '","old":"' || was || '","new":"' || is_now || '"}',
+    ',' ORDER BY column_name) FILTER (WHERE was IS NOT NULL AND is_now IS NOT NULL) AS retyped
+FROM schema_changes GROUP BY table_name""",
 }
 
 _TEXTS = {**{n: fixture_sql(n) for n in FIXTURES}, **MODELS}
@@ -306,59 +357,123 @@ def _literal(value) -> str:
     return "'" + str(value).replace("'", "''") + "'"
 
 
-def _cell_ok(kind: str, c: str, kw: dict) -> str:
-    if kind == quality.IN_SET:
-        return f"{c} IN ({', '.join(map(_literal, kw['value_set']))})"
-    if kind == quality.REGEX:
-        return f"regexp_matches(CAST({c} AS VARCHAR), {_literal(kw['regex'])})"
-    value = f"length({c})" if kind == quality.LENGTH else c
-    return f"{value} BETWEEN {kw['min_value']} AND {kw['max_value']}"
-
-
-def _check_line(table: str, no: int, exp: quality.Expectation) -> str:
-    c, kw = exp.column, exp.kwargs
-    seen, bad = "count(*)", "0"
-    source = table
-    if exp.kind == quality.ROW_COUNT:
-        bad = f"CASE WHEN count(*) >= {kw['min_value']} THEN 0 ELSE 1 END"
-    elif exp.kind == quality.NOT_NULL:
-        bad = f"count(*) FILTER (WHERE {c} IS NULL)"
-    elif exp.kind == quality.UNIQUE:
+# Type, column, what a cell (or the table) must satisfy, description, share.
+# A condition of None marks a line that cannot be evaluated.
+_ROWS = "expect_table_row_count_to_be_between"
+_SET = "expect_column_values_to_not_be_null"
+_ONCE = "expect_column_values_to_be_unique"
+_AMONG = "expect_column_values_to_be_in_set"
+_LIKE = "expect_column_values_to_match_regex"
+_WITHIN = "expect_column_values_to_be_between"
+_LONG = "expect_column_value_lengths_to_be_between"
+_IS_UUID = (
+    "regexp_matches(transaction_id, "
+    "'^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$')"
+)
+_IS_IPV4 = (
+    "regexp_matches(ip_address, '^(?:(?:25[0-5]|2[0-4][0-9]|[01]?[0-9][0-9]?)\\.){3}"
+    "(?:25[0-5]|2[0-4][0-9]|[01]?[0-9][0-9]?)$')"
+)
+_MAIL = r"regexp_matches(email, '^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$')"
+_TX_CRITICAL = [
+    (_ROWS, None, "total >= 1", "table has rows", 1),
+    (_SET, "user_id", None, "user_id is set", 1),
+    (_SET, "transaction_id", None, "transaction_id is set", 1),
+    (_ONCE, "transaction_id", None, "transaction_id is unique", 1),
+    (_AMONG, "currency", "currency IN ('USD', 'EUR', 'GBP')", "currency is known", 1),
+    (_AMONG, "status", "status IN ('COMPLETED', 'PENDING', 'FAILED')", "status is known", 1),
+    (_LIKE, "transaction_id", _IS_UUID, "transaction_id is a UUID", 1),
+]
+_TX_WARNINGS = [
+    (_WITHIN, "amount", "amount BETWEEN 0.01 AND 100000", "amount is positive and plausible", 0.99),
+    ("expect_column_values_to_be_match_regex", "transaction_id", None, "transaction_id is a UUID", 1),
+]
+_USERS_CRITICAL = [
+    (_ROWS, None, "total >= 1", "table has rows", 1),
+    (_SET, "user_id", None, "user_id is set", 1),
+    (_ONCE, "user_id", None, "user_id is unique", 1),
+    (_SET, "first_name", None, "first_name is set", 1),
+    (_SET, "last_name", None, "last_name is set", 1),
+    (
+        _LIKE, "registration_date",
+        r"regexp_matches(CAST(registration_date AS VARCHAR), '^\d{4}-\d{2}-\d{2}$')",
+        "registration_date is a date", 1,
+    ),
+    (
+        _LIKE, "ip_address", r"regexp_matches(ip_address, '^(?:[0-9]{1,3}\.){3}[0-9]{1,3}$')",
+        "ip_address looks like IPv4", 1,
+    ),
+    (_SET, "ip_address", None, "ip_address is set", 1),
+    (
+        _LIKE, "registration_date",
+        r"regexp_matches(CAST(registration_date AS VARCHAR), '^\d{4}-\d{2}-\d{2}')",
+        "registration_date starts with a date", 1,
+    ),
+    (_LIKE, "ip_address", _IS_IPV4, "ip_address is IPv4", 1),
+]
+_USERS_WARNINGS = [
+    (_SET, "email", None, "email is mostly set", 0.95),
+    (_LIKE, "email", _MAIL, "email is well formed", 0.95),
+    (_LONG, "first_name", "length(first_name) BETWEEN 1 AND 50", "first_name has 1-50 characters", 1),
+    (_LONG, "last_name", "length(last_name) BETWEEN 1 AND 50", "last_name has 1-50 characters", 1),
+    (_LONG, "country", "length(country) BETWEEN 2 AND 50", "country has 2-50 characters", 1),
+]
+_BROKEN = [
+    (_AMONG, "currency", None, "no set", 1),
+    (_LIKE, "currency", None, "no pattern", 1),
+    (_WITHIN, "status", None, "text in a range", 1),
+    (_SET, "absent", "no such column", "no column", 1),
+    ("expect_magic", "status", None, "no such type", 1),
+    (_SET, "user_id", None, "half is set", 0.5),
+]
+_SINGLE = {
+    "dq_row_count": ("dirty", _ROWS, None, "total >= 1", 1),
+    "dq_not_null": ("dirty", _SET, "user_id", None, 0.9),
+    "dq_unique": ("dirty", _ONCE, "transaction_id", None, 1),
+    "dq_in_set": ("dirty", _AMONG, "currency", "currency IN ('USD', 'EUR', 'GBP')", 1),
+    "dq_regex": ("dirty", _LIKE, "transaction_id", _IS_UUID, 1),
+    "dq_between": ("dirty", _WITHIN, "amount", "amount BETWEEN 0.01 AND 100000", 0.99),
+    "dq_length": ("users", _LONG, "first_name", "length(first_name) BETWEEN 1 AND 12", 1),
+}
+
+
+def _check_line(table: str, no: int, severity: str, line: tuple) -> str:
+    kind, c, test, description, mostly = line
+    source, passes = table, f"evaluated = 0 OR (evaluated - unexpected) / evaluated >= {mostly}"
+    if kind == _ROWS:
+        seen, bad, passes = "count(*)", "CASE WHEN count(*) >= 1 THEN 0 ELSE 1 END", test
+    elif kind == _SET and test is None:
+        seen, bad = "count(*)", f"count(*) FILTER (WHERE {c} IS NULL)"
+    elif kind == _ONCE:
         source = f"(SELECT *, count(*) OVER (PARTITION BY {c}) AS copies FROM {table})"
         seen, bad = f"count({c})", f"count({c}) FILTER (WHERE copies > 1)"
-    elif exp.kind in quality.SUPPORTED:
-        seen = f"count({c})"
-        bad = f"count(*) FILTER (WHERE {c} IS NOT NULL AND NOT ({_cell_ok(exp.kind, c, kw)}))"
+    elif test and test != "no such column":
+        seen, bad = f"count({c})", f"count(*) FILTER (WHERE {c} IS NOT NULL AND NOT ({test}))"
     else:
-        seen = bad = "NULL"
-    status = (
-        f"CASE WHEN total = 0 THEN 'failed' WHEN evaluated = 0 "
-        f"OR (evaluated - unexpected) / evaluated >= {exp.mostly} THEN 'passed' ELSE 'failed' END"
-        if exp.kind in quality.SUPPORTED
-        else "'error'"
-    )
-    if exp.kind == quality.ROW_COUNT:
-        status = "CASE WHEN unexpected = 0 THEN 'passed' ELSE 'failed' END"
+        seen = bad = passes = "NULL"
+    status = f"CASE WHEN total = 0 THEN 'failed' WHEN {passes} THEN 'passed' ELSE 'failed' END"
+    if passes == "NULL":
+        status = "'error'"
     column = "CAST(NULL AS VARCHAR)" if c is None else _literal(c)
     return f"""
-SELECT CAST({no} AS INT) AS expectation_no, {_literal(exp.kind)} AS expectation_type,
-  {column} AS column_name, {_literal(exp.severity)} AS severity,
-  {_literal(exp.description)} AS description, total AS element_count,
+SELECT CAST({no} AS INT) AS expectation_no, {_literal(kind)} AS expectation_type,
+  {column} AS column_name, {_literal(severity)} AS severity,
+  {_literal(description)} AS description, total AS element_count,
   CAST(evaluated AS BIGINT) AS evaluated_count, CAST(unexpected AS BIGINT) AS unexpected_count,
   {status} AS status
 FROM (SELECT count(*) AS total, {seen} AS evaluated, {bad} AS unexpected FROM {source})"""
 
 
-def _suite_sql(table: str, suite: quality.Suite) -> str:
+def _suite_sql(table: str, severity: str, lines: list[tuple]) -> str:
     return "\nUNION ALL".join(
-        _check_line(table, no, e) for no, e in enumerate(suite.expectations, start=1)
+        _check_line(table, no, severity, line) for no, line in enumerate(lines, start=1)
     )
 
 
-def _log_sql(table: str, name: str, critical: quality.Suite, warning: quality.Suite) -> str:
+def _log_sql(table: str, name: str, suite: str, critical: list[tuple], warning: list[tuple]) -> str:
     lines = (
-        f"SELECT 'critical' AS tier, * FROM ({_suite_sql(table, critical)}) "
-        f"UNION ALL SELECT 'warning' AS tier, * FROM ({_suite_sql(table, warning)})"
+        f"SELECT 'critical' AS tier, * FROM ({_suite_sql(table, 'CRITICAL', critical)}) "
+        f"UNION ALL SELECT 'warning' AS tier, * FROM ({_suite_sql(table, 'WARNING', warning)})"
     )
     text = (
         "CASE WHEN status = 'error' THEN expectation_type || ' (error)' ELSE '[' || severity "
@@ -367,7 +482,7 @@ def _log_sql(table: str, name: str, critical: quality.Suite, warning: quality.Su
     bad = "status <> 'passed'"
     return f"""
 SELECT '{name}' AS table_name,
-  CASE WHEN blocked THEN '{critical.name}' ELSE 'COMBINED_SUITES' END AS expectation_suite_name,
+  CASE WHEN blocked THEN '{suite}' ELSE 'COMBINED_SUITES' END AS expectation_suite_name,
   CASE WHEN blocked THEN cn ELSE n END AS n_expectations,
   CASE WHEN blocked THEN cb ELSE b END AS n_failed,
   CAST(round(CASE WHEN blocked THEN (cn - cb) * 100.0 / cn ELSE (n - b) * 100.0 / n END, 2)
@@ -395,29 +510,57 @@ _TESTED = {
 }
 
 
-def _model_test_line(t: modeltests.ModelTest) -> str:
-    table, c = _TESTED[t.model], t.column
-    if t.kind == "unique":
+# Model, column, declared test, and the condition of a row that breaks it.
+_MODEL_TESTS = [
+    ("stg_raw_transactions", "transaction_id", "unique", None),
+    ("stg_raw_transactions", "transaction_id", "not_null", None),
+    ("stg_raw_transactions", "user_id", "not_null", None),
+    ("stg_raw_transactions", "product_category", "not_null", None),
+    ("stg_raw_transactions", "amount", "not_null", None),
+    ("stg_raw_transactions", "amount", "accepted_range", "amount <= 0"),
+    ("stg_raw_transactions", "currency", "accepted_values", "currency NOT IN ('USD', 'EUR', 'GBP')"),
+    ("stg_raw_transactions", "status", "accepted_values", "status NOT IN ('COMPLETED', 'PENDING', 'FAILED')"),
+    ("stg_raw_transactions", "data_quality_score", "accepted_range", "data_quality_score < 0 OR data_quality_score > 1"),
+    ("stg_raw_transactions", "data_quality_tier", "accepted_values", "data_quality_tier NOT IN ('high', 'medium', 'low')"),
+    ("stg_raw_transactions", "transaction_value_tier", "accepted_values", "transaction_value_tier NOT IN ('high_value', 'medium_value', 'low_value')"),
+    ("int_transactions_enriched", "transaction_id", "unique", None),
+    ("int_transactions_enriched", "transaction_id", "not_null", None),
+    ("int_transactions_enriched", "composite_reliability_score", "accepted_range", "composite_reliability_score < 0 OR composite_reliability_score > 1"),
+    ("fct_transactions", "transaction_id", "unique", None),
+    ("fct_transactions", "transaction_id", "not_null", None),
+    ("fct_transactions", "amount", "not_null", None),
+    ("fct_transactions", "amount", "accepted_range", "amount < 0"),
+    ("fct_transactions", "data_quality_score", "accepted_range", "data_quality_score < 0.7"),
+    ("fct_transactions", "is_anomaly", "accepted_values", "is_anomaly NOT IN (true, false)"),
+    ("dim_users", "user_id", "unique", None),
+    ("dim_users", "user_id", "not_null", None),
+    ("dim_users", "lifetime_value", "not_null", None),
+    ("dim_users", "is_active_user", "accepted_values", "is_active_user NOT IN (true, false)"),
+    ("dim_users", "is_churned_user", "accepted_values", "is_churned_user NOT IN (true, false)"),
+    ("dim_users", "rfm_score", "accepted_range", "rfm_score < 1 OR rfm_score > 5"),
+    ("prod.raw_transactions", "transaction_id", "unique", None),
+    ("prod.raw_transactions", "transaction_id", "not_null", None),
+    ("prod.raw_transactions", "user_id", "not_null", None),
+    ("prod.raw_transactions", "amount", "not_null", None),
+    ("prod.raw_users", "user_id", "unique", None),
+    ("prod.raw_users", "user_id", "not_null", None),
+    ("prod.raw_users", "registration_date", "not_null", None),
+]
+
+
+def _model_test_line(model: str, c: str, kind: str, breaks: str | None) -> str:
+    table = _TESTED[model]
+    if kind == "unique":
         found = f"SELECT {c} FROM {table} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1"
-    elif t.kind == "not_null":
-        found = f"SELECT {c} FROM {table} WHERE {c} IS NULL"
-    elif t.kind == "accepted_values":
-        values = ", ".join(
-            str(v).lower() if isinstance(v, bool) else _literal(v) for v in t.values
-        )
-        found = f"SELECT {c} FROM {table} WHERE {c} NOT IN ({values})"
     else:
-        eq = "" if t.inclusive else "="
-        tests = [f"{c} <{eq} {t.low}"] if t.low is not None else []
-        tests += [f"{c} >{eq} {t.high}"] if t.high is not None else []
-        found = f"SELECT {c} FROM {table} WHERE {' OR '.join(tests)}"
+        found = f"SELECT {c} FROM {table} WHERE {breaks or c + ' IS NULL'}"
     return f"""
-SELECT '{t.model}' AS model, '{c}' AS column_name, '{t.kind}' AS test, count(*) AS failures,
+SELECT '{model}' AS model, '{c}' AS column_name, '{kind}' AS test, count(*) AS failures,
   count(*) = 0 AS passed FROM ({found})"""
 
 
 def _model_tests_sql(kind: str) -> str:
-    return "\nUNION ALL".join(_model_test_line(t) for t in modeltests.DECLARED if t.kind == kind)
+    return "\nUNION ALL".join(_model_test_line(*t) for t in _MODEL_TESTS if t[2] == kind)
 
 
 # --- queries ---------------------------------------------------------------
@@ -446,6 +589,10 @@ FROM checked_wire WHERE reject_reason IS NULL
 QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY event_id) = 1""",
     "page_gap_report": """
 SELECT page FROM numbered_pages WHERE opens_with IN ('ERROR', 'SIGNUP')""",
+    "corrupt_pages": """
+SELECT left('{"page":' || page || ',"meta":{"total_pages":' || (SELECT max(page) FROM numbered_pages)
+    || '},"data":[', 40) AS page_text, 'page unreadable' AS reject_reason
+FROM numbered_pages WHERE opens_with = 'SIGNUP'""",
     "reject_split": """
 SELECT transaction_id, user_id, product_category, amount, currency, transaction_date, status,
   reject_reason FROM checked_wire WHERE reject_reason IS NOT NULL""",
@@ -481,16 +628,20 @@ SELECT user_id, first_name, last_name, {_tail("email", 4)} AS email,
 FROM raw_users WHERE user_id IS NOT NULL AND email IS NOT NULL
   AND first_name IS NOT NULL AND last_name IS NOT NULL AND country IS NOT NULL""",
     **{
-        name: _suite_sql(t, quality.Suite("", [quality.Expectation(kind, kw, kind, "CHECK")]))
-        for name, (t, kind, kw) in SINGLE_CHECKS.items()
+        name: _suite_sql(t, "CHECK", [(kind, c, test, kind, mostly)])
+        for name, (t, kind, c, test, mostly) in _SINGLE.items()
     },
-    **{name: _suite_sql(t, suite) for name, (t, suite) in SUITE_RUNS.items()},
+    "dq_suite_tx_critical": _suite_sql("dirty", "CRITICAL", _TX_CRITICAL),
+    "dq_suite_tx_warning": _suite_sql("dirty", "WARNING", _TX_WARNINGS),
+    "dq_suite_users_critical": _suite_sql("users", "CRITICAL", _USERS_CRITICAL),
+    "dq_suite_users_warning": _suite_sql("users", "WARNING", _USERS_WARNINGS),
+    "dq_suite_with_errors": _suite_sql("dirty", "CHECK", _BROKEN),
+    "dq_suite_empty": f"SELECT * FROM ({_suite_sql('dirty', 'CHECK', _BROKEN)}) WHERE false",
     "dq_combined_log": _log_sql(
-        "dirty", "audit.raw_transactions",
-        suites.TRANSACTIONS_CRITICAL, suites.TRANSACTIONS_WARNINGS,
+        "dirty", "audit.raw_transactions", "transactions_critical_suite", _TX_CRITICAL, _TX_WARNINGS
     )
     + "\nUNION ALL"
-    + _log_sql("users", "audit.raw_users", suites.USERS_CRITICAL, suites.USERS_WARNINGS),
+    + _log_sql("users", "audit.raw_users", "users_critical_suite", _USERS_CRITICAL, _USERS_WARNINGS),
     "null_profile_users": """
 SELECT count(*) - count(user_id) AS null_ids, count(*) - count(first_name) AS null_first_name,
   count(*) - count(last_name) AS null_last_name, count(*) - count(ip_address) AS null_ips,
@@ -585,7 +736,10 @@ SELECT user_id, CASE WHEN length(email) <= 5 THEN '***' ELSE left(email, 2) || '
   || right(email, length(email) - strpos(email, '@') + 1) END AS masked FROM users""",
     "mask_id": """
 SELECT transaction_id, left(transaction_id, 2) || '****' || right(transaction_id, 4) AS masked,
-  '****' AS masked_user FROM tx""",
+  '****' AS masked_user,
+  left(CAST(user_id + 1000000000 AS VARCHAR), 2) || '****'
+    || right(CAST(user_id + 1000000000 AS VARCHAR), 4) AS masked_long_user
+FROM tx""",
     "mask_name": "SELECT user_id, left(first_name, 1) || '***' AS masked FROM users",
     "mask_ip": """
 SELECT user_id, '***.***.' || split_part(ip_address, '.', 3) || '.'
@@ -706,9 +860,20 @@ SELECT * FROM (
       WHERE table_name IN (SELECT table_name FROM schema_before)) n
     ON b.table_name = n.table_name AND b.column_name = n.column_name)
 WHERE change IS NOT NULL""",
+    "schema_history_append": """
+SELECT 'lake' AS schema_name, c.table_name, c.schema_json,
+  l.table_name IS NOT NULL AS drift_detected,
+  '{"new_columns":[' || coalesce(added, '') || '],"removed_columns":[' || coalesce(removed, '')
+    || '],"type_changes":[' || coalesce(retyped, '') || ']}' AS changes_json,
+  TIMESTAMP '2024-02-01 00:00:00' AS check_timestamp
+FROM (SELECT table_name, '{' || string_agg('"' || column_name || '":{"type":"' || type
+      || '","nullable":' || CAST(nullable AS VARCHAR) || '}', ',' ORDER BY column_name) || '}'
+      AS schema_json
+    FROM schema_columns GROUP BY table_name) c
+  LEFT JOIN schema_lists l ON c.table_name = l.table_name""",
     "lineage_record": f"""
 SELECT dag_execution_id, lineage_type, node_id, node_name, node_type, schema_name, table_name,
-  CAST(NULL AS VARCHAR) AS description, source_id, target_id, transformation,
+  description, source_id, target_id, transformation,
   {AS_OF} AS created_at FROM lineage""",
     "lineage_view": """
 SELECT e.dag_execution_id, s.node_name AS source, e.transformation, t.node_name AS target,

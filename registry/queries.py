@@ -129,6 +129,10 @@ def page_gap_report(spark, d):
     return pages.missing_pages(_landed_pages(spark, d, lose_pages=True))
 
 
+def corrupt_pages(spark, d):
+    return pages.unreadable(stage(_landed_pages(spark, d, lose_pages=True), "pages"))
+
+
 def reject_split(spark, d):
     rows = pages.rejected(_checked_records(spark, d)[1])
     return rows.select(*_WIRE_FIELDS, "reject_reason")
@@ -252,6 +256,24 @@ SUITE_RUNS = {
 }
 
 
+BROKEN = quality.Suite(
+    "broken",
+    [
+        quality.Expectation(quality.IN_SET, {"column": "currency"}, "no set", "CHECK"),
+        quality.Expectation(quality.REGEX, {"column": "currency", "regex": "("}, "no pattern", "CHECK"),
+        quality.Expectation(quality.BETWEEN, {"column": "status", "min_value": 1}, "text in a range", "CHECK"),
+        quality.Expectation(quality.NOT_NULL, {"column": "absent"}, "no column", "CHECK"),
+        quality.Expectation("expect_magic", {"column": "status"}, "no such type", "CHECK"),
+        quality.Expectation(quality.NOT_NULL, {"column": "user_id", "mostly": 0.5}, "half is set", "CHECK"),
+    ],
+)
+
+
+def dq_suite_empty(spark, d):
+    """A suite without expectations has no lines, and so no summary."""
+    return quality.run_suite(fixture(spark, d, "dirty"), quality.Suite("empty", []))
+
+
 def dq_combined_log(spark, d):
     """The log lines of both audits: a blocked one and one that passes."""
     sides = [
@@ -449,6 +471,7 @@ QUERIES: dict[str, Query] = {
     "land_pages": land_pages,
     "page_gap_report": page_gap_report,
     "reject_split": reject_split,
+    "corrupt_pages": corrupt_pages,
     "extraction_metrics": extraction_metrics,
     # publish
     "publish_tx_clean": publish_tx_clean,
@@ -462,6 +485,8 @@ QUERIES: dict[str, Query] = {
     # expectations
     **{name: _one(t, kind, **kw) for name, (t, kind, kw) in SINGLE_CHECKS.items()},
     **{name: _suite(t, suite) for name, (t, suite) in SUITE_RUNS.items()},
+    "dq_suite_with_errors": _suite("dirty", BROKEN),
+    "dq_suite_empty": dq_suite_empty,
     "dq_combined_log": dq_combined_log,
     "null_profile_users": null_profile_users,
     "null_profile_tx": null_profile_tx,
@@ -515,6 +540,7 @@ QUERIES: dict[str, Query] = {
         "transaction_id",
         M.mask_id(F.col("transaction_id")).alias("masked"),
         M.mask_id(F.col("user_id")).alias("masked_user"),
+        M.mask_id(F.col("user_id") + 1_000_000_000).alias("masked_long_user"),
     ),
     "mask_name": _mask("first_name", M.mask_name),
     "mask_ip": _mask("ip_address", M.mask_ip),
@@ -548,6 +574,9 @@ QUERIES: dict[str, Query] = {
     "latest_validation_logs": lambda s, d: governance.latest_logs(fixture(s, d, "logs"), "click"),
     "latest_snapshot": lambda s, d: governance.latest_snapshot(fixture(s, d, "schema_log")),
     "schema_drift": schema_drift,
+    "schema_history_append": lambda s, d: governance.schema_check(
+        fixture(s, d, "schema_checks"), fixture(s, d, "schema_columns"), AS_OF
+    ),
     "lineage_record": _lineage,
     "lineage_view": lambda s, d: governance.lineage_view(_lineage(s, d)),
     "pii_catalog_upsert": _catalog,

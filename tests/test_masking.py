@@ -1,7 +1,7 @@
-import pytest
 import random
 import string
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidegate.functions import masking as M

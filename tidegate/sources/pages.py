@@ -80,7 +80,7 @@ def rejected(rows: DataFrame) -> DataFrame:
 
 
 def unreadable(pages: DataFrame) -> DataFrame:
-    """The text of pages that are no readable JSON."""
+    """The text of staged pages that are no readable JSON."""
     text = F.col(CORRUPT)
     return pages.where(text.isNotNull()).select(
         text.alias("page_text"), F.lit("page unreadable").alias("reject_reason")
@@ -88,7 +88,7 @@ def unreadable(pages: DataFrame) -> DataFrame:
 
 
 def rejects(pages: DataFrame, rows: DataFrame) -> DataFrame:
-    """All that is not taken: records with a problem, and the text of unreadable pages."""
+    """All of staged pages that is not taken: records with a problem, the text of unreadable pages."""
     return rejected(rows).unionByName(unreadable(pages), allowMissingColumns=True)
 
 
