@@ -251,6 +251,18 @@ def test_a_passage_of_common_short_lines_is_found_past_their_first_holders(spark
     assert all(not gone for d, gone in out.items() if d <= 200)
 
 
+def test_blank_lines_end_no_passage(spark):
+    lines = [long(20 + k, 10) for k in range(6)]
+    rows = [(1, "own\n" + "\n\n".join(lines)), (2, "\n \t\n".join(["x", *lines, "y"])), (3, "\n".join(lines))]
+    rows += [(10 + i, "\n\n\n".join([f"start {i}", *lines, f"stop {i}"])) for i in range(30)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: (r.text, r.lines_removed) for r in linededup.dedup_lines(frame).collect()}
+    assert out[1] == (rows[0][1], [])
+    assert out[2] == ("x\n" + " \t\n" * 7 + "y", [2, 4, 6, 8, 10, 12])
+    assert out[3] == ("", [0, 1, 2, 3, 4, 5])
+    assert all(out[10 + i] == (f"start {i}\n" + "\n" * 14 + f"stop {i}", [3, 6, 9, 12, 15, 18]) for i in range(30))
+
+
 def test_a_passage_that_its_document_repeats_is_found():
     p = list(range(5))
     a, b = [90, *p, 91], [80, *p, 81, *p, 82]

@@ -94,7 +94,8 @@ def common_blocks(
 ) -> list[int]:
     """Places in the later document `b` of aligned blocks with `min_words` words or more.
 
-    A block is a run of lines aligned one after the other in both documents. What
+    A block is a run of lines aligned one after the other in both documents; the
+    places number the lines that are not blank, so blank lines end no block. What
     one alignment leaves over is aligned again, so passages that come in another
     order in the later document are found as well.
     """
@@ -154,12 +155,16 @@ def repeated_lines(
     `key` is the struct (id, hash of the text); documents come in its order.
     """
     key = F.struct(F.col(doc_id).alias("d"), F.xxhash64(F.col(text)).alias("t"))
-    split = F.posexplode(F.split(F.col(text), "\n", -1)).alias("pos", "line")
+    numbered = F.transform(
+        F.split(F.col(text), "\n", -1), lambda line, pos: F.struct(pos.alias("pos"), line.alias("line"))
+    )
+    # `k` counts the lines that are not blank, so that blank ones end no run; `pos` counts all.
+    split = F.posexplode(F.filter(numbered, lambda x: x["line"].rlike(r"\S"))).alias("k", "x")
     words = F.size(F.filter(F.split("line", r"\s+"), lambda w: w != ""))
     lines = staged(
         docs.select(key.alias("key"), split)
-        .select("key", "pos", F.xxhash64("line").alias("h"), words.alias("w"))
-        .where("w > 0"),
+        .select("key", "k", "x.pos", "x.line")
+        .select("key", "k", "pos", F.xxhash64("line").alias("h"), words.alias("w")),
         "lines",
     )
     spread = lines.groupBy("h", "w").agg(
@@ -168,9 +173,9 @@ def repeated_lines(
     # Staged, so that the join deals lines only for itself and a hot line can be split.
     shared = staged(spread.where("first != last").select("h", "w", "n"), "repeated-lines")
     held = staged(lines.join(shared, ["h", "w"]), "shared-lines")
-    shape = held.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("pos", "h", "w"))).alias("s"))
+    shape = held.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("k", "pos", "h", "w"))).alias("s"))
     shape = staged(
-        shape.select("key", *(F.col(f"s.{c}").alias(c) for c in ("pos", "h", "w"))), "shapes"
+        shape.select("key", *(F.col(f"s.{c}").alias(c) for c in ("k", "pos", "h", "w"))), "shapes"
     )
 
     # Rare lines pair every two of their few holders.
@@ -180,26 +185,28 @@ def repeated_lines(
 
     # A passage pairs each holder with the first one, however many hold it or its lines.
     @F.pandas_udf("array<long>")
-    def runs(pos: pd.Series, line: pd.Series, words: pd.Series) -> pd.Series:
-        rows = zip(pos, line, words, strict=True)
+    def runs(k: pd.Series, line: pd.Series, words: pd.Series) -> pd.Series:
+        rows = zip(k, line, words, strict=True)
         return pd.Series([passages(*row, min_words) for row in rows], dtype=object)
 
-    held_runs = staged(shape.select("key", F.explode(runs("pos", "h", "w")).alias("run")), "passages")
+    held_runs = staged(shape.select("key", F.explode(runs("k", "h", "w")).alias("run")), "passages")
     spread = held_runs.groupBy("run").agg(F.min("key").alias("a"), F.max("key").alias("last"))
     again = staged(spread.where("a != last").select("run", "a"), "repeated-passages")
     far = held_runs.join(again, "run").select(F.col("key").alias("b"), "a")
     pairs = close.where("a < b").unionByName(far.where("a < b")).distinct()
     sides = pairs
     for side in ("a", "b"):
-        own = shape.select(F.col("key").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in ("pos", "h", "w")))
+        own = shape.select(F.col("key").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in ("k", "pos", "h", "w")))
         sides = sides.join(own, side)
-    flat = sides.select(F.col("b.d").alias("d"), F.col("b.t").alias("t"), "a_pos", "a_h", "b_pos", "b_h", "b_w")
+    flat = sides.select(
+        F.col("b.d").alias("d"), F.col("b.t").alias("t"), "a_k", "a_h", "b_k", "b_h", "b_w", "b_pos"
+    )
 
     def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            rows = zip(batch.a_k, batch.a_h, batch.b_k, batch.b_h, batch.b_w, batch.b_pos, strict=True)
             gone = [
-                common_blocks(*row, min_words)
-                for row in zip(batch.a_pos, batch.a_h, batch.b_pos, batch.b_h, batch.b_w, strict=True)
+                pos[np.searchsorted(sides[2], common_blocks(*sides, min_words))].tolist() for *sides, pos in rows
             ]
             out = batch[["d", "t"]].assign(gone=gone)
             yield out[[bool(g) for g in gone]]
@@ -222,7 +229,7 @@ def dedup_lines(
     from 0) is added. Documents are ordered by id, a null id first, and by text
     where an id repeats; rows equal in both are one document, so none of them is
     later than the other. The first document to hold a passage keeps it. Lines are
-    compared as they are; blank lines match nothing and stay. A null text stays null
+    compared as they are; blank lines match nothing, end no passage and stay. A null text stays null
     and an empty one empty, an empty table gives an empty table.
     """
     if "lines_removed" in docs.columns:
