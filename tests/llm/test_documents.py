@@ -263,6 +263,39 @@ def test_blank_lines_end_no_passage(spark):
     assert all(out[10 + i] == (f"start {i}\n" + "\n" * 14 + f"stop {i}", [3, 6, 9, 12, 15, 18]) for i in range(30))
 
 
+def test_every_copy_of_a_passage_goes_from_a_later_document(spark):
+    p, q = [long(40 + k, 10) for k in range(4)], long(50)
+    rows = [
+        (1, "\n".join(["own", *p, "between", q])),
+        (2, "\n".join([q, *p, "x", *p, "y", q, q, *p[1:], "z", *p[:2]])),
+        (3, "\n".join([*p, *p, *p])),
+    ]
+    out = {r.doc_id: r.lines_removed for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[1] == []
+    assert out[2] == [0, 1, 2, 3, 4, 6, 7, 8, 9, 11, 12, 13, 14, 15]
+    assert out[3] == list(range(12))
+
+
+def test_lines_go_if_and_only_if_an_earlier_document_has_a_long_run_with_them(spark):
+    draw = random.Random(7)
+    words = {h: f"w{h} " * draw.randint(2, 12) for h in range(9)}
+    texts = []
+    for d in range(60):
+        lines = [draw.choice([*words.values(), "", f"own {d} {k}"]) for k in range(14)]
+        texts.append("\n".join(lines))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: r.lines_removed for r in linededup.dedup_lines(frame).collect()}
+    seen = set()
+    for d, text in enumerate(texts):
+        full = [(k, x) for k, x in enumerate(text.split("\n")) if x.strip()]
+        own = [full[i:j] for i in range(len(full)) for j in range(i + 1, len(full) + 1)]
+        own = [run for run in own if sum(len(x.split()) for _, x in run) >= 25]
+        want = {k for run in own if tuple(x for _, x in run) in seen for k, _ in run}
+        assert out[d] == sorted(want)
+        seen |= {tuple(x for _, x in run) for run in own}
+    assert any(out.values())
+
+
 def test_a_passage_that_its_document_repeats_is_found():
     p = list(range(5))
     a, b = [90, *p, 91], [80, *p, 81, *p, 82]

@@ -92,12 +92,14 @@ def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def common_blocks(
     a_pos: np.ndarray, a_line: np.ndarray, b_pos: np.ndarray, b_line: np.ndarray, b_words: np.ndarray, min_words: int
 ) -> list[int]:
-    """Places in the later document `b` of aligned blocks with `min_words` words or more.
+    """Places in the later document `b` of common blocks with `min_words` words or more.
 
     A block is a run of lines aligned one after the other in both documents; the
     places number the lines that are not blank, so blank lines end no block. What
     one alignment leaves over is aligned again, so passages that come in another
-    order in the later document are found as well.
+    order in the later document are found as well. An alignment takes each line of
+    `a` once; runs of `b` that it leaves or splits are looked up among the runs of `a`,
+    so in the end a line is in the result if and only if it lies in a common block.
     """
     in_a, in_b = np.isin(a_line, b_line), np.isin(b_line, a_line)
     if b_words[in_b].sum() < min_words:
@@ -124,7 +126,29 @@ def common_blocks(
             block = []
         block.append(y)
         last = (x, y)
-    return gone
+    return sorted({*gone, *_held_again(a_pos, a_line, b_pos, b_line, b_words, in_a, in_b, gone, min_words)})
+
+
+def _held_again(
+    a_pos: np.ndarray, a_line: np.ndarray, b_pos: np.ndarray, b_line: np.ndarray, b_words: np.ndarray,
+    in_a: np.ndarray, in_b: np.ndarray, gone: list[int], min_words: int,
+) -> set[int]:
+    """Places of `b` in a run that `a` has, too, from stretches with lines not in `gone`."""
+    pos, line, words = b_pos[in_b], b_line[in_b], b_words[in_b]
+    stretch = np.cumsum(np.diff(pos, prepend=pos[:1]) > 1)
+    long = np.bincount(stretch, words) >= min_words
+    some = long & (np.bincount(stretch, ~np.isin(pos, gone)) > 0)
+    if not some.any():
+        return set()
+    pos, line, words = (c[some[stretch]] for c in (pos, line, words))
+    size = dict(zip(line.tolist(), words.tolist(), strict=True))
+    a_words = np.array([size.get(h, 0) for h in a_line[in_a].tolist()])
+    known = set(passages(a_pos[in_a], a_line[in_a], a_words, min_words))
+    found: set[int] = set()
+    for x, y, run in _runs(pos, line, words, min_words):
+        if run in known:
+            found.update(pos[x : y + 1].tolist())
+    return found
 
 
 def passages(pos: np.ndarray, line: np.ndarray, words: np.ndarray, min_words: int) -> list[int]:
@@ -134,6 +158,12 @@ def passages(pos: np.ndarray, line: np.ndarray, words: np.ndarray, min_words: in
     Of two documents with a common block of that many words, both have each of its
     lines in such a run within the block.
     """
+    found = {run for _, _, run in _runs(pos, line, words, min_words)}
+    return sorted(found)
+
+
+def _runs(pos: np.ndarray, line: np.ndarray, words: np.ndarray, min_words: int) -> list[tuple[int, int, int]]:
+    """(first, last, hash) of the runs of `passages`, as indexes into `pos`."""
     n = len(pos)
     both = np.column_stack([line, words]).astype("<i8")
     sums = np.concatenate(([0], np.cumsum(words, dtype=np.int64)))
@@ -141,10 +171,10 @@ def passages(pos: np.ndarray, line: np.ndarray, words: np.ndarray, min_words: in
     here = range(n)
     stop = (np.searchsorted(sums, sums[:-1] + min_words) - 1).tolist()
     start = (np.searchsorted(sums, sums[1:] - min_words, side="right") - 1).tolist()
-    spans = {*zip(here, stop, strict=True), *zip(start, here, strict=True)}
-    whole = ((x, y) for x, y in spans if x >= 0 and y < n and run[x] == run[y])
-    found = {xxhash.xxh64_intdigest(both[x : y + 1].tobytes()) for x, y in whole}
-    return np.array(sorted(found), np.uint64).view(np.int64).tolist()
+    spans = sorted({*zip(here, stop, strict=True), *zip(start, here, strict=True)})
+    whole = [(x, y) for x, y in spans if x >= 0 and y < n and run[x] == run[y]]
+    found = np.array([xxhash.xxh64_intdigest(both[x : y + 1].tobytes()) for x, y in whole], np.uint64)
+    return [(x, y, h) for (x, y), h in zip(whole, found.view(np.int64).tolist(), strict=True)]
 
 
 def repeated_lines(
