@@ -169,6 +169,28 @@ def test_distrust_flows_against_links_and_trust_along(spark):
     assert all(np.allclose(got[h], (t[h], d[h])) for h in hosts)
 
 
+def test_hosts_without_a_page_are_seeds(spark):
+    links = {
+        "farm.io": "//S1.net/x?q http://s2.net",
+        "fan.io": "https://example.com/de/x",
+        "other.io": "https://example.com/en/x",
+        "kind.io": "http://good.org/fr/",
+        "bare.io": "http://s3.net?q#f",
+    }
+    rows = [(k, f"http://{h}/", "".join(f"<a href='{u}'>" for u in to.split())) for k, (h, to) in enumerate(links.items())]
+    rows += [(100 + k, f"http://h{k}.io/", None) for k in range(60)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = {r.host: (r.rule, r.verdict, r.trust, r.distrust) for r in hostrank.judge(frame).collect()}
+    # example.com has a blocked url among the linked ones, so who links to it receives its distrust.
+    assert {h for h, r in out.items() if r[1] == "block"} == {"farm.io", "fan.io", "other.io", "bare.io"}
+    seed = 0.15 / 4
+    want = {"farm.io": 2 * 0.85 * seed, "fan.io": 0.85 * seed / 2, "other.io": 0.85 * seed / 2, "bare.io": 0.85 * seed}
+    assert all(np.isclose(out[h][3], d) and out[h][0] is None for h, d in want.items())
+    got = {(r.src, r.dst): (r.good, r.bad) for r in hostrank.host_links(frame).collect()}
+    assert got["kind.io", "good.org"] == (1, 0) and got["fan.io", "example.com"] == (0, 1)
+    assert got["other.io", "example.com"] == (0, 0) and got["bare.io", "s3.net"] == (0, 1)
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_queries_equal_their_sql(spark, name):
     con = duckdb.connect()

@@ -1,7 +1,8 @@
 """URL rules, and verdicts from the host link graph where no rule speaks.
 
 Trust flows along links from hosts with an allowed url, distrust against them from
-hosts with a blocked one, both as personalised PageRank. Only DataFrame functions.
+hosts with a blocked one, both as personalised PageRank; pages and linked urls count
+alike. Only DataFrame functions.
 """
 
 from __future__ import annotations
@@ -47,17 +48,36 @@ def matched(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> tu
     return (none, none) if rule is None else (rule, verdict)
 
 
-def host_links(pages: DataFrame) -> DataFrame:
-    """Distinct links (src, dst) between hosts from the absolute urls in `href` attributes."""
+def host_links(pages: DataFrame, rules: list[tuple[str, str, str]] | None = None) -> DataFrame:
+    """Distinct links (src, dst) between hosts from the absolute urls in `href` attributes.
+
+    `good` and `bad` are 1 if a rule allows or blocks a url that such a link leads to, else
+    0. A linked url without a path is the root of its host, `/`.
+    """
     found = F.regexp_extract_all(
-        F.col("html"), F.lit(r"""(?i)href\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""), F.lit(1)
+        F.col("html"),
+        F.lit(r"""(?i)href\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+[^"'\s<>]*)"""),
+        F.lit(1),
     )
     own, _ = host_and_path(F.col("url"))
+    host, path = host_and_path(F.concat(F.lit("://"), F.col("url")))
+    path = F.when(path == "", "/").otherwise(path)
+    _, verdict = matched(F.col("dst"), F.col("path"), RULES if rules is None else rules)
     return (
-        pages.select(own.alias("src"), F.explode(F.array_distinct(found)).alias("dst"))
-        .select("src", _lower(F.col("dst")).alias("dst"))
+        pages.select(own.alias("src"), F.explode(F.array_distinct(found)).alias("url"))
+        .select("src", host.alias("dst"), path.alias("path"))
         .where("src != dst AND src != ''")
-        .distinct()
+        .select("src", "dst", *_seeds(verdict))
+        .groupBy("src", "dst")
+        .agg(F.max("good").alias("good"), F.max("bad").alias("bad"))
+    )
+
+
+def _seeds(verdict: Column) -> tuple[Column, Column]:
+    """1 where a rule allows, 1 where one blocks, else 0."""
+    return tuple(
+        F.coalesce((verdict == kind).cast("int"), F.lit(0)).alias(name)
+        for kind, name in (("allow", "good"), ("block", "bad"))
     )
 
 
@@ -69,6 +89,7 @@ def spread(
     `hosts` has `host, good, bad` (seed weights that sum to 1, or 0 without seeds).
     Trust is split over a host's links, distrust over the links that lead to it.
     """
+    links = links.select("src", "dst")
     out = links.groupBy("src").agg(F.count(F.lit(1)).alias("n_out"))
     into = links.groupBy("dst").agg(F.count(F.lit(1)).alias("n_in"))
     edges = staged(links.join(out, "src").join(into, "dst"), "host-links")
@@ -120,13 +141,11 @@ def judge(
     rows = pages.select("page_id", host.alias("host"), path.alias("path"))
     rule, verdict = matched(F.col("host"), F.col("path"), rules)
     ruled = rows.withColumn("rule", rule).withColumn("ruled", verdict)
-    links = staged(host_links(pages), "links")
-    seeds = ruled.where("host != ''").groupBy("host").agg(
-        F.max((F.col("ruled") == "allow").cast("int")).alias("good"),
-        F.max((F.col("ruled") == "block").cast("int")).alias("bad"),
-    )
-    ends = links.select(F.col("src").alias("host")).unionByName(links.select(F.col("dst").alias("host"))).distinct()
-    named = ends.join(seeds, "host", "full").na.fill(0, ["good", "bad"])
+    links = staged(host_links(pages, rules), "links")
+    # Pages and linked urls alike, as a host may be linked to without a page here.
+    own = ruled.where("host != ''").select("host", *_seeds(F.col("ruled")))
+    linked = links.select(F.col("dst").alias("host"), "good", "bad")
+    named = own.unionByName(linked).groupBy("host").agg(F.max("good").alias("good"), F.max("bad").alias("bad"))
     named = staged(named, "hosts")
     n, good, bad = named.agg(F.count(F.lit(1)), F.sum("good"), F.sum("bad")).first()
     hosts = named.select(
