@@ -191,6 +191,19 @@ def test_hosts_without_a_page_are_seeds(spark):
     assert got["other.io", "example.com"] == (0, 0) and got["bare.io", "s3.net"] == (0, 1)
 
 
+def test_distrust_reaches_hosts_far_from_every_seed(spark):
+    far = 14
+    chain = [f"c{k}.io" for k in range(far)] + ["end.net"]
+    rows = [(k, f"http://{a}/", f'<a href="//{b}/">') for k, (a, b) in enumerate(zip(chain, chain[1:], strict=False))]
+    rows += [(100 + k, f"http://h{k}.io/", None) for k in range(100)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = {r.host: (r.verdict, r.distrust) for r in hostrank.judge(frame).collect()}
+    assert all(out[h][0] == "block" and np.isclose(out[h][1], 0.15 * 0.85 ** (far - k)) for k, h in enumerate(chain[:-1]))
+    hosts = spark.createDataFrame([(h, 0.0, float(h == "end.net")) for h in chain], "host string, good double, bad double")
+    with pytest.raises(RuntimeError):
+        hostrank.spread(hosts, hostrank.host_links(frame), rounds=far - 1)
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_queries_equal_their_sql(spark, name):
     con = duckdb.connect()

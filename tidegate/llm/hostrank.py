@@ -82,12 +82,14 @@ def _seeds(verdict: Column) -> tuple[Column, Column]:
 
 
 def spread(
-    hosts: DataFrame, links: DataFrame, rounds: int = 10, damping: float = 0.85
+    hosts: DataFrame, links: DataFrame, rounds: int = 1000, damping: float = 0.85, settled: float = 1e-9
 ) -> DataFrame:
-    """`host, bad, trust, distrust` after `rounds` steps of both walks.
+    """`host, bad, trust, distrust` where both walks have settled.
 
     `hosts` has `host, good, bad` (seed weights that sum to 1, or 0 without seeds).
     Trust is split over a host's links, distrust over the links that lead to it.
+    Each round changes the sum by at most `damping` times the change before, so what is
+    still to come is bounded; rounds end when that is at most `settled` over all hosts.
     """
     links = links.select("src", "dst")
     out = links.groupBy("src").agg(F.count(F.lit(1)).alias("n_out"))
@@ -110,19 +112,25 @@ def spread(
 
         after = staged(
             ranks.join(flow, "host", "left").select(
-                "host", "good", "bad", step("good", "t").alias("trust"), step("bad", "d").alias("distrust")
+                "host", "good", "bad", step("good", "t").alias("trust"), step("bad", "d").alias("distrust"),
+                (F.abs(step("good", "t") - F.col("trust")) + F.abs(step("bad", "d") - F.col("distrust"))).alias("moved"),
             ),
             "ranks",
-        )
+        )
         drop(ranks)
         ranks = after
+        moved = ranks.agg(F.sum("moved")).first()[0] or 0.0
+        if damping * moved <= (1 - damping) * settled:
+            break
+    else:
+        raise RuntimeError(f"host ranks did not settle within {rounds} rounds")
     return ranks.select("host", "bad", "trust", "distrust")
 
 
 def judge(
     pages: DataFrame,
     rules: list[tuple[str, str, str]] | None = None,
-    rounds: int = 10,
+    rounds: int = 1000,
     damping: float = 0.85,
     least: float = 1.0,
     ratio: float = 1.0,
@@ -133,7 +141,8 @@ def judge(
     received over links (its own seed left out, since a rule that blocks one path of
     a host says nothing of the others) exceeds `least` times an equal share over all
     hosts and `ratio` times its trust. Else it is allowed, so hosts without links and
-    urls without a host are. Needs columns
+    urls without a host are. The walks go on until a thousandth of that share is left to
+    move, and raise after `rounds`. Needs columns
     `page_id, url, html`, any of which may be null; rows that repeat stay rows.
     """
     rules = RULES if rules is None else rules
@@ -151,7 +160,7 @@ def judge(
     hosts = named.select(
         "host", (F.col("good") / max(1, good or 0)).alias("good"), (F.col("bad") / max(1, bad or 0)).alias("bad")
     )
-    ranks = spread(hosts, links, rounds, damping)
+    ranks = spread(hosts, links, rounds, damping, 1e-3 * (least if least > 0 else 1.0) / max(1, n))
     received = F.col("distrust") - (1 - damping) * F.col("bad")
     suspect = (received > least / max(1, n)) & (received > ratio * F.col("trust"))
     judged = ruled.join(ranks, "host", "left")
