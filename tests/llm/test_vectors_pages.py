@@ -86,6 +86,14 @@ def test_search_finds_neighbours_in_order(vectors):
     assert ann.search(vectors.where("vec_id = 1"), "true").count() == 0
 
 
+def test_small_tables_get_several_parts(spark, monkeypatch):
+    routers, train = [], ann.train
+    monkeypatch.setattr(ann, "train", lambda *a, **b: routers.append(train(*a, **b)) or routers[-1])
+    table = spark.read.parquet(f"{SF}/embeddings.parquet")
+    assert ann.search(table, "vec_id % 100 = 0").count() == 50
+    assert routers[0].second.shape[1] == 8
+
+
 def test_balanced_parts_are_balanced():
     x = np.random.default_rng(0).standard_normal((400, 8))
     part = ann.balanced_parts(ann.neighbours(x, 5), 8)

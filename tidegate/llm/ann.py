@@ -144,13 +144,15 @@ def search(
     embedding: str = "embedding",
     sample: int = 4096,
     part_rows: int = 1500,
+    least_parts: int = 8,
     most_parts: int = 128,
 ) -> DataFrame:
     """`query_id, rank, vec_id, score` of the `k` nearest rows of each query.
 
     `query` is a condition on `vec_id` that selects the queries; candidates are all
     rows but those with the query's id. The router is fitted on at most `sample`
-    rows (those with the smallest hashes), every row is indexed. `score` is the
+    rows (those with the smallest hashes), every row is indexed. There is a part for each
+    `part_rows` rows, from `least_parts` (each of 16 sampled rows or more) to `most_parts`. `score` is the
     Euclidean distance of the vectors as given, in double precision; ties go to the
     smaller id. Null and zero vectors, those with null or non-finite components and
     rows without an id take no part; vectors of another length than the sample's
@@ -170,7 +172,7 @@ def search(
         return spark.createDataFrame([], result)
     rows = rows.where(F.size("v") == top["dim"])
     seen = rows.orderBy(F.xxhash64("vec_id", F.lit(17)), "vec_id").limit(sample).select("v").collect()
-    router = train(np.array([r.v for r in seen], float), min(most_parts, max(1, top["n"] // part_rows)))
+    router = train(np.array([r.v for r in seen], float), min(most_parts, max(least_parts, top["n"] // part_rows)))
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
