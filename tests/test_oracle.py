@@ -1,8 +1,7 @@
 """Every registered query against its SQL counterpart on an independent engine."""
 
 import pytest
-from compare import differences, oracle_connection
-from conftest import SF_SMALL
+from compare import SF_SMALL, differences, oracle_connection
 
 from registry.oracle import ORACLE
 from registry.queries import QUERIES
