@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 import xxhash
+from shipping import shipped  # noqa: F401
 from tidegate.llm import binpack, bpe, linededup, packing, quality, simhash, tokens
 from tidegate.llm.shared import components
 from tokenizers import Tokenizer

@@ -5,6 +5,7 @@ import hashlib
 import duckdb
 import numpy as np
 import pytest
+from shipping import shipped  # noqa: F401
 from tidegate.llm import ann, embdedup, hostrank, warc
 from tidegate.llm.queries import ORACLE, QUERIES
 from tidegate.llm.shared import scratch
