@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import ship_package
-from . import ann, binpack, bpe, embdedup, hostrank, linededup, packing, quality, simhash, warc
+from . import ann, binpack, boundpack, bpe, embdedup, hostrank, linededup, packing, quality, simhash, warc
 from .shared import staged
 
 
@@ -92,6 +92,10 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(_table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0")
 
 
+def op12_bound_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boundpack.pack(_table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -105,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_bpe,
         op9_quality,
         op10_ann,
+        op12_bound_packing,
     )
 }
 

@@ -4,7 +4,14 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
+import unicodedata
+
+import numpy as np
+
+#: White space of this length overflows the stack of `tiktoken`; `tokenizers` takes it.
+LONG_RUN = re.compile(r"\s{10000}")
 
 #: Words whose ids a worker remembers, before it starts anew. Bounds memory, not results.
 REMEMBERED = 700_000
@@ -65,7 +72,7 @@ class Encoder:
         return {bytes(back[c] for c in t): i for t, i in vocab.items() if t not in special}
 
     def _whole(self, text: str) -> bytes:
-        if self.fast is None or any(s in text for s in self.special):
+        if self.fast is None or any(s in text for s in self.special) or LONG_RUN.search(text):
             ids = self.slow.encode(text, add_special_tokens=False).ids
         else:
             ids = self.fast.encode_ordinary(text)
@@ -92,11 +99,112 @@ class Encoder:
         return self._whole(head) + b"".join(map(words.__getitem__, rest))
 
 
-_encoders: dict[tuple[str, str], Encoder] = {}
+class WordEncoder:
+    """Ids of a `tokenizers` file whose words carry an end mark, white space being dropped.
+
+    No normal form, lower-casing or word of such a file reaches across a space or a
+    newline, so each text is cut there and every chunk encoded once per worker. Chunks of
+    Latin letters, digits and signs go through `tiktoken`, with a space in place of the
+    end mark, which no word can hold; all others, and files of another kind, go through
+    `tokenizers`, as do texts that spell out a special token.
+    """
+
+    LONGEST = 5000
+    PLAIN = re.compile("[!-~\xa1-\u024f]+")
+    #: The one pattern of words that is known here, and its classes among plain characters.
+    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+    def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        self.slow = Tokenizer.from_file(path)
+        self.special = [t.content for t in self.slow.get_added_tokens_decoder().values()]
+        self.chunks: dict[str, bytes] = {"": b""}
+        self.fast = self.words = None
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        if self._known(spec):
+            import tiktoken
 
+            back = _alphabet()
+            mark = spec["model"]["end_of_word_suffix"]
+            ranks = {}
+            for token, i in spec["model"]["vocab"].items():
+                if token not in self.special:
+                    word = token.removesuffix(mark) if len(token) > len(mark) else token
+                    ranks[bytes(back[c] for c in word) + b" " * (word != token)] = i
+            words = self.PATTERN
+            for kind in "LN":
+                found = [chr(c) for c in range(0x250) if unicodedata.category(chr(c))[0] == kind]
+                words = words.replace("\\p{%s}" % kind, "".join(found))
+            self.words = re.compile(words)
+            self.fast = tiktoken.Encoding(
+                "words", pat_str="[^ ]+ ", mergeable_ranks=ranks, special_tokens={}
+            )
+            (self.mark,) = self.fast.encode_ordinary("\0 ")
 
-def encoder(path: str, pattern: str) -> Encoder:
-    """One encoder per worker process, so that its memory serves all its tasks."""
+    def _known(self, spec: dict) -> bool:
+        """Whether white space is dropped, and the ids follow the order of the merges."""
+        model, pre = spec["model"], spec.get("pre_tokenizer") or {}
+        steps = [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])]
+        parts = pre.get("pretokenizers") or [{}]
+        if (
+            model.get("type") != "BPE"
+            or not model.get("end_of_word_suffix")
+            or any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "byte_fallback"))
+            or steps != ["NFC", "Replace", "Lowercase"]
+            or [p.get("type") for p in parts] != ["Split", "ByteLevel"]
+            or parts[0].get("pattern") != {"Regex": self.PATTERN}
+            or parts[0].get("behavior") != "Removed"
+            or not parts[0].get("invert")
+            or parts[1].get("use_regex", True)
+            or parts[1].get("add_prefix_space", True)
+        ):
+            return False
+        merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        return all(model["vocab"].get("".join(m)) == 512 + k for k, m in enumerate(merges))
+
+    def _learn(self, new: list[str]) -> None:
+        """Encode chunks in one call; the mark between them is a word that none of them holds."""
+        plain = new if self.PLAIN.fullmatch("".join(new)) else [*filter(self.PLAIN.fullmatch, new)]
+        plain = [c for c in plain if len(c) <= self.LONGEST]
+        joined = unicodedata.normalize("NFC", " \0 ".join([*plain, ""])).lower()
+        ids = np.array(self.fast.encode_ordinary(" ".join(self.words.findall(joined)) + " "), "<u4")
+        cuts = np.flatnonzero(ids == self.mark).tolist()
+        body = ids.tobytes()
+        for c, start, stop in zip(plain, [-1, *cuts], cuts):
+            self.chunks[c] = body[4 * start + 4 : 4 * stop]
+        if len(plain) < len(new):
+            for c in new:
+                if c not in self.chunks:
+                    ids = self.slow.encode(c, add_special_tokens=False).ids
+                    self.chunks[c] = struct.pack(f"<{len(ids)}I", *ids)
+
+    def encode(self, text: str) -> bytes:
+        if self.fast is None or any(s in text for s in self.special):
+            ids = self.slow.encode(text, add_special_tokens=False).ids
+            return struct.pack(f"<{len(ids)}I", *ids)
+        parts, chunks = text.replace("\n", " ").split(" "), self.chunks
+        try:
+            return b"".join(map(chunks.__getitem__, parts))
+        except KeyError:
+            pass
+        if len(chunks) > REMEMBERED:
+            chunks.clear()
+            chunks[""] = b""
+        self._learn(list({c for c in parts if c not in chunks}))
+        return b"".join(map(chunks.__getitem__, parts))
+
+
+_encoders: dict[tuple, Encoder | WordEncoder] = {}
+
+
+def encoder(path: str, pattern: str | None) -> Encoder | WordEncoder:
+    """One encoder per worker process, so that its memory serves all its tasks.
+
+    Without a `pattern` the file is one of whole words with end marks.
+    """
     if (path, pattern) not in _encoders:
-        _encoders[path, pattern] = Encoder(path, pattern)
+        _encoders[path, pattern] = WordEncoder(path) if pattern is None else Encoder(path, pattern)
     return _encoders[path, pattern]
