@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import dataclass
+from typing import ClassVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -14,14 +15,14 @@ def folder(root: str, zone: str, table: str) -> str:
     return f"{root.rstrip('/')}/{zone}/{table}"
 
 
-def _located(spark: SparkSession, path: str) -> tuple:
+def located(spark: SparkSession, path: str) -> tuple:
     """The path and its file system."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _located(spark, path)
+    p, fs = located(spark, path)
     return fs.exists(p)
 
 
@@ -84,29 +85,34 @@ class SnapshotTable:
     """A table of which only the newest snapshot may exist: an older one is deleted, not kept.
 
     Each write goes to a numbered folder below `path`; when it is complete, all others are
-    deleted. A reader sees the highest complete number, so a failed write changes nothing,
-    and frames over an earlier snapshot cannot be read after `replace`. Deletion bypasses
+    deleted. Complete is a snapshot with the marker that is put there after its rows, whatever
+    the committer does. A reader sees the highest complete number, so a failed write changes
+    nothing, and frames over an earlier snapshot cannot be read after `replace`. Deletion bypasses
     the trash; an object store must keep no versions of this folder.
     """
 
     path: str
+    MARK: ClassVar[str] = "_COMPLETE"
 
     def _folders(self, spark: SparkSession) -> tuple[list[int], list[int]]:
         """Numbers of all snapshot folders and of the complete ones."""
-        root, fs = _located(spark, self.path)
+        root, fs = located(spark, self.path)
         if not fs.exists(root):
             return [], []
         names = [f.getPath().getName() for f in fs.listStatus(root)]
         numbers = sorted(int(n.removeprefix("snapshot-")) for n in names if n.startswith("snapshot-"))
-        complete = [n for n in numbers if exists(spark, f"{self._folder(n)}/_SUCCESS")]
+        marks = (self.MARK, "_SUCCESS")  # the second: snapshots of earlier versions
+        complete = [n for n in numbers if any(exists(spark, f"{self._folder(n)}/{m}") for m in marks)]
         return numbers, complete
 
     def _folder(self, number: int) -> str:
         return f"{self.path.rstrip('/')}/snapshot-{number}"
 
     def read(self, spark: SparkSession, schema: StructType) -> DataFrame:
-        _, complete = self._folders(spark)
+        numbers, complete = self._folders(spark)
         if not complete:
+            if len(numbers) > 1:
+                raise RuntimeError(f"{self.path} has snapshots, but none that is complete")
             return spark.createDataFrame([], schema)
         return spark.read.schema(schema).parquet(self._folder(complete[-1]))
 
@@ -115,6 +121,8 @@ class SnapshotTable:
         numbers, _ = self._folders(spark)
         number = numbers[-1] + 1 if numbers else 1
         df.write.parquet(self._folder(number))
+        mark, fs = located(spark, f"{self._folder(number)}/{self.MARK}")
+        fs.create(mark, False).close()
         self.remove_older(spark)
 
     def remove_older(self, spark: SparkSession) -> None:
@@ -122,7 +130,7 @@ class SnapshotTable:
         numbers, complete = self._folders(spark)
         for n in numbers:
             if n != complete[-1]:
-                old, fs = _located(spark, self._folder(n))
+                old, fs = located(spark, self._folder(n))
                 if not fs.delete(old, True):
                     raise OSError(f"could not delete {old}")
 
@@ -134,13 +142,13 @@ def replace(df: DataFrame, path: str) -> None:
     failed write leaves the old table. `path` may not be read by `df` after that.
     """
     spark = df.sparkSession
-    fresh, fs = _located(spark, f"{path.rstrip('/')}.new-{uuid.uuid4().hex}")
+    fresh, fs = located(spark, f"{path.rstrip('/')}.new-{uuid.uuid4().hex}")
     try:
         df.write.parquet(fresh.toString())
     except Exception:
         fs.delete(fresh, True)
         raise
-    old, _ = _located(spark, path)
+    old, _ = located(spark, path)
     if fs.exists(old) and not fs.delete(old, True):
         raise OSError(f"could not delete {old}")
     if not fs.rename(fresh, old):
