@@ -17,6 +17,7 @@ from ..operators.skew import known_keys, latest_per_key, measure
 from ..runtime import stage
 from ..schemas import PUBLISHED_TRANSACTIONS, PUBLISHED_USERS
 from ..sources import tables
+from ..sources.committed import CommittedTable
 
 REQUIRED_OF_USERS = ("user_id", "email", "first_name", "last_name", "country")
 
@@ -87,33 +88,42 @@ def publish(
     spark: SparkSession,
     entity: Entity,
     raw: DataFrame,
-    target: tables.FolderTable | tables.BucketedTable,
+    target: tables.FolderTable | tables.BucketedTable | CommittedTable,
     audit: dict | bool | None,
     as_of: datetime,
     salt: str,
     rules: dict,
     strict: bool = True,
+    run_id: str | None = None,
+    n_raw: int | None = None,
 ) -> dict:
     """Append the rows of `raw` that are new to the published table `target`.
 
     Keys are compared unmasked, and masks are put on last. A rerun publishes
-    nothing twice.
+    nothing twice. A `CommittedTable` takes the rows in one step under `run_id`, and its
+    index of keys spares reading the history. `n_raw` is the number of raw rows, if known.
     """
     reason = audit_refusal(audit)
     if reason:
         return {"records_published": 0, "reason": reason}
-    total = raw.count()
+    total = raw.count() if n_raw is None else n_raw
     key = entity.published_key
     rows = stage(one_per_key(entity, raw, as_of, salt), f"{entity.table}-batch")
     batch = measure(rows, key)
-    published = target.read(spark, entity.schema)
-    known = stage(known_keys(batch, published), f"{entity.table}-known")
+    if isinstance(target, CommittedTable) and target.key == key:
+        known = target.known_keys(rows)[0]
+    else:
+        known = known_keys(batch, target.read(spark, entity.schema))
+    known = stage(known, f"{entity.table}-known")
     duplicates = known.count()
     fresh = batch.n_rows - duplicates
     if fresh:
         new = apply_rules(not_published(rows, known, key), rules, strict)
         columns = [f.name for f in entity.schema.fields if f.name in new.columns]
-        target.append(new.select(*columns))
+        if isinstance(target, CommittedTable):
+            target.append(new.select(*columns), run_id)
+        else:
+            target.append(new.select(*columns))
     return {
         "records_published": fresh,
         "records_filtered": total - fresh,

@@ -82,7 +82,9 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{_run_folder(spark, _run.get())}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    frame = spark.read.schema(df.schema).parquet(path)
+    frame.staged_at = path  # for those who delete it before the run ends
+    return frame
 
 
 def _run_folder(spark: SparkSession, run: str) -> str:
