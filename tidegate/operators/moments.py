@@ -17,17 +17,25 @@ BLOCK_BITS = 17
 WIDE = "decimal(38,0)"
 
 
+def value_counts(df: DataFrame, key: str, amount: str) -> DataFrame:
+    """How often each key has each amount, as `key, cents, n`; NULL amounts left out."""
+    cents = (F.col(amount) * 100).cast("long").alias("cents")
+    return df.where(F.col(amount).isNotNull()).groupBy(key, cents).agg(F.count(F.lit(1)).alias("n"))
+
+
 def amount_profile(df: DataFrame, key: str, amount: str) -> DataFrame:
     """Per key: min, max, sample standard deviation and median of `amount`, NULLs left out.
 
     The key must not be NULL; wrap a nullable one in a struct, whose equality and
     hash partitioning hold for NULL fields too.
     """
+    return profile_of_counts(value_counts(df, key, amount), key)
+
+
+def profile_of_counts(counts: DataFrame, key: str) -> DataFrame:
+    """`amount_profile` from `value_counts`, which may be stored and added up."""
     values = (
-        df.where(F.col(amount).isNotNull())
-        .groupBy(key, (F.col(amount) * 100).cast("long").alias("cents"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("block", F.shiftright("cents", BLOCK_BITS))
+        counts.withColumn("block", F.shiftright("cents", BLOCK_BITS))
         # the join below implies this filter; stated here, both readers share one exchange
         .where(F.col("block").isNotNull())
         # blocks are summed, and the middle ones read, where this puts them

@@ -14,7 +14,7 @@ from decimal import Decimal
 from functools import reduce
 
 from pyspark.errors import IllegalArgumentException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -161,10 +161,32 @@ def _exploded(aggregate: DataFrame, lines: list[Column]) -> DataFrame:
 _NOTHING = Expectation(ROW_COUNT, {})
 
 
-def run_suite(df: DataFrame, suite: Suite) -> DataFrame:
-    """One line per expectation, in the order of the suite by `expectation_no`."""
+@dataclass
+class Compiled:
+    """A suite over the columns of a table: one row of aggregates, and what to make of it."""
+
+    aggregates: dict[str, Column]
+    lines: list[Column]
+    unique: list[tuple[int, Expectation]]
+
+    def results(self, row: DataFrame | None, df: DataFrame) -> DataFrame:
+        """One line per expectation; `row` holds the aggregates, `df` the rows themselves.
+
+        `df` is read only for columns that must be unique, with a grouped count each.
+        """
+        frames = [_unique(df, no, exp) for no, exp in self.unique]
+        if self.lines:
+            frames.insert(0, _exploded(row, self.lines))
+        if not frames:
+            nothing = df.select(F.array(_line(0, _NOTHING, *[F.lit(0)] * 3, F.lit(True))).alias("lines"))
+            return nothing.where("false").select(F.inline("lines"))
+        return reduce(DataFrame.unionByName, frames)
+
+
+def compile_suite(df: DataFrame, suite: Suite) -> Compiled:
+    """The aggregates and result lines of a suite for tables with the columns of `df`."""
     aggregates = {"total": F.count(F.lit(1))}
-    lines, frames = [], []
+    lines, unique = [], []
     total = F.col("total")
     for no, exp in enumerate(suite.expectations, start=1):
         if not _compiles(exp, df):
@@ -176,7 +198,7 @@ def run_suite(df: DataFrame, suite: Suite) -> DataFrame:
             ok = _in_range(total, exp.kwargs)
             lines.append(_line(no, exp, total, total, F.when(ok, 0).otherwise(1), ok))
         elif exp.kind == UNIQUE:
-            frames.append(_unique(df, no, exp))
+            unique.append((no, exp))
         else:
             cell = F.col(exp.column)
             bad, seen = f"bad_{no}", f"seen_{no}"
@@ -190,13 +212,54 @@ def run_suite(df: DataFrame, suite: Suite) -> DataFrame:
                 )
             ok = _share_ok(F.col(seen), F.col(bad), exp.mostly)
             lines.append(_line(no, exp, total, F.col(seen), F.col(bad), ok))
-    if lines:
-        row = df.agg(*[c.alias(name) for name, c in aggregates.items()])
-        frames.insert(0, _exploded(row, lines))
-    if not frames:
-        nothing = df.select(F.array(_line(0, _NOTHING, *[F.lit(0)] * 3, F.lit(True))).alias("lines"))
-        return nothing.where("false").select(F.inline("lines"))
-    return reduce(DataFrame.unionByName, frames)
+    return Compiled(aggregates, lines, unique)
+
+
+def _one_row(df: DataFrame, aggregates: dict[str, Column]) -> DataFrame:
+    return df.agg(*[c.alias(name) for name, c in aggregates.items()])
+
+
+def run_suite(df: DataFrame, suite: Suite) -> DataFrame:
+    """One line per expectation, in the order of the suite by `expectation_no`."""
+    compiled = compile_suite(df, suite)
+    return compiled.results(_one_row(df, compiled.aggregates), df)
+
+
+class Watched:
+    """Audit numbers that are taken while a table is written, without reading it again.
+
+    Write `rows` somewhere; the row count, the NULL counts and all row-wise expectations of
+    both suites are then known. Spark counts each written partition once, whichever of its
+    attempts succeeds. Columns that must be unique still need their grouped count.
+    """
+
+    def __init__(self, df: DataFrame, critical: Suite, warning: Suite, nulls: dict[str, str]):
+        self.critical, self.nulls = critical, nulls
+        both = Suite("both", [*critical.expectations, *warning.expectations])
+        self._compiled = compile_suite(df, both)
+        counts = {f"null_{name}": F.count_if(F.col(c).isNull()) for c, name in nulls.items()}
+        self._aggregates = {**self._compiled.aggregates, **counts}
+        self._seen = Observation()
+        self.rows = df.observe(self._seen, *[c.alias(n) for n, c in self._aggregates.items()])
+
+    def counted(self) -> dict[str, int]:
+        """The numbers, once `rows` are written; nothing was written counts as no rows."""
+        found = self._seen.get
+        return {name: found.get(name) or 0 for name in self._aggregates}
+
+    def null_counts(self) -> dict[str, int]:
+        """As `null_profile`."""
+        found = self.counted()
+        return {**{n: found[f"null_{n}"] for n in self.nulls.values()}, "total": found["total"]}
+
+    def lines(self, written: DataFrame) -> DataFrame:
+        """As `run_audit` over the written table, which is read only where values must be unique."""
+        found = self.counted()
+        names = list(self._compiled.aggregates)
+        row = written.sparkSession.createDataFrame(
+            [tuple(found[n] for n in names)], ", ".join(f"{n} long" for n in names)
+        )
+        return _with_tier(self._compiled.results(row, written), self.critical)
 
 
 def _unique(df: DataFrame, no: int, exp: Expectation) -> DataFrame:
@@ -251,9 +314,13 @@ def null_profile(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 def run_audit(df: DataFrame, critical: Suite, warning: Suite) -> DataFrame:
     """Both suites in one pass, each line marked with its `tier`."""
     both = Suite("both", [*critical.expectations, *warning.expectations])
+    return _with_tier(run_suite(df, both), critical)
+
+
+def _with_tier(lines: DataFrame, critical: Suite) -> DataFrame:
     is_critical = F.col("expectation_no") <= len(critical.expectations)
     tier = F.when(is_critical, F.lit("critical")).otherwise(F.lit("warning"))
-    return run_suite(df, both).withColumn("tier", tier)
+    return lines.withColumn("tier", tier)
 
 
 def audit_log(lines: DataFrame, table: str, critical_suite: str) -> DataFrame:

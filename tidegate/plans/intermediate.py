@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import labels as L
 from ..functions import scalars as S
-from ..operators.moments import amount_profile
+from ..operators.moments import profile_of_counts, value_counts
 from ..operators.ranking import with_group_sequence, with_tile
 from ..operators.skew import Lookup, attach, heavy_keys, measure, salted_left_join
 from ..runtime import stage
@@ -61,7 +61,13 @@ def _active(column: str) -> Column:
 
 
 def user_base(days: DataFrame, categories: DataFrame, stg: DataFrame) -> DataFrame:
-    """Metrics per user without the quartiles; all zero for users without completed rows.
+    """Metrics per user without the quartiles; all zero for users without completed rows."""
+    done = stg.where(completed()).select(F.struct("user_id").alias("user"), "amount")
+    return user_base_of_cells(days, categories, value_counts(done, "user", "amount"))
+
+
+def user_base_of_cells(days: DataFrame, categories: DataFrame, amounts: DataFrame) -> DataFrame:
+    """`user_base` from cells alone; `amounts` counts each `user` struct's cents.
 
     All three parts are grouped by the user wrapped in a struct, which also
     matches a NULL user, so they are joined where they lie.
@@ -77,7 +83,7 @@ def user_base(days: DataFrame, categories: DataFrame, stg: DataFrame) -> DataFra
         F.max("last_at").alias("last_transaction_date"),
     )
     kinds = categories.groupBy(user).agg(_active("product_category").alias("unique_categories"))
-    profile = amount_profile(stg.where(completed()).select(user, "amount"), "user", "amount")
+    profile = profile_of_counts(amounts, "user")
     return (
         counts.join(kinds, "user", "left")
         .join(profile, "user", "left")

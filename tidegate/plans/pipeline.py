@@ -16,6 +16,7 @@ from ..operators import modeltests, quality
 from ..runtime import stage, staged_run
 from ..schemas import RecordField
 from ..sources import pages, tables
+from ..sources.committed import CommittedTable
 from . import governance, intermediate, marts, publish, staging, suites, views
 
 
@@ -31,8 +32,16 @@ class Config:
     # keep the published tables bucketed in this database instead of in folders
     database: str | None = None
     buckets: int = 256
-
-    def published(self, entity: publish.Entity) -> tables.FolderTable | tables.BucketedTable:
+    # or as committed tables: a run's rows appear in one step, and an index of the keys,
+    # in as many buckets, spares reading all that was published before
+    committed: bool = False
+
+    def published(
+        self, entity: publish.Entity
+    ) -> tables.FolderTable | tables.BucketedTable | CommittedTable:
+        if self.committed:
+            path = tables.folder(self.root, "prod", entity.table)
+            return CommittedTable(path, entity.published_key, self.buckets)
         if self.database:
             name = f"{self.database}.prod_{entity.table}"
             return tables.BucketedTable(name, entity.published_key, self.buckets)
@@ -44,19 +53,25 @@ class AuditBlocked(RuntimeError):
 
 
 def land(
-    spark: SparkSession, source: str, target: str, fields: list[RecordField], key: str, as_of: datetime
-) -> dict[str, int]:
+    spark: SparkSession, source: str, target: str, fields: list[RecordField], key: str,
+    as_of: datetime, watch: Callable[[DataFrame], quality.Watched] | None = None,
+) -> tuple[dict[str, int], quality.Watched | None]:
     """Replace the raw table with the accepted records of the landed pages.
 
-    The pages are staged as read, so that their JSON is parsed once.
+    The pages are staged as read, so that their JSON is parsed once. `watch` takes the
+    audit's numbers while the records are written.
     """
     landed = stage(pages.read_pages(spark, source, fields), "pages")
     rows = pages.checked(pages.records(landed), fields)
     good = pages.with_ingest_columns(pages.accepted(rows, fields, key), as_of, source)
-    tables.replace(good, target)
+    watched = watch(good) if watch else None
+    tables.replace(watched.rows if watched else good, target)
     tables.replace(pages.rejects(landed, rows), f"{target}_rejected")
-    inserted = spark.read.schema(good.schema).parquet(target).count()
-    return pages.extraction_metrics(landed, rows, inserted)
+    if watched:
+        inserted = watched.counted()["total"]
+    else:
+        inserted = spark.read.schema(good.schema).parquet(target).count()
+    return pages.extraction_metrics(landed, rows, inserted), watched
 
 
 # Columns whose NULLs stop an audit before its suites run.
@@ -77,13 +92,20 @@ def audit(
     warning: quality.Suite,
     log_path: str,
     as_of: datetime,
+    watched: quality.Watched | None = None,
 ) -> dict:
-    """Run both suites, append the log line, and raise if the critical suite failed."""
-    nulls = quality.null_profile(raw, HARD_NULLS[table]).first().asDict()
+    """Run both suites, append the log line, and raise if the critical suite failed.
+
+    With the numbers `watched` while `raw` was written, it is read only for uniqueness.
+    """
+    if watched:
+        nulls = watched.null_counts()
+    else:
+        nulls = quality.null_profile(raw, HARD_NULLS[table]).first().asDict()
     found = {k: v for k, v in nulls.items() if k != "total" and v}
     if found:
         raise AuditBlocked(f"{table}: {found}")
-    lines = quality.run_audit(raw, critical, warning)
+    lines = watched.lines(raw) if watched else quality.run_audit(raw, critical, warning)
     line = quality.audit_log(lines, f"audit.{table}", critical.name)
     result = line.first().asDict()
     columns = [f.name for f in schemas.VALIDATION_LOG.fields]
@@ -267,13 +289,19 @@ def _run_phases(spark: SparkSession, cfg: Config, as_of: datetime, result: dict)
     metrics = result["metrics"]
     at = lambda zone, table: tables.folder(cfg.root, zone, table)
     transactions, users = publish.TRANSACTIONS, publish.USERS
-    metrics["land_transactions"] = land(
-        spark, cfg.transaction_pages, at("audit", transactions.table),
-        schemas.TRANSACTION_FIELDS, transactions.key, as_of,
-    )
-    metrics["land_users"] = land(
-        spark, cfg.user_pages, at("audit", users.table), schemas.USER_FIELDS, users.key, as_of
-    )
+    both_suites = {
+        e: [suites.suite(f"{e.table.removeprefix('raw_')}_{tier}_suite") for tier in ("critical", "warnings")]
+        for e in (transactions, users)
+    }
+    watched = {}
+    for entity, source, fields in (
+        (transactions, cfg.transaction_pages, schemas.TRANSACTION_FIELDS),
+        (users, cfg.user_pages, schemas.USER_FIELDS),
+    ):
+        metrics[f"land_{entity.table.removeprefix('raw_')}"], watched[entity] = land(
+            spark, source, at("audit", entity.table), fields, entity.key, as_of,
+            lambda df, e=entity: quality.Watched(df, *both_suites[e], HARD_NULLS[e.table]),
+        )
     raw = {
         transactions: tables.read_table(spark, at("audit", transactions.table), schemas.RAW_TRANSACTIONS),
         users: tables.read_table(spark, at("audit", users.table), schemas.RAW_USERS),
@@ -286,8 +314,7 @@ def _run_phases(spark: SparkSession, cfg: Config, as_of: datetime, result: dict)
         try:
             outcome = audit(
                 df, entity.table,
-                suites.suite(f"{side}_critical_suite"), suites.suite(f"{side}_warnings_suite"),
-                at("audit", "gx_validation_logs"), as_of,
+                *both_suites[entity], at("audit", "gx_validation_logs"), as_of, watched[entity],
             )
         except AuditBlocked as e:
             result["blocked"][entity.table] = str(e)
@@ -295,7 +322,8 @@ def _run_phases(spark: SparkSession, cfg: Config, as_of: datetime, result: dict)
         metrics[f"audit_{side}"] = outcome
         metrics[f"publish_{side}"] = publish.publish(
             spark, entity, df, cfg.published(entity), outcome, as_of, salt,
-            cfg.rules, cfg.strict_masks,
+            cfg.rules, cfg.strict_masks, result["run_id"],
+            metrics[f"land_{side}"]["records_inserted"],
         )
     stored = {("audit", e.table): spark.read.parquet(at("audit", e.table)) for e in raw}
     for entity in raw:

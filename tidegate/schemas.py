@@ -5,13 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql.types import (
-    ArrayType, BinaryType, BooleanType, DateType, DecimalType, DoubleType, IntegerType,
+    ArrayType, BinaryType, BooleanType, DateType, DecimalType, DoubleType, IntegerType, LongType,
     StringType, StructField, StructType, TimestampNTZType,
 )
 
 MONEY = DecimalType(10, 2)
 SCORE = DecimalType(3, 2)
-TEXT, INT, MOMENT = StringType(), IntegerType(), TimestampNTZType()
+TEXT, INT, LONG, MOMENT = StringType(), IntegerType(), LongType(), TimestampNTZType()
 
 
 @dataclass(frozen=True)
@@ -176,3 +176,17 @@ PIPELINE_METRICS = StructType(
         StructField("metric_value", DoubleType()),
     ]
 )
+
+# Stored state of the metrics: cells of three kinds under one schema.
+METRIC_CELLS = StructType(
+    [
+        StructField("cells", TEXT), StructField("user_id", INT), StructField("transaction_day", MOMENT),
+        StructField("product_category", TEXT), StructField("cents", LONG), StructField("cell_rows", LONG),
+        StructField("n", LONG), StructField("n_amount", LONG), StructField("total", DecimalType(38, 2)),
+        StructField("first_at", MOMENT), StructField("last_at", MOMENT),
+    ]
+)
+
+# Pages of a source that were landed, and the generations of a table's schema.
+OFFSETS = StructType([StructField("page", LONG), StructField("attempts", INT), StructField("run_id", TEXT)])
+GENERATIONS = StructType([StructField("version", INT), StructField("columns", TEXT), StructField("plan", TEXT)])
