@@ -587,6 +587,9 @@ SELECT transaction_id, CAST(user_id AS INT) AS user_id, product_category,
   CAST(transaction_date AS TIMESTAMP) AS transaction_date, status
 FROM checked_wire WHERE reject_reason IS NULL
 QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY event_id) = 1""",
+    "paged_source": """
+SELECT page, n AS records, CASE WHEN opens_with = 'ERROR' THEN 'run-2' ELSE 'run-1' END AS run_id
+FROM numbered_pages JOIN (SELECT event_id // 100 + 1 AS page, count(*) AS n FROM wire GROUP BY 1) USING (page)""",
     "page_gap_report": """
 SELECT page FROM numbered_pages WHERE opens_with IN ('ERROR', 'SIGNUP')""",
     "corrupt_pages": """
@@ -613,6 +616,11 @@ SELECT * REPLACE ({_tail("transaction_id", 4)} AS transaction_id) FROM batch""",
     "publish_tx_dedup": f"SELECT {_BATCH_COLUMNS}, transaction_key FROM batch_best",
     "publish_tx_new": """
 SELECT transaction_id, transaction_key, amount, ingested_at FROM batch_new""",
+    "publish_tx_indexed": """
+SELECT transaction_id, transaction_key, amount, ingested_at FROM batch_new""",
+    "publish_committed": _published_sql("batch_earlier", FRESH_AS_OF)
+    + "\nUNION ALL"
+    + _published_sql("batch_new", AS_OF),
     "publish_metrics": """
 SELECT fresh AS records_published, total - fresh AS records_filtered,
   best - fresh AS duplicate_records, round(100 * fresh / total, 2) AS approval_rate
@@ -636,12 +644,16 @@ FROM raw_users WHERE user_id IS NOT NULL AND email IS NOT NULL
     "dq_suite_users_critical": _suite_sql("users", "CRITICAL", _USERS_CRITICAL),
     "dq_suite_users_warning": _suite_sql("users", "WARNING", _USERS_WARNINGS),
     "dq_suite_with_errors": _suite_sql("dirty", "CHECK", _BROKEN),
-    "dq_suite_empty": f"SELECT * FROM ({_suite_sql('dirty', 'CHECK', _BROKEN)}) WHERE false",
+    "dq_suite_empty": _suite_sql("dirty", "CHECK", _BROKEN),
     "dq_combined_log": _log_sql(
         "dirty", "audit.raw_transactions", "transactions_critical_suite", _TX_CRITICAL, _TX_WARNINGS
     )
     + "\nUNION ALL"
     + _log_sql("users", "audit.raw_users", "users_critical_suite", _USERS_CRITICAL, _USERS_WARNINGS),
+    "median_sketch_rank": """
+SELECT product_category, CAST(share AS DOUBLE) AS share, count(*) AS n, true AS within_bound
+FROM stg, (SELECT unnest([0.25, 0.5, 0.75]) AS share)
+WHERE status = 'COMPLETED' AND amount IS NOT NULL GROUP BY 1, 2""",
     "null_profile_users": """
 SELECT count(*) - count(user_id) AS null_ids, count(*) - count(first_name) AS null_first_name,
   count(*) - count(last_name) AS null_last_name, count(*) - count(ip_address) AS null_ips,
@@ -802,6 +814,22 @@ SELECT u.user_id, CASE WHEN e.user_id IS NULL THEN email END AS email,
   CASE WHEN e.user_id IS NULL THEN ip_address END AS ip_address
 FROM users u JOIN key_owners k ON u.user_id = k.user_id
   LEFT JOIN erased e ON u.user_id = e.user_id""",
+    "decrypt_old_version": """
+SELECT u.user_id, email, ip_address, CAST(1 AS INT) AS key_version
+FROM users u JOIN key_owners k ON u.user_id = k.user_id""",
+    "key_rotation": """
+SELECT u.user_id, email, ip_address, CAST(1 + (u.user_id % 3 = 0)::INT AS INT) AS key_version,
+  CAST(1 + (u.user_id % 3 = 0)::INT AS INT) AS newest_version, 1 AS keys_left,
+  CASE WHEN ip_address IS NOT NULL THEN u.user_id % 3 <> 0 END AS untouched
+FROM users u JOIN key_owners k ON u.user_id = k.user_id""",
+    "keys_second_batch": f"""
+SELECT user_id, CAST(1 AS INT) AS key_version, user_id % 8 <> 0 AS is_active,
+  CASE WHEN user_id % 4 < 2 THEN {AS_OF} ELSE {FRESH_AS_OF} END AS created_at,
+  CASE WHEN user_id % 8 = 0 THEN 'left' END AS revoke_reason, user_id % 8 <> 0 AS has_key,
+  CASE WHEN user_id % 4 < 2 AND user_id % 8 <> 0 THEN true END AS same_key
+FROM users WHERE user_id % 4 < 3
+UNION ALL
+SELECT user_id, CAST(2 AS INT), true, {FRESH_AS_OF}, NULL, true, NULL FROM users WHERE user_id % 8 = 0""",
     "quality_dashboard": """
 SELECT CAST(ingested_at AS DATE) AS fecha, count(*) AS total_registros,
   count(*) FILTER (WHERE amount < 0) AS registros_monto_negativo,
@@ -831,6 +859,14 @@ FROM (SELECT max(ingested_at) AS latest,
       FROM {table} WHERE ingested_at >= {FRESH_AS_OF} - INTERVAL '24' HOUR)"""
         for name, table in (("audit.raw_transactions", "tx"), ("audit.raw_users", "raw_users"))
     ),
+    "zone_reload": """
+SELECT transaction_id, user_id, CASE WHEN day(ingested_at) % 2 = 0 THEN -amount ELSE amount END AS amount,
+  ingested_at FROM tx""",
+    "schema_evolution": """
+SELECT transaction_id, CAST(user_id AS BIGINT) AS customer_id, amount,
+  CASE WHEN user_id % 3 = 0 THEN 'USD' ELSE currency END AS currency,
+  CASE WHEN amount > 50 THEN 'large' ELSE 'small' END AS size
+FROM tx WHERE user_id IS NOT NULL""",
     "email_completeness": """
 SELECT count(*) AS total_users, count(*) - count(email) AS null_emails,
   round(CAST(100 * (count(*) - count(email)) AS DOUBLE) / count(*), 2) AS null_pct FROM users""",
@@ -888,4 +924,10 @@ SELECT schema_name || '.' || table_name AS full_table, column_name, pii_category
   protection_method, access_restriction, retention_days, legal_basis FROM catalog_after""",
 }
 
+# numbers taken while a table is written, and metrics advanced batch by batch, change nothing
+TEXTS["freshness_partitioned"] = TEXTS["freshness_check"]
+TEXTS["dq_combined_log_observed"] = TEXTS["dq_combined_log"]
+for _name in ("user_metrics", "category_metrics", "daily_metrics"):
+    TEXTS[f"{_name}_advanced"] = TEXTS[_name]
+
 ORACLE = {name: with_models(text) for name, text in TEXTS.items()}

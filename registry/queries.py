@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,13 +13,17 @@ from pyspark.sql import functions as F
 from tidegate import schemas
 from tidegate.functions import masking as M
 from tidegate.functions.scalars import moment
-from tidegate.operators import modeltests, quality
+from tidegate.operators import modeltests, quality, quantiles
 from tidegate.operators.skew import known_keys, measure
 from tidegate.plans import (
     governance, intermediate, marts, publish, shredding, staging, suites, views,
 )
+from tidegate.plans.incremental import MetricState
 from tidegate.runtime import shared_folder, stage
-from tidegate.sources import pages, tables
+from tidegate.sources import paged, pages, tables
+from tidegate.sources.committed import CommittedTable
+from tidegate.sources.registry import EvolvingTable, Plan
+from tidegate.sources.zones import DailyTable
 
 from .fixtures import AS_OF, FRESH_AS_OF, SALT, fixture
 
@@ -78,16 +83,12 @@ def _dim_users(spark, d):
 _WIRE_FIELDS = [f.name for f in schemas.TRANSACTION_FIELDS]
 
 
-def _landed_pages(spark, d, lose_pages: bool = False) -> DataFrame:
-    """Pages of at most PAGE_SIZE records, written as JSON lines and read back.
-
-    With `lose_pages`, a page whose first record is an error was not delivered,
-    and one that starts with a sign-up arrived cut short.
-    """
+def _page_lines(spark, d) -> DataFrame:
+    """Pages of at most PAGE_SIZE records as JSON lines."""
     wire = fixture(spark, d, "wire")
     page = (F.floor(F.col("event_id") / PAGE_SIZE) + 1).cast("long")
     last = wire.agg(F.max(page)).first()[0]
-    lines = (
+    return (
         wire.groupBy(page.alias("page"))
         .agg(
             F.sort_array(F.collect_list(F.struct("event_id", *_WIRE_FIELDS))).alias("data"),
@@ -100,8 +101,18 @@ def _landed_pages(spark, d, lose_pages: bool = False) -> DataFrame:
                 )
             ).alias("value"),
             "opens_with",
+            "page",
         )
     )
+
+
+def _landed_pages(spark, d, lose_pages: bool = False) -> DataFrame:
+    """The pages, written as JSON lines and read back.
+
+    With `lose_pages`, a page whose first record is an error was not delivered,
+    and one that starts with a sign-up arrived cut short.
+    """
+    lines = _page_lines(spark, d)
     if lose_pages:
         cut = F.when(F.col("opens_with") == "SIGNUP", F.substring("value", 1, 40))
         lines = lines.where(F.col("opens_with") != "ERROR").select(
@@ -112,6 +123,22 @@ def _landed_pages(spark, d, lose_pages: bool = False) -> DataFrame:
     return pages.read_pages(spark, folder, schemas.TRANSACTION_FIELDS)
 
 
+def paged_source(spark, d):
+    """Pages fetched one by one; those that a first run did not get, a second one does."""
+    lines = stage(_page_lines(spark, d), "page-lines").select("page", "value", "opens_with")
+    folder, log = _fresh_folder(spark, "paged"), paged.OffsetLog(_fresh_folder(spark, "offsets"))
+    late = F.col("opens_with") == "ERROR"
+    out = None
+    for run_id, delivered in (("run-1", lines.where(~late)), ("run-2", lines.where(late))):
+        delivered.select("page", "value").write.mode("append").partitionBy("page").text(folder)
+        read = stage(paged.read_source(spark, folder, log, pause=0.01, pages_per_task=16), "fetched")
+        log.add(read, run_id)
+        records = pages.records(paged.as_pages(read, schemas.TRANSACTION_FIELDS))
+        own = records.groupBy("page").agg(F.count("*").alias("records")).withColumn("run_id", F.lit(run_id))
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
 def _checked_records(spark, d, lose_pages: bool = False):
     landed = _landed_pages(spark, d, lose_pages)
     return landed, pages.checked(pages.records(landed), schemas.TRANSACTION_FIELDS)
@@ -181,6 +208,35 @@ def publish_tx_new(spark, d):
     return new.select("transaction_id", "transaction_key", "amount", "ingested_at")
 
 
+def publish_tx_indexed(spark, d):
+    """Keys looked up through the index of a committed table, written by two runs before."""
+    table = CommittedTable(_fresh_folder(spark, "indexed"), "transaction_key", buckets=16)
+    before = stage(_published_before(spark, d), "before")
+    half = F.col("transaction_key") < "8"
+    table.append(before.where(half), "run-1")
+    table.append(before.where(~half), "run-2")
+    batch = publish.one_per_key(publish.TRANSACTIONS, fixture(spark, d, "batch"), AS_OF, SALT)
+    batch = stage(batch, "batch")
+    known, _ = table.known_keys(batch)
+    new = publish.not_published(batch, known, "transaction_key")
+    return new.select("transaction_id", "transaction_key", "amount", "ingested_at")
+
+
+def publish_committed(spark, d):
+    """Two runs, each repeated, beside a write that was lost before its commit."""
+    raw = fixture(spark, d, "batch")
+    earlier = raw.where("ingested_at < TIMESTAMP_NTZ '1996-07-01 00:00:00'")
+    entity = publish.TRANSACTIONS
+    target = CommittedTable(_fresh_folder(spark, "committed"), entity.published_key, buckets=8)
+    args = dict(audit={"audit_passed": True}, salt=SALT, rules=M.DEFAULT_RULES)
+    for _ in range(2):
+        publish.publish(spark, entity, earlier, target, as_of=FRESH_AS_OF, run_id="day-1", **args)
+    raw.limit(5).write.parquet(f"{target.path}/_write=2-lost")
+    for _ in range(2):
+        publish.publish(spark, entity, raw, target, as_of=AS_OF, run_id="day-2", **args)
+    return target.read(spark, entity.schema).select(*_PUBLISHED)
+
+
 def _publish_run(spark, d, entity, raw, earlier=None):
     """Publish an earlier part and then everything; return the last metrics and the table."""
     target = tables.FolderTable(_fresh_folder(spark, "prod"))
@@ -270,27 +326,61 @@ BROKEN = quality.Suite(
 
 
 def dq_suite_empty(spark, d):
-    """A suite without expectations has no lines, and so no summary."""
-    return quality.run_suite(fixture(spark, d, "dirty"), quality.Suite("empty", []))
+    """A suite without expectations adds no line to those of another over the same rows."""
+    rows = fixture(spark, d, "dirty")
+    empty = quality.run_suite(rows, quality.Suite("empty", []))
+    return quality.run_suite(rows, BROKEN).unionByName(empty)
+
 
+_SIDES = [
+    ("dirty", "audit.raw_transactions", suites.TRANSACTIONS_CRITICAL, suites.TRANSACTIONS_WARNINGS),
+    ("users", "audit.raw_users", suites.USERS_CRITICAL, suites.USERS_WARNINGS),
+]
 
-def dq_combined_log(spark, d):
+
+def dq_combined_log(spark, d, run=quality.run_audit):
     """The log lines of both audits: a blocked one and one that passes."""
-    sides = [
-        ("dirty", "audit.raw_transactions", suites.TRANSACTIONS_CRITICAL, suites.TRANSACTIONS_WARNINGS),
-        ("users", "audit.raw_users", suites.USERS_CRITICAL, suites.USERS_WARNINGS),
-    ]
     lines = [
-        quality.audit_log(
-            quality.run_audit(fixture(spark, d, table), critical, warning), name, critical.name
-        )
-        for table, name, critical, warning in sides
+        quality.audit_log(run(fixture(spark, d, table), critical, warning), name, critical.name)
+        for table, name, critical, warning in _SIDES
     ]
     return reduce(DataFrame.unionByName, lines).withColumn(
         "failures", F.array_join("failures", "; ")
     )
 
 
+def dq_combined_log_observed(spark, d):
+    """The same lines from numbers taken while the tables are written."""
+
+    def while_written(rows, critical, warning):
+        watched = quality.Watched(rows, critical, warning, {})
+        return watched.lines(stage(watched.rows, "watched"))
+
+    return dq_combined_log(spark, d, while_written)
+
+
+def median_sketch_rank(spark, d):
+    """Quartiles of sketches merged over users: are their exact ranks as near as promised?"""
+    done = _stg(spark, d).where(intermediate.completed())
+    cells = stage(quantiles.sketched(done, ["user_id", "product_category"], "amount"), "sketches")
+    whole = stage(quantiles.merged(cells, ["product_category"]), "merged")
+    shares = (0.25, 0.5, 0.75)
+    asked = whole.select(
+        F.col("product_category").alias("kind"),
+        quantiles.sketch_size("sketch").alias("n"),
+        F.inline(F.array(*[
+            F.struct(F.lit(q).alias("share"), quantiles.quantile("sketch", q).alias("value")) for q in shares
+        ])),
+    )
+    ranks = done.where("amount IS NOT NULL").join(
+        F.broadcast(asked), F.col("product_category").eqNullSafe(F.col("kind"))
+    )
+    margin = 3 * quantiles.rank_error()
+    below, upto = F.count_if(F.col("amount") < F.col("value")), F.count_if(F.col("amount") <= F.col("value"))
+    inside = F.col("share").between(below / F.col("n") - margin, upto / F.col("n") + margin)
+    return ranks.groupBy("product_category", "share", "n").agg(inside.alias("within_bound"))
+
+
 def null_profile_users(spark, d):
     return quality.null_profile(
         _users(spark, d),
@@ -386,10 +476,68 @@ def freshness_check(spark, d):
     return governance.freshness_check(raw, FRESH_AS_OF)
 
 
+def freshness_partitioned(spark, d):
+    """The same check over tables by day, of which the days that count are opened."""
+    since = (FRESH_AS_OF - timedelta(hours=24)).date()
+    raw = {}
+    for name, rows in (("raw_transactions", fixture(spark, d, "tx")), ("raw_users", _users(spark, d))):
+        # users registered over years: only those of the newest months lie by day here
+        rows = rows.where("ingested_at >= TIMESTAMP_NTZ '2023-11-01 00:00:00'").select("user_id", "ingested_at")
+        zone = DailyTable(_fresh_folder(spark, name), "ingested_at")
+        zone.replace_days(rows)
+        raw[f"audit.{name}"] = zone.read(spark, rows.schema, first=since)
+    return governance.freshness_check(raw, FRESH_AS_OF)
+
+
+def zone_reload(spark, d):
+    """A table by day, of which every other day is loaded again with other amounts."""
+    rows = fixture(spark, d, "tx").select("transaction_id", "user_id", "amount", "ingested_at")
+    zone = DailyTable(_fresh_folder(spark, "zone"), "ingested_at")
+    zone.replace_days(rows)
+    again = rows.where("day(ingested_at) % 2 = 0").withColumn("amount", (-F.col("amount")).cast("decimal(10,2)"))
+    zone.replace_days(again)
+    return zone.read(spark, rows.schema)
+
+
+def schema_evolution(spark, d):
+    """Three generations of files, in which columns were renamed, retyped, dropped and added."""
+    tx = fixture(spark, d, "tx").where("user_id IS NOT NULL")
+    table = EvolvingTable(_fresh_folder(spark, "evolving"))
+    first = tx.where("user_id % 3 = 0").selectExpr(
+        "transaction_id", "user_id", "CAST(amount AS STRING) AS value", "status AS note"
+    )
+    second = tx.where("user_id % 3 = 1").selectExpr("transaction_id", "user_id", "amount", "currency")
+    third = tx.where("user_id % 3 = 2").selectExpr(
+        "transaction_id", "CAST(user_id AS BIGINT) AS customer_id", "amount", "currency",
+        "CASE WHEN amount > 50 THEN 'large' ELSE 'small' END AS size",
+    )
+    plans = [
+        None,
+        Plan(renamed={"value": "amount"}, added={"currency": "'USD'"}, dropped=["note"]),
+        Plan(renamed={"user_id": "customer_id"}, added={"size": "CASE WHEN amount > 50 THEN 'large' ELSE 'small' END"}),
+    ]
+    for rows, plan in zip((first, second, third), plans):
+        table.evolve(spark, rows.schema, plan)
+        table.append(rows)
+    return table.read(spark)
+
+
 def _lineage(spark, d):
     return governance.record_lineage(fixture(spark, d, "runs"), AS_OF)
 
 
+def _advanced(spark, d) -> MetricState:
+    """The state after three batches, one of them repeated, compacted in between."""
+    state, stg = MetricState(_fresh_folder(spark, "metric-state")), _stg(spark, d)
+    part = F.pmod(F.xxhash64("transaction_id"), F.lit(3))
+    for k in (0, 1, 1):
+        state.advance(stg.where(part == k), f"batch-{k}")
+    state.compact(spark)
+    state.advance(stg.where(part == 1), "batch-1")
+    state.advance(stg.where(part == 2), "batch-2")
+    return state
+
+
 # --- encryption ------------------------------------------------------------
 
 _SECRET = ["email", "ip_address"]
@@ -409,7 +557,7 @@ def encrypt_users(spark, d):
     _, keys = _keys(spark, d)
     sealed, rejected = shredding.encrypt(_people(spark, d), keys, _SECRET)
     sealed = sealed.withColumn("sealed_differs", F.length("ip_address") > 28)
-    opened = shredding.decrypt(sealed, keys, _SECRET).withColumn(
+    opened = shredding.decrypt(sealed, keys, _SECRET).drop("key_version").withColumn(
         "reject_reason", F.lit(None).cast("string")
     )
     return opened.unionByName(rejected.withColumn("sealed_differs", F.lit(False)))
@@ -436,7 +584,57 @@ def decrypt_after_shred(spark, d):
     table, keys = _keys(spark, d)
     sealed = stage(shredding.encrypt(_people(spark, d), keys, _SECRET)[0], "sealed")
     after, _ = _shredded(spark, d, table)
-    return shredding.decrypt(sealed, after, _SECRET)
+    return shredding.decrypt(sealed, after, _SECRET).drop("key_version")
+
+
+def _rotated(spark, d):
+    """Rows sealed with version 1; then every third user gets version 2, and some leave."""
+    table, keys = _keys(spark, d)
+    sealed = stage(shredding.encrypt(_people(spark, d), keys, _SECRET)[0], "sealed")
+    due = fixture(spark, d, "users").where("user_id % 3 = 0").select("user_id")
+    return table, sealed, shredding.rotate_keys(due, AS_OF, table)
+
+
+def decrypt_old_version(spark, d):
+    """After a rotation, rows open with the version that sealed them."""
+    _, sealed, keys = _rotated(spark, d)
+    return shredding.decrypt(sealed, keys, _SECRET)
+
+
+def key_rotation(spark, d):
+    """Rows sealed anew with the active version; older versions lose their bytes."""
+    table, sealed, keys = _rotated(spark, d)
+    moved = stage(shredding.reseal(sealed, keys, _SECRET), "resealed")
+    after = shredding.drop_unused(table, moved)
+    same = sealed.select("user_id", *[F.col(c).alias(f"old_{c}") for c in _SECRET])
+    opened = shredding.decrypt(moved, after, _SECRET)
+    kept = moved.select("user_id", *[F.col(c).alias(f"new_{c}") for c in _SECRET])
+    left = after.where("encryption_key IS NOT NULL").groupBy("user_id").agg(
+        F.count("*").alias("keys_left"), F.max("key_version").alias("newest_version")
+    )
+    joined = opened.join(same, "user_id").join(kept, "user_id").join(left, "user_id")
+    return joined.select(
+        "user_id", *_SECRET, "key_version", "newest_version", "keys_left",
+        (F.col("new_ip_address") == F.col("old_ip_address")).alias("untouched"),
+    )
+
+
+def keys_second_batch(spark, d):
+    """Keys of three batches of users, who overlap, one of whom had left in between."""
+    table = tables.SnapshotTable(_fresh_folder(spark, "keys"))
+    people = fixture(spark, d, "users").select("user_id")
+    first = shredding.generate_keys(people.where("user_id % 4 < 2"), AS_OF, table)
+    marked = stage(first.select("user_id", "key_version", F.sha2("encryption_key", 256).alias("mark")), "marks")
+    gone = people.where("user_id % 8 = 0").selectExpr(
+        "user_id", "CAST(user_id AS STRING) AS request_id", "'left' AS reason"
+    )
+    shredding.shred(table, shredding.register_requests(gone, AS_OF), AS_OF)
+    keys = shredding.generate_keys(people.where("user_id % 4 < 3"), FRESH_AS_OF, table)
+    return keys.join(marked, ["user_id", "key_version"], "left").select(
+        "user_id", "key_version", "is_active", "created_at", "revoke_reason",
+        F.col("encryption_key").isNotNull().alias("has_key"),
+        (F.sha2("encryption_key", 256) == F.col("mark")).alias("same_key"),
+    )
 
 
 def deletion_status(spark, d):
@@ -469,6 +667,7 @@ def pseudonymize_sha(spark, d):
 QUERIES: dict[str, Query] = {
     # landing
     "land_pages": land_pages,
+    "paged_source": paged_source,
     "page_gap_report": page_gap_report,
     "reject_split": reject_split,
     "corrupt_pages": corrupt_pages,
@@ -481,6 +680,8 @@ QUERIES: dict[str, Query] = {
     "publish_tx_new": publish_tx_new,
     "publish_metrics": publish_metrics,
     "publish_transactions": publish_transactions,
+    "publish_tx_indexed": publish_tx_indexed,
+    "publish_committed": publish_committed,
     "publish_users": publish_users,
     # expectations
     **{name: _one(t, kind, **kw) for name, (t, kind, kw) in SINGLE_CHECKS.items()},
@@ -488,6 +689,7 @@ QUERIES: dict[str, Query] = {
     "dq_suite_with_errors": _suite("dirty", BROKEN),
     "dq_suite_empty": dq_suite_empty,
     "dq_combined_log": dq_combined_log,
+    "dq_combined_log_observed": dq_combined_log_observed,
     "null_profile_users": null_profile_users,
     "null_profile_tx": null_profile_tx,
     # model tests
@@ -503,6 +705,11 @@ QUERIES: dict[str, Query] = {
     "stg_masked_users": lambda s, d: staging.stg_masked_users(_stg_users(s, d), strict=False),
     # aggregations and windows
     "user_metrics": user_metrics,
+    "user_metrics_advanced": lambda s, d: _advanced(s, d).user_metrics(s).withColumn(
+        "stddev_transaction_amount", F.round("stddev_transaction_amount", 6)
+    ),
+    "category_metrics_advanced": lambda s, d: _advanced(s, d).category_metrics(s),
+    "daily_metrics_advanced": lambda s, d: _advanced(s, d).daily_metrics(s),
     "category_metrics": lambda s, d: intermediate.category_metrics(_stg(s, d)),
     "daily_metrics": lambda s, d: intermediate.daily_metrics(_stg(s, d)),
     "user_activity": lambda s, d: intermediate.user_activity(_stg(s, d)),
@@ -511,6 +718,7 @@ QUERIES: dict[str, Query] = {
     "user_value_quartile": user_value_quartile,
     "user_frequency_quartile": user_frequency_quartile,
     "daily_moving_avg": daily_moving_avg,
+    "median_sketch_rank": median_sketch_rank,
     "txn_seq": lambda s, d: intermediate.transaction_sequence(
         fixture(s, d, "tx"), fixture(s, d, "users")
     ),
@@ -558,12 +766,18 @@ QUERIES: dict[str, Query] = {
     "deletion_requests": deletion_requests,
     "deletion_status": deletion_status,
     "decrypt_after_shred": decrypt_after_shred,
+    "decrypt_old_version": decrypt_old_version,
+    "key_rotation": key_rotation,
+    "keys_second_batch": keys_second_batch,
     # governance
     "quality_dashboard": lambda s, d: governance.quality_dashboard(fixture(s, d, "dirty")),
     "freshness_dashboard": lambda s, d: governance.freshness_dashboard(
         fixture(s, d, "monitor"), FRESH_AS_OF
     ),
     "freshness_check": freshness_check,
+    "freshness_partitioned": freshness_partitioned,
+    "zone_reload": zone_reload,
+    "schema_evolution": schema_evolution,
     "email_completeness": lambda s, d: governance.email_completeness(fixture(s, d, "users")),
     "column_profile": lambda s, d: governance.column_profile(
         fixture(s, d, "dirty"), "transaction_id", "ingested_at"
