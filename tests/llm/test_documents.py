@@ -122,6 +122,34 @@ def test_packing_holds_every_id_once(docs, empty):
     assert packing.pack(empty, JSON, PATTERN).count() == 0
 
 
+@pytest.mark.parametrize("text", ["", "ten small words are what this one row holds now"])
+def test_short_documents_leave_little_padding(spark, text):
+    frame = spark.createDataFrame([(k, text) for k in range(20_000)], "doc_id long, text string").repartition(4)
+    rows = packing.pack(frame, JSON, PATTERN).collect()
+    used = sum(r.length for r in rows)
+    sequences = len({r.sequence_id for r in rows})
+    places = sorted((r.sequence_id, r.offset, r.offset + r.length) for r in rows)
+    assert len(rows) == 20_000 and sum(b[1] != (a[2] if a[0] == b[0] else 0) for a, b in zip(places, places[1:])) == 0
+    assert max(stop for _, _, stop in places) <= 2048 and sequences <= 1.02 * -(-used // 2048)
+
+
+LONG = [" " * 300_000 + "x", "\n" * 300_000 + "x", "a" * 300_000, "." * 300_000, "x " * 150_000]
+
+
+def test_very_long_texts_are_encoded_whole(spark):
+    slow = Tokenizer.from_file(JSON)
+    frame = spark.createDataFrame(list(enumerate(LONG)), "doc_id long, text string")
+    want = {k: np.array([*slow.encode(t, add_special_tokens=False).ids, 1], "<u4") for k, t in enumerate(LONG)}
+    found = {k: [] for k in want}
+    for r in packing.pack(frame, JSON, PATTERN, with_ids=True).collect():
+        found[r.doc_id].append((r.start, bytes(r.ids)))
+    assert {k: b"".join(ids for _, ids in sorted(v)) for k, v in found.items()} == {k: w.tobytes() for k, w in want.items()}
+    rows = binpack.matrices(frame, JSON, PATTERN).collect()
+    assert sum(r.n_tokens for r in rows) == sum(map(len, want.values()))
+    for r in bpe.encoded(frame, RANKS, PATTERN, with_ids=True).collect():
+        assert bytes(r.ids) == want[r.doc_id][:-1].tobytes()
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_patterns_meet_the_demand_as_well_as_best_fit(seed):
     draw = np.random.default_rng(seed)
@@ -235,6 +263,20 @@ def test_later_passages_go_and_clean_documents_stay(spark):
     assert linededup.dedup_lines(frame.where("false")).count() == 0
 
 
+def test_line_dedup_keeps_columns_of_any_name(spark):
+    block = "\n".join(f"this is line number {k} of a passage in both" for k in range(5))
+    rows = [(1, block + "\nown end", "a", 1, 2, 3), (2, "own start\n" + block, "b", 4, 5, 6)]
+    frame = spark.createDataFrame(rows, ["doc_id", "text", "gone__", "k__", "a.b", "Lines_Removed"])
+    out = linededup.dedup_lines(frame)
+    assert out.columns == ["doc_id", "text", "gone__", "k__", "a.b", "lines_removed"]
+    got = {r[0]: tuple(r) for r in out.collect()}
+    assert got[1] == (1, rows[0][1], "a", 1, 2, [])
+    assert got[2] == (2, "own start", "b", 4, 5, [1, 2, 3, 4, 5])
+    for name in ("key", "found_key", "c0", "pos", "h", "w"):
+        clash = linededup.dedup_lines(frame.select("doc_id", "text", frame["k__"].alias(name)))
+        assert clash.columns == ["doc_id", "text", name, "lines_removed"] and clash.count() == 2
+
+
 def test_a_line_of_many_documents_goes_from_all_but_the_first(spark):
     line = long(6, 60)
     frame = spark.range(400).selectExpr("id AS doc_id", f"concat('own ', id, '\n{line}\nmore ', id) AS text")

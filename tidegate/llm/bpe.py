@@ -40,7 +40,12 @@ class Codec:
         self.table = [b""] * (max(self.ranks.values(), default=0) + 1)
         for token, rank in self.ranks.items():
             self.table[rank] = token
-        self.longest = max(map(len, self.ranks), default=1)
+        #: Lengths of the tokens that end in these three bytes, longest first.
+        lengths: dict[bytes, set[int]] = {}
+        for token in self.ranks:
+            if len(token) > 2:
+                lengths.setdefault(token[-3:], set()).add(len(token))
+        self.ending = {end: sorted(found, reverse=True) for end, found in lengths.items()}
         self.find = regex.compile(pattern).findall
         self.alone: dict[bytes, bool] = {}
         self.fits: dict[tuple[int, int], bool] = {}
@@ -123,11 +128,20 @@ class Codec:
         """Last tokens of all prefixes of `data`, given those of its first `len(last)`.
 
         A token may end a prefix if it may stand alone or fits the last token of
-        the prefix before it. Exactly one does, so the search stops there.
+        the prefix before it. Exactly one does, so the search stops there, and its
+        order is free: first the last token made longer by this byte, then all tokens
+        that end here.
         """
-        ranks, fits, longest = self.ranks, self.fits, self.longest
+        ranks, fits, table, ending = self.ranks, self.fits, self.table, self.ending
         for end in range(len(last) + 1, len(data) + 1):
-            for start in range(max(0, end - longest), end):
+            if end > 1:
+                size = len(table[last[-1]]) + 1
+                if size > 2 and self._ends(data, end - size, end, last):
+                    continue
+            for size in ending.get(data[end - 3 : end], ()) if end > 2 else ():
+                if size > end:
+                    continue
+                start = end - size
                 rank = ranks.get(data[start:end])
                 if rank is None:
                     continue
@@ -141,9 +155,24 @@ class Codec:
                     last.append(rank)
                     break
             else:
-                raise ValueError("the rank file lacks a single byte")
+                if not (self._ends(data, end - 2, end, last) or self._ends(data, end - 1, end, last)):
+                    raise ValueError("the rank file lacks a single byte")
         return last
 
+    def _ends(self, data: bytes, start: int, end: int, last: list[int]) -> bool:
+        """Note the token data[start:end] as the last of its prefix, if it is that."""
+        rank = self.ranks.get(data[start:end]) if start >= 0 else None
+        if rank is None:
+            return False
+        if start:
+            fit = self.fits.get((last[start - 1], rank))
+            fit = self._fit(last[start - 1], rank) if fit is None else fit
+        else:
+            fit = self._alone(data[:end], rank)
+        if fit:
+            last.append(rank)
+        return fit
+
     def walk(self, last: list[int]) -> list[int]:
         """Ids of the whole string from the last tokens of its prefixes."""
         ids, end = [], len(last)
@@ -231,7 +260,10 @@ def encoded(
     """`doc_id, n_tokens, ids_sha256, decoded_sha256` (and `ids`) per row of `docs`.
 
     The ids of a whole text, then the digest of what they decode to. Null and empty
-    texts have no ids; rows that repeat stay rows; other columns are not read.
+    texts have no ids; rows that repeat stay rows; an empty table gives no rows; other
+    columns are not read. Very long texts are encoded whole, also without any space: the
+    work grows with their length alone. `pattern` must begin a match at every single space
+    between two other characters, as those of byte-level files do.
     """
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string()] + [pa.binary()] * with_ids

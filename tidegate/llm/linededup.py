@@ -255,26 +255,40 @@ def dedup_lines(
 ) -> DataFrame:
     """`docs` with common blocks of `min_words` words or more deleted from later documents.
 
-    All columns stay; `text` changes, and `lines_removed` (array of line numbers
-    from 0) is added. Documents are ordered by id, a null id first, and by text
-    where an id repeats; rows equal in both are one document, so none of them is
-    later than the other. The first document to hold a passage keeps it. Lines are
-    compared as they are; blank lines match nothing, end no passage and stay. A null text stays null
-    and an empty one empty, an empty table gives an empty table.
+    All columns stay, whatever their names; `text` changes, and `lines_removed` (array of
+    line numbers from 0) is added in place of a column of that name in any case. Documents
+    are ordered by id, a null id first, and by text where an id repeats; rows equal in both
+    are one document, so none of them is later than the other. The first document to hold a
+    passage keeps it. Lines are compared as they are; blank lines match nothing, end no
+    passage and stay. A null text stays null and an empty one empty, an empty table gives an
+    empty table. A very long text is compared whole, as one row of line hashes.
     """
-    if "lines_removed" in docs.columns:
-        docs = docs.drop("lines_removed")
-    found = repeated_lines(docs, text, doc_id, min_words, rare)
-    found = found.select(F.col("key").alias("k__"), F.col("gone").alias("gone__"))
-    key = F.struct(docs[doc_id].alias("d"), F.xxhash64(docs[text]).alias("t"))
+    names = [c for c in docs.columns if c.lower() != "lines_removed"]
+    # numbered columns inside: no given name can clash with another, a dot or the operator's own
+    inner = docs.select(*[docs[_quoted(c)].alias(f"c{k}") for k, c in enumerate(names)])
+    own_text, own_id = (f"c{names.index(_same(names, c))}" for c in (text, doc_id))
+    found = repeated_lines(inner, own_text, own_id, min_words, rare)
+    found = found.select(F.col("key").alias("found_key"), F.col("gone").alias("found_gone"))
+    key = F.struct(inner[own_id].alias("d"), F.xxhash64(inner[own_text]).alias("t"))
     lines = F.transform(
-        F.split(F.col(text), "\n", -1), lambda line, k: F.struct(k.alias("k"), line.alias("line"))
+        F.split(F.col(own_text), "\n", -1), lambda line, k: F.struct(k.alias("k"), line.alias("line"))
     )
-    rest = F.filter(lines, lambda x: ~F.array_contains(F.col("gone__"), x["k"]))
-    cleaned = F.when(F.col("gone__").isNull(), F.col(text)).otherwise(
+    rest = F.filter(lines, lambda x: ~F.array_contains(F.col("found_gone"), x["k"]))
+    cleaned = F.when(F.col("found_gone").isNull(), F.col(own_text)).otherwise(
         F.array_join(F.transform(rest, lambda x: x["line"]), "\n")
     )
-    joined = docs.join(found.hint("shuffle_hash"), key == F.col("k__"), "left")
-    columns = [cleaned.alias(c) if c == text else F.col(c) for c in docs.columns]
+    joined = inner.join(found.hint("shuffle_hash"), key == F.col("found_key"), "left")
+    columns = [
+        (cleaned if f"c{k}" == own_text else F.col(f"c{k}")).alias(c) for k, c in enumerate(names)
+    ]
     none = F.array().cast("array<int>")
-    return joined.select(*columns, F.coalesce(F.col("gone__"), none).alias("lines_removed"))
+    return joined.select(*columns, F.coalesce(F.col("found_gone"), none).alias("lines_removed"))
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _same(names: list[str], wanted: str) -> str:
+    """The column that is meant by `wanted`: itself, or else the one that differs by case only."""
+    return wanted if wanted in names else next(c for c in names if c.lower() == wanted.lower())

@@ -27,6 +27,11 @@ from .tokens import encoder
 #: bounds it whatever the data; the places in a sequence use the true lengths.
 CLASSES = 256
 
+#: Pieces of up to this share of a sequence travel in bundles of up to that share, which
+#: the program takes for one piece: rounding up costs little of a bundle, but much of a
+#: single short piece.
+SHORT, BUNDLE = 1 / 32, 1 / 4
+
 
 def units(max_len: int) -> tuple[int, int]:
     """Ids per class step, and how many steps a sequence holds.
@@ -49,18 +54,36 @@ def pieces(
 ) -> DataFrame:
     """Pieces of at most `max_len` ids per document, ranked in their class per partition.
 
-    Columns `doc_id, start, length, ids_crc32, doc_tokens, cls, part, place`, and
-    `ids` (binary) on request. Every document ends with `end_id`; null and empty
-    texts are that id alone.
+    Columns `doc_id, start, length, ids_crc32, doc_tokens, cls, part, place, inner`, and
+    `ids` (binary) on request. Pieces of a bundle share class and rank and are told apart
+    by `inner`. Every document ends with `end_id`; null and empty texts are that id alone.
+    Very long texts are encoded whole (see `tokens` for those without end of white space).
     """
     unit, room = units(max_len)
+    short, bundle = int(max_len * SHORT), int(max_len * BUNDLE)
     end = np.array([end_id], "<u4").tobytes()
-    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "cls", "part", "place"]
-    kinds = [pa.int64()] * 5 + [pa.int32(), pa.int32(), pa.int64()]
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "cls", "part", "place", "inner"]
+    kinds = [pa.int64()] * 5 + [pa.int32(), pa.int32(), pa.int64(), pa.int32()]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part = encoder(tokenizer, pattern), TaskContext.get().partitionId()
         ranked = np.zeros(CLASSES + 1, np.int64)
+        held: list[tuple] = []  # short pieces of a bundle that is still open
+        filled = 0
+
+        def placed(together: list[tuple], length: int) -> list[tuple]:
+            cls = min(room, -(-length // unit))
+            ranked[cls] += 1
+            at = (cls, part, ranked[cls] - 1)
+            return [(*p[:5], *at, k, p[5]) for k, p in enumerate(together)]
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*rows, strict=True)) if rows else [()] * 10
+            arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=False)]
+            if with_ids:
+                arrays.append(pa.array(columns[9], pa.binary()))
+            return pa.RecordBatch.from_arrays(arrays, names + ["ids"] * with_ids)
+
         for batch in batches:
             rows: list[tuple] = []
             for doc, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -68,17 +91,22 @@ def pieces(
                 total = len(ids) // 4
                 for start in range(0, total, max_len):
                     own = ids[4 * start : 4 * (start + max_len)]
-                    cls = min(room, -(-len(own) // (4 * unit)))
-                    rows.append((doc, start, len(own) // 4, zlib.crc32(own), total, cls, part, ranked[cls], own))
-                    ranked[cls] += 1
-            columns = list(zip(*rows, strict=True)) if rows else [()] * 9
-            arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=False)]
-            if with_ids:
-                arrays.append(pa.array(columns[8], pa.binary()))
-            yield pa.RecordBatch.from_arrays(arrays, names + ["ids"] * with_ids)
+                    n = len(own) // 4
+                    piece = (doc, start, n, zlib.crc32(own), total, own if with_ids else None)
+                    if n > short:
+                        rows += placed([piece], n)
+                        continue
+                    if filled + n > bundle:
+                        rows += placed(held, filled)
+                        held, filled = [], 0
+                    held.append(piece)
+                    filled += n
+            yield batch_of(rows)
+        if held:
+            yield batch_of(placed(held, filled))
 
     schema = (
-        "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, cls int, part int, place long"
+        "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, cls int, part int, place long, inner int"
         + ", ids binary" * with_ids
     )
     return docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(cut, schema)
@@ -244,12 +272,13 @@ def pack(
     """Every document's ids packed into sequences of at most `max_len`.
 
     One row per piece: `doc_id, start, length, ids_crc32, doc_tokens, sequence_id,
-    offset` (and `ids` with `with_ids=True`); options as in `pieces`. Null and
-    empty texts are one id, rows that repeat an id (or have none) are documents of
+    offset` (and `ids` with `with_ids=True`); options as in `pieces`. Short pieces are
+    bundled, so padding stays low for tables of them, too. Null and empty texts are one
+    id, texts of any length are cut without loss, rows that repeat an id (or have none) are documents of
     their own, an empty table gives no sequences, and other columns are not read.
     """
     cut = staged(pieces(docs, tokenizer, pattern, max_len=max_len, **how), "pieces")
-    cells = staged(cut.groupBy("part", "cls").agg(F.count(F.lit(1)).alias("n")), "piece-counts")
+    cells = staged(cut.where("inner = 0").groupBy("part", "cls").agg(F.count(F.lit(1)).alias("n")), "piece-counts")
     need = np.zeros(CLASSES + 1, np.int64)
     for c, n in cells.groupBy("cls").agg(F.sum("n")).collect():
         need[c] = n
@@ -266,7 +295,7 @@ def pack(
     ranked = cut.join(offsets, ["part", "cls"]).withColumn("rank", F.col("first") + F.col("place"))
     ahead = (
         Window.partitionBy("sequence_id")
-        .orderBy("cls", "rank")
+        .orderBy("cls", "rank", "inner")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     kept = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]

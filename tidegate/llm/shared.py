@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..runtime import shared_folder
+from ..runtime import shared_folder, stage
 
 
 def scratch(spark: SparkSession, label: str) -> str:
@@ -16,13 +16,8 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/llm/{label}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """`df` written once to the shared folder and read back: the lineage ends here."""
-    path = scratch(df.sparkSession, label)
-    df.write.parquet(path)
-    frame = df.sparkSession.read.schema(df.schema).parquet(path)
-    frame.staged_at = path
-    return frame
+#: A table written once and read back: the lineage ends here. It goes with its `staged_run`.
+staged = stage
 
 
 def drop(df: DataFrame) -> None:
