@@ -81,6 +81,32 @@ def test_every_pair_within_the_distance_is_probed(spark, max_bits, count):
     assert got == {(a, b) for a in signed for b in signed if a < b and near(a, b)}
 
 
+@pytest.mark.parametrize("count", [2, 3, 5])
+def test_groups_are_the_components_of_all_links(spark, count):
+    draw = random.Random(count)
+    seeds = [draw.getrandbits(64) for _ in range(25)]
+    prints = set(seeds)
+    for s in seeds:
+        for _ in range(draw.randint(0, 25)):  # chains and clouds around each seed
+            s = draw.choice([s, s, seeds[0]]) ^ sum(1 << draw.randrange(64) for _ in range(draw.randint(1, 6)))
+            prints.add(s & (2**64 - 1))
+    signed = [(p - 2**64 if p >> 63 else p,) for p in prints]
+    frame = spark.createDataFrame(signed, "fp long").persist()
+    want = {r.node: r.component for r in components(simhash.links(frame, 4, 3)).collect()}
+    assert {r.node: r.component for r in simhash.groups(frame, 4, count).collect()} == want
+
+
+def test_a_cluster_needs_as_many_links_as_members(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(simhash, "components", lambda links: made.append(links.count()) or components(links))
+    base = 0x0123456789ABCDEF
+    prints = {base ^ (1 << i) ^ (1 << j) for i in range(64) for j in range(64)}
+    frame = spark.createDataFrame([(p - 2**64 if p >> 63 else p,) for p in prints], "fp long").persist()
+    found = simhash.groups(frame).collect()
+    assert len(found) == len(prints) > 2000 and len({r.component for r in found}) == 1
+    assert max(made) <= 4 * len(prints)
+
+
 def test_first_of_groups_keeps_columns_and_null_ids(docs, empty):
     left = simhash.first_of_groups(docs)
     assert left.columns == docs.columns

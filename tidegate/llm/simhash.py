@@ -88,44 +88,81 @@ def _balls(parts: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
     return out
 
 
-def links(prints: DataFrame, max_bits: int = 4, segment_count: int = 3) -> DataFrame:
-    """Pairs (a, b), a < b, of distinct fingerprints at most `max_bits` apart.
+def _table(prints: DataFrame, parts: list[tuple[int, int]]) -> DataFrame:
+    """(`b`, `seg`, `val`): each fingerprint under the value of each of its segments."""
+    entries = F.array(
+        *(F.struct(F.lit(k).alias("seg"), F.lit(_signed(m)).alias("mask")) for k, (m, _) in enumerate(parts))
+    )
+    return prints.select("*", F.explode(entries).alias("e")).select(
+        F.col("fp").alias("b"),
+        *(F.col(c).alias(f"b_{c}") for c in prints.columns if c != "fp"),
+        F.col("e.seg").alias("seg"),
+        F.col("fp").bitwiseAND(F.col("e.mask")).alias("val"),
+    )
 
-    `prints` has one distinct long column `fp`. More probes and fewer rows per
-    table entry come with fewer segments: 3 segments (45 probes for 4 bits) suit up
-    to some ten million texts, 2 segments (562 probes) more.
-    """
-    parts = segments(max_bits, segment_count)
+
+def _probes(prints: DataFrame, parts: list[tuple[int, int]]) -> DataFrame:
+    """(`a`, `seg`, `val`): the values within each segment's radius of each fingerprint."""
     probes = F.array(
         *(
             F.struct(F.lit(k).alias("seg"), F.lit(_signed(m)).alias("mask"), F.lit(_signed(x)).alias("flip"))
             for k, m, x in _balls(parts)
         )
     )
-    entries = F.array(
-        *(F.struct(F.lit(k).alias("seg"), F.lit(_signed(m)).alias("mask")) for k, (m, _) in enumerate(parts))
-    )
-    table = prints.select(F.col("fp").alias("b"), F.explode(entries).alias("e")).select(
-        "b", F.col("e.seg").alias("seg"), F.col("b").bitwiseAND(F.col("e.mask")).alias("val")
-    )
-    asked = prints.select(F.col("fp").alias("a"), F.explode(probes).alias("p")).select(
-        "a",
+    return prints.select("*", F.explode(probes).alias("p")).select(
+        F.col("fp").alias("a"),
+        *(F.col(c).alias(f"a_{c}") for c in prints.columns if c != "fp"),
         F.col("p.seg").alias("seg"),
-        F.col("a").bitwiseXOR(F.col("p.flip")).bitwiseAND(F.col("p.mask")).alias("val"),
+        F.col("fp").bitwiseXOR(F.col("p.flip")).bitwiseAND(F.col("p.mask")).alias("val"),
     )
-    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
-    return (
-        asked.alias("q")
-        .join(
-            table.alias("t"),
-            (F.col("q.seg") == F.col("t.seg"))
-            & (F.col("q.val") == F.col("t.val"))
-            & (F.col("a") < F.col("b"))
-            & near,
-        )
-        .select("a", "b")
-        .distinct()
+
+
+def _near(a: str, b: str, max_bits: int) -> Column:
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= max_bits
+
+
+def links(prints: DataFrame, max_bits: int = 4, segment_count: int = 3) -> DataFrame:
+    """Pairs (a, b), a < b, of distinct fingerprints at most `max_bits` apart.
+
+    `prints` has one distinct long column `fp`. More probes and fewer rows per
+    table entry come with fewer segments: 3 segments mean 45 probes for 4 bits,
+    2 segments 562. A cluster of n gives up to n^2 / 2 pairs; `groups` needs them not.
+    """
+    parts = segments(max_bits, segment_count)
+    found = _probes(prints, parts).join(_table(prints, parts), ["seg", "val"])
+    return found.where((F.col("a") < F.col("b")) & _near("a", "b", max_bits)).select("a", "b").distinct()
+
+
+#: Distinct fingerprints up to which three segments serve; beyond, their buckets grow long.
+THREE_SEGMENTS = 10_000_000
+
+
+def groups(prints: DataFrame, max_bits: int = 4, segment_count: int | None = None) -> DataFrame:
+    """`node, component` of every fingerprint that is linked to another.
+
+    The components of all `links`, from far fewer rows. First each fingerprint is linked to
+    the smallest one of each segment value it has, if that is near: a cluster collapses
+    by as many rows as it has members. Then the probes look for near pairs across what
+    has been found so far, and these are all that is left to join. `prints` is staged.
+    """
+    if segment_count is None:
+        segment_count = 3 if prints.count() <= THREE_SEGMENTS else 2
+    parts = segments(max_bits, segment_count)
+    table = _table(prints, parts)
+    least = table.groupBy("seg", "val").agg(F.min("b").alias("a"))
+    stars = table.join(least, ["seg", "val"]).where((F.col("a") < F.col("b")) & _near("a", "b", max_bits))
+    stars = staged(stars.select("a", "b").distinct(), "simhash-stars")
+    so_far = components(stars).withColumnRenamed("node", "fp")
+    known = prints.join(so_far, "fp", "left").select("fp", F.coalesce("component", "fp").alias("root"))
+    known = staged(known, "simhash-roots")
+    pairs = _probes(known, parts).join(_table(known, parts), ["seg", "val"])
+    across = pairs.where(
+        (F.col("a") < F.col("b")) & (F.col("a_root") != F.col("b_root")) & _near("a", "b", max_bits)
     )
+    across = across.select(
+        F.least("a_root", "b_root").alias("a"), F.greatest("a_root", "b_root").alias("b")
+    ).distinct()
+    return components(stars.unionByName(across))
 
 
 def near_duplicates(
@@ -134,7 +171,7 @@ def near_duplicates(
     doc_id: str = "doc_id",
     shingle: int = 4,
     max_bits: int = 4,
-    segment_count: int = 3,
+    segment_count: int | None = None,
 ) -> DataFrame:
     """One row per row of `docs`: `doc_id`, `fingerprint` (hex), `component_id`.
 
@@ -143,7 +180,9 @@ def near_duplicates(
     empty texts have fingerprint zero and are linked like any other. Rows with a
     null id belong to the group of their text and never name it; a group of such
     rows alone has a null component. Other columns of `docs` are not read; an empty
-    table gives an empty result.
+    table gives an empty result. Very long texts are hashed whole, in pieces of 65,536
+    shingles. `segment_count` follows from the number of fingerprints unless it is given;
+    the result is the same.
     """
     rows = staged(
         docs.select(
@@ -152,8 +191,8 @@ def near_duplicates(
         "prints",
     )
     nodes = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    groups = components(links(nodes.select("fp"), max_bits, segment_count)).withColumnRenamed("node", "fp")
-    placed = staged(nodes.join(groups, "fp", "left"), "placed")
+    found = groups(nodes.select("fp"), max_bits, segment_count).withColumnRenamed("node", "fp")
+    placed = staged(nodes.join(found, "fp", "left"), "placed")
     alone = placed.where(F.col("component").isNull()).select("fp", "least")
     joined = placed.where(F.col("component").isNotNull())
     least = joined.groupBy("component").agg(F.min("least").alias("least"))
