@@ -1,6 +1,9 @@
 """The vector and page operators against brute force, on odd and repeated rows."""
 
+import base64
 import hashlib
+import re
+import zlib
 
 import duckdb
 import numpy as np
@@ -124,6 +127,32 @@ def test_archives_round_trip(spark, pages):
     assert warc.round_trip(pages.where("false")).count() == 0
 
 
+def test_records_hold_what_the_format_demands(spark, tmp_path):
+    body = "ünïcode " * 30
+    pages = spark.createDataFrame([(3, "http://a/x", body), (5, "http://b/y z", body), (7, None, None)], "page_id long, url string, html string")
+    folder = scratch(spark, "warc-format")
+    index = warc.write_archives(warc.revisits(pages), folder).collect()
+    found = {}
+    for r in index:
+        with open(f"{folder.removeprefix('file:')}/{r.file}", "rb") as f:
+            f.seek(r.offset)
+            data = zlib.decompress(f.read(r.length), 31)
+        head, _, rest = data.partition(b"\r\n\r\n")
+        version, *lines = head.decode().split("\r\n")
+        fields = dict(x.split(": ", 1) for x in lines)
+        assert version == "WARC/1.1" and len(rest) == int(fields["Content-Length"]) + 4
+        assert {"WARC-Record-ID", "WARC-Date", "WARC-Type", "Content-Type", "Content-Length"} <= set(fields)
+        assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", fields["WARC-Date"])
+        assert rest.startswith(b"HTTP/1.1 200 OK\r\n")
+        found[r.page_id] = fields, rest[:-4].partition(b"\r\n\r\n")[2]
+    first, again = found[3][0], found[5][0]
+    digest = base64.b32encode(hashlib.sha256(body.encode()).digest()).decode()
+    assert first["WARC-Payload-Digest"] == again["WARC-Payload-Digest"] == f"sha256:{digest}"
+    assert (found[3][1], found[5][1], found[7][1]) == (body.encode(), b"", b"")
+    assert again["WARC-Refers-To"] == first["WARC-Record-ID"] != again["WARC-Record-ID"]
+    assert again["WARC-Type"] == "revisit" and again["WARC-Profile"] == warc.PROFILE
+
+
 def test_ranges_join_neighbours_only():
     far = warc.GAP + 1000
     assert warc.ranges([0, 10, far], [10, 5, 7]) == [(0, 15, [(0, 10), (10, 5)]), (far, far + 7, [(far, 7)])]

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import base64
 import gzip
 import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
+from datetime import UTC, datetime
 from urllib.parse import quote
 
 import pandas as pd
@@ -23,6 +25,8 @@ RECORD = (
 )
 #: Ranges of one read: apart by at most GAP bytes, of READ bytes at most unless a record is longer.
 GAP, READ = 1 << 16, 8 << 20
+#: Bytes of archives that a task reads, stretch by stretch.
+TASK = 128 << 20
 
 
 def _store(path: str):
@@ -38,7 +42,8 @@ def revisits(pages: DataFrame, least_bytes: int = 100) -> DataFrame:
     Of pages with equal payloads of `least_bytes` or more the one with the smallest
     id is a response and the others revisit it. A null html is an empty payload. Of
     rows that repeat that smallest id each is a response; rows without an id revisit
-    a page that has one, and are responses where no such page exists.
+    a page that has one, and are responses where no such page exists. An empty table
+    gives no rows; other columns are not read.
     """
     body = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select(
@@ -66,38 +71,62 @@ def revisits(pages: DataFrame, least_bytes: int = 100) -> DataFrame:
     )
 
 
-def record(row) -> bytes:
-    """One WARC record, compressed as a gzip member of its own."""
-    body = b"" if row.record_type == "revisit" or row.html is None else row.html.encode()
+#: Fixed values of the format: what a revisit record refers by.
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+_PAGES = uuid.UUID("6f1d3c52-7a52-5f0e-9b0a-2f3d0c1b8a44")
+
+
+def record_id(page: int | None) -> str:
+    """The id of a page's record, so that revisits can name it; one of its own without a page id."""
+    found = uuid.uuid4() if page is None else uuid.uuid5(_PAGES, f"page {page}")
+    return f"<urn:uuid:{found}>"
+
+
+def record(row, date: str = "1970-01-01T00:00:00Z") -> bytes:
+    """One WARC record, compressed as a gzip member of its own.
+
+    The block is an HTTP response; that of a revisit has no payload. The digest is labelled
+    and in base 32, as readers of archives expect.
+    """
+    body = b"" if row.html is None else row.html.encode()
+    again = row.record_type == "revisit"
     page = None if pd.isna(row.page_id) else int(row.page_id)
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {row.payload_bytes}\r\n\r\n"
+    block = http.encode() + (b"" if again else body)
+    digest = base64.b32encode(bytes.fromhex(row.payload_digest)).decode()
     head = [
         "WARC/1.1",
         f"WARC-Type: {row.record_type}",
-        f"WARC-Record-ID: <urn:uuid:{uuid.uuid4()}>",
-        f"WARC-Payload-Digest: sha256:{row.payload_digest}",
+        f"WARC-Record-ID: {record_id(page)}",
+        f"WARC-Date: {date}",
+        f"WARC-Payload-Digest: sha256:{digest}",
+        "Content-Type: application/http; msgtype=response",
+        f"Content-Length: {len(block)}",
         f"X-Payload-Length: {row.payload_bytes}",
-        f"Content-Length: {len(body)}",
     ]
     if page is not None:
         head.append(f"X-Page-ID: {page}")
     if row.url is not None:
         head.append(f"WARC-Target-URI: {quote(row.url, safe=_PLAIN)}")
-    if row.record_type == "revisit":
-        head.append(f"X-Refers-To-Page: {int(row.refers_to)}")
-    raw = "\r\n".join(head).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
+    if again:
+        first = int(row.refers_to)
+        head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {record_id(first)}", f"X-Refers-To-Page: {first}"]
+    raw = "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
     return gzip.compress(raw, 1)
 
 
 _PLAIN = "".join(chr(c) for c in range(33, 127) if chr(c) != "%")
 
 
-def write_archives(rows: DataFrame, folder: str) -> DataFrame:
-    """Write a record per row of `revisits` below `folder`; returns the index.
+def write_archives(rows: DataFrame, folder: str, at: datetime | None = None) -> DataFrame:
+    """Write a record per row of `revisits` below `folder`, dated `at` (now); returns the index.
 
-    An archive per task attempt. Only the index of the attempt that Spark commits
+    Record ids follow from page ids; rows that repeat a page id share one. An archive per task attempt. Only the index of the attempt that Spark commits
     names its archive, so one left by a lost executor is never read.
     """
 
+    date = (at or datetime.now(UTC)).strftime("%Y-%m-%dT%H:%M:%SZ")
+
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, root = _store(folder)
         store.create_dir(root, recursive=True)
@@ -108,7 +137,7 @@ def write_archives(rows: DataFrame, folder: str) -> DataFrame:
                 found = []
                 for row in batch.itertuples(index=False):
                     out = out or store.open_output_stream(f"{root}/{name}", compression=None)
-                    data = record(row)
+                    data = record(row, date)
                     out.write(data)
                     page = None if pd.isna(row.page_id) else int(row.page_id)
                     found.append((name, at, len(data), row.url, row.payload_digest, page))
@@ -128,7 +157,9 @@ def parse(data: bytes) -> tuple:
     head, _, rest = zlib.decompress(data, 31).partition(b"\r\n\r\n")
     fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
     kind, digest = fields["WARC-Type"], fields["WARC-Payload-Digest"].removeprefix("sha256:")
-    body, size = rest[: int(fields["Content-Length"])], int(fields["X-Payload-Length"])
+    digest = base64.b32decode(digest).hex()
+    _, _, body = rest[: int(fields["Content-Length"])].partition(b"\r\n\r\n")
+    size = int(fields["X-Payload-Length"])
     if kind == "response" and (len(body) != size or hashlib.sha256(body).hexdigest() != digest):
         raise ValueError(f"damaged record of page {fields.get('X-Page-ID')}")
     page, refers = fields.get("X-Page-ID"), fields.get("X-Refers-To-Page")
@@ -153,10 +184,10 @@ def read_records(
     the page they refer to) and if `with_payload` is false.
     """
     total = index.agg(F.sum("length")).first()[0] or 0
-    stretch = F.floor(F.col("offset") / (4 << 20))
-    dealt = index.withColumn("stretch", stretch).repartition(
-        max(1, -(-total // (2 << 20))), "file", "stretch"
-    )
+    stretch = F.floor(F.col("offset") / READ)
+    few = min(spark.sparkContext.defaultParallelism, -(-total // (2 << 20)))  # no core idle on little data
+    tasks = max(1, few, -(-total // TASK))
+    dealt = index.withColumn("stretch", stretch).repartition(tasks, "file", "stretch")
     columns = [c.split(" ")[0] for c in RECORD.split(", ")]
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
