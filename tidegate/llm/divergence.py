@@ -24,7 +24,7 @@ from .shared import staged
 TERM = re.compile(rb"[a-z\x80-\xff]+")
 ONE = 1_000_000_000
 #: Counters of a task are handed on at so many entries, pairs summed up at so many.
-ENTRIES, PAIRS = 1_000_000, 1 << 22
+ENTRIES, PAIRS = 1_500_000, 1 << 22
 EXACT = "decimal(38,0)"
 
 
@@ -46,18 +46,26 @@ def _distinct_texts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Terms of each source (and, without a source, documents with the term) in this task."""
-    uses: dict[tuple[str, str], dict[bytes, int]] = {}
-    having: dict[str, dict[bytes, int]] = {}
+    # Terms are numbered per language, so that each is held once, whatever its sources.
+    numbers: dict[str, dict[bytes, int]] = {}
+    uses: dict[tuple[str, str], dict[int, int]] = {}
+    having: dict[str, list[int]] = {}
+
+    def rows(lang: str, source: str | None, terms: np.ndarray, n: list[int]) -> Iterator[pa.RecordBatch]:
+        for k in range(0, len(terms), 100_000):
+            own = terms[k : k + 100_000]
+            columns = [pa.array([x] * len(own), pa.string()) for x in (lang, source)]
+            columns += [pa.array(own, pa.binary()), pa.array(n[k : k + 100_000], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n"])
 
     def handed_on() -> Iterator[pa.RecordBatch]:
-        for (lang, source), found in [*uses.items(), *(((k, None), v) for k, v in having.items())]:
-            terms, numbers = list(found), list(found.values())
-            for k in range(0, len(terms), 100_000):
-                own = terms[k : k + 100_000]
-                columns = [pa.array([x] * len(own), pa.string()) for x in (lang, source)]
-                columns += [pa.array(own, pa.binary()), pa.array(numbers[k : k + 100_000], pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n"])
-        uses.clear()
+        for lang, own in numbers.items():
+            terms = np.array([*own, None], object)[:-1]
+            yield from rows(lang, None, terms, having[lang])
+            for source in [s for x, s in uses if x == lang]:
+                found = uses.pop((lang, source))
+                yield from rows(lang, source, terms[list(found)], list(found.values()))
+        numbers.clear()
         having.clear()
 
     for batch in batches:
@@ -65,19 +73,21 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, text, copies in zip(batch.column(0).to_pylist(), texts, batch.column(2).to_pylist()):
             body = text.as_py().lower()
             own = Counter(TERM.findall(body)) if len(body) < 1 << 22 else Counter(m[0] for m in TERM.finditer(body))
+            known, seen = numbers.setdefault(lang, {}), having.setdefault(lang, [])
+            ids = [known.setdefault(term, len(known)) for term in own]
+            seen += [0] * (len(known) - len(seen))
+            held = sum(c["n"] for c in copies)
+            for i in ids:
+                seen[i] += held
             for c in copies:
-                _add(uses.setdefault((lang, c["source"]), {}), own, c["n"])
-            _add(having.setdefault(lang, {}), dict.fromkeys(own, 1), sum(c["n"] for c in copies))
+                into, times = uses.setdefault((lang, c["source"]), {}), c["n"]
+                get = into.get
+                into.update({i: n * times + get(i, 0) for i, n in zip(ids, own.values())})
         if sum(map(len, uses.values())) > ENTRIES:
             yield from handed_on()
     yield from handed_on()
 
 
-def _add(into: dict, own: dict, times: int) -> None:
-    get = into.get
-    into.update({term: n * times + get(term, 0) for term, n in own.items()})
-
-
 def _share(n: str, of: str) -> Column:
     """1 + floor(10^9 (n + 1) / of), exact for any count."""
     return F.expr(
