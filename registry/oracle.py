@@ -925,6 +925,52 @@ SELECT schema_name || '.' || table_name AS full_table, column_name, pii_category
 }
 
 # numbers taken while a table is written, and metrics advanced batch by batch, change nothing
+# Which columns of the published transactions each column of a model is made of.
+_MADE_OF = {
+    ("stg_raw_transactions", "stg"): {
+        **{
+            c: [c]
+            for c in (
+                "transaction_id", "user_id", "product_category", "currency", "amount", "transaction_date",
+                "status", "processed_at", "data_quality_score",
+            )
+        },
+        **{
+            c: ["transaction_date"]
+            for c in (
+                "transaction_day", "transaction_year", "transaction_month", "transaction_day_of_month",
+                "transaction_day_of_week", "transaction_hour", "is_weekend",
+            )
+        },
+        "data_quality_tier": ["data_quality_score"],
+        "transaction_value_tier": ["amount"],
+        "is_anomaly": ["amount"],
+        "dbt_transformed_at": [None],
+    },
+    ("user_metrics", f"({TEXTS['user_metrics']})"): {
+        "user_id": ["user_id"],
+        "total_transactions": ["status"],
+        "active_days": ["status", "transaction_date"],
+        "unique_categories": ["status", "product_category"],
+        "total_amount": ["status", "amount"],
+        "avg_transaction_amount": ["status", "amount"],
+        "min_transaction_amount": ["amount"],
+        "max_transaction_amount": ["amount"],
+        "median_transaction_amount": ["amount"],
+        "stddev_transaction_amount": ["amount"],
+        "first_transaction_date": ["status", "transaction_date"],
+        "last_transaction_date": ["status", "transaction_date"],
+    },
+}
+TEXTS["column_lineage"] = "\nUNION ALL".join(
+    f"""
+SELECT '{model}' AS model, '{column}' AS column_name,
+  {"'prod.raw_transactions'" if source else "NULL"} AS source_table,
+  {f"'{source}'" if source else "NULL"} AS source_column, count({column}) AS n_values FROM {rows}"""
+    for (model, rows), columns in _MADE_OF.items()
+    for column, sources in columns.items()
+    for source in sources
+)
 TEXTS["freshness_partitioned"] = TEXTS["freshness_check"]
 TEXTS["dq_combined_log_observed"] = TEXTS["dq_combined_log"]
 for _name in ("user_metrics", "category_metrics", "daily_metrics"):

@@ -18,6 +18,7 @@ from tidegate.operators.skew import known_keys, measure
 from tidegate.plans import (
     governance, intermediate, marts, publish, shredding, staging, suites, views,
 )
+from tidegate.plans import column_lineage as CL
 from tidegate.plans.incremental import MetricState
 from tidegate.runtime import shared_folder, stage
 from tidegate.sources import paged, pages, tables
@@ -522,6 +523,21 @@ def schema_evolution(spark, d):
     return table.read(spark)
 
 
+def column_lineage(spark, d):
+    """Source columns of two models by their plans, with the number of values of each column."""
+    with CL.tracing() as trace:
+        stg = staging.stg_transactions(trace.source(fixture(spark, d, "tx"), "prod.raw_transactions"), AS_OF)
+        models = {"stg_raw_transactions": stg, "user_metrics": intermediate.user_metrics(stg)}
+        lines = [CL.as_rows(spark, name, trace.columns(df)) for name, df in models.items()]
+    counts = []
+    for name, df in models.items():
+        row = df.agg(*[F.count(c).alias(c) for c in df.columns])
+        entries = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_values")) for c in df.columns]
+        counts.append(row.select(F.lit(name).alias("model"), F.inline(F.array(*entries))))
+    found, filled = (reduce(DataFrame.unionByName, x) for x in (lines, counts))
+    return found.join(filled, ["model", "column_name"])
+
+
 def _lineage(spark, d):
     return governance.record_lineage(fixture(spark, d, "runs"), AS_OF)
 
@@ -792,6 +808,7 @@ QUERIES: dict[str, Query] = {
         fixture(s, d, "schema_checks"), fixture(s, d, "schema_columns"), AS_OF
     ),
     "lineage_record": _lineage,
+    "column_lineage": column_lineage,
     "lineage_view": lambda s, d: governance.lineage_view(_lineage(s, d)),
     "pii_catalog_upsert": _catalog,
     "pii_catalog": lambda s, d: governance.pii_view(_catalog(s, d)),

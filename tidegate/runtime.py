@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -71,6 +71,8 @@ def ship_package(spark: SparkSession) -> None:
 
 
 _run: ContextVar[str] = ContextVar("staged_run", default="kept")
+#: Takes (frame, the frame that reads it back) where columns are followed through staging.
+traced_by: ContextVar[Callable[[DataFrame, DataFrame], DataFrame] | None] = ContextVar("traced_by", default=None)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -83,6 +85,8 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = f"{_run_folder(spark, _run.get())}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     frame = spark.read.schema(df.schema).parquet(path)
+    if traced_by.get() is not None:
+        frame = traced_by.get()(df, frame)
     frame.staged_at = path  # for those who delete it before the run ends
     return frame
 
