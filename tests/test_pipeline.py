@@ -7,6 +7,7 @@ from datetime import datetime
 import pytest
 
 from tidegate import schemas
+from tidegate.plans import publish
 from tidegate.plans.pipeline import Config, register_views, run_pipeline, watch_schemas
 from tidegate.runtime import shared_folder, stage
 from tidegate.sources import pages, tables
@@ -196,6 +197,39 @@ def test_a_failed_replace_leaves_the_table(spark, tmp_path):
     assert spark.read.parquet(path).count() == 5 and os.listdir(tmp_path) == ["t"]
 
 
+def test_a_writer_lost_between_delete_and_rename_leaves_the_new_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = spark.range(1).schema
+    assert tables.read_table(spark, path, schema).count() == 0
+    tables.replace(spark.range(3), path)
+    spark.range(9).write.parquet(f"{path}.new-half")  # lost before its mark
+    assert tables.read_table(spark, path, schema).count() == 3
+    os.rename(path, f"{path}.new-whole")
+    assert tables.read_table(spark, path, schema).count() == 3
+    assert tables.standing(spark, path).endswith("t.new-whole")
+    tables.replace(spark.range(5), path)
+    assert tables.read_table(spark, path, schema).count() == 5 and os.listdir(tmp_path) == ["t"]
+
+
+def test_runs_publish_to_committed_tables(spark, tmp_path):
+    cfg = Config(
+        root=str(tmp_path / "lake"),
+        transaction_pages=write_pages(tmp_path / "tx", [tx(i) for i in range(30)]),
+        user_pages=write_pages(tmp_path / "users", [user(i) for i in range(1, 6)]),
+        salt="s",
+        committed=True,
+        buckets=4,
+        run_model_tests=False,
+    )
+    first = run_pipeline(spark, cfg, AS_OF, "run-1")
+    assert first["status"] == "completed" and first["metrics"]["publish_transactions"]["records_published"] == 30
+    again = run_pipeline(spark, cfg, AS_OF, "run-1")
+    assert again["metrics"]["publish_transactions"]["records_published"] == 0 and not again["schema_drift"]
+    assert register_views(spark.newSession(), cfg, AS_OF)
+    target = cfg.published(publish.TRANSACTIONS)
+    assert target.read(spark, publish.TRANSACTIONS.schema).count() == 30 and target.commits(spark) == [1]
+
+
 def test_a_run_removes_its_staged_tables_and_no_others(spark, daily):
     _, _, kept, before = daily
     assert before <= staged_folders(spark) and kept.count() == 3

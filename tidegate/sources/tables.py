@@ -11,6 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
+#: What the folders of a reload are named, and the mark of those with all their rows.
+NEW, COMPLETE = ".new-", "_COMPLETE"
+
+
 def folder(root: str, zone: str, table: str) -> str:
     return f"{root.rstrip('/')}/{zone}/{table}"
 
@@ -28,9 +32,10 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The table at `path`, or an empty one of the same schema before its first write."""
-    if not exists(spark, path):
+    found = standing(spark, path)
+    if found is None:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(found)
 
 
 def append(df: DataFrame, path: str) -> None:
@@ -92,7 +97,7 @@ class SnapshotTable:
     """
 
     path: str
-    MARK: ClassVar[str] = "_COMPLETE"
+    MARK: ClassVar[str] = COMPLETE
 
     def _folders(self, spark: SparkSession) -> tuple[list[int], list[int]]:
         """Numbers of all snapshot folders and of the complete ones."""
@@ -135,24 +140,53 @@ class SnapshotTable:
                     raise OSError(f"could not delete {old}")
 
 
+def _waiting(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """Complete and incomplete folders beside `path` that were written to take its place."""
+    target, fs = located(spark, path.rstrip("/"))
+    if not fs.exists(target.getParent()):
+        return [], []
+    prefix = f"{target.getName()}{NEW}"
+    found = [f.getPath().toString() for f in fs.listStatus(target.getParent()) if f.getPath().getName().startswith(prefix)]
+    complete = [f for f in found if exists(spark, f"{f}/{COMPLETE}")]
+    return complete, [f for f in found if f not in complete]
+
+
+def standing(spark: SparkSession, path: str) -> str | None:
+    """Where the rows of the table at `path` lie, None before its first write.
+
+    Between the deletion of the old rows and the renaming of the new ones that is the
+    folder of the new ones, also if the writer was lost there.
+    """
+    if exists(spark, path):
+        return path
+    complete, _ = _waiting(spark, path)
+    return complete[0] if complete else None
+
+
 def replace(df: DataFrame, path: str) -> None:
     """Truncate and reload: a rerun of the same input leaves the same table.
 
     The rows are written beside the table and take its place when they are complete, so a
-    failed write leaves the old table. `path` may not be read by `df` after that.
+    failed write leaves the old table, and readers by `read_table` find old or new rows at
+    any moment. What an earlier writer left is put in place or removed first: a table has
+    one writer at a time. `path` may not be read by `df` after that.
     """
     spark = df.sparkSession
-    fresh, fs = located(spark, f"{path.rstrip('/')}.new-{uuid.uuid4().hex}")
+    old, fs = located(spark, path)
+    fresh, _ = located(spark, f"{path.rstrip('/')}{NEW}{uuid.uuid4().hex}")
+    complete, lost = _waiting(spark, path)
     try:
         df.write.parquet(fresh.toString())
+        fs.create(located(spark, f"{fresh.toString()}/{COMPLETE}")[0], False).close()
     except Exception:
         fs.delete(fresh, True)
         raise
-    old, _ = located(spark, path)
     if fs.exists(old) and not fs.delete(old, True):
         raise OSError(f"could not delete {old}")
     if not fs.rename(fresh, old):
         raise OSError(f"could not rename {fresh} to {old}")
+    for left in (*complete, *lost):
+        fs.delete(located(spark, left)[0], True)
     spark.catalog.refreshByPath(path)
 
 
