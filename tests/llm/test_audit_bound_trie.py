@@ -10,10 +10,10 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
-from compare import SF_SMALL, differences, oracle_connection
+from compare import SF_SMALL
 from shipping import shipped  # noqa: F401
 from tidegate.llm import boundpack, divergence, trie
-from tidegate.llm.queries import ORACLE, QUERIES
+from tidegate.llm.queries import QUERIES
 from tidegate.llm.tokens import encoder
 from tokenizers import Tokenizer
 
@@ -295,11 +295,6 @@ def test_trie_of_nothing(spark):
     assert trie.prefix_trie(*trie.with_shared_heads(turns)).collect() == []
 
 
-@pytest.mark.parametrize("name", ["op11_source_divergence", "op13_prefix_trie"])
-def test_sql_counterparts(spark, name):
-    assert differences(QUERIES[name](spark, SF_SMALL), oracle_connection(SF_SMALL), ORACLE[name]) == []
-
-
 def test_bound_packing_query_covers_the_table(spark):
     docs = duckdb.sql(f"SELECT doc_id, text FROM '{SF_SMALL}/documents.parquet'").fetchall()
     _check_packing(QUERIES["op12_bound_packing"](spark, SF_SMALL).collect(), docs, 4096)

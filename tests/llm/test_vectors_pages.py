@@ -245,7 +245,7 @@ def test_distrust_reaches_hosts_far_from_every_seed(spark):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_queries_equal_their_sql(spark, name):
     con = duckdb.connect()
-    for table in ("pages", "embeddings"):
+    for table in ("pages", "embeddings", "documents", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     got = QUERIES[name](spark, SF)
     want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({ORACLE[name]})").fetchall()
