@@ -50,8 +50,8 @@ class Commit:
 class CommittedTable:
     """A table at `path`; `key` and `buckets` add the index, `bits_per_key` sets its precision.
 
-    Every write of an indexed table must have the same number of buckets. 24 bits a key
-    let one of some 100,000 absent keys pass a filter.
+    Every write of an indexed table must have the same number of buckets. With 24 bits a key,
+    rounded up to a power of two for the bucket, one of 24,000 absent keys or fewer pass.
     """
 
     path: str
