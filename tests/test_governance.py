@@ -65,6 +65,14 @@ def test_every_edge_of_the_lineage_joins_once_per_run(spark):
     assert sources == {"int_users_enriched"}
 
 
+def test_lineage_of_many_runs_is_not_broadcast(spark, plan_of):
+    """A run is one short row below, whatever number of lines is made of it."""
+    runs = spark.createDataFrame([("r1",), ("r1",), (None,)], "dag_execution_id string")
+    view = G.lineage_view(G.record_lineage(runs, AS_OF))
+    assert "Broadcast" not in plan_of(view)
+    assert view.count() == 8 * 11
+
+
 def test_catalogue_keeps_what_it_has(spark):
     seed = G.pii_seed(spark)
     assert seed.count() == 9

@@ -270,7 +270,11 @@ def record_lineage(executions: DataFrame, as_of: datetime) -> DataFrame:
 
 
 def lineage_view(log: DataFrame) -> DataFrame:
-    """Edges with the names and kinds of both ends, matched within an execution."""
+    """Edges with the names and kinds of both ends, matched within an execution.
+
+    The lines of a log may be made of far fewer rows, which is the size Spark goes by, so
+    both ends are joined by shuffle.
+    """
     run = "dag_execution_id"
     nodes = log.where(F.col("lineage_type") == "node")
     end = lambda role: nodes.select(
@@ -278,7 +282,7 @@ def lineage_view(log: DataFrame) -> DataFrame:
         F.col("node_id").alias(f"{role}_id"),
         F.col("node_name").alias(role),
         F.col("node_type").alias(f"{role}_type"),
-    )
+    ).hint("merge")
     edges = log.where(F.col("lineage_type") == "edge").select(
         run, "source_id", "target_id", "transformation"
     )
