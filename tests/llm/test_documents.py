@@ -11,7 +11,8 @@ import pytest
 import tiktoken
 import xxhash
 from shipping import shipped  # noqa: F401
-from tidegate.llm import binpack, bpe, linededup, packing, quality, simhash, tokens
+from pyspark.sql import functions as F
+from tidegate.llm import binpack, bpe, linededup, packing, quality, shared, simhash, tokens
 from tidegate.llm.shared import components
 from tokenizers import Tokenizer
 
@@ -107,6 +108,37 @@ def test_a_cluster_needs_as_many_links_as_members(spark, monkeypatch):
     assert max(made) <= 4 * len(prints)
 
 
+def test_what_probes_make_of_few_rows_is_not_broadcast(spark, monkeypatch):
+    plans = []
+
+    def seen(df, label):
+        out = simhash_staged(df, label)
+        plans.append((label, df._jdf.queryExecution().toString()))
+        return out
+
+    simhash_staged = simhash.staged
+    draw = random.Random(8)
+    frame = spark.createDataFrame([(draw.getrandbits(63),) for _ in range(3000)], "fp long")
+    frame = simhash_staged(frame, "few")
+    monkeypatch.setattr(simhash, "staged", seen)
+    monkeypatch.setattr(simhash, "components", lambda links: plans.append(("links", links._jdf.queryExecution().toString())) or components(links))
+    pairs = simhash.links(frame)
+    assert pairs.count() == 0 and simhash.groups(frame).count() == 0
+    plans.append(("pairs", pairs._jdf.queryExecution().toString()))
+    # 135,000 probes; stars join 9,000 rows and may be broadcast
+    for label, plan in plans:
+        if label in ("pairs", "links") and "explode" in plan:
+            assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_stars_of_many_edges_are_not_broadcast(spark, monkeypatch):
+    edges = spark.range(1, 60).select(F.col("id").alias("hi"), F.lit(0).cast("long").alias("lo"))
+    plan = lambda df: df._jdf.queryExecution().toString()
+    for step in (shared._large_star, shared._small_star):
+        assert "BroadcastHashJoin" not in plan(step(edges, shared.BROADCAST_ROWS + 1))
+        assert "BroadcastHashJoin" in plan(step(edges, 59))
+
+
 def test_first_of_groups_keeps_columns_and_null_ids(docs, empty):
     left = simhash.first_of_groups(docs)
     assert left.columns == docs.columns

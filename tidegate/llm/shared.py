@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.skew import BROADCAST_ROWS
 from ..runtime import shared_folder, stage
 
 
@@ -27,6 +28,15 @@ def drop(df: DataFrame) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def sized(df: DataFrame, n_rows: int) -> DataFrame:
+    """`df` for a join, by its counted rows: many are shuffled whatever size Spark takes them for.
+
+    Spark goes by the bytes of the files below and counts neither what `explode` makes of a
+    row nor what encoding saves, so that it would hand gigabytes through the driver.
+    """
+    return df.hint("merge") if n_rows > BROADCAST_ROWS else df
+
+
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """Connected components of an undirected link table.
 
@@ -42,9 +52,9 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         .distinct(),
         "links",
     )
-    before = None
+    before, n = None, edges.count()
     for _ in range(rounds):
-        after = staged(_small_star(_large_star(edges)), "stars")
+        after = staged(_small_star(_large_star(edges, n), n), "stars")
         drop(edges)
         edges = after
         now = edges.agg(
@@ -52,7 +62,7 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         ).first()
         if now == before:
             break
-        before = now
+        before, n = now, now[0]
     else:
         raise RuntimeError(f"components did not settle within {rounds} rounds")
     roots = edges.select(F.col("lo").alias("node")).distinct()
@@ -61,22 +71,21 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     )
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, n_edges: int) -> DataFrame:
     """Link each node's larger neighbours to the smallest node around it."""
     both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
         edges.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
     )
     least = both.groupBy("u").agg(F.min("v").alias("m"))
     least = least.select("u", F.least("u", "m").alias("m"))
-    return (
-        both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
-    ).distinct()
+    joined = both.where("v > u").join(sized(least, n_edges), "u")
+    return joined.select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, n_edges: int) -> DataFrame:
     """Link each node and its smaller neighbours to the smallest of them."""
     least = edges.groupBy("hi").agg(F.min("lo").alias("m"))
-    moved = edges.join(least, "hi").where("lo != m").select(F.col("lo").alias("hi"), "m")
+    moved = edges.join(sized(least, n_edges), "hi").where("lo != m").select(F.col("lo").alias("hi"), "m")
     return moved.unionByName(least).select("hi", F.col("m").alias("lo")).distinct()
 
 

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import components, free_name, staged
+from .shared import components, free_name, sized, staged
 
 BITS = 64
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -129,7 +129,8 @@ def links(prints: DataFrame, max_bits: int = 4, segment_count: int = 3) -> DataF
     2 segments 562. A cluster of n gives up to n^2 / 2 pairs; `groups` needs them not.
     """
     parts = segments(max_bits, segment_count)
-    found = _probes(prints, parts).join(_table(prints, parts), ["seg", "val"])
+    table = sized(_table(prints, parts), prints.count() * len(_balls(parts)))
+    found = _probes(prints, parts).join(table, ["seg", "val"])
     return found.where((F.col("a") < F.col("b")) & _near("a", "b", max_bits)).select("a", "b").distinct()
 
 
@@ -145,17 +146,19 @@ def groups(prints: DataFrame, max_bits: int = 4, segment_count: int | None = Non
     by as many rows as it has members. Then the probes look for near pairs across what
     has been found so far, and these are all that is left to join. `prints` is staged.
     """
+    n = prints.count()
     if segment_count is None:
-        segment_count = 3 if prints.count() <= THREE_SEGMENTS else 2
+        segment_count = 3 if n <= THREE_SEGMENTS else 2
     parts = segments(max_bits, segment_count)
     table = _table(prints, parts)
     least = table.groupBy("seg", "val").agg(F.min("b").alias("a"))
-    stars = table.join(least, ["seg", "val"]).where((F.col("a") < F.col("b")) & _near("a", "b", max_bits))
+    stars = table.join(sized(least, n * len(parts)), ["seg", "val"]).where((F.col("a") < F.col("b")) & _near("a", "b", max_bits))
     stars = staged(stars.select("a", "b").distinct(), "simhash-stars")
     so_far = components(stars).withColumnRenamed("node", "fp")
-    known = prints.join(so_far, "fp", "left").select("fp", F.coalesce("component", "fp").alias("root"))
+    known = prints.join(sized(so_far, n), "fp", "left").select("fp", F.coalesce("component", "fp").alias("root"))
     known = staged(known, "simhash-roots")
-    pairs = _probes(known, parts).join(_table(known, parts), ["seg", "val"])
+    table = sized(_table(known, parts), n * len(_balls(parts)))
+    pairs = _probes(known, parts).join(table, ["seg", "val"])
     across = pairs.where(
         (F.col("a") < F.col("b")) & (F.col("a_root") != F.col("b_root")) & _near("a", "b", max_bits)
     )
@@ -192,12 +195,14 @@ def near_duplicates(
     )
     nodes = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     found = groups(nodes.select("fp"), max_bits, segment_count).withColumnRenamed("node", "fp")
-    placed = staged(nodes.join(found, "fp", "left"), "placed")
+    n = nodes.count()
+    placed = staged(nodes.join(sized(found, n), "fp", "left"), "placed")
     alone = placed.where(F.col("component").isNull()).select("fp", "least")
     joined = placed.where(F.col("component").isNotNull())
     least = joined.groupBy("component").agg(F.min("least").alias("least"))
-    named = alone.unionByName(joined.select("fp", "component").join(least, "component").select("fp", "least"))
-    return rows.join(named.withColumnRenamed("least", "component_id"), "fp").select(
+    members = joined.select("fp", "component").join(sized(least, n), "component")
+    named = alone.unionByName(members.select("fp", "least")).withColumnRenamed("least", "component_id")
+    return rows.join(sized(named, n), "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
