@@ -132,6 +132,39 @@ def test_no_filter_misses_a_key():
     assert committed.has_bits(made, outside).mean() < 1e-4
 
 
+def test_no_slice_of_a_filter_misses_a_key():
+    draw = np.random.default_rng(1)
+    inside = draw.integers(-(2**63), 2**63 - 1, 150_000)
+    outside = draw.integers(-(2**63), 2**63 - 1, 300_000)
+    made = np.zeros(committed.filter_bits(len(inside), 24) // 8, np.uint8)
+    committed.set_bits(made, inside)
+    assert committed.has_bits(made, inside).all() and committed.has_bits(made, outside).mean() < 1e-4
+    size = committed.SLICE_BITS // 8
+    assert len(made) == 4 * size
+    for k in range(4):
+        own = inside[inside.view(np.uint64) >> np.uint64(62) == k]
+        assert committed.has_bits(made[k * size : (k + 1) * size], own, 4).all()
+
+
+def test_keys_of_a_bucket_are_probed_in_parts(spark, tmp_path):
+    """Large and small filters side by side, and a batch larger than either."""
+    table = CommittedTable(str(tmp_path / "t"), "key", buckets=1)
+    table.append(rows(spark, 0, 100_000), "large")
+    table.append(rows(spark, 200_000, 200_050), "small")
+    stored = table._filters(spark, table.commit(spark).folders)
+    sizes = [len(r["filter"]) for r in stored.collect()]
+    assert len(sizes) == 5 and max(sizes) <= committed.SLICE_BITS // 8
+    batch = rows(spark, 90_000, 290_000).unionByName(spark.createDataFrame([(None, 1)], SCHEMA)).persist()
+    known, read = table.known_keys(batch)
+    want = batch.join(table.read(spark, SCHEMA), "key", "left_semi")
+    assert known.count() == 10_050 and known.exceptAll(want.select("key")).count() == 0
+    assert read == {"buckets": 2, "buckets_read": 2}
+    assert 10_050 <= table.candidates(batch).count() < 10_150
+    plan = table.candidates(batch)._jdf.queryExecution().toString()
+    assert committed.PART in plan
+    batch.unpersist()
+
+
 def test_publishing_to_a_committed_table(spark, tmp_path):
     at = datetime(2024, 1, 1)
     made = lambda ids: spark.createDataFrame(

@@ -7,8 +7,9 @@ it, so a run that is repeated writes nothing twice. Old commits stay readable un
 `vacuum`.
 
 With a `key`, the rows of each write lie in buckets by the key's hash, and beside them one
-Bloom filter per bucket. Looking up the keys of a batch reads the filters first, and then
-the key column only of those buckets that a key may lie in.
+Bloom filter per bucket, stored in slices of bounded size. Looking up the keys of a batch
+reads the filters first, slice by slice with the keys that fall into it, and then the key
+column only of those buckets that a key may lie in.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from .tables import exists, located
 
 #: Folders of a write and, below them, of a bucket: partition columns to Spark.
 WRITE, BUCKET = "_write", "_bucket"
+#: Number of a filter's slice in the index, and of the part of a bucket's keys that is probed at once.
+SLICE, PART = "_slice", "_part"
 INDEX = "_index-"
 #: A commit is tried anew so often when others commit at the same time.
 TRIES = 50
@@ -203,27 +206,44 @@ class CommittedTable:
                     filter_ = made.setdefault(bucket, np.zeros(bits[bucket] // 8, np.uint8))
                     set_bits(filter_, own.to_numpy())
             for bucket, filter_ in made.items():
-                yield pd.DataFrame({BUCKET: [bucket], "filter": [filter_.tobytes()]})
+                for k, at in enumerate(range(0, len(filter_), SLICE_BITS // 8)):
+                    body = filter_[at : at + SLICE_BITS // 8].tobytes()
+                    yield pd.DataFrame({BUCKET: [bucket], SLICE: [k], "filter": [body]})
 
         # a bucket is one file unless Spark cuts it, so there is about one filter per task
-        parts = keys.mapInPandas(build, f"{BUCKET} int, filter binary")
-        joined = parts.groupBy(BUCKET).applyInPandas(
-            lambda p: pd.DataFrame({BUCKET: [p[BUCKET].iloc[0]], "filter": [either(p["filter"])]}),
-            f"{BUCKET} int, filter binary",
+        parts = keys.mapInPandas(build, f"{BUCKET} int, {SLICE} int, filter binary")
+        joined = parts.groupBy(BUCKET, SLICE).applyInPandas(
+            lambda p: pd.DataFrame({c: [p[c].iloc[0]] for c in (BUCKET, SLICE)} | {"filter": [either(p["filter"])]}),
+            f"{BUCKET} int, {SLICE} int, filter binary",
+        )
+        slices = F.create_map(*[F.lit(x) for b, n in bits.items() for x in (b, max(1, n // SLICE_BITS))])[F.col(BUCKET)]
+        joined.select("*", slices.alias("slices"), F.lit(folder).alias("folder")).write.parquet(
+            self._at(_index(folder))
         )
-        joined.withColumn("folder", F.lit(folder)).write.parquet(self._at(_index(folder)))
 
     def _filters(self, spark: SparkSession, folders: tuple[str, ...]) -> DataFrame:
         found = [self._at(_index(f)) for f in folders if exists(spark, self._at(_index(f)))]
-        schema = f"{BUCKET} int, filter binary, folder string"
+        schema = f"{BUCKET} int, {SLICE} int, filter binary, slices int, folder string"
         return spark.read.schema(schema).parquet(*found) if found else spark.createDataFrame([], schema)
 
     def candidates(self, keys: DataFrame, commit: int | None = None) -> DataFrame:
         """`folder, _bucket, <key>`: where a key of `keys` (unique) may lie, by the filters alone."""
         spark = keys.sparkSession
-        folders = self.commit(spark, commit).folders
-        wanted = keys.select(self.key, F.xxhash64(self.key).alias("hash")).withColumn(
-            BUCKET, bucket_of(F.col(self.key), self.buckets)
+        filters = self._filters(spark, self.commit(spark, commit).folders)
+        most, unsliced = filters.agg(F.max("slices"), F.count_if(F.col("slices").isNull())).first()
+        if unsliced:
+            raise ValueError(f"{self.path} has an index of an earlier form: write the table anew")
+        # A power of two, as the numbers of slices are: a part lies in one slice of any filter.
+        crowd = -(-keys.count() // (self.buckets * PART_KEYS))
+        n_parts = max(most or 1, 1 << max(0, crowd - 1).bit_length())
+        low = 64 - (n_parts.bit_length() - 1)
+        hashed = F.xxhash64(self.key)
+        part = F.shiftrightunsigned(hashed, low).cast("int") if n_parts > 1 else F.lit(0)
+        wanted = keys.select(
+            self.key,
+            hashed.alias("hash"),
+            bucket_of(F.col(self.key), self.buckets).alias(BUCKET),
+            part.alias(PART),
         )
         name = self.key
         kind = keys.schema[name].dataType.simpleString()
@@ -231,16 +251,18 @@ class CommittedTable:
         def probe(own: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
             found = []
             hashes = own["hash"].to_numpy()
-            for folder, filter_ in zip(filters["folder"], filters["filter"]):
-                hit = own[has_bits(np.frombuffer(filter_, np.uint8), hashes)]
+            for folder, filter_, slices in zip(filters["folder"], filters["filter"], filters["slices"]):
+                hit = own[has_bits(np.frombuffer(filter_, np.uint8), hashes, int(slices))]
                 found.append(hit[[BUCKET, name]].assign(folder=folder))
             empty = own[[BUCKET, name]].iloc[:0].assign(folder="")
             return pd.concat([empty, *found])[["folder", BUCKET, name]]
 
-        filters = self._filters(spark, folders)
+        each = (F.lit(n_parts) / F.col("slices")).cast("int")
+        first = F.col(SLICE) * each
+        spread = filters.select("*", F.explode(F.sequence(first, first + each - 1)).alias(PART))
         return (
-            wanted.groupBy(BUCKET)
-            .cogroup(filters.groupBy(BUCKET))
+            wanted.groupBy(BUCKET, PART)
+            .cogroup(spread.groupBy(BUCKET, PART))
             .applyInPandas(probe, f"folder string, {BUCKET} int, `{name}` {kind}")
         )
 
@@ -252,7 +274,7 @@ class CommittedTable:
         """
         spark = keys.sparkSession
         folders = self.commit(spark).folders
-        total = self._filters(spark, folders).count()
+        total = self._filters(spark, folders).where(f"coalesce({SLICE}, 0) = 0").count()
         if not total:
             return keys.select(self.key).where("false"), {"buckets": 0, "buckets_read": 0}
         hits = stage(self.candidates(keys), "key-candidates")
@@ -283,6 +305,10 @@ def bucket_of(key: Column, buckets: int) -> Column:
 
 #: Bits a key sets; best for 24 bits a key would be 17, 8 cost half the time.
 PROBES = 8
+#: A larger filter is cut into slices of so many bits: all bits of a key lie in one of them.
+SLICE_BITS = 1 << 20
+#: Keys of a batch that are probed at once, about; a slice holds no more at 24 bits a key.
+PART_KEYS = 1 << 15
 
 
 def filter_bits(n_keys: int, bits_per_key: int) -> int:
@@ -290,21 +316,35 @@ def filter_bits(n_keys: int, bits_per_key: int) -> int:
     return 1 << max(6, (max(1, n_keys) * bits_per_key - 1).bit_length())
 
 
-def _positions(hashes: np.ndarray, n_bits: int) -> np.ndarray:
-    """`PROBES` bit numbers per hash: a walk whose step is drawn from the hash again."""
+def _positions(hashes: np.ndarray, n_bits: int, slices: int) -> np.ndarray:
+    """`PROBES` bit numbers per hash in its slice of `n_bits`: a walk whose step is drawn from the hash again.
+
+    The leading bits number the slice, so the walk begins with those after them.
+    """
     h = hashes.astype(np.int64).view(np.uint64)
     step = (h ^ (h >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15) | np.uint64(1)
+    start = h << np.uint64(slices.bit_length() - 1)
     k = np.arange(PROBES, dtype=np.uint64)[:, None]
-    return ((h + k * step) >> np.uint64(64 - (n_bits.bit_length() - 1))).astype(np.int64)
+    return ((start + k * step) >> np.uint64(64 - (n_bits.bit_length() - 1))).astype(np.int64)
 
 
 def set_bits(filter_: np.ndarray, hashes: np.ndarray) -> None:
-    at = _positions(hashes, 8 * len(filter_)).ravel()
+    at = _in_whole(filter_, hashes).ravel()
     np.bitwise_or.at(filter_, at >> 3, (1 << (at & 7)).astype(np.uint8))
 
 
-def has_bits(filter_: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = _positions(hashes, 8 * len(filter_))
+def _in_whole(filter_: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    slices = max(1, 8 * len(filter_) // SLICE_BITS)
+    at = _positions(hashes, 8 * len(filter_) // slices, slices)
+    if slices == 1:
+        return at
+    h = hashes.astype(np.int64).view(np.uint64)
+    return at + (h >> np.uint64(64 - (slices.bit_length() - 1))).astype(np.int64) * SLICE_BITS
+
+
+def has_bits(filter_: np.ndarray, hashes: np.ndarray, slices: int | None = None) -> np.ndarray:
+    """Which hashes a whole filter may hold; with `slices`, a filter of so many, of which `filter_` is theirs."""
+    at = _in_whole(filter_, hashes) if slices is None else _positions(hashes, 8 * len(filter_), slices)
     return (filter_[at >> 3] >> (at & 7) & 1).all(axis=0)
 
 
