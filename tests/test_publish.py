@@ -126,3 +126,21 @@ def test_bucketed_table_is_not_shuffled_for_the_lookup(spark, monkeypatch, plan_
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP TABLE published_tx")
+
+
+def test_a_large_batch_meets_the_published_keys_once(spark, tmp_path, monkeypatch):
+    from tidegate.operators import skew
+
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(P, "known_keys", None)  # the keys of a large batch are not shuffled by themselves
+    rows = [tx("a1"), tx("a1", hour=2), tx(None), tx("b1", user=None), tx("c1", status="FAILED")]
+    first = run(spark, rows, tmp_path / "p")
+    assert (first["records_published"], first["records_filtered"], first["duplicate_records"]) == (2, 3, 0)
+    more = [tx("a1", amount="7"), tx("d1"), tx("d1", hour=5)]
+    second = run(spark, more, tmp_path / "p")
+    assert (second["records_published"], second["records_filtered"], second["duplicate_records"]) == (1, 2, 1)
+    assert run(spark, more, tmp_path / "p")["records_published"] == 0
+    got = read(spark, tmp_path / "p").collect()
+    assert [r["amount"] for r in got] == [D("5.00")] * 3
+    assert len({r["transaction_key"] for r in got}) == 3 and None in {r["transaction_key"] for r in got}
+    assert "_known" not in got[0].asDict()

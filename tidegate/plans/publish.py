@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.masking import apply_rules, pseudonym_sha
 from ..functions.scalars import moment
+from ..operators import skew
 from ..operators.skew import known_keys, latest_per_key, measure
 from ..runtime import stage
 from ..schemas import PUBLISHED_TRANSACTIONS, PUBLISHED_USERS
@@ -84,6 +85,20 @@ def audit_refusal(audit: dict | bool | None) -> str | None:
     return None if passed else "audit_failed"
 
 
+def _marked(rows: DataFrame, published: DataFrame, key: str, label: str) -> tuple[DataFrame, int, int]:
+    """The unpublished ones of `rows` (unique by key), and the numbers of all and of published ones.
+
+    For large batches: rows and published keys meet in one join, whose result is staged.
+    """
+    if published.isEmpty():
+        rows = stage(rows, label)
+        return rows, rows.count(), 0
+    known = published.select(key).where(F.col(key).isNotNull()).distinct().withColumn("_known", F.lit(True))
+    rows = stage(rows.join(known.hint("merge"), key, "left"), label)
+    n_rows, duplicates = rows.agg(F.count(F.lit(1)), F.count("_known")).first()
+    return rows.where(F.col("_known").isNull()).drop("_known"), n_rows, duplicates
+
+
 def publish(
     spark: SparkSession,
     entity: Entity,
@@ -108,17 +123,19 @@ def publish(
         return {"records_published": 0, "reason": reason}
     total = raw.count() if n_raw is None else n_raw
     key = entity.published_key
-    rows = stage(one_per_key(entity, raw, as_of, salt), f"{entity.table}-batch")
-    batch = measure(rows, key)
-    if isinstance(target, CommittedTable) and target.key == key:
-        known = target.known_keys(rows)[0]
+    rows, label = one_per_key(entity, raw, as_of, salt), f"{entity.table}-batch"
+    indexed = isinstance(target, CommittedTable) and target.key == key
+    if total > skew.BROADCAST_ROWS and not indexed:
+        new, n_rows, duplicates = _marked(rows, target.read(spark, entity.schema), key, label)
     else:
-        known = known_keys(batch, target.read(spark, entity.schema))
-    known = stage(known, f"{entity.table}-known")
-    duplicates = known.count()
-    fresh = batch.n_rows - duplicates
+        rows = stage(rows, label)
+        batch = measure(rows, key)
+        known = target.known_keys(rows)[0] if indexed else known_keys(batch, target.read(spark, entity.schema))
+        known = stage(known, f"{entity.table}-known")
+        new, n_rows, duplicates = not_published(rows, known, key), batch.n_rows, known.count()
+    fresh = n_rows - duplicates
     if fresh:
-        new = apply_rules(not_published(rows, known, key), rules, strict)
+        new = apply_rules(new, rules, strict)
         columns = [f.name for f in entity.schema.fields if f.name in new.columns]
         if isinstance(target, CommittedTable):
             target.append(new.select(*columns), run_id)
