@@ -7,6 +7,7 @@ import zlib
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
+import pytest
 import xxhash
 from compare import SF_SMALL
 from shipping import shipped  # noqa: F401
@@ -123,3 +124,12 @@ def test_pipeline_stage_by_stage(spark):
     for spans in places.values():
         ends = np.cumsum([n for _, n in sorted(spans)])
         assert [o for o, _ in sorted(spans)] == [0, *ends[:-1]] and ends[-1] <= 2048
+
+
+def test_the_fit_needs_no_workers_of_its_own(spark, monkeypatch):
+    """Functions of an RDD run in Python workers beside those of data frames."""
+    docs = spark.createDataFrame([(k, "word " * (k % 7) + "end.") for k in range(40)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "CAST(doc_id % 2 AS INT) AS quality")
+    monkeypatch.setattr(type(docs), "rdd", property(lambda self: pytest.fail("an RDD")))
+    model = quality.fit(docs, labels)
+    assert np.isfinite(model.weights).all() and np.abs(model.weights).max() > 0

@@ -159,18 +159,19 @@ def fit(
         mean, np.where(spread > 1e-9, spread, 1.0), directions, phases, np.zeros(waves + 1), *flat
     )
 
-    def equations(part: Iterator) -> Iterator[np.ndarray]:
-        total, held = np.zeros((waves + 1, waves + 2)), []
-        for row in part:
-            held.append((*row.x, row.y))
-            if len(held) == 4096:
-                total += _normal(model, np.array(held))
-                held = []
-        if held:
-            total += _normal(model, np.array(held))
-        yield total
-
-    both = rows.rdd.mapPartitions(equations).treeReduce(np.add)
+    # By the same kind of Python function as all others: rows of an RDD would have workers of their own.
+    def equations(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((waves + 1, waves + 2))
+        for batch in batches:
+            for k in range(0, len(batch), 4096):
+                part = batch.iloc[k : k + 4096]
+                total += _normal(model, np.column_stack([np.stack(part.x.to_numpy()), part.y.to_numpy()]))
+        yield pd.DataFrame({"cell": np.arange(total.size, dtype=np.int32), "total": total.ravel()})
+
+    sums_of = rows.mapInPandas(equations, "cell int, total double").groupBy("cell").agg(F.sum("total"))
+    both = np.zeros((waves + 1, waves + 2))
+    for k, total in sums_of.collect():  # as many lines as the equations have coefficients
+        both.flat[k] = total
     lift = ridge * sums[0] * np.eye(waves + 1)
     lift[-1, -1] = 0.0
     model.weights = np.linalg.solve(both[:, :-1] + lift + 1e-9 * np.eye(waves + 1), both[:, -1])
