@@ -131,7 +131,9 @@ def paged_source(spark, d):
     late = F.col("opens_with") == "ERROR"
     out = None
     for run_id, delivered in (("run-1", lines.where(~late)), ("run-2", lines.where(late))):
-        delivered.select("page", "value").write.mode("append").partitionBy("page").text(folder)
+        # each task puts its pages in place; the default lets the driver move them all, one by one
+        writer = delivered.select("page", "value").write.mode("append").partitionBy("page")
+        writer.option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(folder)
         read = stage(paged.read_source(spark, folder, log, pause=0.01, pages_per_task=16), "fetched")
         log.add(read, run_id)
         records = pages.records(paged.as_pages(read, schemas.TRANSACTION_FIELDS))
