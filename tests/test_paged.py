@@ -86,20 +86,23 @@ def test_one_partition_per_page(monkeypatch):
     assert paged.unpacked(paged.packed({})) == {}
 
 
-def test_tasks_put_pages_in_place(spark, tmp_path, monkeypatch):
-    """Each page is a folder; moved one by one by the driver, many pages take hours."""
-    from pyspark.sql.readwriter import DataFrameWriter
+def test_scattered_pages_share_tasks(spark, monkeypatch):
+    """Of 64 pages every other one is landed; the rest are two tasks of 16 pages, not 32 of one."""
+    monkeypatch.setattr(Flaky, "total_pages", lambda self: 64)
+    monkeypatch.setattr(paged, "_transport", Flaky)
+    landed = paged.packed({1: bytes([0b01010101] * 8) + bytes(4088)})
+    parts = PageReader({"landed": landed, "pages_per_task": "16"}).partitions()
+    assert [p.pages for p in parts] == [list(range(2, 33, 2)), list(range(34, 65, 2))]
+
 
+def test_late_pages_come_with_the_second_run(spark, tmp_path):
     from registry.queries import QUERIES
 
     spark.range(950).selectExpr(
         "id AS event_id", "id AS user_id", "if(id % 300 = 0, 'error', 'view') AS event_type", "10D AS value",
         "'{}' AS props", "TIMESTAMP_NTZ '2024-01-01 00:00:00' AS ts",
     ).write.parquet(str(tmp_path / "events.parquet"))
-    given, option = {}, DataFrameWriter.option
-    monkeypatch.setattr(DataFrameWriter, "option", lambda self, k, v: given.update({k: v}) or option(self, k, v))
     found = QUERIES["paged_source"](spark, str(tmp_path)).collect()
-    assert given.get("mapreduce.fileoutputcommitter.algorithm.version") == "2"
     late = {1, 4, 7, 10}
     assert sorted((r["page"], r["records"], r["run_id"]) for r in found) == [
         (n, 50 if n == 10 else 100, "run-2" if n in late else "run-1") for n in range(1, 11)

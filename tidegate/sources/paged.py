@@ -93,12 +93,21 @@ def _transport(options: dict[str, str]) -> Transport:
 
 @dataclass
 class Page(InputPartition):
-    first: int
-    last: int
+    """The pages of a task, rising; between them lie pages that others have landed."""
+
+    pages: list[int]
 
     def __post_init__(self):
         super().__init__(self.first)
 
+    @property
+    def first(self) -> int:
+        return self.pages[0] if self.pages else 1
+
+    @property
+    def last(self) -> int:
+        return self.pages[-1] if self.pages else 0
+
 
 class PageReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
@@ -113,17 +122,12 @@ class PageReader(DataSourceReader):
             raise OSError(f"the number of pages is not to be had: {error}")
         landed = unpacked(self.options.get("landed", ""))
         wanted = [n for n in range(1, total + 1) if not _has(landed, n)]
-        out: list[Page] = []
-        for n in wanted:
-            if out and out[-1].last == n - 1 and out[-1].last - out[-1].first + 1 < self.each:
-                out[-1].last = n
-            else:
-                out.append(Page(n, n))
-        return out or [Page(1, 0)]
+        # a task for each run of pages would be a task for each page where the missing ones lie scattered
+        return [Page(wanted[k : k + self.each]) for k in range(0, len(wanted), self.each)] or [Page([])]
 
     def read(self, partition: Page) -> Iterator[tuple]:
         transport = _transport(self.options)
-        for page in range(partition.first, partition.last + 1):
+        for page in partition.pages:
             yield self._one(transport, page)
 
     def _one(self, transport: Transport, page: int) -> tuple:
