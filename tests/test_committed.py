@@ -1,6 +1,7 @@
 """Tables that change in one step, their index of keys, and what a crash leaves."""
 
 import os
+import time
 from datetime import datetime
 from decimal import Decimal as D
 
@@ -11,6 +12,7 @@ from pyspark.sql.types import StructType
 
 from tidegate.functions.masking import DEFAULT_RULES
 from tidegate.plans import publish as P
+from tidegate.runtime import BRIEF, brief_shuffles, stage
 from tidegate.sources import committed
 from tidegate.sources.committed import CommitConflict, CommittedTable
 
@@ -181,3 +183,119 @@ def test_publishing_to_a_committed_table(spark, tmp_path):
     again = P.publish(spark, P.TRANSACTIONS, made(["a1", "c1"]), target, *args, run_id="two")
     assert again["records_published"] == 0
     assert target.read(spark, P.TRANSACTIONS.schema).count() == 3
+
+
+def batch_of(spark, n, *, status="COMPLETED"):
+    """Each id twice, the later arrival with the larger amount; two rows without an id."""
+    at = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("turn")).cast("timestamp_ntz")
+    turns = spark.range(n).withColumn("turn", F.explode(F.array(F.lit(0), F.lit(1))))
+    return turns.select(
+        F.when(F.col("id") > 0, F.concat(F.lit("tx-"), F.col("id"))).alias("transaction_id"),
+        F.lit(1).alias("user_id"), F.lit("c").alias("product_category"),
+        (F.col("turn") + 1).cast("decimal(10,2)").alias("amount"), F.lit("USD").alias("currency"),
+        at.alias("transaction_date"), F.lit(status).alias("status"), at.alias("ingested_at"),
+    )
+
+
+def files_below(path, start=""):
+    return [os.path.join(d, f) for d, _, found in os.walk(path) for f in found if f.startswith(start)]
+
+
+def test_a_batch_published_in_rounds_leaves_the_same_table_and_nothing_staged(spark, tmp_path, monkeypatch):
+    staged = f"{spark.conf.get('spark.checkpoint.dir')}/staged"
+    before = set(files_below(staged))
+    args = ({"audit_passed": True}, datetime(2024, 2, 1), "salt", DEFAULT_RULES)
+    told, tables = [], []
+    for n in (1 << 23, 100, 7):  # one round, three, and one for each bucket
+        monkeypatch.setattr(P, "ROUND_ROWS", n)
+        target = CommittedTable(str(tmp_path / f"rounds-{n}"), "transaction_key", buckets=6)
+        runs = [(batch_of(spark, 90), "one"), (batch_of(spark, 150), "two"), (batch_of(spark, 150), "two"),
+                (batch_of(spark, 9, status="FAILED"), "none")]
+        told.append([P.publish(spark, P.TRANSACTIONS, raw, target, *args, run_id=run) for raw, run in runs])
+        tables.append(sorted(map(str, target.read(spark, P.TRANSACTIONS.schema).collect())))
+        assert target.commits(spark) == [1, 2] and target.commit(spark).runs == ("one", "two")
+    assert [(m["records_published"], m["duplicate_records"]) for m in told[0]] == [(90, 0), (61, 89), (1, 149), (0, 0)]
+    assert told[0] == told[1] == told[2] and tables[0] == tables[1] == tables[2] and len(tables[0]) == 151
+    assert set(files_below(staged)) == before
+
+
+def test_a_round_that_fails_publishes_nothing(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(P, "ROUND_ROWS", 10)
+    target = CommittedTable(str(tmp_path / "t"), "transaction_key", buckets=4)
+    args = ({"audit_passed": True}, datetime(2024, 2, 1), "salt", DEFAULT_RULES, True, "one")
+    put, seen = CommittedTable._put_rows, []
+
+    def fails_later(self, *a):
+        seen.append(a)
+        if len(seen) > 2:
+            raise OSError("lost")
+        return put(self, *a)
+
+    with monkeypatch.context() as m:
+        m.setattr(CommittedTable, "_put_rows", fails_later)
+        with pytest.raises(OSError):
+            P.publish(spark, P.TRANSACTIONS, batch_of(spark, 50), target, *args)
+    assert target.commits(spark) == [] and target.read(spark, P.TRANSACTIONS.schema).count() == 0
+    assert P.publish(spark, P.TRANSACTIONS, batch_of(spark, 50), target, *args)["records_published"] == 50
+    assert target.read(spark, P.TRANSACTIONS.schema).count() == 50
+
+
+def test_a_staged_batch_of_the_caller_is_kept(spark, tmp_path):
+    raw = stage(batch_of(spark, 5), "raw-of-the-caller")
+    target = CommittedTable(str(tmp_path / "t"), "transaction_key", buckets=4)
+    P.publish(spark, P.TRANSACTIONS, raw, target, {"audit_passed": True}, datetime(2024, 2, 1), "s", DEFAULT_RULES)
+    assert raw.count() == 10
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {f for f in map(str, disk.getAllFiles().mkString("\n").split("\n")) if "/shuffle_" in f}
+    before = shuffles()
+    with brief_shuffles(spark):
+        stage(spark.range(1000).groupBy((F.col("id") % 700).alias("k")).count(), "brief")
+    late = time.time() + 10
+    while shuffles() - before and time.time() < late:
+        time.sleep(0.1)
+    assert not shuffles() - before and spark.conf.get(BRIEF, None) is None
+
+
+def test_large_buckets_are_dealt_over_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(committed, "FILE_ROWS", 100)
+    table = CommittedTable(str(tmp_path / "t"), "key", buckets=2)
+    with table.appending(spark, "a") as add:
+        add(rows(spark, 0, 1000), 500)
+        add(rows(spark, 1000, 1100), 50)
+        assert table.commits(spark) == []
+    assert numbers(spark, table) == list(range(1100)) and table.commits(spark) == [1]
+    assert len(files_below(tmp_path / "t", "part-")) > 6
+    known, read = table.known_keys(rows(spark, 900, 2000))
+    assert known.count() == 200 and read == {"buckets": 2, "buckets_read": 2}
+    with table.appending(spark, "a") as add:
+        add(rows(spark, 5000, 6000))
+    with table.appending(spark, "b"):
+        pass
+    assert numbers(spark, table) == list(range(1100)) and table.commits(spark) == [1]
+
+
+def test_slices_made_by_themselves_are_those_of_the_whole_filter(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(committed, "FILE_ROWS", 1000)
+    table = CommittedTable(str(tmp_path / "t"), "key", buckets=1)
+    with table.appending(spark, "a") as add:
+        add(rows(spark, 0, 60_000), 60_000)
+    stored = table._filters(spark, table.commit(spark).folders).collect()
+    assert sorted(r[committed.SLICE] for r in stored) == [0, 1]
+    whole = np.concatenate([np.frombuffer(r["filter"], np.uint8) for r in sorted(stored, key=lambda r: r[committed.SLICE])])
+    hashes = rows(spark, 0, 60_000).select(F.xxhash64("key")).toPandas().iloc[:, 0].to_numpy()
+    want = np.zeros_like(whole)
+    committed.set_bits(want, hashes)
+    assert (whole == want).all()
+
+
+def test_a_key_that_fills_a_bucket_by_itself_is_found(spark, tmp_path):
+    """Its bucket's filter has several slices, of which only one has a key."""
+    table = CommittedTable(str(tmp_path / "t"), "key", buckets=1)
+    for n in range(3):
+        same = spark.range(100_000).select(F.sha2(F.lit(f"{n}"), 256).alias("key"), F.col("id").alias("n"))
+        table.append(same, f"run-{n}")
+    known, read = table.known_keys(rows(spark, 0, 50))
+    assert known.count() == 3 and read == {"buckets": 3, "buckets_read": 3}

@@ -16,7 +16,8 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,6 +34,10 @@ WRITE, BUCKET = "_write", "_bucket"
 #: Number of a filter's slice in the index, and of the part of a bucket's keys that is probed at once.
 SLICE, PART = "_slice", "_part"
 INDEX = "_index-"
+#: A bucket of more rows than this in one write is dealt over several files, each by a task of its own.
+FILE_ROWS = 1 << 18
+#: How rows are stored with their keys, which are often digests in text: these take half the space so.
+COMPACT = {"compression": "zstd", "parquet.compression.codec.zstd.level": "1"}
 #: A commit is tried anew so often when others commit at the same time.
 TRIES = 50
 
@@ -148,15 +153,45 @@ class CommittedTable:
         seen = self.commit(spark)
         if run_id in seen.runs:
             return False
-        folder = f"{WRITE}={seen.number + 1}-{uuid.uuid4().hex}"
-        if self.key is None:
-            df.write.parquet(self._at(folder))
-        else:
-            rows = df.withColumn(BUCKET, bucket_of(F.col(self.key), self.buckets))
-            rows.repartition(self.buckets, BUCKET).write.partitionBy(BUCKET).parquet(self._at(folder))
+        folder = _write_folder(seen)
+        self._put_rows(df, folder)
+        if self.key is not None:
             self._write_index(spark, folder)
         return self._change(spark, run_id, folder, keep, seen.number, keep_runs)
 
+    @contextmanager
+    def appending(self, spark: SparkSession, run_id: str | None = None) -> Iterator[Callable[[DataFrame, int], None]]:
+        """Add rows in several writes that appear in one commit when all are done.
+
+        Gives a function that takes rows and about how many of them a bucket gets. Nothing is
+        written if the run has added its rows before, and nothing is committed without rows.
+        """
+        run_id = run_id or uuid.uuid4().hex
+        seen = self.commit(spark)
+        folder, written = _write_folder(seen), []
+
+        def add(df: DataFrame, bucket_rows: int = 0) -> None:
+            if run_id not in seen.runs:
+                self._put_rows(df, folder, bucket_rows)
+                written.append(bucket_rows)
+
+        yield add
+        if written:
+            if self.key is not None:
+                self._write_index(spark, folder)
+            self._change(spark, run_id, folder, True, seen.number)
+
+    def _put_rows(self, df: DataFrame, folder: str, bucket_rows: int = 0) -> None:
+        """Write rows to a folder beside those that are there; tasks take buckets or, of large ones, a share."""
+        if self.key is None:
+            df.write.mode("append").parquet(self._at(folder))
+            return
+        rows = df.withColumn(BUCKET, bucket_of(F.col(self.key), self.buckets))
+        shares = max(1, -(-bucket_rows // FILE_ROWS))
+        share = [F.pmod(F.xxhash64(F.lit("file"), F.col(self.key)), F.lit(shares))] if shares > 1 else []
+        rows = rows.repartition(self.buckets * shares, BUCKET, *share)
+        rows.write.options(**COMPACT).mode("append").partitionBy(BUCKET).parquet(self._at(folder))
+
     def vacuum(self, spark: SparkSession) -> list[str]:
         """Delete all folders that the newest commit does not name; no write may be under way."""
         wanted = set(self.commit(spark).folders)
@@ -190,7 +225,11 @@ class CommittedTable:
     # --- the index ----------------------------------------------------------
 
     def _write_index(self, spark: SparkSession, folder: str) -> None:
-        """One filter per bucket of the folder, sized by the bucket's counted keys."""
+        """One filter per bucket of the folder, sized by the bucket's counted keys.
+
+        Each slice is made from its own keys, which meet as hashes: a task that filled filters of
+        whole buckets would send all of them, and tasks and filters both grow with the table.
+        """
         ship_package(spark)
         path = self._at(folder)
         if not _has_parts(spark, path):
@@ -198,26 +237,20 @@ class CommittedTable:
         keys = spark.read.parquet(path).select(BUCKET, F.xxhash64(self.key).alias("hash"))
         sizes = {r[0]: r[1] for r in keys.groupBy(BUCKET).count().collect()}  # one line a bucket
         bits = {b: filter_bits(n, self.bits_per_key) for b, n in sizes.items()}
-
-        def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            made: dict[int, np.ndarray] = {}
-            for rows in batches:
-                for bucket, own in rows.groupby(BUCKET)["hash"]:
-                    filter_ = made.setdefault(bucket, np.zeros(bits[bucket] // 8, np.uint8))
-                    set_bits(filter_, own.to_numpy())
-            for bucket, filter_ in made.items():
-                for k, at in enumerate(range(0, len(filter_), SLICE_BITS // 8)):
-                    body = filter_[at : at + SLICE_BITS // 8].tobytes()
-                    yield pd.DataFrame({BUCKET: [bucket], SLICE: [k], "filter": [body]})
-
-        # a bucket is one file unless Spark cuts it, so there is about one filter per task
-        parts = keys.mapInPandas(build, f"{BUCKET} int, {SLICE} int, filter binary")
-        joined = parts.groupBy(BUCKET, SLICE).applyInPandas(
-            lambda p: pd.DataFrame({c: [p[c].iloc[0]] for c in (BUCKET, SLICE)} | {"filter": [either(p["filter"])]}),
-            f"{BUCKET} int, {SLICE} int, filter binary",
-        )
-        slices = F.create_map(*[F.lit(x) for b, n in bits.items() for x in (b, max(1, n // SLICE_BITS))])[F.col(BUCKET)]
-        joined.select("*", slices.alias("slices"), F.lit(folder).alias("folder")).write.parquet(
+        slices = {b: max(1, n // SLICE_BITS) for b, n in bits.items()}
+
+        def build(keys: pd.DataFrame) -> pd.DataFrame:
+            bucket, number = int(keys[BUCKET].iloc[0]), int(keys[SLICE].iloc[0])
+            made = np.zeros(bits[bucket] // slices[bucket] // 8, np.uint8)
+            set_bits(made, keys["hash"].to_numpy(), slices[bucket])
+            return pd.DataFrame({BUCKET: [bucket], SLICE: [number], "filter": [made.tobytes()]})
+
+        of_bucket = lambda known: F.create_map(*[F.lit(x) for at in known.items() for x in at])[F.col(BUCKET)]
+        low = of_bucket({b: 64 - (n.bit_length() - 1) for b, n in slices.items()})
+        number = F.when(low < 64, F.call_function("shiftrightunsigned", F.col("hash"), low)).otherwise(0)
+        parted = keys.withColumn(SLICE, number.cast("int")).repartition(BUCKET, SLICE).distinct()
+        made = parted.groupBy(BUCKET, SLICE).applyInPandas(build, f"{BUCKET} int, {SLICE} int, filter binary")
+        made.select("*", of_bucket(slices).alias("slices"), F.lit(folder).alias("folder")).write.parquet(
             self._at(_index(folder))
         )
 
@@ -230,11 +263,16 @@ class CommittedTable:
         """`folder, _bucket, <key>`: where a key of `keys` (unique) may lie, by the filters alone."""
         spark = keys.sparkSession
         filters = self._filters(spark, self.commit(spark, commit).folders)
-        most, unsliced = filters.agg(F.max("slices"), F.count_if(F.col("slices").isNull())).first()
+        bucket = bucket_of(F.col(self.key), self.buckets)
+        sizes = {r[0]: r[1] for r in keys.groupBy(bucket).count().collect()}  # one line a bucket
+        asked = F.col(BUCKET).isin(list(sizes))
+        most, unsliced = filters.agg(
+            F.max(F.when(asked, F.col("slices"))), F.count_if(F.col("slices").isNull())
+        ).first()
         if unsliced:
             raise ValueError(f"{self.path} has an index of an earlier form: write the table anew")
         # A power of two, as the numbers of slices are: a part lies in one slice of any filter.
-        crowd = -(-keys.count() // (self.buckets * PART_KEYS))
+        crowd = -(-max(sizes.values(), default=0) // PART_KEYS)
         n_parts = max(most or 1, 1 << max(0, crowd - 1).bit_length())
         low = 64 - (n_parts.bit_length() - 1)
         hashed = F.xxhash64(self.key)
@@ -242,7 +280,7 @@ class CommittedTable:
         wanted = keys.select(
             self.key,
             hashed.alias("hash"),
-            bucket_of(F.col(self.key), self.buckets).alias(BUCKET),
+            bucket.alias(BUCKET),
             part.alias(PART),
         )
         name = self.key
@@ -259,7 +297,7 @@ class CommittedTable:
 
         each = (F.lit(n_parts) / F.col("slices")).cast("int")
         first = F.col(SLICE) * each
-        spread = filters.select("*", F.explode(F.sequence(first, first + each - 1)).alias(PART))
+        spread = filters.where(asked).select("*", F.explode(F.sequence(first, first + each - 1)).alias(PART))
         return (
             wanted.groupBy(BUCKET, PART)
             .cogroup(spread.groupBy(BUCKET, PART))
@@ -274,10 +312,10 @@ class CommittedTable:
         """
         spark = keys.sparkSession
         folders = self.commit(spark).folders
-        total = self._filters(spark, folders).where(f"coalesce({SLICE}, 0) = 0").count()
+        total = self._filters(spark, folders).select("folder", BUCKET).distinct().count()
         if not total:
             return keys.select(self.key).where("false"), {"buckets": 0, "buckets_read": 0}
-        hits = stage(self.candidates(keys), "key-candidates")
+        hits = stage(self.candidates(keys), "key-candidates", COMPACT)
         places = [tuple(r) for r in hits.select("folder", BUCKET).distinct().collect()]
         numbers = {"buckets": total, "buckets_read": len(places)}
         if not places:
@@ -288,6 +326,10 @@ class CommittedTable:
         return wanted.join(stored, self.key, "left_semi"), numbers
 
 
+def _write_folder(seen: Commit) -> str:
+    return f"{WRITE}={seen.number + 1}-{uuid.uuid4().hex}"
+
+
 def _index(folder: str) -> str:
     return folder.replace(f"{WRITE}=", INDEX, 1)
 
@@ -328,8 +370,9 @@ def _positions(hashes: np.ndarray, n_bits: int, slices: int) -> np.ndarray:
     return ((start + k * step) >> np.uint64(64 - (n_bits.bit_length() - 1))).astype(np.int64)
 
 
-def set_bits(filter_: np.ndarray, hashes: np.ndarray) -> None:
-    at = _in_whole(filter_, hashes).ravel()
+def set_bits(filter_: np.ndarray, hashes: np.ndarray, slices: int | None = None) -> None:
+    """Fill a whole filter; with `slices`, a filter of so many, of which `filter_` is that of all the hashes."""
+    at = (_in_whole(filter_, hashes) if slices is None else _positions(hashes, 8 * len(filter_), slices)).ravel()
     np.bitwise_or.at(filter_, at >> 3, (1 << (at & 7)).astype(np.uint8))
 
 
@@ -346,10 +389,3 @@ def has_bits(filter_: np.ndarray, hashes: np.ndarray, slices: int | None = None)
     """Which hashes a whole filter may hold; with `slices`, a filter of so many, of which `filter_` is theirs."""
     at = _in_whole(filter_, hashes) if slices is None else _positions(hashes, 8 * len(filter_), slices)
     return (filter_[at >> 3] >> (at & 7) & 1).all(axis=0)
-
-
-def either(filters: pd.Series) -> bytes:
-    out = np.frombuffer(filters.iloc[0], np.uint8).copy()
-    for other in filters.iloc[1:]:
-        out |= np.frombuffer(other, np.uint8)
-    return out.tobytes()
